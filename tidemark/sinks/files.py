@@ -9,10 +9,10 @@ from tidemark.sources.files import TIMESTAMP_TEXT
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, partition_by: list[str] | None = None) -> None:
     """CSV with a header, every field quoted on request."""
-    writer = df.write.mode("overwrite").options(header=True, quoteAll=quote_all, **TIMESTAMP_TEXT)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.csv(path)
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("overwrite").options(header=True, quoteAll=quote_all, **TIMESTAMP_TEXT)
+    writer.partitionBy(*partition_by or []).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
