@@ -94,42 +94,41 @@ def top_changes(listings: DataFrame, id_: str, price: str, date: str, n: int = 5
     order = best.desc_nulls_last() if rising else best.asc_nulls_last()
     finalists = changes.orderBy(order, "id").limit(n).select("id", "download_date_min", "download_date_max")
 
-    rows = _per_day(listings, id_, price, date)
+    at_first, at_last = F.col("date") == F.col("download_date_min"), F.col("date") == F.col("download_date_max")
     prices = (
-        rows.join(F.broadcast(finalists), "id")  # n rows
-        .where("date = download_date_min OR date = download_date_max")
-        .groupBy("id", "download_date_min", "download_date_max", "date", "price")
-        .agg(F.count("*").alias("n_rows"))
+        _per_day(listings, id_, price, date)
+        .join(F.broadcast(finalists), "id")  # n rows
+        .where(at_first | at_last)
+        .groupBy("id", "download_date_min", "download_date_max", at_first.alias("first"), "price")
+        .agg(F.count("*").alias("copies"))
     )
-    oldest = _extremes(prices.where("date = download_date_min"), n, lowest=rising).withColumnsRenamed(
-        {"price": "oldest_price", "n_rows": "n_old"}
+    # A rise is largest from a low first price to a high last price. The NULL price of an end is one more row.
+    wants_low = F.col("first") if rising else ~F.col("first")
+    extreme_first = Window.partitionBy("id", "first", F.col("price").isNull()).orderBy(
+        F.when(wants_low, F.col("price")).otherwise(-F.col("price"))
     )
-    latest = _extremes(prices.where("date = download_date_max"), n, lowest=not rising).select(
-        "id", F.col("price").alias("latest_price"), F.col("n_rows").alias("n_new")
+    kept = prices.withColumn("_rank", F.row_number().over(extreme_first)).where(F.col("_rank") <= n)
+    entry = F.struct("price", "copies")
+    ends = kept.groupBy("id", "download_date_min", "download_date_max").agg(  # at most n + 1 entries per list
+        F.collect_list(F.when(F.col("first"), entry)).alias("old"),
+        F.collect_list(F.when(~F.col("first"), entry)).alias("new"),
     )
-    diff = (F.col("latest_price") - F.col("oldest_price")) / F.datediff("download_date_max", "download_date_min")
+    change = (F.col("new.price") - F.col("old.price")) / F.datediff("download_date_max", "download_date_min")
     pairs = (
-        oldest.join(latest, "id")
-        .withColumn("price_diff_per_day", diff)
+        ends.withColumn("old", F.explode("old"))
+        .withColumn("new", F.explode("new"))
         # A pair of prices that occurs several times fills as many places, up to n.
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.col("n_old") * F.col("n_new"), F.lit(n)))))
-    )
-    change = F.col("price_diff_per_day")
-    return (
-        pairs.orderBy(change.desc_nulls_last() if rising else change.asc_nulls_last(), "id", "oldest_price", "latest_price")
-        .limit(n)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.col("old.copies") * F.col("new.copies"), F.lit(n)))))
         .select(
-            "id", "download_date_min", "oldest_price", "download_date_max", "latest_price", "price_diff_per_day"
+            "id",
+            "download_date_min",
+            F.col("old.price").alias("oldest_price"),
+            "download_date_max",
+            F.col("new.price").alias("latest_price"),
+            change.alias("price_diff_per_day"),
         )
     )
-
-
-def _extremes(prices: DataFrame, n: int, lowest: bool) -> DataFrame:
-    """The n lowest (highest) distinct prices per listing, and its NULL price, which is a single row."""
-    order = F.col("price").asc_nulls_last() if lowest else F.col("price").desc_nulls_last()
-    ranked = Window.partitionBy("id", F.col("price").isNull()).orderBy(order)
-    return (
-        prices.withColumn("_rank", F.row_number().over(ranked))
-        .where(F.col("_rank") <= n)
-        .select("id", "download_date_min", "download_date_max", "price", "n_rows")
-    )
+    diff = F.col("price_diff_per_day")
+    return pairs.orderBy(
+        diff.desc_nulls_last() if rising else diff.asc_nulls_last(), "id", "oldest_price", "latest_price"
+    ).limit(n)

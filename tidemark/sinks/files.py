@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.sources.files import TIMESTAMP_TEXT
+from tidemark.sources.files import CSV_DIALECT, read_json_array
+
+# Spark's own default stops at milliseconds; its readers accept any number of digits.
+TIMESTAMP_TEXT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, partition_by: list[str] | None = None) -> None:
     """CSV with a header, every field quoted on request."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").options(header=True, quoteAll=quote_all, **TIMESTAMP_TEXT)
+    writer = df.write.mode("overwrite").options(quoteAll=quote_all, **CSV_DIALECT, **TIMESTAMP_TEXT)
     writer.partitionBy(*partition_by or []).csv(path)
 
 
@@ -37,11 +43,11 @@ def write_array_lines(df: DataFrame, path: str, wrap: str | None = None) -> None
     def pack(batches):
         for batch in batches:
             if len(batch):
-                text = batch.to_json(orient="records")
-                yield batch.iloc[:1, :0].assign(value=f'{{"{wrap}":{text}}}' if wrap else text)
+                text = f"[{','.join(batch['value'])}]"
+                yield batch.iloc[:1].assign(value=f'{{"{wrap}":{text}}}' if wrap else text)
 
-    plain = df.select(*[_as_text(f) for f in df.schema.fields])
-    plain.mapInPandas(pack, "value string").write.mode("overwrite").text(path)
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", **TIMESTAMP_TEXT})
+    df.select(record.alias("value")).mapInPandas(pack, "value string").write.mode("overwrite").text(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: str) -> None:
@@ -94,11 +100,4 @@ def export_query(df: DataFrame, table: str, table_path: str, path: str) -> None:
 
 def json_to_csv(spark: SparkSession, source, schema, target: str, multi_line: bool = True) -> None:
     """Convert JSON records to CSV, the same rows and fields."""
-    write_csv(spark.read.schema(schema).options(multiLine=multi_line, **TIMESTAMP_TEXT).json(source), target)
-
-
-def _as_text(field):
-    kind = field.dataType.typeName()
-    if kind.startswith("timestamp"):
-        return F.date_format(field.name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(field.name)
-    return F.col(field.name).cast("string").alias(field.name) if kind == "date" else F.col(field.name)
+    write_csv(read_json_array(spark, source, schema, multi_line), target)

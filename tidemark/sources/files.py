@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import fnmatch
-import io
 import re
 import zipfile
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.csv as pa_csv
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# Keeps microseconds through text files; Spark's own default stops at milliseconds.
-TIMESTAMP_TEXT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-
-ZIP_CHUNK_ROWS = 50_000
+# Quotes inside a field are doubled, as other CSV tools write and read them.
+CSV_DIALECT = {"header": True, "escape": '"'}
 
 
 def read_json_array(spark: SparkSession, path, schema, multi_line: bool = True) -> DataFrame:
@@ -22,7 +20,7 @@ def read_json_array(spark: SparkSession, path, schema, multi_line: bool = True)
     One document over many lines needs ``multi_line`` and is read by one task per file. Arrays of one line each are
     splittable and should be read without it.
     """
-    return spark.read.schema(schema).options(multiLine=multi_line, **TIMESTAMP_TEXT).json(path)
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
 def read_nested(spark: SparkSession, path, schema, array: str, multi_line: bool = True) -> DataFrame:
@@ -33,15 +31,14 @@ def read_nested(spark: SparkSession, path, schema, array: str, multi_line: bool
 
 def read_csv(
     spark: SparkSession, paths, schema, columns: list[str] | None = None, name_glob: str | None = None,
-    modified_after: str | None = None, recursive: bool = False,
+    modified_after: str | None = None, multi_line: bool = False,
 ) -> DataFrame:
     """CSV files with a header that must agree with ``schema``; only ``columns`` are parsed.
 
     ``paths`` may be a list or hold wildcards; all files become one scan. ``name_glob`` and ``modified_after`` choose
-    among the files of a landing folder.
+    among the files of a landing folder. Files are split between tasks unless fields may hold line breaks.
     """
-    reader = spark.read.schema(schema).options(header=True, enforceSchema=False, **TIMESTAMP_TEXT)
-    reader = reader.option("recursiveFileLookup", recursive)
+    reader = spark.read.schema(schema).options(enforceSchema=False, multiLine=multi_line, **CSV_DIALECT)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     if modified_after:
@@ -89,22 +86,28 @@ def read_zip_archives(spark: SparkSession, path, name_glob: str = "*.zip") -> Da
 
 
 def zip_csv_rows(archives: DataFrame, schema: T.StructType, member: str = "*.csv", content: str = "content") -> DataFrame:
-    """Rows of the CSV members of zipped archives, parallel over archives and in chunks within one.
+    """Rows of the CSV members of zipped archives, parallel over archives and block by block within one.
 
-    Python only unpacks and splits; fields arrive as text and Spark casts them.
+    Python only unpacks and splits; fields arrive as text and Spark casts them. An empty field is NULL.
     """
     names = schema.fieldNames()
+    text = pa.schema([(name, pa.string()) for name in names])
 
     def unpack(batches):
+        parse = pa_csv.ConvertOptions(
+            include_columns=names,
+            column_types=text,
+            null_values=[""],
+            strings_can_be_null=True,
+            quoted_strings_can_be_null=False,
+        )
         for batch in batches:
-            for blob in batch[content]:
-                with zipfile.ZipFile(io.BytesIO(blob)) as archive:
+            for blob in batch.column(content):
+                with zipfile.ZipFile(pa.BufferReader(blob.as_buffer())) as archive:
                     for name in fnmatch.filter(archive.namelist(), member):
                         with archive.open(name) as handle:
-                            chunks = pd.read_csv(handle, usecols=names, dtype=str, chunksize=ZIP_CHUNK_ROWS)
-                            for chunk in chunks:
-                                yield chunk[names].astype(object).where(chunk[names].notna(), None)
+                            yield from pa_csv.open_csv(handle, convert_options=parse)
 
-    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = archives.select(content).mapInPandas(unpack, text)
+    strings = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    rows = archives.select(content).mapInArrow(unpack, strings)
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
