@@ -23,4 +23,4 @@ def backfill_stats(events: DataFrame, ts: str, user: str, start: str, end: str,
     replace_partitions(stats, path, "date")
     spark = events.sparkSession
     stored = spark.read.schema(stats.schema).parquet(path)
-    return in_interval(stored, "date", start, end)
+    return in_interval(stored, "date", start, end).select(*stats.columns)

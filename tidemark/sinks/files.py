@@ -14,7 +14,7 @@ TIMESTAMP_TEXT = {
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, partition_by: list[str] | None = None) -> None:
-    """CSV with a header, every field quoted on request."""
+    """CSV with a header, every field quoted on request. An empty string reads back as NULL."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").options(quoteAll=quote_all, **CSV_DIALECT, **TIMESTAMP_TEXT)
@@ -66,10 +66,9 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> None:
 
 def write_run(df: DataFrame, path: str, run_ts: str) -> DataFrame:
     """Store the result of one run under its run key, and return what the path now holds for it."""
-    replace_partitions(df.withColumn("run_ts", F.lit(run_ts)), path, "run_ts")
-    spark = df.sparkSession
-    stored = spark.read.schema(df.withColumn("run_ts", F.lit(run_ts)).schema).parquet(path)
-    return stored.where(F.col("run_ts") == run_ts)
+    run = df.withColumn("run_ts", F.lit(run_ts))
+    replace_partitions(run, path, "run_ts")
+    return df.sparkSession.read.schema(run.schema).parquet(path).where(F.col("run_ts") == run_ts)
 
 
 def snapshot(spark: SparkSession, source: str, target: str) -> DataFrame:
