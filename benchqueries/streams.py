@@ -9,7 +9,8 @@ from tidemark.streaming import files as streams
 
 def _events(spark, sf):
     schema = table(spark, sf, "events").schema
-    stream = streams.landing_stream(spark, sf, schema, name_glob="events.parquet")
+    # The wildcard lets the table be one file or a folder of files.
+    stream = streams.landing_stream(spark, f"{sf}/events.parquet*", schema)
     return stream.withColumn("ts", ltz("ts"))
 
 

@@ -65,3 +65,12 @@ def test_a_repeated_batch_changes_nothing(spark, landing, tmp_path):
     first = streams.partition_sink(stream(spark, landing), "ts", out, str(tmp_path / "log1")).count()
     # A lost checkpoint replays every batch under its old number.
     assert streams.partition_sink(stream(spark, landing), "ts", out, str(tmp_path / "log2")).count() == first
+
+
+def test_nothing_has_arrived_yet(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    empty = stream(spark, str(tmp_path / "landing"))
+    assert streams.ingest(empty, str(tmp_path / "a"), str(tmp_path / "log-a")).count() == 0
+    counts = streams.quarter_hour_counts(empty, "ts", "1 day")
+    assert streams.upsert(counts, ["interval_start"], ["n_events"], str(tmp_path / "b"), str(tmp_path / "log-b")).count() == 0
+    assert streams.partition_sink(empty, "ts", str(tmp_path / "c"), str(tmp_path / "log-c")).count() == 0

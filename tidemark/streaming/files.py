@@ -6,6 +6,7 @@ belong in the shared folder. Event-time columns must be ``timestamp``, not zone-
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -32,7 +33,7 @@ def ingest(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(out)
+    return _stored(stream.sparkSession, out, stream.schema)
 
 
 def quarter_hour_counts(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -67,7 +68,7 @@ def upsert(aggregate: DataFrame, keys: list[str], values: list[str], out: str, c
         .start()
     )
     query.awaitTermination()
-    versions = aggregate.sparkSession.read.schema(aggregate.schema.add("batch", "long")).parquet(out)
+    versions = _stored(aggregate.sparkSession, out, aggregate.schema.add("batch", "long"))
     return versions.groupBy(*keys).agg(*[F.max_by(v, "batch").alias(v) for v in values])
 
 
@@ -95,4 +96,14 @@ def partition_sink(stream: DataFrame, ts: str, out: str, checkpoint: str) -> Dat
     )
     query.awaitTermination()
     schema = stream.schema.add("batch", "long").add("day", "date")
-    return stream.sparkSession.read.schema(schema).parquet(out).drop("batch")
+    return _stored(stream.sparkSession, out, schema).drop("batch")
+
+
+def _stored(spark: SparkSession, out: str, schema) -> DataFrame:
+    """What a sink holds; nothing, as long as no file has ever arrived."""
+    try:
+        return spark.read.schema(schema).parquet(out)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
