@@ -85,11 +85,35 @@ SELECT pagename, CAST(coalesce(n, 0) AS BIGINT) AS pageviewcount FROM wanted LEF
 """)
 def keyword_last_value(spark, sf):
     return pageviews.tracked_views(
-        table(spark, sf, "documents"), ["src1", "src2", "src3", "src7", "absent"], "en", "doc_id",
+        table(spark, sf, "documents"), ["src1", "src2", "src3", "src7", "absent"], "en", ["doc_id"],
         domain_column="lang", page_column="source", views_column="n_chars",
     )
 
 
+# Ship days stand for dumps, return flags for domains, line states for pages.
+DUMPS = """
+WITH last_line AS (
+  SELECT l_shipdate AS d, l_linestatus AS p, l_quantity AS n,
+         row_number() OVER (PARTITION BY l_shipdate, l_linestatus
+                            ORDER BY l_orderkey DESC, l_linenumber DESC, l_quantity DESC) AS back
+  FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus IN ('O', 'F', 'absent')
+), grid AS (
+  SELECT d, unnest(['O', 'F', 'absent']) AS p FROM (SELECT DISTINCT l_shipdate AS d FROM lineitem)
+), counts AS (
+  SELECT grid.p AS pagename, coalesce(n, 0) AS pageviewcount, grid.d AS datetime
+  FROM grid LEFT JOIN last_line l ON l.d = grid.d AND l.p = grid.p AND back = 1
+)
+"""
+
+
+@query(DUMPS + "SELECT * FROM counts")
+def tracked_views_backfill(spark, sf):
+    return pageviews.tracked_views_per_interval(
+        table(spark, sf, "lineitem"), ["O", "F", "absent"], "A", ["l_orderkey", "l_linenumber"], "l_shipdate",
+        domain_column="l_returnflag", page_column="l_linestatus", views_column="l_quantity",
+    )
+
+
 LISTING = ("o_custkey", "o_totalprice", "o_orderdate")
 
 # The plain form: both ends joined back, every pair listed.
@@ -347,6 +371,42 @@ def trip_duration(spark, sf):
     )
 
 
+@query("WITH" + ZONES + """, taxi AS (
+  SELECT user_id % 25 AS s, event_id % 25 AS e, CAST(trunc(CAST(round(("value" - 20) * 1000000) AS BIGINT) / 1000000.0) AS DOUBLE) AS dur,
+         make_timestamp(epoch_us(ts) + CAST(round(("value" - 20) * 1000000) AS BIGINT)) AS b
+  FROM events
+), ride AS (
+  SELECT true AS bike, s.zone_id AS s, e.zone_id AS e, dur, ts AS b
+  FROM trip JOIN start_zone s USING (event_id) JOIN end_zone e USING (event_id)
+  UNION ALL SELECT false, s, e, dur, b FROM taxi
+), sided AS (
+  SELECT bike, s, e, CAST(dayofweek(b) AS INTEGER) AS weekday,
+         CASE WHEN hour(b) BETWEEN 8 AND 10 THEN '8 AM - 11 AM' WHEN hour(b) BETWEEN 11 AND 15 THEN '11 AM - 4 PM'
+              WHEN hour(b) BETWEEN 16 AND 18 THEN '4 PM - 7 PM' WHEN hour(b) BETWEEN 19 AND 21 THEN '7 PM - 10 PM'
+              ELSE '10 PM - 8 AM' END AS time_group, avg(dur) AS secs
+  FROM ride WHERE s <> e GROUP BY ALL
+)
+SELECT CAST(x.s AS BIGINT) AS start_location_id, CAST(x.e AS BIGINT) AS end_location_id, x.weekday, x.time_group,
+       round(x.secs + 1.3e-7, 4) AS citibike_avg_seconds, round(y.secs + 1.3e-7, 4) AS taxi_avg_seconds,
+       CASE WHEN x.secs < y.secs THEN 'Citi Bike' WHEN y.secs < x.secs THEN 'Taxi' ELSE 'No difference' END AS fastest,
+       coalesce(a.n_name, 'Unknown zone name') AS start_zone, coalesce(b.n_name, 'Unknown zone name') AS end_zone,
+       CASE x.weekday WHEN 0 THEN 'Sunday' WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday' WHEN 3 THEN 'Wednesday'
+                      WHEN 4 THEN 'Thursday' WHEN 5 THEN 'Friday' ELSE 'Saturday' END AS weekday_name
+FROM sided x JOIN sided y ON x.s = y.s AND x.e = y.e AND x.weekday = y.weekday AND x.time_group = y.time_group
+LEFT JOIN nation a ON a.n_nationkey = x.s LEFT JOIN nation b ON b.n_nationkey = x.e
+WHERE x.bike AND NOT y.bike
+""")
+def ride_report(spark, sf):
+    taxis = _taxi_trips(spark, sf).drop("event_id").withColumns(
+        {"pickup_locationid": F.col("pickup_locationid") % 25, "dropoff_locationid": F.col("dropoff_locationid") % 25}
+    )
+    report = rides.ride_report(
+        taxis, _bike_trips(spark, sf), "event_id", _zone_edges(spark, sf), 1.0,
+        table(spark, sf, "nation"), "n_nationkey", "n_name",
+    )
+    return rounded(report, "citibike_avg_seconds", "taxi_avg_seconds")
+
+
 CENTRES = """
 WITH dims AS (
   SELECT vec_id, label, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
@@ -355,7 +415,7 @@ WITH dims AS (
 ), dist AS (
   SELECT vec_id, k, sqrt(sum((x - c) * (x - c))) AS distance FROM dims JOIN centre USING (d) GROUP BY 1, 2
 )
-SELECT vec_id, CAST(arg_min(k, distance) AS INTEGER) AS cluster, round(min(distance) + 1.3e-7, 4) AS distance FROM dist GROUP BY 1
+SELECT vec_id, CAST(arg_min(k, distance) AS BIGINT) AS cluster, round(min(distance) + 1.3e-7, 4) AS distance FROM dist GROUP BY 1
 """
 
 

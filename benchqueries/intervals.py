@@ -202,6 +202,12 @@ def latest_interval(spark, sf):
     return intervals.latest_day(table(spark, sf, "events"), "ts")
 
 
+@query("SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-18' AND ts < TIMESTAMP '2024-01-19'")
+def latest_complete_interval(spark, sf):
+    # At midnight the run of the day before is not yet due.
+    return intervals.latest_complete_day(table(spark, sf, "events"), "ts", "2024-01-20 00:00:00")
+
+
 @query("""
 SELECT event_type AS source, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, round(avg("value") + 1.3e-7, 4) AS avg_value,
        min(ts) AS first_ts, max(ts) AS last_ts
@@ -212,6 +218,26 @@ def source_metrics(spark, sf):
     return rounded(metrics, "avg_value")
 
 
+@query("""
+WITH every AS (
+  SELECT 'events' AS source, user_id AS u, "value" AS v, ts FROM events
+  UNION ALL SELECT 'orders', o_custkey, o_totalprice, o_orderdate FROM orders
+  UNION ALL SELECT 'lineitem', l_suppkey, l_extendedprice, l_shipdate FROM lineitem
+)
+SELECT source, count(*) AS n_rows, count(DISTINCT u) AS n_users, round(avg(v) + 1.3e-7, 4) AS avg_value,
+       min(ts) AS first_ts, max(ts) AS last_ts
+FROM every GROUP BY 1
+""")
+def dataset_metrics(spark, sf):
+    columns = {
+        "events": ("user_id", "value", "ts"),
+        "orders": ("o_custkey", "o_totalprice", "o_orderdate"),
+        "lineitem": ("l_suppkey", "l_extendedprice", "l_shipdate"),
+    }
+    every = union_all(*[intervals.dataset(table(spark, sf, name), name, *cols) for name, cols in columns.items()])
+    return rounded(intervals.source_metrics(every, "source", "user", "value", "ts"), "avg_value")
+
+
 @query("""
 WITH c AS (SELECT CAST(ts AS DATE) AS day, event_type AS source, count(*) AS n_rows FROM events GROUP BY 1, 2)
 SELECT day, source, n_rows, n_rows - lag(n_rows) OVER (PARTITION BY source ORDER BY day) AS difference FROM c

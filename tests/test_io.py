@@ -15,6 +15,7 @@ from tidemark.plans.events import backfill_stats
 from tidemark.session import fresh_dir, materialise, work_dir
 from tidemark.sinks import files as sinks, jdbc as jdbc_sink
 from tidemark.sources import files as sources, jdbc as jdbc_source
+from tidemark.sources.web import fetch_files
 from tidemark.sources.catalog import register_csv
 from tidemark.sources.paginated import ParquetPages, page_ranges, read_pages
 
@@ -131,6 +132,7 @@ def test_pages_cover_all_records(spark, total):
 def test_page_ranges():
     assert [(p.first, p.end) for p in page_ranges(1005, 100, 4)] == [(0, 400), (400, 800), (800, 1005)]
     assert page_ranges(0, 100, 4) == []
+    assert [(p.first, p.end) for p in page_ranges(1005, 100, 1, max_tasks=3)] == [(0, 400), (400, 800), (800, 1005)]
 
 
 def test_parquet_pages_cross_files_and_row_groups(spark, tmp_path):
@@ -243,6 +245,21 @@ def test_jdbc_rows_are_stamped(spark):
     assert stamped.collect()[0]["scrape_time"] == dt.datetime(2021, 1, 1, 10, 15)
 
 
+def test_fetched_files_and_reported_failures(spark):
+    def fetch(url):
+        if "down" in url:
+            raise ConnectionError("no answer")
+        return url.encode()
+
+    urls = ["https://h/a.jpg", "https://h/a.jpg", "h/b.jpg", "https://down/c.jpg", None]
+    found = fetch_files(spark.createDataFrame([(u,) for u in urls], "u string"), "u", fetch).collect()
+    assert {(r["url"], r["file_name"], r["content"] and bytes(r["content"]), r["problem"]) for r in found} == {
+        ("https://h/a.jpg", "a.jpg", b"https://h/a.jpg", None),
+        ("h/b.jpg", "b.jpg", None, "invalid URL"),
+        ("https://down/c.jpg", "c.jpg", None, "ConnectionError: no answer"),
+    }
+
+
 def test_work_folder_comes_from_the_session(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_dir(spark, "x") != fresh_dir(spark, "x")

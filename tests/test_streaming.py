@@ -74,3 +74,13 @@ def test_nothing_has_arrived_yet(spark, tmp_path):
     counts = streams.quarter_hour_counts(empty, "ts", "1 day")
     assert streams.upsert(counts, ["interval_start"], ["n_events"], str(tmp_path / "b"), str(tmp_path / "log-b")).count() == 0
     assert streams.partition_sink(empty, "ts", str(tmp_path / "c"), str(tmp_path / "log-c")).count() == 0
+
+
+def test_a_row_behind_the_watermark_is_not_counted(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    for moment in ("2021-01-01 00:00:00", "2021-01-01 12:00:00", "2021-01-01 00:05:00", "2021-01-01 11:55:00"):
+        spark.sql(f"SELECT 1L AS id, timestamp'{moment}' AS ts").coalesce(1).write.mode("append").parquet(landing)
+        counts = streams.quarter_hour_counts(stream(spark, landing), "ts", "1 hour")
+        found = streams.upsert(counts, ["interval_start"], ["n_events"], str(tmp_path / "out"), str(tmp_path / "log"))
+    by_start = {r["interval_start"].strftime("%H:%M"): r["n_events"] for r in found.collect()}
+    assert by_start == {"00:00": 1, "12:00": 1, "11:45": 1}

@@ -67,10 +67,20 @@ def test_tracked_pages_last_line_wins_and_absent_is_zero(spark):
         [(1, "en", "A", 5), (2, "en", "A", 3), (3, "de", "B", 9), (4, "en", "C", 7)],
         "line long, domain_code string, page_title string, view_counts int",
     )
-    found = pageviews.tracked_views(df, ["A", "B"], "en", "line")
+    found = pageviews.tracked_views(df, ["A", "B"], "en", ["line"])
     assert sorted(rows(found)) == [("A", 3), ("B", 0)]
 
 
+def test_tracked_pages_of_many_dumps(spark):
+    df = spark.createDataFrame(
+        [(1, "en", "A", 5, ts("2021-01-01")), (2, "en", "A", 3, ts("2021-01-01")), (3, "de", "A", 9, ts("2021-01-02"))],
+        "line long, domain_code string, page_title string, view_counts int, hour timestamp_ntz",
+    )
+    found = pageviews.tracked_views_per_interval(df, ["A", "B"], "en", ["line"], "hour")
+    first, second = ts("2021-01-01"), ts("2021-01-02")
+    assert sorted(rows(found)) == [("A", 0, second), ("A", 3, first), ("B", 0, first), ("B", 0, second)]
+
+
 def test_best_hour_takes_the_earlier_of_equals(spark):
     df = spark.createDataFrame(
         [("p", 4, ts("2021-01-01T05:10:00")), ("p", 4, ts("2021-01-02T03:10:00")), ("p", 1, ts("2021-01-02T01:00:00"))],
@@ -306,6 +316,12 @@ def test_readiness_needs_data_and_marker(spark):
     assert found == {("a", 1): (1, True), ("a", 2): (0, False), ("b", 1): (0, False), ("b", 2): (1, False)}
 
 
+@pytest.mark.parametrize("now, day", [("2021-01-03 00:00:00", 1), ("2021-01-03 00:00:01", 2), ("2021-01-04 00:00:00", 2)])
+def test_latest_run_begins_just_after_its_interval(spark, now, day):
+    df = spark.createDataFrame([(dt.datetime(2021, 1, d, 23),) for d in (1, 2, 3)], "ts timestamp_ntz")
+    assert rows(intervals.latest_complete_day(df, "ts", now)) == [(dt.datetime(2021, 1, day, 23),)]
+
+
 def test_overlapping_extracts_are_deduplicated(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
     assert deduplicate(union_all(df, df)).count() == 2

@@ -22,6 +22,12 @@ def test_lower_cluster_wins_a_tie(spark):
     assert vectors.assign_nearest(df, "v", [(7, [1.0]), (3, [-1.0])]).first()["cluster"] == 3
 
 
+def test_null_vector_has_no_cluster(spark):
+    df = spark.createDataFrame([(0, [0.0]), (1, None), (2, [5.0])], "id int, v array<double>")
+    found = vectors.assign_nearest(df, "v", [(0, [0.0]), (1, [4.0])]).orderBy("id").collect()
+    assert [(r["cluster"], r["distance"]) for r in found] == [(0, 0.0), (None, None), (1, 1.0)]
+
+
 def test_mean_per_label(spark):
     df = spark.createDataFrame(
         [([1.0, 2.0], 1), ([3.0, 4.0], 1), ([5.0, 5.0], 0), ([9.0, 9.0], None)], "v array<double>, l int"

@@ -1,33 +1,39 @@
-"""Expressions over dense vectors held as ``array<double>``."""
+"""Nearest-centre assignment of dense vectors, Arrow batch by Arrow batch."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 
-def squared_distance(a, b) -> Column:
-    """Sum of squared differences of two arrays of one length."""
-    steps = F.zip_with(_col(a), _col(b), lambda x, y: (x - y) * (x - y))
-    return F.aggregate(steps, F.lit(0.0), lambda total, step: total + step)
-
-
 def nearest(vector, centres: list[tuple[int, list[float]]]) -> Column:
-    """struct(distance, cluster) of the closest centre; the lower cluster wins a tie.
+    """struct(cluster, distance) of the closest centre; the lower cluster wins a tie, a NULL vector has none.
 
-    The centres are a model's parameters, k rows of d numbers, so they travel inside the expression and every row is
-    assigned where it lies.
+    The centres are a model's parameters, k rows of d numbers, so they travel with the function and every row is
+    assigned where it lies. A batch is one matrix over Arrow's memory; higher-order functions over arrays would be
+    interpreted element by element.
     """
-    table = F.array(
-        *[F.struct(F.lit(k).alias("cluster"), F.lit([float(x) for x in c]).alias("centre")) for k, c in centres]
-    )
-    scored = F.transform(
-        table,
-        lambda c: F.struct(
-            F.sqrt(squared_distance(vector, c["centre"])).alias("distance"), c["cluster"].alias("cluster")
-        ),
-    )
-    return F.array_min(scored)
-
-
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    ordered = sorted(centres)
+    clusters = np.array([k for k, _ in ordered], dtype=np.int64)
+    matrix = np.array([c for _, c in ordered], dtype=np.float64)
+
+    @F.arrow_udf("struct<cluster: bigint, distance: double>")
+    def assign(vectors: pa.Array) -> pa.Array:
+        present = vectors.is_valid().to_numpy(zero_copy_only=False)
+        points = vectors.drop_null().flatten().to_numpy(zero_copy_only=False)
+        points = points.reshape(int(present.sum()), matrix.shape[1])
+        best = np.full(len(points), np.inf)
+        chosen = np.zeros(len(points), dtype=np.int64)
+        for cluster, centre in zip(clusters, matrix):
+            squares = ((points - centre) ** 2).sum(axis=1)
+            closer = squares < best
+            best[closer], chosen[closer] = squares[closer], cluster
+        rows = np.flatnonzero(present)
+        cluster, distance = np.zeros(len(vectors), dtype=np.int64), np.zeros(len(vectors))
+        cluster[rows], distance[rows] = chosen, np.sqrt(best)
+        return pa.StructArray.from_arrays(
+            [pa.array(cluster, mask=~present), pa.array(distance, mask=~present)], names=["cluster", "distance"]
+        )
+
+    return assign((F.col(vector) if isinstance(vector, str) else vector).cast("array<double>"))

@@ -5,8 +5,12 @@ All of them aggregate to one row per interval (and source) before they compare i
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators.filters import in_interval
+
 
 def expected_grid(sources: DataFrame, source: str, start: str, end: str) -> DataFrame:
     """One row per source and day in [start, end), built by exploding the days beside each source."""
@@ -51,6 +55,13 @@ def latest_day(df: DataFrame, ts: str) -> DataFrame:
     return df.where(F.col(ts) >= newest)
 
 
+def latest_complete_day(df: DataFrame, ts: str, now: str) -> DataFrame:
+    """Rows of the newest day whose run is due at ``now``: a day is the latest from just after its end for one day."""
+    due = dt.datetime.fromisoformat(now) - dt.timedelta(microseconds=1)
+    day = due.date() - dt.timedelta(days=1)
+    return in_interval(df, ts, day.isoformat(), due.date().isoformat())
+
+
 def source_metrics(df: DataFrame, source: str, user: str, value: str, ts: str) -> DataFrame:
     """The shared metrics of all sources in one pass."""
     return df.groupBy(F.col(source).alias("source")).agg(
@@ -62,6 +73,16 @@ def source_metrics(df: DataFrame, source: str, user: str, value: str, ts: str) -
     )
 
 
+def dataset(df: DataFrame, name: str, user: str, value: str, ts: str) -> DataFrame:
+    """One dataset in the common shape of all, so that the same steps serve any number of them."""
+    return df.select(
+        F.lit(name).alias("source"),
+        F.col(user).cast("bigint").alias("user"),
+        F.col(value).cast("double").alias("value"),
+        F.col(ts).alias("ts"),
+    )
+
+
 def daily_counts(df: DataFrame, ts: str, source: str | None = None) -> DataFrame:
     """Rows per day (and source)."""
     keys = [F.col(ts).cast("date").alias("day")]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.times import time_band, weekday_name, weekday_number, whole_seconds
 from tidemark.operators.spatial import assign_zones
-from tidemark.operators.tables import lookup
+from tidemark.operators.tables import lookup, union_all
 
 RIDE_COLUMNS = ["tripduration", "starttime", "start_location_id", "stoptime", "end_location_id"]
 
@@ -71,6 +71,17 @@ def fastest_mode(rides: DataFrame, is_bike) -> DataFrame:
     ).orderBy(*ROUTE)
 
 
+def ride_report(
+    taxi_trips: DataFrame, bike_trips: DataFrame, bike_key: str, zone_edges: DataFrame, cell: float,
+    zones: DataFrame, zone_key: str, zone_name: str,
+) -> DataFrame:
+    """From raw trips of both modes to the named comparison, as one plan."""
+    taxis = taxi_rides(taxi_trips).withColumn("by_bike", F.lit(False))
+    bikes = bike_rides(bike_trips, zone_edges, cell, bike_key).drop(bike_key).withColumn("by_bike", F.lit(True))
+    both = union_all(*[r.withColumn("tripduration", F.col("tripduration").cast("double")) for r in (taxis, bikes)])
+    return named_routes(fastest_mode(both, F.col("by_bike")), zones, zone_key, zone_name)
+
+
 def named_routes(report: DataFrame, zones: DataFrame, zone_key: str, zone_name: str) -> DataFrame:
     """The report with zone names and day names in place of numbers."""
     report = lookup(report, "start_location_id", zones, zone_key, zone_name, "start_zone", UNKNOWN_ZONE)

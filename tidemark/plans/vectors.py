@@ -41,7 +41,6 @@ def mean_per_label(df: DataFrame, vector: str, label: str) -> list[tuple[int, li
 
 def assign_nearest(df: DataFrame, vector: str, centres: list[tuple[int, list[float]]]) -> DataFrame:
     """Nearest given centre of every row, and the distance to it."""
-    best = nearest(F.col(vector).cast("array<double>"), centres)
-    return df.withColumn("_best", best).select(
+    return df.withColumn("_best", nearest(vector, centres)).select(
         *df.columns, F.col("_best.cluster").alias("cluster"), F.col("_best.distance").alias("distance")
     )

@@ -13,17 +13,23 @@ import tidemark
 # Functions that run inside Python workers travel with the task, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(tidemark)
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_dirs: dict[str, str] = {}
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with UTC, AQE and skew handling on; everything cluster-sized stays with the cluster."""
+    """A session with UTC, AQE and skew handling on; everything cluster-sized stays with the cluster.
+
+    Streaming state lives in RocksDB, off the heap, because the keys of a long watermark do not fit an executor.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidemark.sources.jdbc import read_jdbc
 
@@ -16,19 +16,21 @@ def append_run(
     df: DataFrame, url: str, table: str, run_ts: str, column: str = "scrape_time", batch_size: int = 10_000,
     connections: int = 32, **extra: str,
 ) -> int:
-    """Append one run and return its number of stored rows; raises if they are not the rows of ``df``.
+    """Append one run and return its number of stored rows; raises if they are not the rows that were written.
 
     A task commits its rows in one transaction, but a task that is lost after its commit is repeated. The count
     afterwards shows that, and a re-run must first delete the rows of its run time.
     """
-    rows = stamped(df, run_ts, column).coalesce(connections)
-    expected = df.count()
+    written = Observation()
+    # Spread before the write, so that the number of connections does not limit the work before it.
+    rows = stamped(df, run_ts, column).repartition(connections).observe(written, F.count(F.lit(1)).alias("rows"))
     rows.write.format("jdbc").mode("append").options(
         url=url, dbtable=table, batchsize=str(batch_size), isolationLevel="READ_COMMITTED", **extra
     ).save()
     stored = read_jdbc(df.sparkSession, url, table=table, **extra).where(
         F.col(column) == F.lit(run_ts).cast("timestamp_ntz")
     ).count()
+    expected = written.get["rows"]
     if stored != expected:
         raise RuntimeError(f"{table} holds {stored} rows of run {run_ts}, expected {expected}")
     return stored

@@ -24,9 +24,10 @@ class PageRange(InputPartition):
         self.end = end
 
 
-def page_ranges(total: int, page_size: int, pages_per_task: int) -> list[PageRange]:
-    """Cover [0, total) with runs of whole pages."""
-    step = page_size * pages_per_task
+def page_ranges(total: int, page_size: int, pages_per_task: int, max_tasks: int = 20_000) -> list[PageRange]:
+    """Cover [0, total) with runs of whole pages; the runs grow when there would be more than ``max_tasks``."""
+    pages = -(-total // page_size)
+    step = page_size * max(pages_per_task, -(-pages // max_tasks))
     return [PageRange(first, min(first + step, total)) for first in range(0, total, step)]
 
 
