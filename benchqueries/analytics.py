@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from benchqueries import query, rounded, table
 from tidemark.functions.times import MICROS, time_band, weekday_name, weekday_number, whole_seconds
-from tidemark.operators.spatial import assign_zones
+from tidemark.operators.spatial import ZoneGrid, assign_zones, zone_grid
 from tidemark.operators.tables import lookup
 from tidemark.plans import events as event_plans, listings, pageviews, ratings, rides, vectors
 
@@ -285,7 +285,7 @@ centre AS (
 """
 
 
-def _zone_edges(spark, sf) -> DataFrame:
+def _zone_grid(spark, sf) -> ZoneGrid:
     n = F.col("n_nationkey")
     cx, cy = (n % 5).cast("double"), F.floor(n / 5).cast("double")
     corners = [(cx - 0.5, cy), (cx, cy + 0.5), (cx + 0.5, cy), (cx, cy - 0.5)]
@@ -294,7 +294,8 @@ def _zone_edges(spark, sf) -> DataFrame:
         for a, b in zip(corners, corners[1:] + corners[:1])
     ]
     nations = table(spark, sf, "nation")
-    return nations.select(n.alias("zone_id"), F.explode(F.array(*edges)).alias("e")).select("zone_id", "e.*")
+    edges = nations.select(n.alias("zone_id"), F.explode(F.array(*edges)).alias("e")).select("zone_id", "e.*")
+    return zone_grid(edges, 1.0)
 
 
 def _bike_trips(spark, sf) -> DataFrame:
@@ -320,7 +321,7 @@ def zone_assign(spark, sf):
     points = _bike_trips(spark, sf).select(
         "event_id", F.col("start_station_longitude").alias("x"), F.col("start_station_latitude").alias("y")
     )
-    return assign_zones(points, "x", "y", _zone_edges(spark, sf), 1.0, "zone_id", "event_id")
+    return assign_zones(points, "x", "y", _zone_grid(spark, sf), "zone_id", "event_id")
 
 
 @query("WITH" + ZONES + """
@@ -329,7 +330,7 @@ SELECT trip.event_id, dur AS tripduration, ts AS starttime, s.zone_id AS start_l
 FROM trip LEFT JOIN start_zone s USING (event_id) LEFT JOIN end_zone e USING (event_id)
 """)
 def bike_transform(spark, sf):
-    return rides.bike_rides(_bike_trips(spark, sf), _zone_edges(spark, sf), 1.0, "event_id")
+    return rides.bike_rides(_bike_trips(spark, sf), _zone_grid(spark, sf), "event_id")
 
 
 def _taxi_trips(spark, sf) -> DataFrame:
@@ -401,7 +402,7 @@ def ride_report(spark, sf):
         {"pickup_locationid": F.col("pickup_locationid") % 25, "dropoff_locationid": F.col("dropoff_locationid") % 25}
     )
     report = rides.ride_report(
-        taxis, _bike_trips(spark, sf), "event_id", _zone_edges(spark, sf), 1.0,
+        taxis, _bike_trips(spark, sf), "event_id", _zone_grid(spark, sf),
         table(spark, sf, "nation"), "n_nationkey", "n_name",
     )
     return rounded(report, "citibike_avg_seconds", "taxi_avg_seconds")

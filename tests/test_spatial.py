@@ -33,7 +33,7 @@ def assign(spark, points, cell, monkeypatch=None):
     df = spark.createDataFrame(points, "id int, x double, y double")
     if monkeypatch:
         monkeypatch.setattr(spatial, "BROADCAST_EDGES", 1)
-    found = spatial.assign_zones(df, "x", "y", edges, cell, "zone", "id")
+    found = spatial.assign_zones(df, "x", "y", spatial.zone_grid(edges, cell), "zone", "id")
     return sorted((r["id"], r["zone"] or 0) for r in found.collect())
 
 
@@ -64,5 +64,5 @@ def test_bike_rides_get_both_zones(spark):
         "end_station_longitude double, end_station_latitude double",
     ).selectExpr("*", "timestamp_ntz'2021-01-01' AS starttime", "timestamp_ntz'2021-01-01' AS stoptime")
     edges = spark.createDataFrame(SQUARE + OVERLAP, EDGE_SCHEMA)
-    found = bike_rides(trips, edges, 2.0, "id").orderBy("id").collect()
+    found = bike_rides(trips, spatial.zone_grid(edges, 2.0), "id").orderBy("id").collect()
     assert [(r["start_location_id"], r["end_location_id"]) for r in found] == [(1, 2), (1, None)]

@@ -7,9 +7,11 @@ a ray from inside the cell can meet, so a point is compared with one cell's edge
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.tables import with_small
+from tidemark.session import materialise
 
 # Above this many (cell, edge) rows the cells are joined by shuffle instead of being broadcast (about 50 bytes each).
 BROADCAST_EDGES = 200_000
@@ -20,6 +22,54 @@ def crosses(x, y, x1, y1, x2, y2) -> Column:
     return ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
 
 
+@dataclass
+class ZoneGrid:
+    """Zones cut into cells of one size, and whether they are few enough to broadcast."""
+
+    cells: DataFrame
+    cell: float
+    small: bool
+
+
+def zone_grid(edges: DataFrame, cell: float) -> ZoneGrid:
+    """Cut zones once for any number of joins; the cells are written, so their number is read from file footers."""
+    cells = materialise(cell_edges(edges, cell), "zone-grid")
+    return ZoneGrid(cells, cell, cells.count() <= BROADCAST_EDGES)
+
+
+def cell_edges(edges: DataFrame, cell: float) -> DataFrame:
+    """(zone_id, cx, cy, x1, y1, x2, y2): per grid cell of a zone the edges that matter there.
+
+    An edge matters in the rows of cells that its y range touches, from the zone's left side to the edge itself. One
+    more cell to the right covers the rounding of the crossing point. Horizontal edges are never crossed.
+    """
+    left = edges.groupBy("zone_id").agg(F.min(F.least("x1", "x2")).alias("left"))
+    columns = F.sequence(_cell("left", cell), _cell(F.greatest("x1", "x2"), cell) + 1)
+    rows = F.sequence(_cell(F.least("y1", "y2"), cell), _cell(F.greatest("y1", "y2"), cell))
+    return (
+        edges.where("y1 <> y2")
+        .join(left, "zone_id")
+        .withColumn("cx", F.explode(columns))
+        .withColumn("cy", F.explode(rows))
+        .drop("left")
+    )
+
+
+@dataclass
+class ZoneGrid:
+    """Zones cut into cells of one size, and whether they are few enough to broadcast."""
+
+    cells: DataFrame
+    cell: float
+    small: bool
+
+
+def zone_grid(edges: DataFrame, cell: float) -> ZoneGrid:
+    """Cut zones once for any number of joins; the cells are written, so their number is read from file footers."""
+    cells = materialise(cell_edges(edges, cell), "zone-grid")
+    return ZoneGrid(cells, cell, cells.count() <= BROADCAST_EDGES)
+
+
 def cell_edges(edges: DataFrame, cell: float) -> DataFrame:
     """(zone_id, cx, cy, x1, y1, x2, y2): per grid cell of a zone the edges that matter there."""
     bounds = edges.groupBy("zone_id").agg(
@@ -45,40 +95,40 @@ def cell_edges(edges: DataFrame, cell: float) -> DataFrame:
     return cells.join(sloped, "zone_id").where(reach)
 
 
-def assign_zones(points: DataFrame, x: str, y: str, edges: DataFrame, cell: float, output: str, key: str) -> DataFrame:
+def assign_zones(points: DataFrame, x: str, y: str, grid: ZoneGrid, output: str, key: str) -> DataFrame:
     """Every point with the id of the zone it lies in, NULL if in none, one row per zone if zones overlap.
 
     ``key`` identifies a point; it is needed only when the zones are too large to broadcast.
     """
-    grid, small = with_small(cell_edges(edges, cell), BROADCAST_EDGES)
-    if small:
-        return _assign_in_place(points, x, y, grid, cell, output)
-    return _assign_by_shuffle(points, x, y, grid, cell, output, key)
+    if grid.small:
+        return _assign_in_place(points, x, y, grid, output)
+    return _assign_by_shuffle(points, x, y, grid, output, key)
 
 
-def _assign_in_place(points: DataFrame, x: str, y: str, grid: DataFrame, cell: float, output: str) -> DataFrame:
+def _assign_in_place(points: DataFrame, x: str, y: str, grid: ZoneGrid, output: str) -> DataFrame:
     """No shuffle of the points: each cell's edges are one array, tested where the point lies."""
     zones = (
-        grid.groupBy(F.col("zone_id").alias(output), "cx", "cy")
+        grid.cells.groupBy(F.col("zone_id").alias(output), F.col("cx").alias("_cx"), F.col("cy").alias("_cy"))
         .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges"))  # at most BROADCAST_EDGES in all
-        .withColumnsRenamed({"cx": "_cx", "cy": "_cy"})
     )
     px, py = F.col(x), F.col(y)
     hits = F.filter("_edges", lambda e: crosses(px, py, e["x1"], e["y1"], e["x2"], e["y2"]))
-    same_cell = (_cell(x, cell) == F.col("_cx")) & (_cell(y, cell) == F.col("_cy"))
+    same_cell = (_cell(x, grid.cell) == F.col("_cx")) & (_cell(y, grid.cell) == F.col("_cy"))
     return points.join(F.broadcast(zones), same_cell & (F.size(hits) % 2 == 1), "left").drop("_cx", "_cy", "_edges")
 
 
-def _assign_by_shuffle(
-    points: DataFrame, x: str, y: str, grid: DataFrame, cell: float, output: str, key: str
-) -> DataFrame:
+def _assign_by_shuffle(points: DataFrame, x: str, y: str, grid: ZoneGrid, output: str, key: str) -> DataFrame:
     """Edges joined row by row on the cell, crossings counted per point, zones joined back by the point's key."""
     placed = points.select(
-        F.col(key), F.col(x).alias("_x"), F.col(y).alias("_y"), _cell(x, cell).alias("cx"), _cell(y, cell).alias("cy")
+        F.col(key),
+        F.col(x).alias("_x"),
+        F.col(y).alias("_y"),
+        _cell(x, grid.cell).alias("cx"),
+        _cell(y, grid.cell).alias("cy"),
     )
     e = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
     inside = (
-        placed.join(grid, ["cx", "cy"])
+        placed.join(grid.cells, ["cx", "cy"])
         .where(crosses(F.col("_x"), F.col("_y"), **e))
         .groupBy(key, F.col("zone_id").alias(output))
         .agg(F.count("*").alias("_n"))

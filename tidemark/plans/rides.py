@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.times import time_band, weekday_name, weekday_number, whole_seconds
-from tidemark.operators.spatial import assign_zones
+from tidemark.operators.spatial import ZoneGrid, assign_zones
 from tidemark.operators.tables import lookup, union_all
 
 RIDE_COLUMNS = ["tripduration", "starttime", "start_location_id", "stoptime", "end_location_id"]
@@ -37,12 +37,12 @@ def taxi_rides(trips: DataFrame) -> DataFrame:
     )
 
 
-def bike_rides(trips: DataFrame, zone_edges: DataFrame, cell: float, key: str) -> DataFrame:
+def bike_rides(trips: DataFrame, grid: ZoneGrid, key: str) -> DataFrame:
     """Bike trips with the zones of their two stations; a station outside all zones has none."""
     start = ("start_station_longitude", "start_station_latitude")
     end = ("end_station_longitude", "end_station_latitude")
-    placed = assign_zones(trips, *start, zone_edges, cell, "start_location_id", key)
-    return assign_zones(placed, *end, zone_edges, cell, "end_location_id", key).select(key, *RIDE_COLUMNS)
+    placed = assign_zones(trips, *start, grid, "start_location_id", key)
+    return assign_zones(placed, *end, grid, "end_location_id", key).select(key, *RIDE_COLUMNS)
 
 
 def fastest_mode(rides: DataFrame, is_bike) -> DataFrame:
@@ -72,12 +72,12 @@ def fastest_mode(rides: DataFrame, is_bike) -> DataFrame:
 
 
 def ride_report(
-    taxi_trips: DataFrame, bike_trips: DataFrame, bike_key: str, zone_edges: DataFrame, cell: float,
+    taxi_trips: DataFrame, bike_trips: DataFrame, bike_key: str, grid: ZoneGrid,
     zones: DataFrame, zone_key: str, zone_name: str,
 ) -> DataFrame:
     """From raw trips of both modes to the named comparison, as one plan."""
     taxis = taxi_rides(taxi_trips).withColumn("by_bike", F.lit(False))
-    bikes = bike_rides(bike_trips, zone_edges, cell, bike_key).drop(bike_key).withColumn("by_bike", F.lit(True))
+    bikes = bike_rides(bike_trips, grid, bike_key).drop(bike_key).withColumn("by_bike", F.lit(True))
     both = union_all(*[r.withColumn("tripduration", F.col("tripduration").cast("double")) for r in (taxis, bikes)])
     return named_routes(fastest_mode(both, F.col("by_bike")), zones, zone_key, zone_name)
 
