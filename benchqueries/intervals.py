@@ -120,6 +120,18 @@ def every_nth_row(spark, sf):
     )
 
 
+@query("""
+WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events)
+SELECT event_id, ts, user_id, event_type FROM numbered WHERE (rn + 1) % 8 = 0
+AND ts IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL
+""")
+def every_nth_row_per_file(spark, sf):
+    return numbering.every_nth(
+        table(spark, sf, "events"), ["ts", "event_id"], 8, ["event_id", "ts", "user_id", "event_type"],
+        within="event_type",
+    )
+
+
 @query("""
 SELECT event_id, user_id, event_type FROM events
 ORDER BY md5(CAST(event_id AS VARCHAR) || '|0'), event_id LIMIT 100

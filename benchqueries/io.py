@@ -8,7 +8,9 @@ import zipfile
 from pyspark.sql import functions as F, types as T
 
 from benchqueries import query, rounded, table
+from benchqueries.analytics import LISTING, PAIRS, TOP
 from tidemark.operators.filters import until_month
+from tidemark.plans.listings import top_changes
 from tidemark.plans.ratings import average_per_item
 from tidemark.session import fresh_dir
 from tidemark.sinks import files as sinks
@@ -168,6 +170,14 @@ def json_records(spark, sf):
     return sources.read_json_array(spark, path, turns.schema, multi_line=False)
 
 
+@query(PAIRS + TOP.format("DESC"))
+def json_report(spark, sf):
+    path = fresh_dir(spark, "report")
+    top = top_changes(table(spark, sf, "orders"), *LISTING)
+    sinks.write_json_report(top, path)
+    return rounded(sources.read_json_array(spark, path, top.schema), "price_diff_per_day")
+
+
 @query("SELECT *, '20240131T000000' AS run_ts FROM events")
 def parquet_roundtrip(spark, sf):
     return sinks.write_run(table(spark, sf, "events"), fresh_dir(spark, "runs"), "20240131T000000")

@@ -59,6 +59,12 @@ def test_csv_reads_short_and_long_timestamps(spark, tmp_path):
     assert [r[0].microsecond for r in found] == [0, 1]
 
 
+def test_csv_null_text(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,NULL\n2,x\n")
+    found = sources.read_csv(spark, str(tmp_path), "a int, b string", null_text="NULL")
+    assert rows(found.na.drop("any")) == [(2, "x")]
+
+
 def test_csv_text_survives(spark, tmp_path):
     df = spark.createDataFrame([('say "hi", \\ ok', "x"), (None, "line\nbreak")], "a string, b string")
     sinks.write_csv(df, str(tmp_path / "o"), quote_all=True)

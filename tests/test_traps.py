@@ -1,6 +1,7 @@
 """Literal cases for the semantics that are easy to get wrong."""
 
 import datetime as dt
+import hashlib
 import itertools
 import random
 
@@ -376,6 +377,12 @@ def test_every_nth_counts_the_header_and_drops_nulls(spark):
     assert rows(numbering.every_nth(df, ["id"], 4, ["id"], header_lines=0).orderBy("id")) == [(4,), (8,), (12,)]
 
 
+def test_every_nth_starts_anew_in_each_file(spark):
+    df = spark.createDataFrame([(f, i) for f in ("a", "b") for i in range(1, 6)], "file string, id int")
+    found = numbering.every_nth(df, ["id"], 3, header_lines=1, within="file")
+    assert sorted(rows(found)) == [("a", 2), ("a", 5), ("b", 2), ("b", 5)]
+
+
 def test_sample_has_exact_size_and_ignores_partitioning(spark):
     df = spark.range(500)
     one = rows(numbering.seeded_sample(df.repartition(1), "id", 50).orderBy("id"))
@@ -385,6 +392,20 @@ def test_sample_has_exact_size_and_ignores_partitioning(spark):
     assert numbering.seeded_sample(df, "id", 900).count() == 500
 
 
+@pytest.mark.parametrize("n", [10, 400, 5000])
+def test_sample_is_the_n_smallest_hashes(spark, n):
+    keys = [(hashlib.md5(f"{i}|3".encode()).hexdigest(), i) for i in range(20_000)]
+    found = numbering.seeded_sample(spark.range(20_000), "id", n, seed=3)
+    assert sorted(r["id"] for r in found.collect()) == sorted(i for _, i in sorted(keys)[:n])
+
+
+def test_scan_tasks_prune_before_they_hand_on(spark):
+    df = spark.range(0, 10_000, 1, 40).select((F.col("id") % 3).alias("k"), "id")
+    top = numbering.leading(df, ["k", "id"], 20, 30)
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+    assert [r["id"] for r in top.collect()] == list(range(90, 150, 3))
+
+
 def test_broadcast_only_below_the_bound(spark):
     assert with_small(spark.range(10), 10)[1] is True
     big, small = with_small(spark.range(11), 10)

@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.filters import until_day
 
-EMPTY_RANKING = "movieId bigint, avg_rating double, num_ratings bigint"
-
 CUMULATIVE_SQL = """
 SELECT {item} AS movieId, avg({rating}) AS avg_rating, count(*) AS num_ratings
 FROM {ratings}
 WHERE {day} < date_add(to_date(:ds), 1)
 GROUP BY {item}
-ORDER BY avg_rating DESC
+ORDER BY avg_rating DESC NULLS LAST, movieId
 """
 
 
@@ -30,9 +28,12 @@ def score_items(ratings: DataFrame, item: str, user: str, rating: str) -> DataFr
 
 
 def rank_items(ratings: DataFrame, item: str, user: str, rating: str, min_ratings: int = 2) -> DataFrame:
-    """Items with strictly more than ``min_ratings`` distinct users, best first."""
+    """Items with strictly more than ``min_ratings`` distinct users, best first.
+
+    The id as the last sort key fixes the order and splits a rating that a large share of the items has.
+    """
     scored = score_items(ratings, item, user, rating).where(F.col("num_ratings") > min_ratings)
-    return scored.orderBy(F.desc_nulls_last("avg_rating"), F.desc("num_ratings"))
+    return scored.orderBy(F.desc_nulls_last("avg_rating"), F.desc("num_ratings"), "movieId")
 
 
 def most_popular(ratings: DataFrame, item: str, user: str, rating: str, top_n: int = 5) -> DataFrame:
@@ -54,7 +55,7 @@ def average_per_item(ratings: DataFrame, item: str, rating: str) -> DataFrame:
     return (
         ratings.groupBy(F.col(item).alias("movieId"))
         .agg(F.avg(rating).alias("avg_rating"), F.count("*").alias("num_ratings"))
-        .orderBy(F.desc_nulls_last("avg_rating"))
+        .orderBy(F.desc_nulls_last("avg_rating"), "movieId")
     )
 
 

@@ -34,6 +34,12 @@ def json_array(df: DataFrame, max_rows: int = 1000) -> str:
     return f"[{','.join(rows)}]"
 
 
+def write_json_report(df: DataFrame, path: str, max_rows: int = 1000) -> None:
+    """A small ordered result as a file with one JSON array."""
+    text = df.sparkSession.createDataFrame([(json_array(df, max_rows),)], "value string")
+    text.coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_array_lines(df: DataFrame, path: str, wrap: str | None = None) -> None:
     """JSON arrays of records, one per line and Arrow batch; ``wrap`` puts each array in a field of a document.
 

@@ -31,14 +31,17 @@ def read_nested(spark: SparkSession, path, schema, array: str, multi_line: bool
 
 def read_csv(
     spark: SparkSession, paths, schema, columns: list[str] | None = None, name_glob: str | None = None,
-    modified_after: str | None = None, multi_line: bool = False,
+    modified_after: str | None = None, multi_line: bool = False, null_text: str = "",
 ) -> DataFrame:
     """CSV files with a header that must agree with ``schema``; only ``columns`` are parsed.
 
     ``paths`` may be a list or hold wildcards; all files become one scan. ``name_glob`` and ``modified_after`` choose
-    among the files of a landing folder. Files are split between tasks unless fields may hold line breaks.
+    among the files of a landing folder. Files are split between tasks unless fields may hold line breaks. A field
+    with ``null_text`` is NULL.
     """
-    reader = spark.read.schema(schema).options(enforceSchema=False, multiLine=multi_line, **CSV_DIALECT)
+    reader = spark.read.schema(schema).options(
+        enforceSchema=False, multiLine=multi_line, nullValue=null_text, **CSV_DIALECT
+    )
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     if modified_after:

@@ -96,7 +96,7 @@ class ParquetPages:
 
     def _filesystem(self):
         if "://" in self.uri or self.uri.startswith("file:"):
-            return pafs.FileSystem.from_uri(self.uri)
+            return pafs.FileSystem.from_uri(self.uri.replace("s3a://", "s3://", 1))
         return pafs.LocalFileSystem(), self.uri
 
     def _layout(self):
