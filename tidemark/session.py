@@ -21,7 +21,7 @@ _local_dirs: dict[str, str] = {}
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC, AQE and skew handling on; everything cluster-sized stays with the cluster.
 
-    Streaming state lives in RocksDB, off the heap, because the keys of a long watermark do not fit an executor.
+    On a cluster, streaming state lives in RocksDB, off the heap: the keys of a long watermark do not fit an executor.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -29,10 +29,11 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)
+    if not (master or "").startswith("local"):
+        builder = builder.config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

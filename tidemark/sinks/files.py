@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.sources.files import CSV_DIALECT, read_json_array
 
@@ -28,7 +28,8 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 def json_array(df: DataFrame, max_rows: int = 1000) -> str:
     """A small result as one JSON array; a larger one belongs in ``write_json_lines``."""
-    rows = df.limit(max_rows + 1).toJSON().collect()
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", **TIMESTAMP_TEXT})
+    rows = [r[0] for r in df.limit(max_rows + 1).select(record).collect()]
     if len(rows) > max_rows:
         raise ValueError(f"more than {max_rows} rows")
     return f"[{','.join(rows)}]"
@@ -72,9 +73,9 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> None:
 
 def write_run(df: DataFrame, path: str, run_ts: str) -> DataFrame:
     """Store the result of one run under its run key, and return what the path now holds for it."""
-    run = df.withColumn("run_ts", F.lit(run_ts))
-    replace_partitions(run, path, "run_ts")
-    return df.sparkSession.read.schema(run.schema).parquet(path).where(F.col("run_ts") == run_ts)
+    df.write.mode("overwrite").parquet(f"{path}/run_ts={run_ts}")
+    schema = T.StructType([*df.schema.fields, T.StructField("run_ts", T.StringType())])
+    return df.sparkSession.read.schema(schema).parquet(path).where(F.col("run_ts") == run_ts)
 
 
 def snapshot(spark: SparkSession, source: str, target: str) -> DataFrame:
