@@ -146,7 +146,7 @@ def test_parquet_pages_cross_files_and_row_groups(spark, tmp_path):
     spark.range(0, 1000, 1, 3).write.option("parquet.block.size", 1024).parquet(path)
     fetch = ParquetPages(path, ["id"])
     assert fetch(0, 1)["total"] == 1000
-    seen = [r["id"] for offset in range(0, 1000, 70) for r in fetch(offset, 70)["result"]]
+    seen = [r["id"] for offset in range(0, 1000, 70) for r in fetch(offset, 70)["result"].to_pylist()]
     assert sorted(seen) == list(range(1000))
     assert fetch(990, 70)["offset"] == 990 and len(fetch(990, 70)["result"]) == 10
 
@@ -211,6 +211,15 @@ def test_backfill_equals_daily_runs(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "b")).select("date", "user", "n_events")) == whole
 
 
+def test_an_interval_without_events_leaves_the_store_alone(spark, tmp_path):
+    df = spark.createDataFrame([(dt.datetime(2021, 1, 1), 1)], "ts timestamp_ntz, user int")
+    path = str(tmp_path / "t")
+    assert backfill_stats(df, "ts", "user", "2020-01-01", "2020-01-02", path).count() == 0
+    assert backfill_stats(df, "ts", "user", "2021-01-01", "2021-01-02", path).count() == 1
+    assert backfill_stats(df, "ts", "user", "2022-01-01", "2022-01-02", path).count() == 0
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_snapshot_notices_a_difference(spark, tmp_path):
     a = spark.range(10)
     assert sinks.fingerprint(a) == sinks.fingerprint(a.repartition(3).orderBy(F.desc("id")))

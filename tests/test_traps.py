@@ -246,6 +246,21 @@ def test_lookup_uses_the_default(spark):
     assert sorted(r["zone"] for r in found.collect()) == ["Harbour", "Unknown zone name", "Unknown zone name"]
 
 
+def test_lookup_by_shuffle_gives_the_same(spark):
+    names = spark.range(50).select("id", F.concat(F.lit("zone "), "id").alias("name"))
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 80).alias("z"))
+    found = lookup(df, "z", names, "id", "name", "zone", "none")
+    expected = sorted(rows(found))
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = lookup(df, "z", names, "id", "name", "zone", "none")
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert sorted(rows(shuffled)) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+
+
 # --- filters and intervals -----------------------------------------------------------------------------------------
 
 
@@ -399,6 +414,15 @@ def test_sample_is_the_n_smallest_hashes(spark, n):
     assert sorted(r["id"] for r in found.collect()) == sorted(i for _, i in sorted(keys)[:n])
 
 
+def test_numbering_an_empty_table(spark, monkeypatch):
+    empty = spark.range(0)
+    assert rows(numbering.number_rows(empty, ["id"])) == []
+    assert rows(numbering.every_nth(empty.withColumn("f", F.lit("a")), ["id"], 2, within="f")) == []
+    assert rows(numbering.seeded_sample(empty, "id", 3)) == []
+    monkeypatch.setattr(numbering, "TOP_K_ROWS", 1)
+    assert rows(numbering.leading(empty, ["id"], 5)) == []
+
+
 def test_scan_tasks_prune_before_they_hand_on(spark):
     df = spark.range(0, 10_000, 1, 40).select((F.col("id") % 3).alias("k"), "id")
     top = numbering.leading(df, ["k", "id"], 20, 30)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# fetch(offset, limit) -> {"result": [records], "total": number of records}
+# fetch(offset, limit) -> {"result": records, "total": number of records}; records are dicts or one Arrow table
 Fetch = Callable[[int, int], dict]
 
 
@@ -50,7 +50,10 @@ def read_pages(
         def read(self, pages):
             for offset in range(pages.first, pages.end, page_size):
                 records = fetch(offset, page_size)["result"]
-                yield pa.RecordBatch.from_pylist(records, schema=arrow_schema)
+                if isinstance(records, pa.Table):
+                    yield from records.select(arrow_schema.names).cast(arrow_schema).to_batches()
+                else:
+                    yield pa.RecordBatch.from_pylist(records, schema=arrow_schema)
 
     name = f"pages_{uuid.uuid4().hex}"
 
@@ -87,11 +90,12 @@ class ParquetPages:
     def __call__(self, offset: int, limit: int) -> dict:
         groups = self._layout()
         total = groups[-1][3] if groups else 0
-        records = []
+        parts = []
         for group in groups:
             first, end = max(offset, group[2]), min(offset + limit, group[3])
             if first < end:
-                records += self._read(group).slice(first - group[2], end - first).to_pylist()
+                parts.append(self._read(group).slice(first - group[2], end - first))
+        records = pa.concat_tables(parts) if parts else []
         return {"result": records, "offset": offset, "limit": limit, "total": total}
 
     def _filesystem(self):
