@@ -14,7 +14,6 @@ def spark(tmp_path_factory):
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "6g",
-        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     }
     session = build_session("tests", "local[4]", **conf)
