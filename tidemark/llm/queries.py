@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import sharding, token_files
+from tidemark.llm import language, pieces, sharding, token_files, toxicity
+from tidemark.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
+PIECES = "piece_bpe_32k.model"
 
 
 def query(sql: str | None = None):
@@ -37,12 +39,33 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def held_out(folds: int, which: int):
+    """Whether a document is kept from learning; one without an id is never learned from."""
+    return F.coalesce(fold("doc_id", folds) == which, F.lit(True)).alias("held_out")
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    net = toxicity.fit(labels.where(~held_out(4, 2)), docs, "doc_id", "text", "toxic")
+    scored = toxicity.with_score(docs.select("doc_id", "text"), "text", net)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(4, 2), "score", predicted)
+
+
 @query()
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files.token_files(docs, "doc_id", "text", tokenizer_path(TOKENIZER), END_ID)
 
 
+@query()
+def op6_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~held_out(5, 0)), "doc_id", "text", "lang")
+    return language.predict(docs, "text", model, [F.col("doc_id"), held_out(5, 0)], "doc_id long, held_out boolean")
+
+
 @query()
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -57,3 +80,8 @@ def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "curve",
     )
+
+
+@query()
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path(PIECES))
