@@ -14,12 +14,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import coded_words, gather, slices, texts
 from tidemark.session import fresh_dir
 
 BLOCK_IDS = 1 << 18
+# Distinct words are encoded once per slice, so larger slices encode fewer.
+SLICE = 24 << 20
 BLOCK = (
     "shard int, block int, start long, doc_ids array<long>, n_tokens array<long>, control binary, data binary"
 )
@@ -51,11 +53,17 @@ def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
     return ranks
 
 
+# Words of Latin letters alone, which the word-level BPE encodes as one unit, and one mark after them.
+PLAIN_WORD = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+[.,]?$"
+MARKS = (".", ",")
+
+
 class WordEncoder:
     """Ids of whole texts, with every distinct word of a slice encoded once.
 
-    Right for a tokenizer whose pieces never contain white space and never depend on neighbouring words; white space
-    itself gives no ids. ``tests/llm`` holds it against encoding whole texts.
+    Right for a lower-casing tokenizer whose pieces never contain white space, whose units never depend on neighbouring
+    words, and whose last piece of a unit ends in ``</w>``; white space itself gives no ids. ``tests/llm`` holds it
+    against encoding whole texts.
     """
 
     CHUNK = 4000
@@ -64,10 +72,21 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
-
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, number of ids of each)."""
-        ids, counts = [], []
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.marks = [self.tokenizer.encode(m, add_special_tokens=False).ids for m in MARKS]
+
+    def plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each) of words that are one unit each."""
+        parts = [words[at : at + self.CHUNK] for at in range(0, len(words), self.CHUNK)]
+        found = [self.tokenizer.encode(" ".join(p), add_special_tokens=False).ids for p in parts]
+        ids = np.concatenate([np.array(f, np.int64) for f in found]) if found else np.zeros(0, np.int64)
+        return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+
+    def other(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for any words without white space; their ids are told apart by the places of the pieces."""
+        ids, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(words), self.CHUNK):
             part = words[at : at + self.CHUNK]
             encoding = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -75,20 +94,36 @@ class WordEncoder:
             places = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(encoding.ids))
             ids.append(np.array(encoding.ids, np.int64))
             counts.append(np.bincount(np.searchsorted(ends, places, "right"), minlength=len(part)))
-        if not ids:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(ids), np.concatenate(counts)
 
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all distinct words, number of ids of each)."""
+        plain = pc.match_substring_regex(words, PLAIN_WORD)
+        simple = words.filter(plain)
+        marks = [pc.ends_with(simple, m).to_numpy(zero_copy_only=False) for m in MARKS]
+        bases = pc.ascii_lower(pc.utf8_rtrim(simple, "".join(MARKS))).dictionary_encode()
+        ids, sizes = self.plain(bases.dictionary.to_pylist())
+        odd_ids, odd_sizes = self.other(words.filter(pc.invert(plain)).to_pylist())
+        mark_ids = [np.array(m, np.int64) for m in self.marks]
+        pool = np.concatenate([ids, odd_ids, *mark_ids])
+        chosen, plain = bases.indices.to_numpy(zero_copy_only=False), plain.to_numpy(zero_copy_only=False)
+        # Every word is a run of the pool, and after it the run of its mark, which may be empty.
+        starts, counts = np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), np.int64)
+        starts[plain, 0], counts[plain, 0] = (np.cumsum(sizes) - sizes)[chosen], sizes[chosen]
+        starts[~plain, 0], counts[~plain, 0] = len(ids) + np.cumsum(odd_sizes) - odd_sizes, odd_sizes
+        at = len(ids) + len(odd_ids)
+        for mask, own in zip(marks, mark_ids, strict=True):
+            rows = np.flatnonzero(plain)[mask]
+            starts[rows, 1], counts[rows, 1] = at, len(own)
+            at += len(own)
+        return pool[gather(starts.reshape(-1), counts.reshape(-1))], counts.sum(axis=1)
+
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with the end id after each, number of ids of each text)."""
         offsets, codes, distinct = coded_words(pc.ascii_split_whitespace(column))
-        real = np.array([w != "" for w in distinct.to_pylist()], bool) if len(distinct) else np.zeros(0, bool)
-        ids, counts = self.words([w for w in distinct.to_pylist() if w])
-        sizes = np.zeros(len(distinct), np.int64)
-        sizes[real] = counts
-        begins = np.cumsum(sizes) - sizes
-        per_word = sizes[codes] if len(codes) else np.zeros(0, np.int64)
-        flat = ids[gather(begins[codes], per_word)] if len(codes) else np.zeros(0, np.int64)
+        ids, sizes = self.words(distinct)
+        per_word = sizes[codes]
+        flat = ids[gather((np.cumsum(sizes) - sizes)[codes], per_word)]
         before = np.concatenate([[0], np.cumsum(per_word)])
         per_text = before[offsets[1:]] - before[offsets[:-1]]
         with_end = np.full(len(flat) + len(per_text), self.end_id, np.int64)
@@ -98,21 +133,63 @@ class WordEncoder:
         return with_end, per_text + 1
 
 
-def id_counts(df: DataFrame, text: str, encoder: Callable[[], WordEncoder]) -> DataFrame:
-    """(id, n) over all texts; a task adds up its own counts before the shuffle."""
+def write_ids(df: DataFrame, key: str, text: str, encoder: Callable[[], WordEncoder], path: str) -> None:
+    """Blocks of plain ids in ascending order of the key; equal keys by a hash of the text, NULL keys first.
+
+    Texts are tokenised here and nowhere else. Range partitions over key and hash stay even when keys repeat.
+    """
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder()
+        start = block = 0
+        for batch in batches:
+            for part in slices(batch, text, SLICE):
+                ids, sizes = encode(texts(part, text))
+                ends = np.cumsum(sizes)
+                shard, keys = part.column("_shard")[0].as_py(), part.column(key)
+                first = 0
+                while first < len(sizes):
+                    done = int(ends[first - 1]) if first else 0
+                    last = max(first + 1, int(np.searchsorted(ends, done + BLOCK_IDS, "right")))
+                    control, data = encode_block(ids[done : int(ends[last - 1])])
+                    own = keys.slice(first, last - first).to_pylist()
+                    yield _row(shard, block, start, own, sizes[first:last].tolist(), control, data)
+                    start += int(ends[last - 1]) - done
+                    block, first = block + 1, last
+
+    ordered = df.select(F.col(key).cast("long").alias(key), text).withColumn("_tie", F.xxhash64(text))
+    ordered = ordered.repartitionByRange(key, "_tie").sortWithinPartitions(key, "_tie")
+    placed = ordered.select(key, text, F.spark_partition_id().alias("_shard"))
+    placed.mapInArrow(blocks, BLOCK).write.option("compression", "zstd").parquet(path)
+
+
+def _row(*values) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+    arrays = [pa.array([v], t) for v, t in zip(values, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in BLOCK.split(", ")])
+
+
+def id_counts(stored: DataFrame) -> DataFrame:
+    """(id, n) over all blocks; a task adds up its own counts before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, total = encoder(), np.zeros(0, np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            for part in slices(batch, text):
-                found = np.bincount(encode(texts(part, text))[0])
+            for row in batch.to_pylist():
+                found = np.bincount(decode_block(row["control"], row["data"], row["n"]))
                 if len(found) > len(total):
                     found, total = total, found
                 total[: len(found)] += found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["id", "n"])
 
-    return df.select(text).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = stored.select("control", "data", held().alias("n"))
+    return rows.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
+def held() -> Column:
+    """How many ids a block holds."""
+    return F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, b: a + b)
 
 
 def rank_ids(counts: DataFrame) -> np.ndarray:
@@ -121,41 +198,19 @@ def rank_ids(counts: DataFrame) -> np.ndarray:
     return rows["id"].to_numpy(np.int64)
 
 
-def write_tokens(df: DataFrame, key: str, text: str, by_rank: np.ndarray, encoder, path: str) -> None:
-    """Files of blocks in ascending order of the key; equal keys by a hash of the text, NULL keys first."""
+def write_ranked(stored: DataFrame, by_rank: np.ndarray, path: str) -> None:
+    """The blocks again with ranks for ids; a folder per shard, (shard, block) is the order of the keys."""
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder()
+    def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.zeros(int(by_rank.max(initial=0)) + 1, np.int64)
         rank[by_rank] = np.arange(len(by_rank))
-        start = block = 0
         for batch in batches:
-            for part in slices(batch, text):
-                ids, sizes = encode(texts(part, text))
-                ranks, ends = rank[ids], np.cumsum(sizes)
-                shard = part.column("_shard")[0].as_py()
-                keys = part.column(key)
-                first = 0
-                while first < len(sizes):
-                    done = int(ends[first - 1]) if first else 0
-                    last = max(first + 1, int(np.searchsorted(ends, done + BLOCK_IDS, "right")))
-                    control, data = encode_block(ranks[done : int(ends[last - 1])])
-                    row = [[shard], [block], [start], [keys.slice(first, last - first).to_pylist()]]
-                    row += [[sizes[first:last].tolist()], [control], [data]]
-                    types = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                    types += [pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(v, t) for v, t in zip(row, types, strict=True)],
-                        names=["shard", "block", "start", "doc_ids", "n_tokens", "control", "data"],
-                    )
-                    start += int(ends[last - 1]) - done
-                    block += 1
-                    first = last
+            for row in batch.to_pylist():
+                ids = decode_block(row["control"], row["data"], sum(row["n_tokens"]))
+                row["control"], row["data"] = encode_block(rank[ids])
+                yield _row(*row.values())
 
-    ordered = df.select(F.col(key).cast("long").alias(key), text).withColumn("_tie", F.xxhash64(text))
-    ordered = ordered.repartitionByRange(key, "_tie").sortWithinPartitions(key, "_tie")
-    placed = ordered.select(key, text, F.spark_partition_id().alias("_shard"))
-    placed.mapInArrow(blocks, BLOCK).write.option("compression", "zstd").parquet(path)
+    stored.mapInArrow(recode, BLOCK).write.option("compression", "zstd").partitionBy("shard").parquet(path)
 
 
 def read_tokens(spark, path: str, by_rank: np.ndarray, digest: Callable, schema: str) -> DataFrame:
@@ -164,8 +219,7 @@ def read_tokens(spark, path: str, by_rank: np.ndarray, digest: Callable, schema:
     Offsets of the files come from one sum per file, so the window over them is bounded by the number of files.
     """
     stored = spark.read.schema(BLOCK).parquet(path)
-    held = F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, b: a + b)
-    sizes = stored.groupBy("shard").agg(F.sum(held).alias("_held"))
+    sizes = stored.groupBy("shard").agg(F.sum(held()).alias("_held"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("shard", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_before"))
     placed = stored.join(F.broadcast(offsets), "shard").withColumn("start", F.col("start") + F.col("_before"))
@@ -195,10 +249,9 @@ def token_files(df: DataFrame, key: str, text: str, tokenizer_path: str, end_id:
     first; an empty table gives no rows.
     """
     spark = df.sparkSession
-    encoder = lambda: WordEncoder(tokenizer_path, end_id)
-    by_rank = rank_ids(id_counts(df, text, encoder))
-    path = fresh_dir(spark, "tokens")
-    write_tokens(df, key, text, by_rank, encoder, path)
-    return read_tokens(
-        spark, path, by_rank, crc_digest, "doc_id long, start long, n_tokens long, ids_crc32 long"
-    )
+    plain, ranked = fresh_dir(spark, "ids"), fresh_dir(spark, "tokens")
+    write_ids(df, key, text, lambda: WordEncoder(tokenizer_path, end_id), plain)
+    stored = spark.read.schema(BLOCK).parquet(plain)
+    by_rank = rank_ids(id_counts(stored))
+    write_ranked(stored, by_rank, ranked)
+    return read_tokens(spark, ranked, by_rank, crc_digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
