@@ -33,12 +33,15 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.in
 def encode_block(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """(control, data) of ranks below 2**32."""
     ranks = ranks.astype("<u4")
-    spare = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    quads = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    quads[: len(ranks)] = spare
-    control = quads.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)
-    taken = np.arange(4) <= spare[:, None]
-    return control.sum(axis=1, dtype=np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[taken].tobytes()
+    spare = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
+    raw, most = ranks.view(np.uint8).reshape(-1, 4), int(ranks.max(initial=0))
+    for limit in (0xFF, 0xFFFF, 0xFFFFFF):
+        if most > limit:
+            spare[: len(ranks)] += ranks > limit
+    control = (spare.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
+    width = int(spare.max(initial=0)) + 1
+    taken = np.arange(width, dtype=np.uint8) <= spare[: len(ranks), None]
+    return control.tobytes(), raw[:, :width][taken].tobytes()
 
 
 def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -47,7 +50,7 @@ def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
     starts = np.cumsum(lengths) - lengths
     padded = np.frombuffer(data + b"\0\0\0", np.uint8)
     ranks = padded[starts].astype(np.uint32)
-    for byte in (1, 2, 3):
+    for byte in range(1, int(lengths.max(initial=1))):
         longer = np.flatnonzero(lengths > byte)
         ranks[longer] |= padded[starts[longer] + byte].astype(np.uint32) << np.uint32(8 * byte)
     return ranks
@@ -66,21 +69,26 @@ class WordEncoder:
     against encoding whole texts.
     """
 
-    CHUNK = 4000
+    CHUNK = 1000
 
     def __init__(self, path: str, end_id: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        # The same model behind a bare split at spaces: all that plain words need.
+        self.bare = Tokenizer(self.tokenizer.model)
+        units = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), units])
         vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.marks = [self.tokenizer.encode(m, add_special_tokens=False).ids for m in MARKS]
 
     def plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, number of ids of each) of words that are one unit each."""
+        """(ids of all words, number of ids of each) of lower-case words that are one unit each."""
         parts = [words[at : at + self.CHUNK] for at in range(0, len(words), self.CHUNK)]
-        found = [self.tokenizer.encode(" ".join(p), add_special_tokens=False).ids for p in parts]
+        found = [self.bare.encode(" ".join(p), add_special_tokens=False).ids for p in parts]
         ids = np.concatenate([np.array(f, np.int64) for f in found]) if found else np.zeros(0, np.int64)
         return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
 
@@ -101,7 +109,7 @@ class WordEncoder:
         plain = pc.match_substring_regex(words, PLAIN_WORD)
         simple = words.filter(plain)
         marks = [pc.ends_with(simple, m).to_numpy(zero_copy_only=False) for m in MARKS]
-        bases = pc.ascii_lower(pc.utf8_rtrim(simple, "".join(MARKS))).dictionary_encode()
+        bases = pc.utf8_lower(pc.utf8_rtrim(simple, "".join(MARKS))).dictionary_encode()
         ids, sizes = self.plain(bases.dictionary.to_pylist())
         odd_ids, odd_sizes = self.other(words.filter(pc.invert(plain)).to_pylist())
         mark_ids = [np.array(m, np.int64) for m in self.marks]
@@ -134,7 +142,7 @@ class WordEncoder:
 
 
 def write_ids(df: DataFrame, key: str, text: str, encoder: Callable[[], WordEncoder], path: str) -> None:
-    """Blocks of plain ids in ascending order of the key; equal keys by a hash of the text, NULL keys first.
+    """Blocks of plain ids (no control bytes yet) in ascending order of the key; equal keys by a hash of the text, NULL keys first.
 
     Texts are tokenised here and nowhere else. Range partitions over key and hash stay even when keys repeat.
     """
@@ -151,9 +159,9 @@ def write_ids(df: DataFrame, key: str, text: str, encoder: Callable[[], WordEnco
                 while first < len(sizes):
                     done = int(ends[first - 1]) if first else 0
                     last = max(first + 1, int(np.searchsorted(ends, done + BLOCK_IDS, "right")))
-                    control, data = encode_block(ids[done : int(ends[last - 1])])
+                    data = ids[done : int(ends[last - 1])].astype(encode.dtype).tobytes()
                     own = keys.slice(first, last - first).to_pylist()
-                    yield _row(shard, block, start, own, sizes[first:last].tolist(), control, data)
+                    yield _row(shard, block, start, own, sizes[first:last].tolist(), None, data)
                     start += int(ends[last - 1]) - done
                     block, first = block + 1, last
 
@@ -176,17 +184,22 @@ def id_counts(stored: DataFrame) -> DataFrame:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for row in batch.to_pylist():
-                found = np.bincount(decode_block(row["control"], row["data"], row["n"]))
+                found = np.bincount(plain_ids(row["data"], row["n"]))
                 if len(found) > len(total):
                     found, total = total, found
                 total[: len(found)] += found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["id", "n"])
 
-    rows = stored.select("control", "data", held().alias("n"))
+    rows = stored.select("data", held().alias("n"))
     return rows.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def plain_ids(data: bytes, n: int) -> np.ndarray:
+    """The ids of a block without control bytes, two or four bytes each."""
+    return np.frombuffer(data, f"<u{len(data) // n}") if n else np.zeros(0, "<u4")
+
+
 def held() -> Column:
     """How many ids a block holds."""
     return F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, b: a + b)
@@ -206,8 +219,7 @@ def write_ranked(stored: DataFrame, by_rank: np.ndarray, path: str) -> None:
         rank[by_rank] = np.arange(len(by_rank))
         for batch in batches:
             for row in batch.to_pylist():
-                ids = decode_block(row["control"], row["data"], sum(row["n_tokens"]))
-                row["control"], row["data"] = encode_block(rank[ids])
+                row["control"], row["data"] = encode_block(rank[plain_ids(row["data"], sum(row["n_tokens"]))])
                 yield _row(*row.values())
 
     stored.mapInArrow(recode, BLOCK).write.option("compression", "zstd").partitionBy("shard").parquet(path)

@@ -15,13 +15,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import coded_words, gather, hash_strings, slices, texts
+from tidemark.llm.common import coded_words, gather, hash_strings, mix, slices, string_bytes, texts
 from tidemark.llm.language import word_ngrams
 
-WINDOW, STRIDE = 40, 30
+WINDOW, STRIDE = 64, 48
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 14
-CHAR_SIZES = (3, 4, 5)
+# Character n-grams: all of one size, and the first bytes of a word.
+CHAR_SIZE, STARTS = 5, (3, 4, 5, 6, 7, 8)
 # The network is fitted on at most about this many toxic and clean rows, texts of up to TRAIN_CHARS characters.
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1200, 2800, 20_000
 FOLDS, EPOCHS, PASSES, BATCH, RATE = 4, 8, 2, 64, 0.02
@@ -40,12 +41,28 @@ def read_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return offsets, codes, pc.replace_substring_regex(distinct, EDGES, "")
 
 
+def word_parts(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of the character n-grams of all words, their number per word): inner ones and those at a word's start."""
+    grams, counts = word_ngrams(words, CHAR_BUCKETS, (CHAR_SIZE,))
+    raw, offsets = string_bytes(words)
+    flat, owner = [grams], [np.repeat(np.arange(len(words)), counts)]
+    codes, sizes = np.zeros(len(words), np.uint64), np.diff(offsets)
+    for n in range(1, max(STARTS) + 1):
+        longer = np.flatnonzero(sizes >= n)
+        codes[longer] = codes[longer] * np.uint64(257) + raw[offsets[longer] + n - 1] + np.uint64(1)
+        if n in STARTS:
+            flat.append((mix(codes[longer] ^ np.uint64(n << 56)) % np.uint64(CHAR_BUCKETS)).astype(np.int64))
+            owner.append(longer)
+    flat, owner = np.concatenate(flat), np.concatenate(owner)
+    return flat[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
+
+
 class Vocabulary:
     """The buckets of distinct words: one by the whole word, several by its character n-grams."""
 
     def __init__(self, words: pa.Array):
         self.word = (hash_strings(words) % np.uint64(WORD_BUCKETS)).astype(np.int64)
-        self.grams, self.counts = word_ngrams(words, CHAR_BUCKETS, CHAR_SIZES)
+        self.grams, self.counts = word_parts(words)
         self.owner = np.repeat(np.arange(len(words)), self.counts)
 
     def inputs(self, net: Network) -> np.ndarray:
@@ -193,25 +210,45 @@ class Network:
         return out
 
 
-def log_odds(buckets: np.ndarray, text: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
-    """Shrunken log-odds per bucket of standing in a toxic text rather than a clean one."""
-    seen = np.unique(buckets.astype(np.int64) * len(toxic) + text)
-    bucket, of = seen // len(toxic), seen % len(toxic)
-    n1, n0 = max(toxic[np.unique(text)].sum(), 1), max((1 - toxic[np.unique(text)]).sum(), 1)
-    with1 = np.bincount(bucket[toxic[of] == 1], minlength=size)
-    with0 = np.bincount(bucket[toxic[of] == 0], minlength=size)
-    odds = np.log((with1 + PRIOR * n1 / (n1 + n0)) / n1) - np.log((with0 + PRIOR * n0 / (n1 + n0)) / n0)
+def text_counts(buckets: np.ndarray, text: np.ndarray, size: int, groups: np.ndarray) -> np.ndarray:
+    """(group x bucket): in how many texts of a group a bucket occurs."""
+    bucket, of = np.divmod(np.unique(buckets.astype(np.int64) * len(groups) + text), len(groups))
+    return np.bincount(groups[of] * size + bucket, minlength=(groups.max() + 1) * size).reshape(-1, size)
+
+
+def log_odds(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Shrunken log-odds of standing in a toxic text rather than a clean one, from both counts of texts."""
+    n0, n1 = np.maximum(sizes, 1)
+    odds = np.log((counts[1] + PRIOR * n1 / (n1 + n0)) / n1) - np.log((counts[0] + PRIOR * n0 / (n1 + n0)) / n0)
     return np.clip(odds, -3, 3).astype(np.float32)
 
 
-def set_odds(net: Network, vocabulary: Vocabulary, codes: np.ndarray, text: np.ndarray, toxic: np.ndarray) -> None:
-    """The first coordinate of every embedding: log-odds over the texts that ``text`` names."""
-    net.words[:, 0] = log_odds(vocabulary.word[codes], text, toxic, WORD_BUCKETS)
-    word, of = np.divmod(np.unique(codes * len(toxic) + text), len(toxic))
-    spans = np.searchsorted(word, np.arange(len(vocabulary.word) + 1))
-    per_gram = np.diff(spans)[vocabulary.owner]
-    texts_of = of[gather(spans[:-1][vocabulary.owner], per_gram)]
-    net.chars[:, 0] = log_odds(np.repeat(vocabulary.grams, per_gram), texts_of, toxic, CHAR_BUCKETS)
+class Odds:
+    """Log-odds of all buckets, over all texts or without the texts of one fold."""
+
+    def __init__(self, vocabulary: Vocabulary, codes: np.ndarray, text: np.ndarray, toxic: np.ndarray, part: np.ndarray):
+        groups = part * 2 + toxic
+        self.sizes = np.bincount(groups, minlength=2 * FOLDS).reshape(FOLDS, 2)
+        word, of = np.divmod(np.unique(codes * len(toxic) + text), len(toxic))
+        spans = np.searchsorted(word, np.arange(len(vocabulary.word) + 1))
+        per_gram = np.diff(spans)[vocabulary.owner]
+        texts_of = of[gather(spans[:-1][vocabulary.owner], per_gram)]
+        self.tables = []
+        for buckets, of_, size in (
+            (vocabulary.word[word], of, WORD_BUCKETS),
+            (np.repeat(vocabulary.grams, per_gram), texts_of, CHAR_BUCKETS),
+        ):
+            counts = text_counts(buckets, of_, size, groups)
+            full = np.zeros((2 * FOLDS, size), np.int64)
+            full[: len(counts)] = counts
+            self.tables.append(full.reshape(FOLDS, 2, size))
+
+    def put(self, net: Network, without: int | None = None) -> None:
+        """Set the first coordinate of every embedding."""
+        used = [f for f in range(FOLDS) if f != without]
+        sizes = self.sizes[used].sum(axis=0)
+        for table, counts in zip((net.words, net.chars), self.tables, strict=True):
+            table[:, 0] = log_odds(counts[used].sum(axis=0), sizes)
 
 
 def train(texts_: list[str], toxic: np.ndarray) -> Network:
@@ -228,18 +265,20 @@ def train(texts_: list[str], toxic: np.ndarray) -> Network:
     if not len(ids):
         return net
     part = rng.permutation(len(texts_)) % FOLDS
+    odds = Odds(vocabulary, codes, text, toxic, part)
     moments = {k: (np.zeros_like(getattr(net, k)), np.zeros_like(getattr(net, k))) for k in Network.NAMES}
     step = 0
     for epoch in range(EPOCHS):
-        others = part[text] != epoch % FOLDS
-        set_odds(net, vocabulary, codes[others], text[others], toxic)
+        odds.put(net, without=epoch % FOLDS)
+        mine = np.flatnonzero(part[owner] == epoch % FOLDS)
+        if not len(mine):
+            continue
         x = vocabulary.inputs(net)
-        scores = net.logits(x, ids) if epoch else (x[:, 0] + x[:, -1])[ids].max(axis=1)
-        order = np.lexsort((-scores, owner))
+        scores = net.logits(x, ids[mine]) if epoch else (x[:, 0] + x[:, -1])[ids[mine]].max(axis=1)
+        order = mine[np.lexsort((-scores, owner[mine]))]
         first = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])]
-        extra = rng.choice(len(ids), min(len(ids), len(first) // 2), replace=False)
+        extra = rng.choice(mine, min(len(mine), len(first) // 2), replace=False)
         chosen = np.concatenate([first, extra[toxic[owner[extra]] == 0]])
-        chosen = chosen[part[owner[chosen]] == epoch % FOLDS]
         for _ in range(max(PASSES, MIN_STEPS * BATCH // max(len(chosen), 1))):
             rng.shuffle(chosen)
             for at in range(0, len(chosen), BATCH):
@@ -257,7 +296,7 @@ def train(texts_: list[str], toxic: np.ndarray) -> Network:
                     change = (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
                     rate = RATE * 0.75**epoch * (EMBEDDING_RATE if k in FROZEN else 1)
                     getattr(net, k)[...] -= np.float32(rate) * change.astype(np.float32)
-    set_odds(net, vocabulary, codes, text, toxic)
+    odds.put(net)
     return net
 
 
