@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language, pieces, sharding, token_files, toxicity
+from tidemark.llm import benchmark, language, licenses, pieces, sharding, token_files, toxicity
 from tidemark.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def held_out(folds: int, which: int):
     return F.coalesce(fold("doc_id", folds) == which, F.lit(True)).alias("held_out")
 
 
+@query()
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 @query()
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -53,6 +58,23 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(4, 2), "score", predicted)
 
 
+@query("""
+    WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM documents),
+    i AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
+    d5 AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + 4), ' ') AS s
+           FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k FROM w WHERE len(w) > 0)),
+    i5 AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, k, k + 4), ' ') AS s
+           FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k FROM i WHERE len(w) > 0)),
+    n AS (SELECT item_id, count(*) AS n_item FROM i5 GROUP BY item_id),
+    c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d5 JOIN i5 USING (s) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+    FROM c JOIN n USING (item_id) WHERE 10 * n_shared >= 8 * n_item
+""")
+def op3_benchmark_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return benchmark.contained_items(docs, "doc_id", "text", items, "item_id", "text")
+
+
 @query()
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
