@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import benchmark, language, licenses, pieces, sharding, token_files, toxicity
+from tidemark.llm import benchmark, fingerprints, language, licenses, pieces, sharding, token_files, toxicity
 from tidemark.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,11 @@ def op6_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, "text", model, [F.col("doc_id"), held_out(5, 0)], "doc_id long, held_out boolean")
 
 
+@query()
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 @query()
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
