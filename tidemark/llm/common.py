@@ -43,11 +43,20 @@ def texts(batch: pa.RecordBatch, column: str) -> pa.Array:
     return pc.fill_null(batch.column(column), "")
 
 
-def coded_words(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """(offsets of the rows, code of every word, distinct words) of a list of words per row."""
+def coded_words(lists: pa.ListArray, keep_empty: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(offsets of the rows, code of every word, distinct words) of a list of words per row.
+
+    Empty words, which stand where white space begins or ends a text, are left out unless ``keep_empty``.
+    """
     flat = lists.flatten().dictionary_encode()
-    offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-    return offsets.astype(np.int64), flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    empty = pc.binary_length(flat.dictionary).to_numpy(zero_copy_only=False) == 0
+    if empty.any() and not keep_empty:
+        real = ~empty[codes]
+        counts = np.bincount(np.repeat(np.arange(len(counts)), counts)[real], minlength=len(counts))
+        codes = codes[real]
+    return np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), codes, flat.dictionary
 
 
 def string_bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -181,7 +181,7 @@ def encode_words(words: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, n
 
 def encode(column: pa.Array, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after the other, number of ids of each). An empty text has no ids."""
-    offsets, codes, distinct = coded_words(pc.split_pattern(column, " "))
+    offsets, codes, distinct = coded_words(pc.split_pattern(column, " "), keep_empty=True)
     ids, counts = encode_words(distinct, vocabulary)
     empty = pc.binary_length(column).to_numpy(zero_copy_only=False) == 0
     per_word = counts[codes] * np.repeat(~empty, np.diff(offsets))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import benchmark, fingerprints, language, licenses, pieces, sharding, token_files, toxicity
+from tidemark.llm import benchmark, fingerprints, language, licenses, ngram_join, pieces, sharding, token_files, toxicity
 from tidemark.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(docs, "doc_id", "text", tokenizer_path(TOKENIZER), END_ID)
 
 
+@query()
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 @query()
 def op6_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
