@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A task works on this much text at a time, whatever the size of an Arrow batch; one longer document is a slice alone.
 SLICE_BYTES = 8 << 20
 
 FNV_PRIME = 0x100000001B3
 
+# Rows are picked by a bit map of this many bits before a join; with more keys than bits more rows pass, none is lost.
+BITS = 1 << 20
+
 
 def fold(key: str, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; NULL keys fall in no fold."""
@@ -25,6 +29,23 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def picked_by(keys: DataFrame):
+    """A function of a key column: false only for keys that are not in the one column of ``keys``.
+
+    The bit map has a fixed size, so it goes to the tasks whatever the number of keys; an exact join follows it.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
+    found = keys.select(place(F.col(keys.columns[0])).alias("bit")).distinct().toPandas()["bit"]
+    bits = np.zeros(BITS, bool)
+    bits[found.to_numpy(np.int64)] = True
+
+    @F.pandas_udf("boolean")
+    def test(bit: pd.Series) -> pd.Series:
+        return pd.Series(bits[bit.to_numpy(np.int64)])
+
+    return lambda key: test(place(key))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold up to ``limit`` bytes."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

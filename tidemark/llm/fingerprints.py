@@ -24,7 +24,7 @@ SUBTABLES = 3
 CYCLES = 4
 # The fingerprint that is shown: the same sketch with this many cells per subtable.
 SHOWN_CELLS = 2
-CELL = ["pair", "subtable", "place"]
+PAIR, CELL = ["uid", "kind"], ["uid", "kind", "subtable", "place"]
 
 
 def digests(text: Column) -> Column:
@@ -61,7 +61,7 @@ def shown(found: Column) -> Column:
 
 
 def touched_cells(pairs: DataFrame, attempt: int) -> DataFrame:
-    """(pair, subtable, place, n, keys, checks, cells): the difference of both sketches of every pair.
+    """(uid, kind, subtable, place, n, keys, checks, cells): the difference of both sketches of every pair.
 
     ``cells`` per subtable is the smallest power of two that is not below the digests of both sides, doubled with every
     attempt. Cells that cancelled are left out.
@@ -73,14 +73,12 @@ def touched_cells(pairs: DataFrame, attempt: int) -> DataFrame:
         return F.transform(side, lambda d: F.struct(d.alias("digest"), F.lit(sign).alias("sign")))
 
     entries = F.explode(F.concat(signed("left_digests", 1), signed("right_digests", -1)))
-    rows = pairs.select("pair", cells.alias("cells"), entries.alias("entry")).select("pair", "cells", "entry.*")
-    spread = rows.select(
-        "pair", "cells", "digest", "sign", F.explode(F.array(*[F.lit(s) for s in range(SUBTABLES)])).alias("subtable")
-    )
+    rows = pairs.select(*PAIR, cells.alias("cells"), entries.alias("entry")).select(*PAIR, "cells", "entry.*")
+    subtable = F.explode(F.array(*[F.lit(s) for s in range(SUBTABLES)])).alias("subtable")
+    spread = rows.select(*PAIR, "cells", "digest", "sign", subtable)
     return summed(
         spread.select(
-            "pair",
-            "subtable",
+            *CELL[:-1],
             place(F.col("digest"), F.col("subtable"), F.col("cells"), F.lit(attempt)).alias("place"),
             F.col("sign").cast("long").alias("n"),
             F.col("digest").alias("keys"),
@@ -101,9 +99,7 @@ def summed(cells: DataFrame) -> DataFrame:
 
 def peel(cells: DataFrame, subtable: int, attempt: int) -> DataFrame:
     """Take the digests of the pure cells of one subtable out of all cells and count them."""
-    pure = (
-        (F.col("subtable") == subtable) & (F.abs("n") == 1) & (checksum(F.col("keys")) == F.col("checks"))
-    )
+    pure = (F.col("subtable") == subtable) & (F.abs("n") == 1) & (checksum(F.col("keys")) == F.col("checks"))
     whole = F.struct("subtable", "place", "n", "keys", "checks")
     nothing = F.lit(0).cast("long")
 
@@ -121,32 +117,36 @@ def peel(cells: DataFrame, subtable: int, attempt: int) -> DataFrame:
         nothing.alias("keys"), nothing.alias("checks"),
     )
     others = [change(s) for s in range(SUBTABLES) if s != subtable]
-    rows = cells.select("pair", "cells", F.explode(F.when(pure, F.array(counted, *others)).otherwise(F.array(whole))).alias("c"))
-    return summed(rows.select("pair", "cells", "c.*"))
+    after = F.explode(F.when(pure, F.array(counted, *others)).otherwise(F.array(whole))).alias("c")
+    return summed(cells.select(*PAIR, "cells", after).select(*PAIR, "cells", "c.*"))
 
 
-def difference_sizes(pairs: DataFrame) -> DataFrame:
-    """(pair, n_differing): how many digests only one side holds, for pairs of digest arrays.
+def difference_sizes(sets: DataFrame) -> DataFrame:
+    """(uid, kind, n_differing): how many digests only one side holds, for a set and several others.
 
-    ``pairs`` needs the columns pair, left_digests and right_digests. Every attempt doubles the sketches of the pairs
-    that the one before left unfinished, until none is left.
+    ``sets`` has the columns uid, left_digests and rights, an array of digest arrays; ``kind`` is the place in it. Every
+    attempt doubles the sketches of the pairs that the one before left unfinished, until none is left. The sets are
+    shuffled by uid once per attempt, and every round of peeling stays in that partitioning.
     """
-    done, rest, attempt = [], pairs, 0
+    done, failed, attempt = [], None, 0
     while True:
-        cells = touched_cells(rest.repartition("pair"), attempt)
+        rest = sets if failed is None else sets.join(failed.select("uid").distinct(), "uid", "left_semi")
+        placed = rest.repartition("uid").select("uid", "left_digests", F.posexplode("rights").alias("kind", "right_digests"))
+        if failed is not None:
+            placed = placed.join(failed, PAIR, "left_semi")
+        cells = touched_cells(placed, attempt)
         for _ in range(CYCLES):
             for subtable in range(SUBTABLES):
                 cells = peel(cells, subtable, attempt)
         left = F.count_if(F.col("subtable") >= 0)
         found = F.coalesce(F.max(F.when(F.col("subtable") == -1, F.col("n"))), F.lit(0).cast("long"))
         tried = materialise(
-            cells.groupBy("pair").agg(found.alias("n_differing"), (left == 0).alias("whole")), "sketch-attempt"
+            cells.groupBy(*PAIR).agg(found.alias("n_differing"), (left == 0).alias("whole")), "sketch-attempt"
         )
         done.append(tried.where("whole").drop("whole"))
-        failed = tried.where("NOT whole").select("pair")
+        failed, attempt = tried.where("NOT whole").select(*PAIR), attempt + 1
         if failed.isEmpty():
             break
-        rest, attempt = materialise(rest.join(failed, "pair", "left_semi"), "sketch-retry"), attempt + 1
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -189,9 +189,10 @@ def fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
     followed = order.withColumnRenamed("text_hash", "_hash")
     # The text side of both joins is one shuffle: the same columns, partitioned by the same key.
     same = F.col("_key").eqNullSafe(F.col("next_key"))
+    stands = F.xxhash64("_text").bitwiseXOR(F.col("_hash")) == 0  # written so that it is no key of the join
     heads = (
         read.join(followed, same)
-        .where(F.xxhash64("_text") == F.col("_hash"))
+        .where(stands)
         .select(
             "for_key",
             F.expr("substring(_text, 1, cast(longest div 2 as int))").alias("head"),
@@ -200,12 +201,11 @@ def fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
     if many:
         heads = heads.dropDuplicates(["for_key"])
+    kept = "substring(_text, 1, cast(n_chars - n_chars div 2 as int))"
     joined = (
         read.join(heads, F.col("_key").eqNullSafe(F.col("for_key")), "left")
         .withColumn("n_chars", F.length("_text").cast("long"))
-        .withColumn(
-            "edited", F.concat(F.expr("substring(_text, 1, cast(n_chars - n_chars div 2 as int))"), F.substring("head", 1, half))
-        )
+        .withColumn("edited", F.concat(F.expr(kept), F.substring("head", 1, half)))
     )
     whole = materialise(
         joined.select(
@@ -219,19 +219,11 @@ def fingerprints(docs: DataFrame, key: str, text: str) -> DataFrame:
         ),
         "fingerprints",
     )
-    right = F.explode(
-        F.array(
-            F.struct(F.lit(0).alias("kind"), F.col("edited_digests").alias("right_digests")),
-            F.struct(F.lit(1).alias("kind"), F.col("next_digests").alias("right_digests")),
-        )
-    )
-    pairs = whole.select("uid", F.col("own_digests").alias("left_digests"), right.alias("r")).select(
-        (F.col("uid") * 2 + F.col("r.kind")).alias("pair"), "left_digests", "r.right_digests"
-    )
-    sizes = difference_sizes(pairs)
-    differing = sizes.groupBy(F.expr("pair div 2").alias("uid")).agg(
-        F.max(F.when(F.col("pair") % 2 == 0, F.col("n_differing"))).alias("_edited"),
-        F.max(F.when(F.col("pair") % 2 == 1, F.col("n_differing"))).alias("_next"),
+    rights = F.array("edited_digests", "next_digests").alias("rights")
+    sizes = difference_sizes(whole.select("uid", F.col("own_digests").alias("left_digests"), rights))
+    differing = sizes.groupBy("uid").agg(
+        F.max(F.when(F.col("kind") == 0, F.col("n_differing"))).alias("_edited"),
+        F.max(F.when(F.col("kind") == 1, F.col("n_differing"))).alias("_next"),
     )
     nothing = F.lit(0).cast("long")
     n = [F.size(c) for c in ("own_digests", "edited_digests", "next_digests")]

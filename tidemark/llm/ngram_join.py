@@ -18,12 +18,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import FNV_PRIME, coded_words, gather, hash_strings, mix, slices, texts
+from tidemark.llm.common import FNV_PRIME, coded_words, gather, hash_strings, mix, picked_by, slices, texts
 from tidemark.llm.components import components
 from tidemark.session import materialise
 
@@ -33,9 +32,6 @@ NUMERATOR, DENOMINATOR = 4, 5
 # A token is in the frequent class if it is seen in this share of the documents. At most FREQUENT_TOKENS of them, the
 # most frequent ones, are told to the tasks; the choice moves work between both kinds of keys and changes no result.
 FREQUENT_SHARE, FREQUENT_TOKENS = 0.01, 1 << 16
-# Documents of a verification are picked by a bit map of this many bits before the join; more documents than bits only
-# let more of them through.
-BITS = 1 << 20
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -225,16 +221,8 @@ def verified(pairs: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str,
         .join(stands_for, "node"),
         "join-nodes",
     )
-    places = wanted.select(F.pmod(F.xxhash64("id"), F.lit(BITS)).alias("bit")).distinct().toPandas()["bit"]
-    bits = np.zeros(BITS, bool)
-    bits[places.to_numpy(np.int64)] = True
-
-    @F.pandas_udf("boolean")
-    def picked(bit: pd.Series) -> pd.Series:
-        return pd.Series(bits[bit.to_numpy(np.int64)])
-
     read = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    some = read.where(picked(F.pmod(F.xxhash64("id"), F.lit(BITS)))).join(wanted, "id").select("node", "text")
+    some = read.where(picked_by(wanted.select("id"))(F.col("id"))).join(wanted, "id").select("node", "text")
     held = materialise(some, "join-texts")
     left = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = held.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
