@@ -1,9 +1,83 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: five stages from raw documents to piece ids.
 
-STAGES = []
+Each stage works on all that the one before has kept, is written to the shared folder and read again. All but the last
+return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.llm import benchmark, ngram_join, pieces, repeats, toxicity
+from tidemark.llm.common import without_keys
+from tidemark.llm.queries import PIECES, held_out, table, tokenizer_path
+from tidemark.session import fresh_dir
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go; labels of the held-out fold are not learned from."""
+    labels = table(spark, sf_dir, "labels")
+    net = toxicity.fit(labels.where(~held_out(4, 2)), docs, "doc_id", "text", "toxic")
+    scored = toxicity.with_score(docs, "text", net, "_score")
+    return scored.where(F.col("_score") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of similar documents the one with the smallest id stays, once. Rows without an id all stay."""
+    groups = ngram_join.similar_groups(docs, "doc_id", "text")
+    groups = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("component_id").alias("first"), F.count("*").alias("rows")
+    )
+    kept = without_keys(docs, "doc_id", groups.where("first <> doc_id").select("doc_id"))
+    given_again = groups.where("rows > 1").select("doc_id")
+    if given_again.isEmpty():
+        return kept
+    once = kept.join(given_again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return without_keys(kept, "doc_id", given_again).unionByName(once)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that have occurred before are cut out; a document of nothing else stays with an empty text."""
+    cut = repeats.with_kept_bytes(docs, "doc_id", "text", "_removed", "_spans_cut", "_kept")
+    text = F.when(F.col("_removed") > 0, repeats.valid_text("_kept")).otherwise(F.col("text"))
+    shorter = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return shorter.select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    found = benchmark.contained_items(
+        docs, "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text"
+    )
+    return without_keys(docs, "doc_id", found.where("doc_id IS NOT NULL").select("doc_id").distinct())
+
+
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The piece ids of every text that is left."""
+    kept = "doc_id long, lang string, source string"
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("lang"), F.col("source")]
+    return pieces.with_ids(docs, "text", tokenizer_path(PIECES), columns, kept).withColumn(
+        "n_pieces", F.size("ids").cast("long")
+    )
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("sentencepiece", to_pieces),
+]
+
+# The network and the piece search have no SQL form; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, from ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = fresh_dir(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -46,6 +46,13 @@ def picked_by(keys: DataFrame):
     return lambda key: test(place(key))
 
 
+def without_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key is not in the one column of ``keys``; only possible matches are shuffled."""
+    picked = F.coalesce(picked_by(keys)(F.col(key)), F.lit(False))
+    own = keys.select(F.col(keys.columns[0]).alias(key))
+    return df.where(~picked).unionByName(df.where(picked).join(own, key, "left_anti").select(*df.columns))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts hold up to ``limit`` bytes."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import benchmark, fingerprints, language, licenses, ngram_join, pieces, sharding, token_files, toxicity
+from tidemark.llm import benchmark, fingerprints, language, licenses, ngram_join, pieces, repeats, sharding, token_files, toxicity
 from tidemark.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,14 @@ def op6_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, "text", model, [F.col("doc_id"), held_out(5, 0)], "doc_id long, held_out boolean")
 
 
+@query()
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = repeats.with_kept_bytes(docs, "doc_id", "text", "n_removed", "n_spans", "kept")
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")
+    return cut.select("doc_id", size, "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"), "doc_id", "text")
