@@ -1,0 +1,348 @@
+"""The corpus operators against plain versions on awkward rows: NULLs, empty, very long, copies, clashing names."""
+
+import collections
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from tidemark.llm import (
+    benchmark, fingerprints, induced, language, licenses, ngram_join, pieces, queries, repeats, sharding, token_files,
+    toxicity,
+)
+from tidemark.llm.components import components
+
+ROWS = brute.documents()
+TEXTS = [t or "" for _, t, _, _ in ROWS]
+
+
+def bag(rows):
+    return collections.Counter(map(tuple, rows))
+
+
+def test_license_scan_finds_every_place_and_block(docs):
+    phrases = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+    expected = []
+    for i, text, _, _ in ROWS:
+        n, found = brute.phrase_places(text, phrases)
+        base = {label for _, label in found}
+        labels = base | brute.license_labels(text, [t for t in licenses.LICENSES])
+        places = [p for p, _ in found]
+        expected.append(
+            (i, n, len(found), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
+             ",".join(sorted(labels)))
+        )
+    got = licenses.scan(docs, "doc_id", "text")
+    assert bag(r[:7] for r in got.collect()) == bag(expected)
+    assert all(0 <= r.score <= 1 and (r.score == 1) >= (r.n_base > 0) for r in got.collect())
+
+
+def test_benchmark_search_equals_brute_force(spark, docs):
+    rng = random.Random(1)
+    items = [(0, brute.ITEM), (1, brute.ITEM.replace("clean", "changed")), (2, None), (3, "one two"), (4, "")]
+    long_ = ROWS[[i for i, *_ in ROWS].index(105)][1].split()
+    items += [(5 + k, " ".join(long_[at : at + rng.randint(9, 60)])) for k, at in enumerate(range(0, 19_000, 1900))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = benchmark.contained_items(docs, "doc_id", "text", table, "item_id", "text")
+    found = {(r.doc_id, r.item_id, r.n_shared) for r in got.collect()}
+    assert found == brute.contained([(i, t) for i, t, _, _ in ROWS], items)
+    assert {d for d, item, _ in found if item == 0} == {110} and len({i for _, i, _ in found}) >= 12
+
+
+def test_benchmark_search_shuffles_like_it_broadcasts(spark, docs, monkeypatch):
+    table = spark.createDataFrame([(0, brute.ITEM), (1, "one two")], "item_id long, text string")
+    search = lambda: bag(benchmark.contained_items(docs, "doc_id", "text", table, "item_id", "text").collect())
+    small = search()
+    monkeypatch.setattr(benchmark, "BROADCAST_ROWS", 0)
+    assert search() == small and small
+
+
+def test_token_files_equal_encoding_whole_texts(docs):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path(queries.TOKENIZER)
+    tokenizer, start, expected = Tokenizer.from_file(path), 0, []
+    rows = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0))
+    for i, text, _, _ in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        expected.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = token_files.token_files(docs, "doc_id", "text", path, 2)
+    assert bag(got.collect()) == bag(expected)
+
+
+@pytest.mark.parametrize("text", ["It's DON'T o'Neil's <|endoftext|> <|EndOfText|>", "É. É, Straße, İ ÅÅ x.y foo.. 12a a12,",
+                                  "á.  nb sp x 漢字。 ﬁ ª ×. ΑΣ Σ. 𝒜 K", "  \n", "a" * 3000])
+def test_words_encode_like_whole_texts(text):
+    encoder = token_files.WordEncoder(queries.tokenizer_path(queries.TOKENIZER), 2)
+    ids, counts = encoder(pa.array([text, "", text + " end."]))
+    whole = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in (text, "", text + " end.")]
+    assert ids.tolist() == sum(whole, []) and counts.tolist() == [len(w) for w in whole]
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 1000])
+def test_blocks_round_trip_at_all_lengths(n):
+    ranks = np.random.default_rng(n).integers(0, 1 << 32, n) >> np.random.default_rng(n).integers(0, 32, n)
+    control, data = token_files.encode_block(ranks)
+    assert len(control) == -(-n // 4)
+    assert token_files.decode_block(control, data, n).tolist() == ranks.tolist()
+
+
+def test_ngram_join_equals_brute_force(docs):
+    expected = brute.groups([(i, t) for i, t, _, _ in ROWS])
+    got = ngram_join.similar_groups(docs, "doc_id", "text").collect()
+    assert len(got) == len(ROWS)
+    for row in got:
+        if row.doc_id is None:
+            assert row.component_id is None
+        else:
+            assert (row.n_shingles, row.component_id) == expected[row.doc_id], row
+
+
+def test_ngram_join_with_token_pairs_gives_the_same(docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FREQUENT_SHARE", 0.0)
+    expected = brute.groups([(i, t) for i, t, _, _ in ROWS])
+    for row in ngram_join.similar_groups(docs, "doc_id", "text").where("doc_id IS NOT NULL").collect():
+        assert (row.n_shingles, row.component_id) == expected[row.doc_id], row
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_index_keys_meet_for_every_similar_pair(seed):
+    """Whatever tokens are frequent, two similar sets share a key."""
+    rng = np.random.default_rng(seed)
+    pool = np.sort(rng.choice(1 << 40, 60, replace=False)).astype(np.uint64)
+    sets = []
+    for _ in range(40):
+        base = rng.choice(60, rng.integers(2, 40), replace=False)
+        for _ in range(3):
+            keep = base[rng.random(len(base)) > 0.08]
+            if len(keep):
+                sets.append(np.sort(pool[keep]))
+    frequent = np.sort(rng.choice(pool, 25, replace=False))
+    counts = rng.integers(2, 9, 25)
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    of, keys, _ = ngram_join.index_keys(offsets, np.concatenate(sets), frequent, counts, 4)
+    held = [set(keys[of == i].tolist()) for i in range(len(sets))]
+    for a in range(len(sets)):
+        for b in range(a):
+            both, union = len(np.intersect1d(sets[a], sets[b])), len(np.union1d(sets[a], sets[b]))
+            if 5 * both >= 4 * union and set(sets[a].tolist()) != set(sets[b].tolist()):
+                assert held[a] & held[b]
+
+
+def test_components_of_a_chain_a_star_and_a_ring(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(200, 201), (201, 202), (202, 200)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {n: 0 if n < 100 else 100 if n < 200 else 200 for e in edges for n in e}
+
+
+def test_repeats_equal_brute_force(docs):
+    # One document per pair of key and text: identical rows get the same result.
+    distinct = sorted({(i, t) for i, t, _, _ in ROWS}, key=lambda r: (r[0] is not None, r[0] or 0))
+    expected = {r: k for r, k in zip(distinct, brute.kept_bytes([t for _, t in distinct]), strict=True)}
+    got = repeats.with_kept_bytes(docs, "doc_id", "text", "removed", "spans", "kept").collect()
+    assert len(got) == len(ROWS)
+    by_key = {(i, t or ""): v for (i, t), v in expected.items()}
+    for row in got:
+        assert (bytes(row.kept), row.removed, row.spans) == by_key[row.doc_id, row.text], row.doc_id
+    assert sum(r.removed for r in got) > 5000
+
+
+def test_suffix_order_equals_sorting_with_and_without_spilling():
+    rng = np.random.default_rng(1)
+    for trial in range(150):
+        text = np.append(rng.integers(1, 2 + trial % 4, rng.integers(1, 60)), 0)
+        order = np.concatenate(list(induced.suffix_batches(text, 6, spill=[0, 7, 1 << 20][trial % 3])))
+        assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+
+
+def test_fingerprints_equal_sets_of_paragraphs(docs):
+    got = fingerprints.fingerprints(docs, "doc_id", "text").collect()
+    check_fingerprints(got)
+
+
+def test_fingerprints_retry_with_larger_sketches(docs, monkeypatch):
+    monkeypatch.setattr(fingerprints, "CYCLES", 1)
+    check_fingerprints(fingerprints.fingerprints(docs.where("doc_id < 60 OR doc_id IS NULL OR doc_id > 99"), "doc_id", "text").collect(),
+                       [r for r in ROWS if r[0] is None or r[0] < 60 or r[0] > 99])
+
+
+def check_fingerprints(got, rows=ROWS):
+    texts = {i: t or "" for i, t, _, _ in rows}
+    order = sorted(texts, key=lambda i: (i is not None, i or 0), reverse=True)
+    after = {i: texts[order[(k + 1) % len(order)]] for k, i in enumerate(order)}
+    assert len(got) == len(rows)
+    prints = {}
+    for row in got:
+        own, following = texts[row.doc_id], after[row.doc_id]
+        half = len(own) // 2
+        edited = own[: len(own) - half] + following[:half]
+        assert (row.n_chars, row.edited_sha256) == (len(own), hashlib.sha256(edited.encode()).hexdigest())
+        assert row.near_edited == pytest.approx(brute.jaccard(brute.paragraphs(own), brute.paragraphs(edited)))
+        assert row.near_next == pytest.approx(brute.jaccard(brute.paragraphs(own), brute.paragraphs(following)))
+        assert prints.setdefault(own, row.fingerprint) == row.fingerprint
+        prints.setdefault(edited, row.edited_fingerprint)
+
+
+def test_hilbert_curve_steps_to_neighbours():
+    for dims, bits in ((2, 4), (3, 3), (4, 2)):
+        cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims)).reshape(dims, -1)
+        place = sharding.hilbert_index(cells, bits)
+        assert sorted(place.tolist()) == list(range(1 << (bits * dims)))
+        steps = np.abs(np.diff(cells[:, np.argsort(place)], axis=1)).sum(axis=0)
+        assert (steps == 1).all()
+
+
+def test_shards_are_gapless_and_narrow(docs):
+    got = sharding.hilbert_shards(docs, "doc_id", "text", ["lang", "source"], 7).collect()
+    assert bag((r.doc_id, r.text) for r in got) == bag((i, t) for i, t, _, _ in ROWS)
+    by_shard = collections.defaultdict(list)
+    for row in got:
+        by_shard[row.shard].append(row)
+    sizes = [len(by_shard[s]) for s in range(7)]
+    assert max(sizes) - min(sizes) <= 1
+    last = -1
+    for s in range(7):
+        assert sorted(r.slot for r in by_shard[s]) == list(range(len(by_shard[s])))
+        places = [r.curve for r in sorted(by_shard[s], key=lambda r: r.slot)]
+        assert places == sorted(places) and places[0] >= last
+        last = places[-1]
+
+
+def test_pieces_decode_to_the_text(docs):
+    got = pieces.round_trip(docs, "doc_id", "text", queries.tokenizer_path(queries.PIECES)).collect()
+    assert all(r.same for r in got)
+    assert bag((r.doc_id, r.decoded_sha256) for r in got) == bag(
+        (i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t, _, _ in ROWS
+    )
+
+
+def test_pieces_through_id_columns(docs):
+    path = queries.tokenizer_path(queries.PIECES)
+    ids = pieces.with_ids(docs, "text", path, [F.col("doc_id")], "doc_id long")
+    back = pieces.with_text(ids, "ids", path, [F.col("doc_id")], "doc_id long")
+    assert bag(back.collect()) == bag((i, t or "") for i, t, _, _ in ROWS)
+
+
+def test_piece_search_is_the_best_path(monkeypatch):
+    vocabulary = pieces.Vocabulary.load(queries.tokenizer_path(queries.PIECES))
+    words = ["hello", "transformation", "x", "naïve", "漢字", "ab\ncd", "z" * 30, "internationalisation"]
+    ids, counts = pieces.encode_words(pa.array(words), vocabulary)
+    known = {int(k): (float(s), int(i)) for k, s, i in zip(vocabulary.keys, vocabulary.scores, vocabulary.ids, strict=True)}
+    at = 0
+    for word, n in zip(words, counts, strict=True):
+        raw = np.frombuffer(b"\xff" + word.encode(), np.uint8)
+        best = [0.0] + [None] * len(raw)
+        for end in range(1, len(raw) + 1):
+            options = [best[end - 1] + pieces.BYTE_SCORE]
+            for begin in range(max(0, end - 64), end):
+                hit = known.get(pieces.hash_bytes(raw[begin:end]))
+                if hit:
+                    options.append(best[begin] + hit[0])
+            best[end] = max(options)
+        scores = {i: s for s, i in known.values()}
+        total = sum(scores.get(int(i), pieces.BYTE_SCORE) for i in ids[at : at + n])
+        assert total == pytest.approx(best[-1], abs=1e-3)
+        long_way = pieces.search_long(raw, vocabulary)
+        assert sum(scores.get(int(i), pieces.BYTE_SCORE) for i in long_way) == pytest.approx(best[-1], abs=1e-3)
+        at += n
+
+
+def test_language_codes_on_rows_not_learned_from(spark):
+    rng = random.Random(2)
+    stems = {"aa": ["kor", "lin", "mat"], "bb": ["sche", "ung", "ver"], "cc": ["eau", "oix", "lle"], "dd": ["ñado", "ció", "rra"]}
+    rows = [(i, " ".join(rng.choice(stems[lang]) + rng.choice(stems[lang]) for _ in range(20)), lang)
+            for i in range(200) for lang in [rng.choice(list(stems))]]
+    df = spark.createDataFrame([*rows, (900, None, "aa"), (901, "12 !", "bb"), (902, "kor", None)], "doc_id long, text string, lang string")
+    model = language.fit(df.where("doc_id < 150"), "doc_id", "text", "lang")
+    got = {r.doc_id: r for r in language.predict(df, "text", model, [F.col("doc_id")], "doc_id long").collect()}
+    assert all(got[i].lang_pred == lang for i, _, lang in rows if i >= 150)
+    assert (got[900].lang_pred, got[901].lang_pred, got[902].lang_pred) == ("und", "und", "aa")
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+@pytest.mark.parametrize("classes", [1, 2, 3, 4, 7, 8, 20])
+def test_codewords_differ(classes):
+    code = language.codewords(classes)
+    assert len({tuple(row) for row in code}) == classes
+
+
+def test_toxicity_learns_stems_and_whole_texts(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        words = brute.prose(rng, rng.randint(60, 150)).split()
+        toxic = int(i % 4 == 0)
+        for _ in range(3 * toxic):
+            # Forms of a stem that need not have been seen; placed towards the end of the text.
+            words[-rng.randint(1, 30)] = "grimble" + rng.choice(["", "s", "ing", "ed", "esque", f"x{i}"])
+        rows.append((i, " ".join(words), toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    net = toxicity.fit(df.select("doc_id", "toxic").where("doc_id < 300"), df, "doc_id", "text", "toxic")
+    extra = spark.createDataFrame([(900, None, 0), (901, "", 0)], df.schema)
+    got = toxicity.with_score(df.unionByName(extra), "text", net).where("doc_id >= 300").collect()
+    right = [(r.score >= toxicity.THRESHOLD) == bool(r.toxic) for r in got]
+    assert np.mean(right) > 0.9
+    assert all(0 <= r.score <= 1 for r in got)
+    assert {r.score for r in got if r.doc_id >= 900} == {0.0}
+
+
+def test_network_gradients_are_the_slopes_of_its_loss():
+    net = toxicity.Network()
+    words = pa.array(["ab", "abc", "xyz", "longer", "q"])
+    vocabulary = toxicity.Vocabulary(words)
+    rng = np.random.default_rng(0)
+    net.chars += rng.standard_normal(net.chars.shape).astype(np.float32) * 0.1
+    ids = rng.integers(0, 5, (4, toxicity.WINDOW))
+    ids[1, 20:], ids[2, 3:] = 5, 5  # padding
+    target = np.array([1, 0, 1, 0], np.float32)
+
+    def loss():
+        x = vocabulary.inputs(net)
+        p = 1 / (1 + np.exp(-net.logits(x, ids).astype(np.float64)))
+        return -np.mean(target * np.log(p) + (1 - target) * np.log(1 - p))
+
+    gradients = net.gradients(vocabulary, ids, target)
+    for name in ("wf", "ub", "attend", "out", "bias", "bf"):
+        values = getattr(net, name)
+        for at in [tuple(rng.integers(0, s) for s in values.shape) for _ in range(3)]:
+            step = np.float32(2e-2)
+            values[at] += step
+            above = loss()
+            values[at] -= 2 * step
+            below = loss()
+            values[at] += step
+            assert gradients[name][at] == pytest.approx((above - below) / (2 * step), abs=2e-3)
+
+
+def test_one_class_of_labels_gives_its_share(spark):
+    df = spark.createDataFrame([(1, "a b", 0), (2, "c", 0)], "doc_id long, text string, toxic int")
+    assert toxicity.fit(df, df, "doc_id", "text", "toxic") == 0.0
+    assert toxicity.fit(df.where("false"), df, "doc_id", "text", "toxic") == 0.0
+
+
+def test_empty_tables_give_no_rows(spark, no_docs):
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    word, piece = queries.tokenizer_path(queries.TOKENIZER), queries.tokenizer_path(queries.PIECES)
+    results = [
+        licenses.scan(no_docs, "doc_id", "text"),
+        benchmark.contained_items(no_docs, "doc_id", "text", items, "item_id", "text"),
+        token_files.token_files(no_docs, "doc_id", "text", word, 2),
+        ngram_join.similar_groups(no_docs, "doc_id", "text"),
+        language.predict(no_docs, "text", language.fit(no_docs, "doc_id", "text", "lang"), [F.col("doc_id")], "doc_id long"),
+        repeats.with_kept_bytes(no_docs, "doc_id", "text", "removed", "spans", "kept"),
+        fingerprints.fingerprints(no_docs, "doc_id", "text"),
+        sharding.hilbert_shards(no_docs, "doc_id", "text", ["lang"], 4),
+        pieces.round_trip(no_docs, "doc_id", "text", piece),
+    ]
+    assert [r.count() for r in results] == [0] * len(results)
+
+
+def test_empty_benchmark_finds_nothing(spark, docs):
+    items = spark.createDataFrame([], "item_id long, text string")
+    assert benchmark.contained_items(docs, "doc_id", "text", items, "item_id", "text").count() == 0

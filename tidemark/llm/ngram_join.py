@@ -29,9 +29,9 @@ from tidemark.session import materialise
 SHINGLE = 5
 # Similarity as a fraction, so that all comparisons are between whole numbers.
 NUMERATOR, DENOMINATOR = 4, 5
-# A token is in the frequent class if it is seen in this share of the documents. At most FREQUENT_TOKENS of them, the
-# most frequent ones, are told to the tasks; the choice moves work between both kinds of keys and changes no result.
-FREQUENT_SHARE, FREQUENT_TOKENS = 0.01, 1 << 16
+# A token is in the frequent class if it is seen in this share of the documents. The counts of at most KNOWN_TOKENS, the
+# most frequent ones, are told to the tasks and order the tokens; both only move work and change no result.
+FREQUENT_SHARE, KNOWN_TOKENS = 0.01, 1 << 20
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,28 +106,30 @@ def _typed(kind: int, ids: pa.Array, nodes: np.ndarray, n: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays(columns, names=["kind", "id", "node", "n"])
 
 
-def frequent_tokens(counts: DataFrame, documents: int) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens in ascending order, their counts): the frequent class, FREQUENT_TOKENS at most."""
+def known_tokens(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens in ascending order, their counts) of the most frequent tokens, KNOWN_TOKENS at most."""
     total = materialise(counts.groupBy("node").agg(F.sum("n").alias("n")), "token-counts")
-    least = max(2, int(documents * FREQUENT_SHARE))
-    levels = total.where(F.col("n") >= least).groupBy(F.floor(F.log2("n") * 8).alias("level")).count().collect()
+    level = F.floor(F.log2("n") * 8)
     held, cut = 0, None
-    for row in sorted(levels, key=lambda r: -r["level"]):
-        if held + row["count"] > FREQUENT_TOKENS:
+    for row in sorted(total.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        if held + row["count"] > KNOWN_TOKENS:
             break
         held, cut = held + row["count"], row["level"]
     if cut is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    rows = total.where((F.col("n") >= least) & (F.floor(F.log2("n") * 8) >= cut)).toPandas()
+    rows = total.where(level >= cut).toPandas()
     tokens = rows["node"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], rows["n"].to_numpy(np.int64)[order]
 
 
 def index_keys(
-    offsets: np.ndarray, hashes: np.ndarray, tokens: np.ndarray, counts: np.ndarray
+    offsets: np.ndarray, hashes: np.ndarray, tokens: np.ndarray, counts: np.ndarray, least: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set, key, position of the key's first token) of all sets: rare prefix tokens, and pairs of frequent ones."""
+    """(set, key, position of the key's first token) of all sets: rare prefix tokens, and pairs of frequent ones.
+
+    ``tokens`` with their ``counts`` order the tokens of a set; those with a count of ``least`` or more are frequent.
+    """
     sizes = np.diff(offsets)
     of = np.repeat(np.arange(len(sizes)), sizes)
     place = np.minimum(np.searchsorted(tokens, hashes), max(len(tokens) - 1, 0))
@@ -135,9 +137,9 @@ def index_keys(
     if len(tokens):
         hit = tokens[place] == hashes
         rank[hit] = counts[place[hit]]
-    # Hashes ascend within a set; frequent tokens go to its end, in the order of their counts.
+    # Hashes ascend within a set; tokens with a count go to its end, in the order of their counts.
     order = np.lexsort((hashes, rank, of)) if rank.any() else np.arange(len(hashes))
-    value, often = hashes[order], rank[order] > 0
+    value, often = hashes[order], rank[order] >= max(least, 1)
     position = np.arange(len(hashes)) - np.repeat(offsets[:-1], sizes)
     prefix = np.repeat(sizes - need(sizes) + 1, sizes)
     alone = (position < prefix) & ~often
@@ -155,7 +157,7 @@ def index_keys(
     return np.concatenate(sets), np.concatenate(keys), np.concatenate(places)
 
 
-def index(docs: DataFrame, key: str, text: str, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def index(docs: DataFrame, key: str, text: str, known: tuple[np.ndarray, np.ndarray], least: float) -> DataFrame:
     """(key, n, node, at): the index rows of all sets, each set once per slice however many copies it has there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +167,7 @@ def index(docs: DataFrame, key: str, text: str, frequent: tuple[np.ndarray, np.n
                 sizes, digests = np.diff(offsets), set_digests(offsets, hashes)
                 one = first_of_each(digests, sizes)
                 held = hashes[gather(offsets[one], sizes[one])]
-                sets, keys, places = index_keys(np.concatenate([[0], np.cumsum(sizes[one])]), held, *frequent)
+                sets, keys, places = index_keys(np.concatenate([[0], np.cumsum(sizes[one])]), held, *known, least)
                 columns = [keys.view(np.int64), sizes[one][sets].astype(np.int32), digests[one][sets].view(np.int64)]
                 columns = [pa.array(c) for c in (*columns, places.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "node", "at"])
@@ -175,7 +177,7 @@ def index(docs: DataFrame, key: str, text: str, frequent: tuple[np.ndarray, np.n
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """(key, n, node, at, pivot): the index rows whose key several sets hold, with the first set of the key.
+    """(key, n, node, at, pivot_n, pivot, pivot_at): the index rows whose key several sets hold, with the first such row.
 
     Rows come sorted by key, so a task keeps one row and the current pivot, never a group.
     """
@@ -197,21 +199,23 @@ def shared_keys(rows: DataFrame) -> DataFrame:
             joined = np.concatenate([[last_joined], same]) | np.concatenate([same, [False]])
             starts = np.concatenate([[pivot is None or last is None], ~same])
             begin = np.maximum.accumulate(np.where(starts, np.arange(len(keys)), 0))
-            pivots = np.where(begin > 0, nodes[begin], nodes[0] if starts[0] else pivot)
-            last, last_joined, pivot = [c[-1] for c in cols], bool(joined[-1]), pivots[-1]
+            pivots = [
+                np.where(begin > 0, c[begin], c[0] if starts[0] else pivot[i]) for i, c in enumerate(cols[1:])
+            ]
+            last, last_joined, pivot = [c[-1] for c in cols], bool(joined[-1]), [p[-1] for p in pivots]
             out = np.flatnonzero(joined[:-1])
-            yield _shared([c[out] for c in cols], pivots[out])
+            yield _shared([c[out] for c in (*cols, *pivots)])
         if last is not None and last_joined:
-            yield _shared([np.array([v]) for v in last], np.array([pivot]))
+            yield _shared([np.array([v]) for v in (*last, *pivot)])
 
     ordered = rows.repartition("key").sortWithinPartitions("key", "n", "node")
-    return ordered.mapInArrow(run, "key long, n int, node long, at int, pivot long")
+    return ordered.mapInArrow(run, "key long, n int, node long, at int, pivot_n int, pivot long, pivot_at int")
 
 
-def _shared(cols: list[np.ndarray], pivots: np.ndarray) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
-    columns = [pa.array(c, t) for c, t in zip([*cols, pivots], types, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, names=["key", "n", "node", "at", "pivot"])
+def _shared(cols: list[np.ndarray]) -> pa.RecordBatch:
+    types = [pa.int64(), *[pa.int32(), pa.int64(), pa.int32()] * 2]
+    columns = [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "n", "node", "at", "pivot_n", "pivot", "pivot_at"])
 
 
 def verified(pairs: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -268,12 +272,14 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     members = both.where("kind = 0").select("id", "node", "n")
     named = members.where("n > 0 AND id IS NOT NULL")
     stands_for = named.groupBy("node").agg(F.min("id").alias("id"))
-    frequent = frequent_tokens(both.where("kind = 1"), members.count())
-    held = materialise(shared_keys(index(docs, key, text, frequent)), "join-keys")
+    known = known_tokens(both.where("kind = 1"))
+    held = materialise(shared_keys(index(docs, key, text, known, members.count() * FREQUENT_SHARE)), "join-keys")
 
-    shares = held.where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("shared"))
+    fits = possible(*[F.col(c) for c in ("n", "pivot_n", "at", "pivot_at")])
+    shares = held.where("node <> pivot").where(fits).groupBy("node", "pivot").agg(F.count("*").alias("shared"))
     best = shares.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best"))
-    links = verified(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), stands_for, docs, key, text)
+    tried = materialise(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), "join-first")
+    links = verified(tried, stands_for, docs, key, text)
     first = materialise(components(links), "join-components")
 
     placed = held.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -290,6 +296,8 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
+    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = pairs.join(done, ["a", "b"], "left_anti")
     more = verified(materialise(pairs, "join-pairs"), stands_for, docs, key, text)
     final = components(links.unionByName(more))
 
