@@ -5,10 +5,11 @@ their first common token within both prefixes, and their first two common tokens
 longer. A rare token is therefore indexed alone; of the frequent tokens of an extended prefix all pairs are indexed, so a
 passage that very many documents share never makes one group of all of them.
 
-Links are found in two rounds. The first compares every set with the partner it shares most index keys with, which joins
-the copies of a family to each other in time linear in the family. The second compares, for all keys that still hold
-sets of several components, every pair of sets from different components that passes the length and positional filters.
-No pair that could link two components is left out, and pairs inside a component need not be listed.
+Links are found in rounds. A few rounds compare every set with one partner, the one it shares most index keys with among
+the sets drawn for its keys; they join the copies of a family to each other in time linear in the family. Then, for all
+keys that still hold sets of several components, every pair of sets from different components that passes the length and
+positional filters is compared. No pair that could link two components is left out, and pairs inside a component need
+not be listed.
 
 Documents with equal sets are one node from the start.
 """
@@ -32,6 +33,8 @@ NUMERATOR, DENOMINATOR = 4, 5
 # A token is in the frequent class if it is seen in this share of the documents. The counts of at most KNOWN_TOKENS, the
 # most frequent ones, are told to the tasks and order the tokens; both only move work and change no result.
 FREQUENT_SHARE, KNOWN_TOKENS = 0.01, 1 << 20
+# Rounds with one partner per set after the first and before the pairs that are left.
+ROUNDS = 3
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -261,6 +264,35 @@ def possible(n_a, n_b, at_a, at_b):
     return sizes & (rest * total >= (n_a + n_b) * NUMERATOR)
 
 
+def best_partners(rows: DataFrame) -> DataFrame:
+    """(a, b), a < b: for every node the pivot that it shares most keys with."""
+    shares = rows.groupBy("node", "pivot").agg(F.count("*").alias("shared"))
+    best = shares.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best"))
+    pair = best.select("node", "best.pivot")
+    return pair.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+
+def not_in(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    return pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def open_rows(held: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, n, node, at, component): the index rows of keys that sets of several components hold.
+
+    Copies share whole runs of tokens, so many keys have the same sets. Such keys become one, named by a signature of
+    the sets, with the least position of each set: nothing is lost and no pair is listed for each of them.
+    """
+    placed = held.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    span = placed.groupBy("key").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.xxhash64(F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1))), F.count("*")).alias("sets"),
+    )
+    open_keys = span.where("low <> high").select("key", "sets")
+    rows = placed.join(open_keys, "key").groupBy(F.col("sets").alias("key"), "n", "node", "component")
+    return materialise(rows.agg(F.min("at").alias("at")), "join-open")
+
+
 def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the smallest key that it is linked with, directly or not.
 
@@ -276,19 +308,23 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     held = materialise(shared_keys(index(docs, key, text, known, members.count() * FREQUENT_SHARE)), "join-keys")
 
     fits = possible(*[F.col(c) for c in ("n", "pivot_n", "at", "pivot_at")])
-    shares = held.where("node <> pivot").where(fits).groupBy("node", "pivot").agg(F.count("*").alias("shared"))
-    best = shares.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best"))
-    tried = materialise(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), "join-first")
+    tried = materialise(best_partners(held.where("node <> pivot").where(fits)), "join-pairs")
     links = verified(tried, stands_for, docs, key, text)
-    first = materialise(components(links), "join-components")
-
-    placed = held.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rest = materialise(
-        placed.join(open_keys.where("low <> high").select("key"), "key").select("key", "n", "node", "at", "component"),
-        "join-open",
-    )
-    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("n", "node", "at", "component")]) for s in "ab")
+    for round_ in range(ROUNDS):
+        rest = open_rows(held, links)
+        drawn = rest.groupBy("key").agg(
+            F.min_by(F.struct("n", "node", "at", "component"), F.xxhash64("node", F.lit(round_))).alias("p")
+        )
+        against = rest.join(drawn, "key").where("component <> p.component")
+        against = against.where(possible(F.col("n"), F.col("p.n"), F.col("at"), F.col("p.at")))
+        again = not_in(best_partners(against.select("node", F.col("p.node").alias("pivot"))), tried)
+        again = materialise(again, "join-pairs")
+        tried = tried.unionByName(again)
+        links = links.unionByName(verified(again, stands_for, docs, key, text))
+
+    rest = open_rows(held, links)
+    columns = ("n", "node", "at", "component")
+    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
     pairs = (
         left.join(right, "key")
         .where("node_a < node_b AND component_a <> component_b")
@@ -296,9 +332,7 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = pairs.join(done, ["a", "b"], "left_anti")
-    more = verified(materialise(pairs, "join-pairs"), stands_for, docs, key, text)
+    more = verified(materialise(not_in(pairs, tried), "join-pairs"), stands_for, docs, key, text)
     final = components(links.unionByName(more))
 
     labelled = members.join(final, "node", "left").withColumn("group", F.coalesce("component", "node"))

@@ -31,7 +31,7 @@ MIN_STEPS, EMBEDDING_RATE = 25, 0.1
 # Weight of the prior in the log-odds, in texts; the tables whose first column they fill and training leaves alone.
 PRIOR, FROZEN = 8.0, ("words", "chars")
 THRESHOLD = 0.3
-CHUNK_WINDOWS = 2048
+CHUNK_WINDOWS, CHUNK_WORDS = 2048, 1 << 15
 EDGES = r"^[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$"
 
 
@@ -68,11 +68,15 @@ class Vocabulary:
     def inputs(self, net: Network) -> np.ndarray:
         """The input vector of every word; the last row, all zero, stands for padding."""
         chars = np.zeros((len(self.word), CHAR_DIM + 1), np.float32)
-        full = np.flatnonzero(self.counts)
-        if len(full):
-            begins = (np.cumsum(self.counts) - self.counts)[full]
-            chars[full, :-1] = np.add.reduceat(net.chars[self.grams], begins, axis=0) / self.counts[full][:, None]
-            chars[full, -1] = np.maximum.reduceat(net.chars[self.grams, 0], begins)
+        ends = np.cumsum(self.counts)
+        for at in range(0, len(self.word), CHUNK_WORDS):
+            full = at + np.flatnonzero(self.counts[at : at + CHUNK_WORDS])
+            if len(full):
+                first, last = ends[full[0]] - self.counts[full[0]], ends[full[-1]]
+                begins = ends[full] - self.counts[full] - first
+                rows = net.chars[self.grams[first:last]]
+                chars[full, :-1] = np.add.reduceat(rows, begins, axis=0) / self.counts[full][:, None]
+                chars[full, -1] = np.maximum.reduceat(rows[:, 0], begins)
         x = np.hstack([net.words[self.word], chars])
         return np.vstack([x, np.zeros((1, x.shape[1]), np.float32)])
 
@@ -210,12 +214,6 @@ class Network:
         return out
 
 
-def text_counts(buckets: np.ndarray, text: np.ndarray, size: int, groups: np.ndarray) -> np.ndarray:
-    """(group x bucket): in how many texts of a group a bucket occurs."""
-    bucket, of = np.divmod(np.unique(buckets.astype(np.int64) * len(groups) + text), len(groups))
-    return np.bincount(groups[of] * size + bucket, minlength=(groups.max() + 1) * size).reshape(-1, size)
-
-
 def log_odds(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Shrunken log-odds of standing in a toxic text rather than a clean one, from both counts of texts."""
     n0, n1 = np.maximum(sizes, 1)
@@ -226,29 +224,23 @@ def log_odds(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Odds:
     """Log-odds of all buckets, over all texts or without the texts of one fold."""
 
-    def __init__(self, vocabulary: Vocabulary, codes: np.ndarray, text: np.ndarray, toxic: np.ndarray, part: np.ndarray):
+    def __init__(self, vocabulary: Vocabulary, offsets: np.ndarray, codes: np.ndarray, toxic: np.ndarray, part: np.ndarray):
         groups = part * 2 + toxic
         self.sizes = np.bincount(groups, minlength=2 * FOLDS).reshape(FOLDS, 2)
-        word, of = np.divmod(np.unique(codes * len(toxic) + text), len(toxic))
-        spans = np.searchsorted(word, np.arange(len(vocabulary.word) + 1))
-        per_gram = np.diff(spans)[vocabulary.owner]
-        texts_of = of[gather(spans[:-1][vocabulary.owner], per_gram)]
-        self.tables = []
-        for buckets, of_, size in (
-            (vocabulary.word[word], of, WORD_BUCKETS),
-            (np.repeat(vocabulary.grams, per_gram), texts_of, CHAR_BUCKETS),
-        ):
-            counts = text_counts(buckets, of_, size, groups)
-            full = np.zeros((2 * FOLDS, size), np.int64)
-            full[: len(counts)] = counts
-            self.tables.append(full.reshape(FOLDS, 2, size))
+        self.tables = [np.zeros((2 * FOLDS, size), np.int64) for size in (WORD_BUCKETS, CHAR_BUCKETS)]
+        spans = np.cumsum(vocabulary.counts) - vocabulary.counts
+        for text, group in enumerate(groups.tolist()):
+            words = np.unique(codes[offsets[text] : offsets[text + 1]])
+            grams = vocabulary.grams[gather(spans[words], vocabulary.counts[words])]
+            for table, buckets in zip(self.tables, (vocabulary.word[words], grams), strict=True):
+                table[group, np.unique(buckets)] += 1
 
     def put(self, net: Network, without: int | None = None) -> None:
         """Set the first coordinate of every embedding."""
         used = [f for f in range(FOLDS) if f != without]
         sizes = self.sizes[used].sum(axis=0)
         for table, counts in zip((net.words, net.chars), self.tables, strict=True):
-            table[:, 0] = log_odds(counts[used].sum(axis=0), sizes)
+            table[:, 0] = log_odds(counts.reshape(FOLDS, 2, -1)[used].sum(axis=0), sizes)
 
 
 def train(texts_: list[str], toxic: np.ndarray) -> Network:
@@ -260,12 +252,11 @@ def train(texts_: list[str], toxic: np.ndarray) -> Network:
     net, rng = Network(), np.random.default_rng(5)
     offsets, codes, distinct = read_words(pa.array(texts_, pa.string()))
     vocabulary = Vocabulary(distinct)
-    text = np.repeat(np.arange(len(texts_)), np.diff(offsets))
     ids, owner = windows(offsets, codes, len(distinct))
     if not len(ids):
         return net
     part = rng.permutation(len(texts_)) % FOLDS
-    odds = Odds(vocabulary, codes, text, toxic, part)
+    odds = Odds(vocabulary, offsets, codes, toxic, part)
     moments = {k: (np.zeros_like(getattr(net, k)), np.zeros_like(getattr(net, k))) for k in Network.NAMES}
     step = 0
     for epoch in range(EPOCHS):
