@@ -56,6 +56,8 @@ def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
     return ranks
 
 
+COUNTS = -1  # stands for the shard in the rows that hold counts
+
 # Words of Latin letters alone, which the word-level BPE encodes as one unit, and one mark after them.
 PLAIN_WORD = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+[.,]?$"
 MARKS = (".", ",")
@@ -144,16 +146,18 @@ class WordEncoder:
 def write_ids(df: DataFrame, key: str, text: str, encoder: Callable[[], WordEncoder], path: str) -> None:
     """Blocks of plain ids (no control bytes yet) in ascending order of the key; equal keys by a hash of the text, NULL keys first.
 
-    Texts are tokenised here and nowhere else. Range partitions over key and hash stay even when keys repeat.
+    Texts are tokenised here and nowhere else; a task also leaves a row with its counts of all ids. Range partitions over key and hash stay even when keys repeat.
     """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder()
         start = block = 0
+        total = np.zeros(len(encode.last), np.int64)
         for batch in batches:
             for part in slices(batch, text, SLICE):
                 ids, sizes = encode(texts(part, text))
                 ends = np.cumsum(sizes)
+                total += np.bincount(ids, minlength=len(total))
                 shard, keys = part.column("_shard")[0].as_py(), part.column(key)
                 first = 0
                 while first < len(sizes):
@@ -164,6 +168,8 @@ def write_ids(df: DataFrame, key: str, text: str, encoder: Callable[[], WordEnco
                     yield _row(shard, block, start, own, sizes[first:last].tolist(), None, data)
                     start += int(ends[last - 1]) - done
                     block, first = block + 1, last
+        seen = np.flatnonzero(total)
+        yield _row(COUNTS, 0, 0, seen.tolist(), total[seen].tolist(), None, None)
 
     ordered = df.select(F.col(key).cast("long").alias(key), text).withColumn("_tie", F.xxhash64(text))
     ordered = ordered.repartitionByRange(key, "_tie").sortWithinPartitions(key, "_tie")
@@ -178,21 +184,10 @@ def _row(*values) -> pa.RecordBatch:
 
 
 def id_counts(stored: DataFrame) -> DataFrame:
-    """(id, n) over all blocks; a task adds up its own counts before the shuffle."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for row in batch.to_pylist():
-                found = np.bincount(plain_ids(row["data"], row["n"]))
-                if len(found) > len(total):
-                    found, total = total, found
-                total[: len(found)] += found
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["id", "n"])
-
-    rows = stored.select("data", held().alias("n"))
-    return rows.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    """(id, n) over all texts, from the counts that every task has left beside its blocks."""
+    pairs = F.explode(F.arrays_zip("doc_ids", "n_tokens")).alias("p")
+    rows = stored.where(F.col("shard") == COUNTS).select(pairs)
+    return rows.groupBy(F.col("p.doc_ids").alias("id")).agg(F.sum("p.n_tokens").alias("n"))
 
 
 def plain_ids(data: bytes, n: int) -> np.ndarray:
@@ -265,5 +260,5 @@ def token_files(df: DataFrame, key: str, text: str, tokenizer_path: str, end_id:
     write_ids(df, key, text, lambda: WordEncoder(tokenizer_path, end_id), plain)
     stored = spark.read.schema(BLOCK).parquet(plain)
     by_rank = rank_ids(id_counts(stored))
-    write_ranked(stored, by_rank, ranked)
+    write_ranked(stored.where(F.col("shard") != COUNTS), by_rank, ranked)
     return read_tokens(spark, ranked, by_rank, crc_digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
