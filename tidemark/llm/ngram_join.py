@@ -8,7 +8,7 @@ passage that very many documents share never makes one group of all of them.
 Links are found in rounds. A few rounds compare every set with one partner, the one it shares most index keys with among
 the sets drawn for its keys; they join the copies of a family to each other in time linear in the family. Then, for all
 keys that still hold sets of several components, every pair of sets from different components that passes the length and
-positional filters is compared. No pair that could link two components is left out, and pairs inside a component need
+positional filters and a bound on the difference is compared. No pair that could link two components is left out, and pairs inside a component need
 not be listed.
 
 Documents with equal sets are one node from the start.
@@ -35,6 +35,8 @@ NUMERATOR, DENOMINATOR = 4, 5
 FREQUENT_SHARE, KNOWN_TOKENS = 0.01, 1 << 20
 # Rounds with one partner per set after the first and before the pairs that are left.
 ROUNDS = 3
+# Words of 64 parities per set, by which pairs that differ too much are told before their texts are compared.
+WORDS = 8
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -221,16 +223,41 @@ def _shared(cols: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["key", "n", "node", "at", "pivot_n", "pivot", "pivot_at"])
 
 
-def verified(pairs: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The pairs (a, b) of sets that are similar, by comparing the whole sets of the documents that stand for them."""
-    wanted = materialise(
-        pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        .join(stands_for, "node"),
-        "join-nodes",
-    )
+def node_texts(nodes: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(node, text): a text for every node, from the document that stands for it."""
+    wanted = materialise(nodes.join(stands_for, "node"), "join-nodes")
     read = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     some = read.where(picked_by(wanted.select("id"))(F.col("id"))).join(wanted, "id").select("node", "text")
-    held = materialise(some, "join-texts")
+    return materialise(some, "join-texts")
+
+
+def parities(held: DataFrame) -> DataFrame:
+    """(node, p0 ...): for each of WORDS x 64 classes of tokens whether the set holds an odd number of them.
+
+    Where two sets differ in d tokens, at most d of these bits differ.
+    """
+    columns = [f"p{i}" for i in range(WORDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                offsets, hashes = shingle_sets(texts(part, "text"))
+                sizes, classes = np.diff(offsets), WORDS * 64
+                place = np.repeat(np.arange(len(sizes)), sizes) * classes + (hashes >> np.uint64(40)).astype(np.int64) % classes
+                odd = (np.bincount(place, minlength=len(sizes) * classes) & 1).astype(np.uint8)
+                packed = np.packbits(odd.reshape(-1, classes), axis=1).view(np.int64)
+                named = set_digests(offsets, hashes) == part.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
+                rows = pa.array(np.flatnonzero(named))
+                arrays = [part.column("node").take(rows), *[pa.array(packed[named, i]) for i in range(WORDS)]]
+                yield pa.RecordBatch.from_arrays(arrays, names=["node", *columns])
+
+    return held.mapInArrow(run, "node long, " + ", ".join(f"{c} long" for c in columns)).distinct()
+
+
+def verified(pairs: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The pairs (a, b) of sets that are similar, by comparing the whole sets of the documents that stand for them."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    held = node_texts(nodes, stands_for, docs, key, text)
     left = held.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = held.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
@@ -323,12 +350,16 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         links = links.unionByName(verified(again, stands_for, docs, key, text))
 
     rest = open_rows(held, links)
-    columns = ("n", "node", "at", "component")
-    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
+    bits = parities(node_texts(rest.select("node").distinct(), stands_for, docs, key, text))
+    rest = materialise(rest.join(bits, "node"), "join-parities")
+    own = ("n", "node", "at", "component", *bits.columns[1:])
+    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in own]) for s in "ab")
+    apart = sum((F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in bits.columns[1:]), F.lit(0))
     pairs = (
         left.join(right, "key")
         .where("node_a < node_b AND component_a <> component_b")
         .where(possible(*[F.col(c) for c in ("n_a", "n_b", "at_a", "at_b")]))
+        .where(apart * (NUMERATOR + DENOMINATOR) <= (F.col("n_a") + F.col("n_b")) * (DENOMINATOR - NUMERATOR))
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
