@@ -131,11 +131,11 @@ def paginated_source(spark, sf):
     return read_pages(spark, fetch, orders.schema, page_size=1000, pages_per_task=20)
 
 
-@query("SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders")
+@query("SELECT o_orderkey, o_totalprice, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders")
 def catalog_register(spark, sf):
     path = fresh_dir(spark, "crawled")
     orders = table(spark, sf, "orders")
-    rows = orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("y"))
+    rows = orders.select("o_orderkey", "o_totalprice", "o_orderpriority", F.year("o_orderdate").alias("y"))
     sinks.write_csv(rows, path, partition_by=["y"])
     name = "crawled_" + path.rsplit("-", 1)[1]
     return register_csv(spark, name, path, ["y"]).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
@@ -149,6 +149,9 @@ def partition_replace_load(spark, sf):
     sinks.replace_partitions(loaded, out, "day")
     # The same day once more: replaced, not doubled, and no other day touched.
     sinks.replace_partitions(loaded.where("day = date'2024-01-07'"), out, "day")
+    # A day that an earlier run had stored and that has become empty since goes when its range is loaded again.
+    sinks.replace_partitions(loaded.limit(1).withColumn("day", F.lit("2031-05-05").cast("date")), out, "day")
+    sinks.replace_partitions(loaded.where("false"), out, "day", "2031-05-01", "2031-06-01")
     return spark.read.schema(loaded.schema).parquet(out)
 
 

@@ -28,15 +28,18 @@ def inside(x, y, edges):
     return hits % 2 == 1
 
 
-def assign(spark, points, cell, monkeypatch=None):
+def assign(spark, points, cell):
     edges = spark.createDataFrame(SQUARE + OVERLAP + STAR, EDGE_SCHEMA)
     df = spark.createDataFrame(points, "id int, x double, y double")
-    if monkeypatch:
-        monkeypatch.setattr(spatial, "BROADCAST_EDGES", 1)
-    found = spatial.assign_zones(df, "x", "y", spatial.zone_grid(edges, cell), "zone", "id")
+    found = spatial.assign_zones(df, "x", "y", spatial.zone_grid(edges, cell), "zone")
     return sorted((r["id"], r["zone"] or 0) for r in found.collect())
 
 
+def without_broadcast(spark, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
+
+
 def test_none_one_two_zones_and_an_edge(spark):
     points = [(1, 9.0, 9.0), (2, 1.0, 1.0), (3, 3.0, 3.0), (4, 0.0, 1.0), (5, 4.0, 1.0), (6, None, 1.0)]
     # A point on a left edge is inside, one on a right edge is not, so neighbours never share it.
@@ -45,7 +48,9 @@ def test_none_one_two_zones_and_an_edge(spark):
 
 @pytest.mark.parametrize("cell", [0.7, 3.0, 50.0])
 @pytest.mark.parametrize("shuffled", [False, True])
-def test_equals_brute_force(spark, cell, shuffled, monkeypatch):
+def test_equals_brute_force(spark, cell, shuffled, request):
+    if shuffled:
+        without_broadcast(spark, request)
     rng = random.Random(3)
     points = [(i, rng.uniform(-7, 7), rng.uniform(-7, 7)) for i in range(400)]
     # A third of the points lie in one cell.
@@ -54,7 +59,7 @@ def test_equals_brute_force(spark, cell, shuffled, monkeypatch):
     for i, x, y in points:
         zones = [z[0][0] for z in (SQUARE, OVERLAP, STAR) if inside(x, y, z)]
         expected += [(i, z) for z in zones or [0]]
-    assert assign(spark, points, cell, monkeypatch if shuffled else None) == sorted(expected)
+    assert assign(spark, points, cell) == sorted(expected)
 
 
 def test_bike_rides_get_both_zones(spark):
@@ -66,3 +71,20 @@ def test_bike_rides_get_both_zones(spark):
     edges = spark.createDataFrame(SQUARE + OVERLAP, EDGE_SCHEMA)
     found = bike_rides(trips, spatial.zone_grid(edges, 2.0), "id").orderBy("id").collect()
     assert [(r["start_location_id"], r["end_location_id"]) for r in found] == [(1, 2), (1, None)]
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_overlapping_zones_repeated_and_null_keys(spark, shuffled, request):
+    if shuffled:
+        without_broadcast(spark, request)
+    trips = spark.createDataFrame(
+        [(1, 3.0, 3.0, 1.0, 1.0), (1, 3.0, 3.0, 1.0, 1.0), (None, 1.0, 1.0, 5.0, 5.0), (None, 9.0, 9.0, 3.0, 3.0)],
+        "id int, start_station_longitude double, start_station_latitude double, "
+        "end_station_longitude double, end_station_latitude double",
+    ).selectExpr("*", "60 AS tripduration", "'2021-01-01T00:00:00' AS starttime", "'Fri, 01 Jan 2021 00:01:00 GMT' AS stoptime")
+    edges = spark.createDataFrame(SQUARE + OVERLAP, EDGE_SCHEMA)
+    found = bike_rides(trips, spatial.zone_grid(edges, 2.0), "id").collect()
+    pairs = sorted(((r["id"], r["start_location_id"], r["end_location_id"]) for r in found), key=str)
+    both = [(1, 1, 1), (1, 1, 1), (1, 2, 1), (1, 2, 1)]
+    assert pairs == sorted([*both, (None, 1, 2), (None, None, 1), (None, None, 2)], key=str)
+    assert {(str(r["starttime"]), str(r["stoptime"])) for r in found} == {("2021-01-01 00:00:00", "2021-01-01 00:01:00")}

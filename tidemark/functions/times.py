@@ -46,6 +46,16 @@ def time_band(ts) -> Column:
     return F.coalesce(*bands, F.lit(OTHER_HOURS))
 
 
+def parsed_time(value) -> Column:
+    """A zone-less timestamp from a timestamp, ISO text or an HTTP date such as ``Sun, 06 Nov 1994 08:49:37 GMT``.
+
+    Any other text is NULL. The weekday of an HTTP date says nothing that the date does not.
+    """
+    text = F.regexp_replace(_col(value).cast("string"), r"^[A-Za-z]{3}, ", "")
+    http = F.try_to_timestamp(text, F.lit("dd MMM yyyy HH:mm:ss 'GMT'")).cast("timestamp_ntz")
+    return F.coalesce(_col(value).try_cast("timestamp_ntz"), http)
+
+
 def epoch_date(seconds) -> Column:
     """UTC date of epoch seconds, independent of the session zone."""
     return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(_col(seconds) / 86400).cast("int"))

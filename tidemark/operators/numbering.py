@@ -59,7 +59,7 @@ def leading(df: DataFrame, order_by: list[str], limit: int, offset: int = 0) ->
     last = offset + limit
     if last > TOP_K_ROWS:
         numbered = number_rows(df, order_by, "_rn")
-        return numbered.where((F.col("_rn") > offset) & (F.col("_rn") <= last)).drop("_rn")
+        return numbered.where((F.col("_rn") > offset) & (F.col("_rn") <= last)).orderBy("_rn").drop("_rn")
     branch = Window.partitionBy("_branch").orderBy(*order_by)
     pruned = (
         df.withColumn("_branch", F.spark_partition_id() % MERGE_TASKS)
@@ -84,7 +84,8 @@ def every_nth(
     line = F.col("_line")
     if within:
         starts, _ = with_small(numbered.groupBy(within).agg(F.min("_line").alias("_start")), GROUPS_TO_BROADCAST)
-        numbered = numbered.join(starts, within)
+        starts = starts.withColumnRenamed(within, "_within")
+        numbered = numbered.join(starts, F.col(within).eqNullSafe(F.col("_within"))).drop("_within")
         line = line - F.col("_start") + 1
     return numbered.where((line + header_lines) % n == 0).select(*wanted).na.drop("any")
 

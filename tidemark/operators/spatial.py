@@ -13,10 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import materialise
 
-# Above this many (cell, edge) rows the cells are joined by shuffle instead of being broadcast (about 50 bytes each).
-BROADCAST_EDGES = 200_000
-
-
 def crosses(x, y, x1, y1, x2, y2) -> Column:
     """Whether the ray to the right of (x, y) crosses the edge, which must not be horizontal."""
     return ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
@@ -24,17 +20,16 @@ def crosses(x, y, x1, y1, x2, y2) -> Column:
 
 @dataclass
 class ZoneGrid:
-    """Zones cut into cells of one size, and whether they are few enough to broadcast."""
+    """Zones cut into cells of one size: per zone and cell the edges that matter there."""
 
     cells: DataFrame
     cell: float
-    small: bool
 
 
 def zone_grid(edges: DataFrame, cell: float) -> ZoneGrid:
-    """Cut zones once for any number of joins; the cells are written, so their number is read from file footers."""
-    cells = materialise(cell_edges(edges, cell), "zone-grid")
-    return ZoneGrid(cells, cell, cells.count() <= BROADCAST_EDGES)
+    """Cut zones once for any number of joins. A cell holds the edges of one zone that pass near it."""
+    gathered = cell_edges(edges, cell).groupBy("zone_id", "cx", "cy")
+    return ZoneGrid(materialise(gathered.agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")), "zone-grid"), cell)
 
 
 def cell_edges(edges: DataFrame, cell: float) -> DataFrame:
@@ -55,87 +50,19 @@ def cell_edges(edges: DataFrame, cell: float) -> DataFrame:
     )
 
 
-@dataclass
-class ZoneGrid:
-    """Zones cut into cells of one size, and whether they are few enough to broadcast."""
-
-    cells: DataFrame
-    cell: float
-    small: bool
-
-
-def zone_grid(edges: DataFrame, cell: float) -> ZoneGrid:
-    """Cut zones once for any number of joins; the cells are written, so their number is read from file footers."""
-    cells = materialise(cell_edges(edges, cell), "zone-grid")
-    return ZoneGrid(cells, cell, cells.count() <= BROADCAST_EDGES)
-
-
-def cell_edges(edges: DataFrame, cell: float) -> DataFrame:
-    """(zone_id, cx, cy, x1, y1, x2, y2): per grid cell of a zone the edges that matter there."""
-    bounds = edges.groupBy("zone_id").agg(
-        F.min(F.least("x1", "x2")).alias("left"),
-        F.max(F.greatest("x1", "x2")).alias("right"),
-        F.min(F.least("y1", "y2")).alias("bottom"),
-        F.max(F.greatest("y1", "y2")).alias("top"),
-    )
-    cells = bounds.select(
-        "zone_id",
-        F.explode(F.sequence(_cell("left", cell), _cell("right", cell))).alias("cx"),
-        "bottom",
-        "top",
-    ).select("zone_id", "cx", F.explode(F.sequence(_cell("bottom", cell), _cell("top", cell))).alias("cy"))
-    # A horizontal edge is never crossed.
-    sloped = edges.where("y1 <> y2")
-    # One cell of margin to the left covers the rounding of the crossing point.
-    reach = (
-        (_cell(F.least("y1", "y2"), cell) <= F.col("cy"))
-        & (_cell(F.greatest("y1", "y2"), cell) >= F.col("cy"))
-        & (_cell(F.greatest("x1", "x2"), cell) >= F.col("cx") - 1)
-    )
-    return cells.join(sloped, "zone_id").where(reach)
-
-
-def assign_zones(points: DataFrame, x: str, y: str, grid: ZoneGrid, output: str, key: str) -> DataFrame:
+def assign_zones(points: DataFrame, x: str, y: str, grid: ZoneGrid, output: str) -> DataFrame:
     """Every point with the id of the zone it lies in, NULL if in none, one row per zone if zones overlap.
 
-    ``key`` identifies a point; it is needed only when the zones are too large to broadcast.
+    Crossings are counted where the point's row meets the edges of its cell, so points need no key and equal points stay
+    apart. The join is on the cell without a hint: Catalyst broadcasts small grids, AQE splits hot cells of large ones.
     """
-    if grid.small:
-        return _assign_in_place(points, x, y, grid, output)
-    return _assign_by_shuffle(points, x, y, grid, output, key)
-
-
-def _assign_in_place(points: DataFrame, x: str, y: str, grid: ZoneGrid, output: str) -> DataFrame:
-    """No shuffle of the points: each cell's edges are one array, tested where the point lies."""
-    zones = (
-        grid.cells.groupBy(F.col("zone_id").alias(output), F.col("cx").alias("_cx"), F.col("cy").alias("_cy"))
-        .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_edges"))  # at most BROADCAST_EDGES in all
+    zones = grid.cells.select(
+        F.col("zone_id").alias(output), F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("edges").alias("_edges")
     )
     px, py = F.col(x), F.col(y)
     hits = F.filter("_edges", lambda e: crosses(px, py, e["x1"], e["y1"], e["x2"], e["y2"]))
     same_cell = (_cell(x, grid.cell) == F.col("_cx")) & (_cell(y, grid.cell) == F.col("_cy"))
-    return points.join(F.broadcast(zones), same_cell & (F.size(hits) % 2 == 1), "left").drop("_cx", "_cy", "_edges")
-
-
-def _assign_by_shuffle(points: DataFrame, x: str, y: str, grid: ZoneGrid, output: str, key: str) -> DataFrame:
-    """Edges joined row by row on the cell, crossings counted per point, zones joined back by the point's key."""
-    placed = points.select(
-        F.col(key),
-        F.col(x).alias("_x"),
-        F.col(y).alias("_y"),
-        _cell(x, grid.cell).alias("cx"),
-        _cell(y, grid.cell).alias("cy"),
-    )
-    e = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
-    inside = (
-        placed.join(grid.cells, ["cx", "cy"])
-        .where(crosses(F.col("_x"), F.col("_y"), **e))
-        .groupBy(key, F.col("zone_id").alias(output))
-        .agg(F.count("*").alias("_n"))
-        .where("_n % 2 = 1")
-        .drop("_n")
-    )
-    return points.join(inside, key, "left")
+    return points.join(zones, same_cell & (F.size(hits) % 2 == 1), "left").drop("_cx", "_cy", "_edges")
 
 
 def _cell(coordinate, cell: float) -> Column:

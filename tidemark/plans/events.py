@@ -18,9 +18,12 @@ def event_stats(events: DataFrame, day: str = "date", user: str = "user") -> Dat
 
 
 def backfill_stats(events: DataFrame, ts: str, user: str, start: str, end: str, path: str) -> DataFrame:
-    """Statistics of every interval in [start, end) as one job, each day replacing its own partition of ``path``."""
+    """Statistics of every interval in [start, end) as one job, replacing the days of the range in ``path``.
+
+    A day of the range without events is no longer stored afterwards; days outside the range stay as they are.
+    """
     stats = event_stats(in_interval(events, ts, start, end), ts, user)
-    replace_partitions(stats, path, "date")
+    replace_partitions(stats, path, "date", start, end)
     spark = events.sparkSession
     stored = spark.read.schema(stats.schema).parquet(path)
     return in_interval(stored, "date", start, end).select(*stats.columns)

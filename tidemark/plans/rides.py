@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.times import time_band, weekday_name, weekday_number, whole_seconds
+from tidemark.functions.times import parsed_time, time_band, weekday_name, weekday_number, whole_seconds
 from tidemark.operators.spatial import ZoneGrid, assign_zones
-from tidemark.operators.tables import lookup, union_all
+from tidemark.operators.tables import deduplicate, lookup, union_all
 
 RIDE_COLUMNS = ["tripduration", "starttime", "start_location_id", "stoptime", "end_location_id"]
 
@@ -20,7 +20,7 @@ ROUTE = ["start_location_id", "end_location_id", "weekday", "time_group"]
 
 
 def taxi_rides(trips: DataFrame) -> DataFrame:
-    """Taxi trip records in the shape of a ride; pick-up and drop-off may still be text."""
+    """Taxi trip records in the shape of a ride; pick-up and drop-off may still be text (ISO or HTTP dates)."""
     return (
         trips.withColumnsRenamed(
             {
@@ -30,19 +30,22 @@ def taxi_rides(trips: DataFrame) -> DataFrame:
                 "dropoff_locationid": "end_location_id",
             }
         )
-        .drop("trip_distance")
-        .withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("starttime", "stoptime")})
+        .withColumns({c: parsed_time(c) for c in ("starttime", "stoptime")})
         .withColumn("tripduration", whole_seconds("starttime", "stoptime"))
         .select(*RIDE_COLUMNS)
     )
 
 
 def bike_rides(trips: DataFrame, grid: ZoneGrid, key: str) -> DataFrame:
-    """Bike trips with the zones of their two stations; a station outside all zones has none."""
+    """Bike trips with the zones of their two stations; a station outside all zones has none.
+
+    Times may still be text, as ISO or HTTP dates. ``key`` is kept to tell trips apart.
+    """
+    trips = trips.withColumns({c: parsed_time(c) for c in ("starttime", "stoptime")})
     start = ("start_station_longitude", "start_station_latitude")
     end = ("end_station_longitude", "end_station_latitude")
-    placed = assign_zones(trips, *start, grid, "start_location_id", key)
-    return assign_zones(placed, *end, grid, "end_location_id", key).select(key, *RIDE_COLUMNS)
+    placed = assign_zones(trips, *start, grid, "start_location_id")
+    return assign_zones(placed, *end, grid, "end_location_id").select(key, *RIDE_COLUMNS)
 
 
 def fastest_mode(rides: DataFrame, is_bike) -> DataFrame:
@@ -75,7 +78,11 @@ def ride_report(
     taxi_trips: DataFrame, bike_trips: DataFrame, bike_key: str, grid: ZoneGrid,
     zones: DataFrame, zone_key: str, zone_name: str,
 ) -> DataFrame:
-    """From raw trips of both modes to the named comparison, as one plan."""
+    """From raw trips of both modes to the named comparison, as one plan.
+
+    Files of one run may overlap those of another, so repeated trips count once: equal records, or equal keys for bikes.
+    """
+    taxi_trips, bike_trips = deduplicate(taxi_trips), deduplicate(bike_trips, [bike_key])
     taxis = taxi_rides(taxi_trips).withColumn("by_bike", F.lit(False))
     bikes = bike_rides(bike_trips, grid, bike_key).drop(bike_key).withColumn("by_bike", F.lit(True))
     both = union_all(*[r.withColumn("tripduration", F.col("tripduration").cast("double")) for r in (taxis, bikes)])
@@ -83,7 +90,8 @@ def ride_report(
 
 
 def named_routes(report: DataFrame, zones: DataFrame, zone_key: str, zone_name: str) -> DataFrame:
-    """The report with zone names and day names in place of numbers."""
+    """The report with zone names and day names beside the numbers, in the order of the routes."""
     report = lookup(report, "start_location_id", zones, zone_key, zone_name, "start_zone", UNKNOWN_ZONE)
     report = lookup(report, "end_location_id", zones, zone_key, zone_name, "end_zone", UNKNOWN_ZONE)
-    return report.withColumn("weekday_name", weekday_name("weekday"))
+    # Joins keep no order, so the sort stands after them.
+    return report.withColumn("weekday_name", weekday_name("weekday")).orderBy(*ROUTE)

@@ -60,6 +60,24 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def list_children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder of any file system Spark knows; none if it does not exist."""
+    files, place = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of the library's own making."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

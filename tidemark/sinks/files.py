@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.sources.files import CSV_DIALECT, read_json_array
+from tidemark.session import list_children, remove_path
+from tidemark.sources.files import CSV_DIALECT, NULL_MARK, read_json_array
 
 # Spark's own default stops at milliseconds; its readers accept any number of digits.
 TIMESTAMP_TEXT = {
@@ -14,10 +16,13 @@ TIMESTAMP_TEXT = {
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, partition_by: list[str] | None = None) -> None:
-    """CSV with a header, every field quoted on request. An empty string reads back as NULL."""
+    """CSV with a header, every field quoted on request. NULL and empty text stay apart, see ``NULL_MARK``."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").options(quoteAll=quote_all, **CSV_DIALECT, **TIMESTAMP_TEXT)
+    columns = len(df.columns) - len(partition_by or [])
+    null_text = NULL_MARK if quote_all or columns == 1 else ""
+    options = {"quoteAll": quote_all, "nullValue": null_text, **CSV_DIALECT, **TIMESTAMP_TEXT}
+    writer = df.write.mode("overwrite").options(**options)
     writer.partitionBy(*partition_by or []).csv(path)
 
 
@@ -26,19 +31,30 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(ignoreNullFields=False, **TIMESTAMP_TEXT).json(path)
 
 
-def json_array(df: DataFrame, max_rows: int = 1000) -> str:
-    """A small result as one JSON array; a larger one belongs in ``write_json_lines``."""
+def json_array(df: DataFrame) -> str:
+    """A result that the caller wants as one string: a JSON array of all rows in their order."""
     record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", **TIMESTAMP_TEXT})
-    rows = [r[0] for r in df.limit(max_rows + 1).select(record).collect()]
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows")
-    return f"[{','.join(rows)}]"
+    return f"[{','.join(r[0] for r in df.select(record).toLocalIterator())}]"
 
 
-def write_json_report(df: DataFrame, path: str, max_rows: int = 1000) -> None:
-    """A small ordered result as a file with one JSON array."""
-    text = df.sparkSession.createDataFrame([(json_array(df, max_rows),)], "value string")
-    text.coalesce(1).write.mode("overwrite").text(path)
+def write_json_report(df: DataFrame, path: str) -> None:
+    """An ordered result of any size as one file that holds one JSON array, a record per line.
+
+    One document is written by one task, batch by batch; nothing passes the driver.
+    """
+
+    def lines(batches):
+        begin = "["
+        for batch in batches:
+            if len(batch):
+                rows = batch["value"].tolist()
+                yield batch.assign(value=[begin + rows[0], *["," + r for r in rows[1:]]])
+                begin = ","
+        yield pd.DataFrame({"value": ["[]" if begin == "[" else "]"]})
+
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", **TIMESTAMP_TEXT})
+    text = df.select(record.alias("value")).coalesce(1).mapInPandas(lines, "value string")
+    text.write.mode("overwrite").text(path)
 
 
 def write_array_lines(df: DataFrame, path: str, wrap: str | None = None) -> None:
@@ -57,11 +73,21 @@ def write_array_lines(df: DataFrame, path: str, wrap: str | None = None) -> None
     df.select(record.alias("value")).mapInPandas(pack, "value string").write.mode("overwrite").text(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: str) -> None:
+def replace_partitions(df: DataFrame, path: str, by: str, start: str | None = None, end: str | None = None) -> None:
     """Write ``df``, replacing exactly the partitions of ``path`` that it contains; re-running changes nothing.
 
+    With bounds the whole range start <= ``by`` < end is replaced: its partitions that ``df`` lacks are removed, so an
+    interval that has become empty is empty afterwards. Values and bounds compare as text, as days in ISO form do.
     Rebalancing gathers a partition's rows into few files and splits a partition that is too large for one task.
     """
+    stale = set()
+    if start is not None or end is not None:
+        stored = [c for c in list_children(df.sparkSession, path) if c.startswith(f"{by}=")]
+        values = {c: c.partition("=")[2] for c in stored}
+        stale = {c for c, v in values.items() if (start is None or v >= start) and (end is None or v < end)}
+        if stale:
+            held = df.select(F.col(by).cast("string")).distinct().where(F.col(by).isin([values[c] for c in stale]))
+            stale -= {f"{by}={r[0]}" for r in held.collect()}
     (
         df.hint("rebalance", by)
         .write.mode("overwrite")
@@ -69,6 +95,8 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> None:
         .partitionBy(by)
         .parquet(path)
     )
+    for child in stale:
+        remove_path(df.sparkSession, f"{path}/{child}")
 
 
 def write_run(df: DataFrame, path: str, run_ts: str) -> DataFrame:
@@ -95,13 +123,14 @@ def fingerprint(df: DataFrame) -> tuple:
 
 
 def export_query(df: DataFrame, table: str, table_path: str, path: str) -> None:
-    """Store a result as a temporary table, export the table as CSV, drop the table."""
+    """Store a result as a temporary table, export the table as CSV, drop the table and its files."""
     spark = df.sparkSession
     df.write.mode("overwrite").option("path", table_path).format("parquet").saveAsTable(table)
     try:
         write_csv(spark.table(table), path)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove_path(spark, table_path)
 
 
 def json_to_csv(spark: SparkSession, source, schema, target: str, multi_line: bool = True) -> None:

@@ -10,8 +10,14 @@ import pyarrow as pa
 import pyarrow.csv as pa_csv
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# Quotes inside a field are doubled, as other CSV tools write and read them.
-CSV_DIALECT = {"header": True, "escape": '"'}
+# Quotes inside a field are doubled, as other CSV tools write and read them; blanks around a value belong to it.
+CSV_DIALECT = {
+    "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+# An empty field is NULL and a quoted empty field is empty text. Where every field is quoted, or an empty field would be a
+# blank line, NULL is written as this character from the private-use area instead.
+NULL_MARK = "\ue000"
 
 
 def read_json_array(spark: SparkSession, path, schema, multi_line: bool = True) -> DataFrame:
@@ -31,13 +37,13 @@ def read_nested(spark: SparkSession, path, schema, array: str, multi_line: bool
 
 def read_csv(
     spark: SparkSession, paths, schema, columns: list[str] | None = None, name_glob: str | None = None,
-    modified_after: str | None = None, multi_line: bool = False, null_text: str = "",
+    modified_after: str | None = None, multi_line: bool = False, null_text: str = NULL_MARK,
 ) -> DataFrame:
     """CSV files with a header that must agree with ``schema``; only ``columns`` are parsed.
 
     ``paths`` may be a list or hold wildcards; all files become one scan. ``name_glob`` and ``modified_after`` choose
-    among the files of a landing folder. Files are split between tasks unless fields may hold line breaks. A field
-    with ``null_text`` is NULL.
+    among the files of a landing folder. Files are split between tasks unless fields may hold line breaks. An empty
+    field and one with ``null_text`` are NULL, a quoted empty field is empty text.
     """
     reader = spark.read.schema(schema).options(
         enforceSchema=False, multiLine=multi_line, nullValue=null_text, **CSV_DIALECT

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import uuid
 from collections.abc import Callable
 
@@ -17,11 +18,12 @@ Fetch = Callable[[int, int], dict]
 
 
 class PageRange(InputPartition):
-    """Consecutive pages that one task reads."""
+    """Consecutive pages that one task reads, and what it fetches them with."""
 
-    def __init__(self, first: int, end: int):
+    def __init__(self, first: int, end: int, fetch: Fetch | None = None):
         self.first = first
         self.end = end
+        self.fetch = fetch
 
 
 def page_ranges(total: int, page_size: int, pages_per_task: int, max_tasks: int = 20_000) -> list[PageRange]:
@@ -37,7 +39,9 @@ def read_pages(
     """All records behind ``fetch``, pulled page by page.
 
     The driver asks for the total only. A page is a plain read, so a lost task repeats it without side effects.
-    ``fetch`` must be picklable; bind interval bounds and credentials into it.
+    ``fetch`` must be picklable; bind interval bounds and credentials into it. A fetch with a method ``total`` tells it
+    without a page, and one with a method ``parts`` says how its records are best split between tasks, so that no task
+    decodes what another one decodes too.
     """
     if page_size < 1 or pages_per_task < 1:
         raise ValueError("page_size and pages_per_task must be positive")
@@ -45,11 +49,17 @@ def read_pages(
 
     class Reader(DataSourceReader):
         def partitions(self):
-            return page_ranges(fetch(0, 1)["total"], page_size, pages_per_task) or [PageRange(0, 0)]
+            if hasattr(fetch, "parts"):
+                ranges = [PageRange(*part) for part in fetch.parts(page_size * pages_per_task)]
+            else:
+                total = fetch.total() if hasattr(fetch, "total") else fetch(0, 1)["total"]
+                ranges = page_ranges(total, page_size, pages_per_task)
+            return ranges or [PageRange(0, 0)]
 
         def read(self, pages):
+            own = pages.fetch or fetch
             for offset in range(pages.first, pages.end, page_size):
-                records = fetch(offset, page_size)["result"]
+                records = own(offset, min(page_size, pages.end - offset))["result"]
                 if isinstance(records, pa.Table):
                     yield from records.select(arrow_schema.names).cast(arrow_schema).to_batches()
                 else:
@@ -87,14 +97,38 @@ class ParquetPages:
     def __setstate__(self, state):
         self.__dict__.update(state)
 
+    def total(self) -> int:
+        """The number of records, from the footers."""
+        groups = self._layout()
+        return groups[-1][3] if groups else 0
+
+    def parts(self, rows: int):
+        """(first, end, fetch) of runs of whole row groups with at least ``rows`` records where there are as many.
+
+        Each part fetches with its own groups only, so a task carries no more of the layout than it reads.
+        """
+        own, parts = [], []
+        for group in self._layout():
+            own.append(group)
+            if group[3] - own[0][2] >= rows:
+                parts.append(own)
+                own = []
+        for groups in [*parts, own] if own else parts:
+            part = type(self)(self.uri, self.columns)
+            part._groups = groups
+            yield groups[0][2], groups[-1][3], part
+
     def __call__(self, offset: int, limit: int) -> dict:
         groups = self._layout()
-        total = groups[-1][3] if groups else 0
+        total = self.total()
         parts = []
-        for group in groups:
+        place = max(0, bisect.bisect_right(groups, offset, key=lambda g: g[2]) - 1)
+        while place < len(groups) and groups[place][2] < offset + limit:
+            group = groups[place]
             first, end = max(offset, group[2]), min(offset + limit, group[3])
             if first < end:
                 parts.append(self._read(group).slice(first - group[2], end - first))
+            place += 1
         records = pa.concat_tables(parts) if parts else []
         return {"result": records, "offset": offset, "limit": limit, "total": total}
 
