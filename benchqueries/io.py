@@ -7,6 +7,8 @@ import zipfile
 
 import pyarrow as pa
 import pyarrow.csv as pa_csv
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from benchqueries import query, rounded, table
@@ -107,19 +109,22 @@ def stamp_date_from_path(spark, sf):
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def zip_csv_scan(spark, sf):
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    rows, path = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), fresh_dir(spark, "zips")
 
     def archive(batches):
-        for batch in batches:
-            if batch.num_rows:
-                text, packed = io.BytesIO(), io.BytesIO()
-                pa_csv.write_csv(batch, text)
-                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
-                    z.writestr("data/rows.csv", text.getbuffer())
-                yield pa.RecordBatch.from_pydict({"content": [packed.getvalue()]})
-
-    archives = rows.mapInArrow(archive, "content binary")
-    return sources.zip_csv_rows(archives, rows.schema, "data/*.csv")
+        files, folder = pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        files.create_dir(folder)
+        for i, batch in enumerate(batches):
+            text = io.BytesIO()
+            pa_csv.write_csv(batch, text)
+            # A task that is repeated writes the same names again.
+            name = f"{folder}/{TaskContext.get().partitionId()}-{i}.zip"
+            with files.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
+                z.writestr("data/rows.csv", text.getbuffer())
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows]})
+
+    rows.mapInArrow(archive, "rows long").agg(F.sum("rows")).collect()
+    return sources.zip_csv_rows(sources.read_zip_archives(spark, path), rows.schema, "data/*.csv")
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders")

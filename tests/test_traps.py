@@ -434,3 +434,48 @@ def test_broadcast_only_below_the_bound(spark):
     assert with_small(spark.range(10), 10)[1] is True
     big, small = with_small(spark.range(11), 10)
     assert small is False and big.count() == 11
+
+
+def test_named_routes_come_in_order_without_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        start = dt.datetime(2021, 1, 1, 9)
+        data = [(s, e, start + dt.timedelta(days=d), m, 60.0) for s in range(12) for e in range(5) for d in (0, 3) for m in (True, False)]
+        df = spark.createDataFrame(data, "start_location_id int, end_location_id int, stoptime timestamp_ntz, bike boolean, tripduration double")
+        zones = spark.createDataFrame([(i, f"zone {i}") for i in range(0, 12, 2)], "zone int, name string")
+        found = rides.named_routes(rides.fastest_mode(df, F.col("bike")), zones, "zone", "name").collect()
+        keys = [tuple(r[c] for c in rides.ROUTE) for r in found]
+        assert keys == sorted(keys) and len(keys) > 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_repeated_trips_count_once_in_the_report(spark):
+    edges = [(z, *e) for z, x in ((1, 0.0), (2, 10.0)) for e in ((x, 0.0, x + 4, 0.0), (x + 4, 0.0, x + 4, 4.0), (x + 4, 4.0, x, 4.0), (x, 4.0, x, 0.0))]
+    from tidemark.operators.spatial import zone_grid
+
+    grid = zone_grid(spark.createDataFrame(edges, "zone_id int, x1 double, y1 double, x2 double, y2 double"), 2.0)
+    bikes = [(i, 60 * i, "2021-01-01T09:00:00", "2021-01-01T09:30:00", 1.0, 1.0, 11.0, 1.0) for i in (1, 2)]
+    bikes = spark.createDataFrame(bikes + bikes[:1], "id int, tripduration int, starttime string, stoptime string, start_station_longitude double, start_station_latitude double, end_station_longitude double, end_station_latitude double")
+    taxis = [("Fri, 01 Jan 2021 09:00:00 GMT", "Fri, 01 Jan 2021 09:01:00 GMT", 1, 2, 1.0), ("2021-01-01 09:00:00", "2021-01-01T09:03:00", 1, 2, 1.0)]
+    taxis = spark.createDataFrame(taxis + taxis[:1], "pickup_datetime string, dropoff_datetime string, pickup_locationid int, dropoff_locationid int, trip_distance double")
+    zones = spark.createDataFrame([(1, "one")], "zone int, name string")
+    (row,) = rides.ride_report(taxis, bikes, "id", grid, zones, "zone", "name").collect()
+    assert (row["citibike_avg_seconds"], row["taxi_avg_seconds"], row["fastest"]) == (90.0, 120.0, "Citi Bike")
+
+
+@pytest.mark.parametrize("n", [1, 5, 40])
+def test_top_changes_for_larger_n_equal_all_pairs(spark, n):
+    rng = random.Random(n)
+    data = [(i, float(rng.randint(1, 9)), dt.date(2021, 1, d)) for i in range(6) for d in (1, 1, 1, 2, 9, 9, 9)]
+    data = [(i, float(rng.randint(1, 9)), d) for i, _, d in data]
+    df = spark.createDataFrame(data, "id int, price double, date date")
+    pairs = []
+    for i in range(6):
+        old = [p for k, p, d in data if k == i and d.day == 1]
+        new = [p for k, p, d in data if k == i and d.day == 9]
+        pairs += [((b - a) / 8, i, a, b) for a in old for b in new]
+    expected = sorted(pairs, key=lambda p: (-p[0], *p[1:]))[:n]
+    found = [(r["price_diff_per_day"], r["id"], r["oldest_price"], r["latest_price"]) for r in listings.top_changes(df, "id", "price", "date", n=n).collect()]
+    assert [f[0] for f in found] == [e[0] for e in expected]
+    assert found == expected

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+# Largest changes asked for, up to which the listings that hold them are broadcast.
+FINALISTS_TO_BROADCAST = 10_000
+
 
 def _per_day(listings: DataFrame, id_: str, price: str, date: str) -> DataFrame:
     return listings.select(
@@ -97,7 +100,7 @@ def top_changes(listings: DataFrame, id_: str, price: str, date: str, n: int = 5
     at_first, at_last = F.col("date") == F.col("download_date_min"), F.col("date") == F.col("download_date_max")
     prices = (
         _per_day(listings, id_, price, date)
-        .join(F.broadcast(finalists), "id")  # n rows
+        .join(F.broadcast(finalists) if n <= FINALISTS_TO_BROADCAST else finalists, "id")  # n rows
         .where(at_first | at_last)
         .groupBy("id", "download_date_min", "download_date_max", at_first.alias("first"), "price")
         .agg(F.count("*").alias("copies"))
@@ -108,17 +111,21 @@ def top_changes(listings: DataFrame, id_: str, price: str, date: str, n: int = 5
         F.when(wants_low, F.col("price")).otherwise(-F.col("price"))
     )
     kept = prices.withColumn("_rank", F.row_number().over(extreme_first)).where(F.col("_rank") <= n)
-    entry = F.struct("price", "copies")
+    entry = F.struct("price", "copies", "_rank")
     ends = kept.groupBy("id", "download_date_min", "download_date_max").agg(  # at most n + 1 entries per list
         F.collect_list(F.when(F.col("first"), entry)).alias("old"),
         F.collect_list(F.when(~F.col("first"), entry)).alias("new"),
     )
     change = (F.col("new.price") - F.col("old.price")) / F.datediff("download_date_max", "download_date_min")
+    # Of one listing i x j pairs are at least as large as the pair of the i-th and the j-th extreme price, itself included.
+    before = F.col("old._rank") * F.col("new._rank") - 1
+    copies = F.least(F.col("old.copies") * F.col("new.copies"), F.lit(n) - before)
     pairs = (
         ends.withColumn("old", F.explode("old"))
         .withColumn("new", F.explode("new"))
-        # A pair of prices that occurs several times fills as many places, up to n.
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.col("old.copies") * F.col("new.copies"), F.lit(n)))))
+        .where(before < n)
+        # A pair of prices that occurs several times fills as many places, up to those that are left.
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
         .select(
             "id",
             "download_date_min",

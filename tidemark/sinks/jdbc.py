@@ -18,18 +18,20 @@ def append_run(
 ) -> int:
     """Append one run and return its number of stored rows; raises if they are not the rows that were written.
 
-    A task commits its rows in one transaction, but a task that is lost after its commit is repeated. The count
-    afterwards shows that, and a re-run must first delete the rows of its run time.
+    A run that the table already holds is refused before anything is inserted: its rows must be deleted first. A task
+    commits its rows in one transaction, but a task that is lost after its commit is repeated; the count afterwards
+    shows that.
     """
+    spark, run = df.sparkSession, F.col(column) == F.lit(run_ts).cast("timestamp_ntz")
+    if not read_jdbc(spark, url, table=table, **extra).where(run).isEmpty():
+        raise RuntimeError(f"{table} already holds run {run_ts}; delete its rows first")
     written = Observation()
     # Spread before the write, so that the number of connections does not limit the work before it.
     rows = stamped(df, run_ts, column).repartition(connections).observe(written, F.count(F.lit(1)).alias("rows"))
     rows.write.format("jdbc").mode("append").options(
         url=url, dbtable=table, batchsize=str(batch_size), isolationLevel="READ_COMMITTED", **extra
     ).save()
-    stored = read_jdbc(df.sparkSession, url, table=table, **extra).where(
-        F.col(column) == F.lit(run_ts).cast("timestamp_ntz")
-    ).count()
+    stored = read_jdbc(spark, url, table=table, **extra).where(run).count()
     expected = written.get["rows"]
     if stored != expected:
         raise RuntimeError(f"{table} holds {stored} rows of run {run_ts}, expected {expected}")

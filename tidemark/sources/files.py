@@ -5,9 +5,11 @@ from __future__ import annotations
 import fnmatch
 import re
 import zipfile
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.csv as pa_csv
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # Quotes inside a field are doubled, as other CSV tools write and read them; blanks around a value belong to it.
@@ -90,14 +92,26 @@ def date_from_path(pattern: str = r"(\d{4}-\d{2}-\d{2})[^/]*$") -> Column:
 
 
 def read_zip_archives(spark: SparkSession, path, name_glob: str = "*.zip") -> DataFrame:
-    """Archives as rows of (path, content), a file of at most 2 GB each."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(path).select("path", "content")
+    """The paths of archives; their content is not read here, so they may have any size."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(path).select("path")
 
 
-def zip_csv_rows(archives: DataFrame, schema: T.StructType, member: str = "*.csv", content: str = "content") -> DataFrame:
+def open_file(uri: str) -> pa.NativeFile:
+    """A seekable file on a local disk, HDFS or an object store."""
+    if "://" not in uri and not uri.startswith("file:"):
+        return pafs.LocalFileSystem().open_input_file(uri)
+    uri = uri.replace("s3a://", "s3://", 1)
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem().open_input_file("/" + unquote(uri.removeprefix("file:").lstrip("/")))
+    files, place = pafs.FileSystem.from_uri(uri)
+    return files.open_input_file(place)
+
+
+def zip_csv_rows(archives: DataFrame, schema: T.StructType, member: str = "*.csv", path: str = "path") -> DataFrame:
     """Rows of the CSV members of zipped archives, parallel over archives and block by block within one.
 
-    Python only unpacks and splits; fields arrive as text and Spark casts them. An empty field is NULL.
+    A task seeks in the archive where it lies and holds one block of one member. Python only unpacks and splits; fields
+    arrive as text and Spark casts them. An empty field is NULL.
     """
     names = schema.fieldNames()
     text = pa.schema([(name, pa.string()) for name in names])
@@ -111,12 +125,12 @@ def zip_csv_rows(archives: DataFrame, schema: T.StructType, member: str = "*.csv
             quoted_strings_can_be_null=False,
         )
         for batch in batches:
-            for blob in batch.column(content):
-                with zipfile.ZipFile(pa.BufferReader(blob.as_buffer())) as archive:
+            for uri in batch.column(path).to_pylist():
+                with open_file(uri) as file, zipfile.ZipFile(file) as archive:
                     for name in fnmatch.filter(archive.namelist(), member):
                         with archive.open(name) as handle:
                             yield from pa_csv.open_csv(handle, convert_options=parse)
 
     strings = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = archives.select(content).mapInArrow(unpack, strings)
+    rows = archives.select(path).mapInArrow(unpack, strings)
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
