@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import let
 from tidemark.operators.numbering import number_rows
 from tidemark.session import materialise
 

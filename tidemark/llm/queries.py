@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import benchmark, fingerprints, language, licenses, ngram_join, pieces, repeats, sharding, token_files, toxicity
+from tidemark.llm import (
+    benchmark, fingerprints, language, licenses, ngram_join, pieces, repeats, sharding, token_files, toxicity,
+)
 from tidemark.llm.common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
