@@ -32,13 +32,13 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.in
 
 def encode_block(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """(control, data) of ranks below 2**32."""
-    ranks = ranks.astype("<u4")
+    ranks = ranks.astype("<u4", copy=False)
     spare = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     raw, most = ranks.view(np.uint8).reshape(-1, 4), int(ranks.max(initial=0))
     for limit in (0xFF, 0xFFFF, 0xFFFFFF):
         if most > limit:
             spare[: len(ranks)] += ranks > limit
-    control = (spare.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
+    control = spare[0::4] | spare[1::4] << 2 | spare[2::4] << 4 | spare[3::4] << 6
     width = int(spare.max(initial=0)) + 1
     taken = np.arange(width, dtype=np.uint8) <= spare[: len(ranks), None]
     return control.tobytes(), raw[:, :width][taken].tobytes()
@@ -115,7 +115,7 @@ class WordEncoder:
         ids, sizes = self.plain(bases.dictionary.to_pylist())
         odd_ids, odd_sizes = self.other(words.filter(pc.invert(plain)).to_pylist())
         mark_ids = [np.array(m, np.int64) for m in self.marks]
-        pool = np.concatenate([ids, odd_ids, *mark_ids])
+        pool = np.concatenate([ids, odd_ids, *mark_ids]).astype(np.int32)
         chosen, plain = bases.indices.to_numpy(zero_copy_only=False), plain.to_numpy(zero_copy_only=False)
         # Every word is a run of the pool, and after it the run of its mark, which may be empty.
         starts, counts = np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), np.int64)
@@ -136,7 +136,7 @@ class WordEncoder:
         flat = ids[gather((np.cumsum(sizes) - sizes)[codes], per_word)]
         before = np.concatenate([[0], np.cumsum(per_word)])
         per_text = before[offsets[1:]] - before[offsets[:-1]]
-        with_end = np.full(len(flat) + len(per_text), self.end_id, np.int64)
+        with_end = np.full(len(flat) + len(per_text), self.end_id, np.int32)
         body = np.ones(len(with_end), bool)
         body[np.cumsum(per_text + 1) - 1] = False
         with_end[body] = flat
@@ -210,7 +210,7 @@ def write_ranked(stored: DataFrame, by_rank: np.ndarray, path: str) -> None:
     """The blocks again with ranks for ids; a folder per shard, (shard, block) is the order of the keys."""
 
     def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = np.zeros(int(by_rank.max(initial=0)) + 1, np.int64)
+        rank = np.zeros(int(by_rank.max(initial=0)) + 1, "<u4")
         rank[by_rank] = np.arange(len(by_rank))
         for batch in batches:
             for row in batch.to_pylist():
