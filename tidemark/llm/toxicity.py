@@ -7,6 +7,7 @@ are given for whole texts, so each epoch trains on the window of a text that sco
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 14
 # Character n-grams: all of one size, and the first bytes of a word.
 CHAR_SIZE, STARTS = 5, (3, 4, 5, 6, 7, 8)
 # The network is fitted on at most about this many toxic and clean rows, texts of up to TRAIN_CHARS characters.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1200, 2800, 20_000
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1000, 2000, 8_000
 FOLDS, EPOCHS, PASSES, BATCH, RATE = 4, 8, 2, 64, 0.02
 # Small samples are passed over more often, up to this many steps an epoch; embeddings learn slower than the rest.
 MIN_STEPS, EMBEDDING_RATE = 25, 0.1
@@ -45,14 +46,14 @@ def word_parts(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of the character n-grams of all words, their number per word): inner ones and those at a word's start."""
     grams, counts = word_ngrams(words, CHAR_BUCKETS, (CHAR_SIZE,))
     raw, offsets = string_bytes(words)
-    flat, owner = [grams], [np.repeat(np.arange(len(words)), counts)]
+    flat, owner = [grams.astype(np.int32)], [np.repeat(np.arange(len(words), dtype=np.int32), counts)]
     codes, sizes = np.zeros(len(words), np.uint64), np.diff(offsets)
     for n in range(1, max(STARTS) + 1):
         longer = np.flatnonzero(sizes >= n)
         codes[longer] = codes[longer] * np.uint64(257) + raw[offsets[longer] + n - 1] + np.uint64(1)
         if n in STARTS:
-            flat.append((mix(codes[longer] ^ np.uint64(n << 56)) % np.uint64(CHAR_BUCKETS)).astype(np.int64))
-            owner.append(longer)
+            flat.append((mix(codes[longer] ^ np.uint64(n << 56)) % np.uint64(CHAR_BUCKETS)).astype(np.int32))
+            owner.append(longer.astype(np.int32))
     flat, owner = np.concatenate(flat), np.concatenate(owner)
     return flat[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
@@ -63,7 +64,7 @@ class Vocabulary:
     def __init__(self, words: pa.Array):
         self.word = (hash_strings(words) % np.uint64(WORD_BUCKETS)).astype(np.int64)
         self.grams, self.counts = word_parts(words)
-        self.owner = np.repeat(np.arange(len(words)), self.counts)
+        self.owner = np.repeat(np.arange(len(words), dtype=np.int32), self.counts)
 
     def inputs(self, net: Network) -> np.ndarray:
         """The input vector of every word; the last row, all zero, stands for padding."""
@@ -294,7 +295,7 @@ def train(texts_: list[str], toxic: np.ndarray) -> Network:
 def fit(labelled: DataFrame, docs: DataFrame, key: str, text: str, label: str) -> Network | float:
     """Fit on texts whose key has a label, or give the share of toxic rows if only one class is there.
 
-    The sample of keys is bounded by TRAIN_TOXIC and TRAIN_CLEAN, so it is broadcast to the texts. A key with several
+    The sample of keys is bounded by TRAIN_TOXIC and TRAIN_CLEAN, so it is broadcast to the texts and one task trains. A key with several
     labels counts as toxic if one of them says so.
     """
     rows = labelled.where(F.col(label).isNotNull() & F.col(key).isNotNull())
@@ -309,10 +310,24 @@ def fit(labelled: DataFrame, docs: DataFrame, key: str, text: str, label: str) -
     ]
     sample = rows.where(taken[0] | taken[1])
     found = docs.where(F.length(text) <= TRAIN_CHARS).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    frame = found.join(F.broadcast(sample), "_key").toPandas().sort_values(["_key", "_text"])
+    held = found.join(F.broadcast(sample), "_key").repartition(1)
+    (row,) = held.mapInPandas(learn, "share double, net binary").collect()
+    if not row["net"]:
+        return row["share"]
+    net = Network()
+    net.__dict__.update(pickle.loads(row["net"]))
+    return net
+
+
+def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One task trains on the whole sample: the network, or the share of toxic rows if only one class has texts."""
+    parts = [f for f in frames if len(f)]
+    frame = pd.concat(parts).sort_values(["_key", "_text"]) if parts else pd.DataFrame({"_toxic": [0]})
     if frame["_toxic"].nunique() < 2:
-        return float(frame["_toxic"].max() or 0) if len(frame) else 0.0
-    return train(frame["_text"].tolist(), frame["_toxic"].to_numpy(np.int64))
+        yield pd.DataFrame({"share": [float(frame["_toxic"].max())], "net": [None]})
+    else:
+        net = train(frame["_text"].tolist(), frame["_toxic"].to_numpy(np.int64))
+        yield pd.DataFrame({"share": [np.nan], "net": [pickle.dumps(net.__dict__)]})
 
 
 def score_texts(column: pa.Array, net: Network | float) -> np.ndarray:
