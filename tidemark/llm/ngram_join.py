@@ -5,8 +5,8 @@ their first common token within both prefixes, and their first two common tokens
 longer. A rare token is therefore indexed alone; of the frequent tokens of an extended prefix all pairs are indexed, so a
 passage that very many documents share never makes one group of all of them.
 
-Links are found in rounds. A few rounds compare every set with one partner, the one it shares most index keys with among
-the sets drawn for its keys; they join the copies of a family to each other in time linear in the family. Then, for all
+Links are found in rounds. A few rounds compare every set with one partner, the likeliest among the sets drawn for its
+keys; they join the copies of a family to each other in time linear in the family. Then, for all
 keys that still hold sets of several components, every pair of sets from different components that passes the length and
 positional filters and a bound on the difference is compared. No pair that could link two components is left out, and pairs inside a component need
 not be listed.
@@ -33,10 +33,10 @@ NUMERATOR, DENOMINATOR = 4, 5
 # A token is in the frequent class if it is seen in this share of the documents. The counts of at most KNOWN_TOKENS, the
 # most frequent ones, are told to the tasks and order the tokens; both only move work and change no result.
 FREQUENT_SHARE, KNOWN_TOKENS = 0.01, 1 << 20
-# Rounds with one partner per set after the first and before the pairs that are left.
-ROUNDS = 3
+# Rounds with one partner per set before the pairs that are left.
+ROUNDS = 2
 # Words of 64 parities per set, by which pairs that differ too much are told before their texts are compared.
-WORDS = 8
+WORDS = 16
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +131,9 @@ def known_tokens(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def index_keys(
     offsets: np.ndarray, hashes: np.ndarray, tokens: np.ndarray, counts: np.ndarray, least: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set, key, position of the key's first token) of all sets: rare prefix tokens, and pairs of frequent ones.
+    """(set, key, position) of all sets: rare prefix tokens, and pairs of frequent ones.
+
+    The position says how many tokens of the set are not common if the key holds the first common tokens of a pair.
 
     ``tokens`` with their ``counts`` order the tokens of a set; those with a count of ``least`` or more are frequent.
     """
@@ -158,7 +160,8 @@ def index_keys(
         a, b = np.triu_indices(len(own), 1)
         sets.append(np.full(len(a), s))
         keys.append(mix(value[own[a]] * np.uint64(3) + value[own[b]]))
-        places.append(position[own[a]])
+        # No other token of the set stands before the second of its first two common tokens and is common.
+        places.append(position[own[b]] - 1)
     return np.concatenate(sets), np.concatenate(keys), np.concatenate(places)
 
 
@@ -182,45 +185,38 @@ def index(docs: DataFrame, key: str, text: str, known: tuple[np.ndarray, np.ndar
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """(key, n, node, at, pivot_n, pivot, pivot_at): the index rows whose key several sets hold, with the first such row.
+    """(key, n, node, at): the index rows whose key several sets hold.
 
-    Rows come sorted by key, so a task keeps one row and the current pivot, never a group.
+    Rows come sorted by key, so a task keeps one row, never a group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, last_joined, pivot = None, False, None
+        last, last_joined = None, False
         for batch in batches:
             cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             if last is not None:
                 cols = [np.concatenate([[v], c]) for v, c in zip(last, cols, strict=True)]
-            keys, nodes = cols[0], cols[2]
-            if not len(keys):
+            if not len(cols[0]):
                 continue
-            new = np.ones(len(keys), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+            new = np.ones(len(cols[0]), bool)
+            new[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[2][1:] != cols[2][:-1])
             cols = [c[new] for c in cols]
-            keys, nodes = cols[0], cols[2]
-            same = keys[1:] == keys[:-1]
+            same = cols[0][1:] == cols[0][:-1]
             joined = np.concatenate([[last_joined], same]) | np.concatenate([same, [False]])
-            starts = np.concatenate([[pivot is None or last is None], ~same])
-            begin = np.maximum.accumulate(np.where(starts, np.arange(len(keys)), 0))
-            pivots = [
-                np.where(begin > 0, c[begin], c[0] if starts[0] else pivot[i]) for i, c in enumerate(cols[1:])
-            ]
-            last, last_joined, pivot = [c[-1] for c in cols], bool(joined[-1]), [p[-1] for p in pivots]
-            out = np.flatnonzero(joined[:-1])
-            yield _shared([c[out] for c in (*cols, *pivots)])
+            last, last_joined = [c[-1] for c in cols], bool(joined[-1])
+            yield _shared([c[:-1][joined[:-1]] for c in cols])
         if last is not None and last_joined:
-            yield _shared([np.array([v]) for v in (*last, *pivot)])
+            yield _shared([np.array([v]) for v in last])
 
     ordered = rows.repartition("key").sortWithinPartitions("key", "n", "node")
-    return ordered.mapInArrow(run, "key long, n int, node long, at int, pivot_n int, pivot long, pivot_at int")
+    return ordered.mapInArrow(run, "key long, n int, node long, at int")
 
 
 def _shared(cols: list[np.ndarray]) -> pa.RecordBatch:
-    types = [pa.int64(), *[pa.int32(), pa.int64(), pa.int32()] * 2]
-    columns = [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, names=["key", "n", "node", "at", "pivot_n", "pivot", "pivot_at"])
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["key", "n", "node", "at"]
+    )
 
 
 def node_texts(nodes: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -291,33 +287,42 @@ def possible(n_a, n_b, at_a, at_b):
     return sizes & (rest * total >= (n_a + n_b) * NUMERATOR)
 
 
-def best_partners(rows: DataFrame) -> DataFrame:
-    """(a, b), a < b: for every node the pivot that it shares most keys with."""
-    shares = rows.groupBy("node", "pivot").agg(F.count("*").alias("shared"))
-    best = shares.groupBy("node").agg(F.max(F.struct("shared", "pivot")).alias("best"))
-    pair = best.select("node", "best.pivot")
-    return pair.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+def pair_of(best: DataFrame) -> DataFrame:
+    """(a, b), a < b, of a node and its pivot."""
+    return best.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
 def not_in(pairs: DataFrame, tried: DataFrame) -> DataFrame:
     return pairs.join(tried, ["a", "b"], "left_anti")
 
 
-def open_rows(held: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, n, node, at, component): the index rows of keys that sets of several components hold.
+def grouped_keys(held: DataFrame) -> DataFrame:
+    """(key, n, node, at): one key for all keys that the same sets hold, with the least position of each set.
 
-    Copies share whole runs of tokens, so many keys have the same sets. Such keys become one, named by a signature of
-    the sets, with the least position of each set: nothing is lost and no pair is listed for each of them.
+    Copies share whole runs of tokens, so many keys have the same sets. Named by a signature of the sets, they become one
+    key: no pair is lost, and none is listed for every shared token.
     """
-    placed = held.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    span = placed.groupBy("key").agg(
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.xxhash64(F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1))), F.count("*")).alias("sets"),
-    )
-    open_keys = span.where("low <> high").select("key", "sets")
-    rows = placed.join(open_keys, "key").groupBy(F.col("sets").alias("key"), "n", "node", "component")
-    return materialise(rows.agg(F.min("at").alias("at")), "join-open")
+    signature = F.xxhash64(F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64("node", F.lit(1))), F.count("*"))
+    named = held.groupBy("key").agg(signature.alias("sets"))
+    rows = held.select("key", "n", "node", "at").join(named, "key").groupBy(F.col("sets").alias("key"), "n", "node")
+    return materialise(rows.agg(F.min("at").alias("at")), "join-groups")
+
+
+def open_rows(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of keys that sets of several components hold, with the components; keys only ever close."""
+    placed = rows.drop("component").join(components(links), "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node"))
+    span = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return materialise(placed.join(span.where("low <> high").select("key"), "key"), "join-open")
+
+
+def differing(bits: list[str], a: str, b: str):
+    """How many parities of two sets differ: no more than the tokens that only one of them holds."""
+    return sum((F.bit_count(F.col(a + p).bitwiseXOR(F.col(b + p))) for p in bits), F.lit(0))
+
+
+def close_enough(apart, n_a, n_b):
+    return apart * (NUMERATOR + DENOMINATOR) <= (n_a + n_b) * (DENOMINATOR - NUMERATOR)
 
 
 def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -334,33 +339,32 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     known = known_tokens(both.where("kind = 1"))
     held = materialise(shared_keys(index(docs, key, text, known, members.count() * FREQUENT_SHARE)), "join-keys")
 
-    fits = possible(*[F.col(c) for c in ("n", "pivot_n", "at", "pivot_at")])
-    tried = materialise(best_partners(held.where("node <> pivot").where(fits)), "join-pairs")
-    links = verified(tried, stands_for, docs, key, text)
+    rest = grouped_keys(held)
+    parity = parities(node_texts(rest.select("node").distinct(), stands_for, docs, key, text))
+    bits, own = parity.columns[1:], ("n", "node", "at", "component", *parity.columns[1:])
+    rest = materialise(rest.withColumn("component", F.col("node")).join(parity, "node"), "join-parities")
+    tried = links = docs.sparkSession.createDataFrame([], "a long, b long")
     for round_ in range(ROUNDS):
-        rest = open_rows(held, links)
-        drawn = rest.groupBy("key").agg(
-            F.min_by(F.struct("n", "node", "at", "component"), F.xxhash64("node", F.lit(round_))).alias("p")
-        )
+        drawn = rest.groupBy("key").agg(F.min_by(F.struct(*own), F.xxhash64("node", F.lit(round_))).alias("p"))
         against = rest.join(drawn, "key").where("component <> p.component")
-        against = against.where(possible(F.col("n"), F.col("p.n"), F.col("at"), F.col("p.at")))
-        again = not_in(best_partners(against.select("node", F.col("p.node").alias("pivot"))), tried)
-        again = materialise(again, "join-pairs")
+        against = against.withColumn("apart", differing(bits, "", "p."))
+        against = against.where(close_enough(F.col("apart"), F.col("n"), F.col("p.n")))
+        a, b = F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")
+        pivot = F.when(F.col("a") == F.col("node"), F.col("b")).otherwise(F.col("a"))
+        likely = not_in(against.select(a, b, "node", "apart"), tried)
+        best = likely.groupBy("node").agg(F.min_by(pivot, F.struct("apart", "a", "b")).alias("pivot"))
+        again = materialise(pair_of(best), "join-pairs")
         tried = tried.unionByName(again)
         links = links.unionByName(verified(again, stands_for, docs, key, text))
+        rest = open_rows(rest, links)
 
-    rest = open_rows(held, links)
-    bits = parities(node_texts(rest.select("node").distinct(), stands_for, docs, key, text))
-    rest = materialise(rest.join(bits, "node"), "join-parities")
-    own = ("n", "node", "at", "component", *bits.columns[1:])
-    left, right = (rest.select("key", *[F.col(c).alias(f"{c}_{s}") for c in own]) for s in "ab")
-    apart = sum((F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in bits.columns[1:]), F.lit(0))
+    left, right = (rest.select("key", *[F.col(c).alias(f"{s}_{c}") for c in own]) for s in "ab")
     pairs = (
         left.join(right, "key")
-        .where("node_a < node_b AND component_a <> component_b")
-        .where(possible(*[F.col(c) for c in ("n_a", "n_b", "at_a", "at_b")]))
-        .where(apart * (NUMERATOR + DENOMINATOR) <= (F.col("n_a") + F.col("n_b")) * (DENOMINATOR - NUMERATOR))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        .where("a_node < b_node AND a_component <> b_component")
+        .where(possible(*[F.col(c) for c in ("a_n", "b_n", "a_at", "b_at")]))
+        .where(close_enough(differing(bits, "a_", "b_"), F.col("a_n"), F.col("b_n")))
+        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
         .distinct()
     )
     more = verified(materialise(not_in(pairs, tried), "join-pairs"), stands_for, docs, key, text)
