@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A task works on this much text at a time, whatever the size of an Arrow batch; one longer document is a slice alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 FNV_PRIME = 0x100000001B3
 

@@ -29,7 +29,7 @@ LENGTH, PIECE = 100, 32
 REACH = LENGTH - PIECE + 1  # pieces in a string
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
-SLICE = 4 << 20
+SLICE = 1 << 20
 # A shard of contexts is about this large; one minimiser's contexts stay together whatever their size.
 SHARD_BYTES = 16 << 20
 SCRAMBLED = mix(np.arange(1, 257, dtype=np.uint64))
