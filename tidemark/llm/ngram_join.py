@@ -8,8 +8,8 @@ passage that very many documents share never makes one group of all of them.
 Links are found in rounds. A few rounds compare every set with one partner, the likeliest among the sets drawn for its
 keys; they join the copies of a family to each other in time linear in the family. Then, for all
 keys that still hold sets of several components, every pair of sets from different components that passes the length and
-positional filters and a bound on the difference is compared. No pair that could link two components is left out, and pairs inside a component need
-not be listed.
+positional filters and a bound on the difference is compared. No pair that could link two components is left out, and
+pairs inside a component need not be listed.
 
 Documents with equal sets are one node from the start.
 """
@@ -239,7 +239,8 @@ def parities(held: DataFrame) -> DataFrame:
             for part in slices(batch, "text"):
                 offsets, hashes = shingle_sets(texts(part, "text"))
                 sizes, classes = np.diff(offsets), WORDS * 64
-                place = np.repeat(np.arange(len(sizes)), sizes) * classes + (hashes >> np.uint64(40)).astype(np.int64) % classes
+                place = np.repeat(np.arange(len(sizes)), sizes) * classes
+                place += (hashes >> np.uint64(40)).astype(np.int64) % classes
                 odd = (np.bincount(place, minlength=len(sizes) * classes) & 1).astype(np.uint8)
                 packed = np.packbits(odd.reshape(-1, classes), axis=1).view(np.int64)
                 named = set_digests(offsets, hashes) == part.column("node").to_numpy(zero_copy_only=False).view(np.uint64)

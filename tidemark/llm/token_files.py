@@ -144,9 +144,10 @@ class WordEncoder:
 
 
 def write_ids(df: DataFrame, key: str, text: str, encoder: Callable[[], WordEncoder], path: str) -> None:
-    """Blocks of plain ids (no control bytes yet) in ascending order of the key; equal keys by a hash of the text, NULL keys first.
+    """Blocks of plain ids (no control bytes yet) in ascending order of the key.
 
-    Texts are tokenised here and nowhere else; a task also leaves a row with its counts of all ids. Range partitions over key and hash stay even when keys repeat.
+    Equal keys are ordered by a hash of the text, NULL keys come first. Texts are tokenised here and nowhere else; a task
+    also leaves a row with its counts of all ids. Range partitions over key and hash stay even when keys repeat.
     """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

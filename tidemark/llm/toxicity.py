@@ -1,8 +1,9 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 The inputs of a word are an embedding of its hash, and the mean embedding and the strongest evidence of its character
-n-grams, so unseen forms of a known stem are recognised. The network reads overlapping windows of words; a text scores as its most toxic window. Labels
-are given for whole texts, so each epoch trains on the window of a text that scores highest at the time.
+n-grams, so unseen forms of a known stem are recognised. The network reads overlapping windows of words; a text scores as
+its most toxic window. Labels are given for whole texts, so each epoch trains on the window of a text that scores highest
+at the time.
 """
 
 from __future__ import annotations
@@ -295,8 +296,8 @@ def train(texts_: list[str], toxic: np.ndarray) -> Network:
 def fit(labelled: DataFrame, docs: DataFrame, key: str, text: str, label: str) -> Network | float:
     """Fit on texts whose key has a label, or give the share of toxic rows if only one class is there.
 
-    The sample of keys is bounded by TRAIN_TOXIC and TRAIN_CLEAN, so it is broadcast to the texts and one task trains. A key with several
-    labels counts as toxic if one of them says so.
+    The sample of keys is bounded by TRAIN_TOXIC and TRAIN_CLEAN, so it is broadcast to the texts and one task trains. A
+    key with several labels counts as toxic if one of them says so.
     """
     rows = labelled.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     rows = rows.groupBy(F.col(key).alias("_key")).agg((F.max(label) > 0).cast("int").alias("_toxic"))
