@@ -36,7 +36,9 @@ FREQUENT_SHARE, KNOWN_TOKENS = 0.01, 1 << 20
 # Rounds with one partner per set before the pairs that are left.
 ROUNDS = 2
 # Words of 64 parities per set, by which pairs that differ too much are told before their texts are compared.
-WORDS = 16
+WORDS = 8
+# Tables of up to this many rows of a few numbers, counted after they are written, are broadcast; larger ones shuffle.
+BROADCAST_ROWS = 300_000
 
 
 def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -219,11 +221,16 @@ def _shared(cols: list[np.ndarray]) -> pa.RecordBatch:
     )
 
 
+def hinted(written: DataFrame) -> DataFrame:
+    """A table that has been written, broadcast if its size allows."""
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+
+
 def node_texts(nodes: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """(node, text): a text for every node, from the document that stands for it."""
     wanted = materialise(nodes.join(stands_for, "node"), "join-nodes")
     read = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    some = read.where(picked_by(wanted.select("id"))(F.col("id"))).join(wanted, "id").select("node", "text")
+    some = read.where(picked_by(wanted.select("id"))(F.col("id"))).join(hinted(wanted), "id").select("node", "text")
     return materialise(some, "join-texts")
 
 
@@ -276,7 +283,7 @@ def verified(pairs: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str,
                 rows = pa.array(keep, pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(s).take(rows) for s in ("a", "b")], names=["a", "b"])
 
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    both = left.join(hinted(pairs.select("a", "b")), "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return materialise(both.mapInArrow(run, "a long, b long").distinct(), "join-links")
 
 
@@ -341,9 +348,10 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     held = materialise(shared_keys(index(docs, key, text, known, members.count() * FREQUENT_SHARE)), "join-keys")
 
     rest = grouped_keys(held)
-    parity = parities(node_texts(rest.select("node").distinct(), stands_for, docs, key, text))
+    known_texts = node_texts(rest.select("node").distinct(), stands_for, docs, key, text)
+    parity = materialise(parities(known_texts), "join-parities")
     bits, own = parity.columns[1:], ("n", "node", "at", "component", *parity.columns[1:])
-    rest = materialise(rest.withColumn("component", F.col("node")).join(parity, "node"), "join-parities")
+    rest = materialise(rest.withColumn("component", F.col("node")).join(hinted(parity), "node"), "join-open")
     tried = links = docs.sparkSession.createDataFrame([], "a long, b long")
     for round_ in range(ROUNDS):
         drawn = rest.groupBy("key").agg(F.min_by(F.struct(*own), F.xxhash64("node", F.lit(round_))).alias("p"))
