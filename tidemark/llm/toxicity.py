@@ -26,7 +26,7 @@ WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 14
 # Character n-grams: all of one size, and the first bytes of a word.
 CHAR_SIZE, STARTS = 5, (3, 4, 5, 6, 7, 8)
 # The network is fitted on at most about this many toxic and clean rows, texts of up to TRAIN_CHARS characters.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1000, 2000, 8_000
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 800, 1600, 4_000
 FOLDS, EPOCHS, PASSES, BATCH, RATE = 4, 8, 2, 64, 0.02
 # Small samples are passed over more often, up to this many steps an epoch; embeddings learn slower than the rest.
 MIN_STEPS, EMBEDDING_RATE = 25, 0.1
