@@ -153,6 +153,19 @@ def test_repeats_equal_brute_force(docs):
     assert sum(r.removed for r in got) > 5000
 
 
+@pytest.mark.parametrize("key", [7, None])
+def test_a_repeated_row_without_an_earlier_copy_keeps_its_text(spark, key):
+    rng = random.Random(8)
+    twice, other = brute.prose(rng, 80), brute.prose(rng, 80)
+    rows = [(key, twice), (key, twice), (9, other), (10, twice)]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        cut = repeats.with_kept_bytes(df, "doc_id", "text", "removed", "spans", "kept").collect()
+        got = bag((r.doc_id, r.text, bytes(r.kept), r.removed) for r in cut)
+        whole = [(k, t, t.encode(), 0) for k, t in rows[:3]]
+        assert got == bag([*whole, (10, twice, b"", len(twice.encode()))]), parts
+
+
 def test_suffix_order_equals_sorting_with_and_without_spilling():
     rng = np.random.default_rng(1)
     for trial in range(150):

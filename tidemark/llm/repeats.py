@@ -91,7 +91,8 @@ def anchored(docs: DataFrame) -> DataFrame:
     """(anchor, context, doc, place) of all runs. ``place`` packs first start, repeat flag, distance and count.
 
     Of equal contexts in a slice all but the first are known repeats: they are flagged and get a key of their own, so a
-    passage that a large part of all documents holds is not sent to one task by all of them.
+    passage that a large part of all documents holds is not sent to one task by all of them. Identical rows have the same
+    document number, so they hold the same runs, which are given once; the first run's copies are no repeats of it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,9 +104,11 @@ def anchored(docs: DataFrame) -> DataFrame:
                 document, start, count, distance, anchor, context = runs(raw, offsets)
                 doc = part.column("doc").to_numpy(zero_copy_only=False)[document]
                 order = np.lexsort((start, doc, context, anchor))
-                again = np.zeros(len(order), bool)
-                a, c = anchor[order], context[order]
-                again[order[1:]] = (a[1:] == a[:-1]) & (c[1:] == c[:-1])
+                order = order[_fresh(anchor[order], context[order], doc[order], start[order])]
+                anchor, context, doc, start, distance, count = (
+                    v[order] for v in (anchor, context, doc, start, distance, count)
+                )
+                again = ~_fresh(anchor, context)
                 spread = mix(doc.view(np.uint64) ^ mix(start.astype(np.uint64)))
                 anchor = np.where(again, spread, anchor)
                 place = (start << 16) | (again.astype(np.int64) << 15) | (distance << 8) | count
@@ -115,6 +118,15 @@ def anchored(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, "anchor long, context long, doc long, place long")
 
 
+def _fresh(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row of sorted columns differs from the one before."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
 def repeats_and_questions(rows: DataFrame) -> DataFrame:
     """(repeat, anchor, doc, start, n): runs that are repeats as a whole, and one run of every context of a minimiser
     that has several. Rows come sorted by minimiser, context and position, so a task keeps one row, never a group."""
