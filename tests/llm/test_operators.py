@@ -166,6 +166,28 @@ def test_a_repeated_row_without_an_earlier_copy_keeps_its_text(spark, key):
         assert got == bag([*whole, (10, twice, b"", len(twice.encode()))]), parts
 
 
+def test_a_line_that_most_documents_hold_is_not_sorted_in_one_task(spark, monkeypatch):
+    rng = random.Random(12)
+    line = "".join(rng.choices("abcdefgh ", k=95))
+    sides = ["".join(rng.choices("ijklmnop ", k=90)) for _ in range(20_000)]
+    # Every tenth document has the near side of another one, so that strings across the line are repeats.
+    ends = [sides[2 * i + 1] if i % 10 else sides[1][:45] + sides[2 * i + 1][45:] for i in range(10_000)]
+    texts = [sides[2 * i] + line + ends[i] if i % 10 else sides[0] + line + ends[i] for i in range(10_000)]
+    largest, sort = [], repeats.sorted_repeats
+
+    def spied(rows, shards):
+        largest.append(rows.groupBy("anchor").agg(F.sum(F.length("raw")).alias("n")).agg(F.max("n")).first()[0] or 0)
+        return sort(rows, shards)
+
+    monkeypatch.setattr(repeats, "sorted_repeats", spied)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = repeats.with_kept_bytes(df, "doc_id", "text", "removed", "spans", "kept").collect()
+    expected = brute.kept_bytes(texts)
+    assert {r.doc_id: (bytes(r.kept), r.removed, r.spans) for r in got} == dict(enumerate(expected))
+    assert sum(e[1] for e in expected) > 100_000
+    assert max(largest) <= 1 << 20
+
+
 def test_suffix_order_equals_sorting_with_and_without_spilling():
     rng = np.random.default_rng(1)
     for trial in range(150):

@@ -5,7 +5,8 @@ with the smallest hash, depends on the string alone, so equal strings have equal
 document mostly share theirs and form a run with one context. Of equal contexts of one minimiser all but the first are
 repeats as a whole. What is left to sort are minimisers with several different contexts, the borders of passages and
 edited copies: a task writes these contexts to one text, orders its suffixes by induced sorting with queues that spill to
-disk (``induced``), and reads equal strings off neighbours in that order.
+disk (``induced``), and reads equal strings off neighbours in that order. A minimiser with more contexts than a task should
+hold is dealt out string by string instead: two hashes of a string bring its positions together, wherever they are.
 
 Positions order by document, then by byte. A document is a pair of key and text, and documents with one key are ordered
 by a hash of the text; identical rows are one document and get the same result.
@@ -20,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import mix, picked_by, powers, slices, string_bytes, texts
+from tidemark.llm.common import gather, mix, picked_by, powers, slices, string_bytes, texts
 from tidemark.llm.induced import suffix_batches
 from tidemark.operators.numbering import number_rows
 from tidemark.session import materialise
@@ -28,19 +29,19 @@ from tidemark.session import materialise
 LENGTH, PIECE = 100, 32
 REACH = LENGTH - PIECE + 1  # pieces in a string
 BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
+SECOND = 0xD1342543DE82EF95
 SLICE = 1 << 20
-# A shard of contexts is about this large; one minimiser's contexts stay together whatever their size.
-SHARD_BYTES = 16 << 20
+# A shard of contexts is about this large; one minimiser's contexts stay together up to HOT_BYTES.
+SHARD_BYTES, HOT_BYTES = 16 << 20, 1 << 20
 SCRAMBLED = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 class Substrings:
     """Hashes of any substrings of some bytes, from prefix sums."""
 
-    def __init__(self, raw: np.ndarray):
-        self.back = powers(INVERSE, len(raw) + 1)
-        terms = SCRAMBLED[raw] * powers(BASE, len(raw))
+    def __init__(self, raw: np.ndarray, base: int = BASE):
+        self.back = powers(pow(base, -1, 1 << 64), len(raw) + 1)
+        terms = SCRAMBLED[raw] * powers(base, len(raw))
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
 
     def every(self, length: int) -> np.ndarray:
@@ -187,6 +188,36 @@ def contexts(docs: DataFrame, questions: DataFrame) -> DataFrame:
     return held.select("run.anchor", "doc", "run.start", "run.n", piece.alias("raw"))
 
 
+def dealt_strings(rows: DataFrame) -> DataFrame:
+    """(anchor, context, doc, place) of the single strings of contexts: two hashes stand for minimiser and context.
+
+    As in ``anchored``, of equal strings in a slice only the first is looked up; runs of the others are flagged.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "raw", SLICE):
+                raw, offsets = string_bytes(part.column("raw"))
+                docs, begins, n = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "start", "n"))
+                at, row = gather(offsets[:-1], n.astype(np.int64)), np.repeat(np.arange(len(n)), n)
+                doc, start = docs[row], begins[row] + at - offsets[row]
+                one, two = (Substrings(raw, base).every(LENGTH)[at] for base in (BASE, SECOND))
+                order = np.lexsort((start, doc, two, one))
+                order = order[_fresh(one[order], two[order], doc[order], start[order])]
+                new = _fresh(one[order], two[order])
+                first, again = order[new], np.sort(order[~new])
+                begin = np.flatnonzero(_fresh(row[again], start[again] - np.arange(len(again))))
+                count, again = np.diff(np.append(begin, len(again))), again[begin]
+                spread = mix(doc[again].view(np.uint64) ^ mix(start[again].astype(np.uint64)))
+                place = np.concatenate([(start[first] << 16) | 1, (start[again] << 16) | (1 << 15) | count])
+                both = np.concatenate([first, again])
+                anchor = np.concatenate([one[first], spread])
+                columns = [pa.array(v) for v in (anchor.view(np.int64), two[both].view(np.int64), doc[both], place)]
+                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "context", "doc", "place"])
+
+    return rows.mapInArrow(run, "anchor long, context long, doc long, place long")
+
+
 def sorted_repeats(rows: DataFrame, shards: int) -> DataFrame:
     """(doc, start, n): runs of strings that occur before, in the suffix order of all contexts of a shard."""
 
@@ -290,6 +321,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         return whole
     fewest = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = max(fewest, -(-int(size) // SHARD_BYTES))
+    sizes = questions.groupBy("anchor").agg(F.sum(F.col("n") + LENGTH).alias("size"))
+    hot = materialise(sizes.where(F.col("size") > HOT_BYTES).select("anchor"), "repeat-hot")
+    if not hot.isEmpty():
+        # At most one minimiser per HOT_BYTES of contexts.
+        often = questions.join(F.broadcast(hot), "anchor", "left_semi")
+        questions = questions.join(F.broadcast(hot), "anchor", "left_anti")
+        dealt = repeats_and_questions(dealt_strings(contexts(docs, often))).where("repeat")
+        whole = whole.unionByName(materialise(dealt.select("doc", "start", "n"), "repeat-dealt"))
     more = materialise(sorted_repeats(contexts(docs, questions), shards), "repeat-strings")
     return whole.unionByName(more)
 
