@@ -327,6 +327,20 @@ def test_toxicity_learns_stems_and_whole_texts(spark):
     assert {r.score for r in got if r.doc_id >= 900} == {0.0}
 
 
+def test_toxicity_learns_from_long_clean_texts(spark):
+    rng = random.Random(6)
+    rows = [(i, brute.prose(rng, 1_000), 0) for i in range(60)]
+    for i in range(60, 120):
+        words = brute.prose(rng, 80).split()
+        words[rng.randrange(80)] = words[rng.randrange(80)] = "grimble"
+        rows.append((i, " ".join(words), 1))
+    assert min(len(t) for _, t, toxic in rows if not toxic) > 4_000
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    net = toxicity.fit(df.select("doc_id", "toxic").where("doc_id % 2 = 0"), df, "doc_id", "text", "toxic")
+    got = toxicity.with_score(df.where("doc_id % 2 = 1"), "text", net).collect()
+    assert np.mean([(r.score >= toxicity.THRESHOLD) == bool(r.toxic) for r in got]) > 0.9
+
+
 def test_network_gradients_are_the_slopes_of_its_loss():
     net = toxicity.Network()
     words = pa.array(["ab", "abc", "xyz", "longer", "q"])

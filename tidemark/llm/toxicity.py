@@ -25,8 +25,8 @@ HIDDEN, WORD_DIM, CHAR_DIM = 8, 6, 6
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 14
 # Character n-grams: all of one size, and the first bytes of a word.
 CHAR_SIZE, STARTS = 5, (3, 4, 5, 6, 7, 8)
-# The network is fitted on at most about this many toxic and clean rows, texts of up to TRAIN_CHARS characters.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 800, 1600, 4_000
+# The network is fitted on at most about this many toxic and clean rows, texts of any length.
+TRAIN_TOXIC, TRAIN_CLEAN = 800, 1600
 FOLDS, EPOCHS, PASSES, BATCH, RATE = 4, 8, 2, 64, 0.02
 # Small samples are passed over more often, up to this many steps an epoch; embeddings learn slower than the rest.
 MIN_STEPS, EMBEDDING_RATE = 25, 0.1
@@ -296,8 +296,8 @@ def train(texts_: list[str], toxic: np.ndarray) -> Network:
 def fit(labelled: DataFrame, docs: DataFrame, key: str, text: str, label: str) -> Network | float:
     """Fit on texts whose key has a label, or give the share of toxic rows if only one class is there.
 
-    The sample of keys is bounded by TRAIN_TOXIC and TRAIN_CLEAN, so it is broadcast to the texts and one task trains. A
-    key with several labels counts as toxic if one of them says so.
+    The sample of keys is bounded by TRAIN_TOXIC and TRAIN_CLEAN, so it is broadcast to the texts and one task trains, on
+    all windows of the drawn texts. A key with several labels counts as toxic if one of them says so.
     """
     rows = labelled.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     rows = rows.groupBy(F.col(key).alias("_key")).agg((F.max(label) > 0).cast("int").alias("_toxic"))
@@ -310,7 +310,7 @@ def fit(labelled: DataFrame, docs: DataFrame, key: str, text: str, label: str) -
         (F.col("_toxic") == c) & (draw < int(1_000_000 * min(1.0, bound[c] / counts[c])) + 1) for c in (0, 1)
     ]
     sample = rows.where(taken[0] | taken[1])
-    found = docs.where(F.length(text) <= TRAIN_CHARS).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    found = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     held = found.join(F.broadcast(sample), "_key").repartition(1)
     (row,) = held.mapInPandas(learn, "share double, net binary").collect()
     if not row["net"]:
