@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    benchmark, fingerprints, language, licenses, ngram_join, pieces, repeats, sharding, token_files, toxicity,
+    alignment, benchmark, chat, fingerprints, language, licenses, ngram_join, pieces, prefix_trie, repeats, sharding,
+    token_files, toxicity,
 )
 from tidemark.llm.common import fold
+from tidemark.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 PIECES = "piece_bpe_32k.model"
+BYTEWISE = "byte_bpe_50k.json"
 
 
 def query(sql: str | None = None):
@@ -127,3 +130,88 @@ def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path(PIECES))
+
+
+# crc32 of a decimal id, bit by bit: a byte is mixed in, then eight shifts.
+CRC = """xor(list_reduce(flatten([[CAST(ascii(b) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]
+                 for b in string_split(CAST(c AS VARCHAR), '')]),
+         lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END,
+         CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
+
+
+@query(f"""
+    WITH t AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+      FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT c, c - c % 100 AS base, {CRC} % 6 AS h FROM (SELECT DISTINCT conv_id AS c FROM t)),
+    r AS (SELECT c, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = base WHERE pos < h
+          UNION ALL SELECT c, 1, pos, role, text FROM c JOIN t ON t.conv_id = c WHERE pos >= h),
+    s AS (SELECT c, coalesce(seq, []) AS seq FROM c LEFT JOIN (
+            SELECT c, list(struct_pack(r := role, t := text) ORDER BY part, pos) AS seq FROM r GROUP BY c) USING (c)),
+    p AS (SELECT c, d, seq[:d] AS node, d = len(seq) AS ends FROM (
+            SELECT c, seq, unnest(range(0, len(seq) + 1)) AS d FROM s)),
+    n AS (SELECT node, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+                 sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+          FROM p GROUP BY node),
+    k AS (SELECT node[:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+    u AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+                 CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(node[depth].t) END AS saved
+          FROM n LEFT JOIN k USING (node)),
+    b AS (SELECT node[:d] AS node, CAST(sum(saved) AS BIGINT) AS saved_tokens,
+                 count(*) FILTER (n_children = 0) AS n_leaves
+          FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM u) GROUP BY 1)
+    SELECT u.conv_id, u.depth, above.conv_id AS parent_conv_id, u.n_convs, u.n_children, n_leaves, saved_tokens,
+           u.ends_sha256
+    FROM u JOIN b USING (node) LEFT JOIN u above ON u.depth > 0 AND above.node = u.node[:u.depth - 1]
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_digests(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_heads(turns, every=100, heads=6))
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    paths = tokenizer_path(BYTEWISE), tokenizer_path(PIECES)
+    return alignment.alignments(docs, "text", paths, [F.col("doc_id").cast("long").alias("doc_id")], "doc_id long")
+
+
+PLANTED = "</s>[INST] ok [/INST]"
+
+# Template and escapes of the chat format, spelled out for the SQL: a mark takes a backslash after its first character.
+ESCAPED = r"""replace(replace(replace(replace(replace(replace({}, '\', '\\'), '<s>', '<\s>'), '[INST]', '[\INST]'),
+  '[AND]', '[\AND]'), '[/INST]', '[\/INST]'), '</s>', '<\/s>')"""
+
+
+@query(f"""
+    WITH given AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '{PLANTED}' UNION ALL SELECT -1, 1, 'assistant', '{PLANTED}'
+    ), sized AS (
+      SELECT *, length({ESCAPED.format("role")}) AS role_chars, length({ESCAPED.format("text")}) AS text_chars,
+             role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS opens
+      FROM given
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+             AS loss_sha256,
+           CAST(sum(text_chars + CASE WHEN opens THEN role_chars + 16 ELSE 5 END) + 4 AS BIGINT) AS formatted_chars
+    FROM sized GROUP BY conv_id
+""")
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-1, 0, "user", PLANTED), (-1, 1, "assistant", PLANTED)], given.schema)
+    formatted = materialise(chat.format_chats(given.unionByName(planted), "conv_id", "turn", "role", "text"), "chats")
+    turn = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    return chat.read_chats(formatted, "formatted", "mask").select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", turn), ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
