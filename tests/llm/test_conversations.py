@@ -183,7 +183,7 @@ def plain_alignment(texts, paths):
             rows.append(empty)
             continue
         x = a.encode(" " + text, add_special_tokens=False)
-        ids, y = x.ids, b.encode(text)
+        own_a, y = x.ids, b.encode(text)
         raw_a = [bytes(chars[c] for c in t) for t in x.tokens]
         raw_b = [bytes([int(p[3:-1], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
                  for i, p in ((i, b.id_to_piece(i)) for i in y)]
@@ -194,11 +194,11 @@ def plain_alignment(texts, paths):
         owner_a = [i for i, t in enumerate(raw_a) for _ in t]
         owner_b = [i for i, t in enumerate(raw_b) for _ in t]
         met = sorted(set(zip(owner_a, owner_b)))
-        links = [(ids[i], y[j]) for i, j in met]
+        links = [(own_a[i], y[j]) for i, j in met]
         groups, at, own = [], 0, ([], [])
         for place in range(len(whole)):
             ends = [place + 1 == len(whole) or o[place] != o[place + 1] for o in (owner_a, owner_b)]
-            for side, (end, o, ids) in enumerate(zip(ends, (owner_a, owner_b), (ids, y))):
+            for side, (end, o, ids) in enumerate(zip(ends, (owner_a, owner_b), (own_a, y))):
                 if end:
                     own[side].append(str(ids[o[place]]))
             if all(ends):
@@ -206,7 +206,7 @@ def plain_alignment(texts, paths):
                 own = ([], [])
         for pair in links:
             counts[pair] = counts.get(pair, 0) + 1
-        rows.append((len(ids), len(y), len(groups), links, hashlib.sha256(";".join(groups).encode()).hexdigest()))
+        rows.append((len(own_a), len(y), len(groups), links, hashlib.sha256(";".join(groups).encode()).hexdigest()))
     most = {}
     for (_, j), n in counts.items():
         most[j] = max(most.get(j, 0), n)

@@ -16,15 +16,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.common import let
+
 # Every mark opens with a character that it does not hold again, so no mark can begin in a text and end in a mark.
 BEGIN, SAYS, MORE, END, CLOSE = "<s>", "[INST]", "[AND]", "[/INST]", "</s>"
 MARKS = [BEGIN, SAYS, MORE, END, CLOSE]
 ROLE_UNDER_LOSS = "assistant"
 
-_AROUND_MARKS = "|".join(
-    f"(?{look}{alternatives})" for look in ("<=", "=") for alternatives in [r"</?s>|\[/?INST\]|\[AND\]"]
-)
-
 
 def escaped(text: Column) -> Column:
     """The text without marks: backslashes doubled, one more after the first character of every mark."""
@@ -35,8 +33,8 @@ def escaped(text: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    """The inverse of ``escaped``."""
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+    """The inverse of ``escaped``; few texts hold a backslash."""
+    return F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"(?s)\\(.)", "$1")).otherwise(text)
 
 
 def format_chats(df: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -69,17 +67,26 @@ def read_chats(df: DataFrame, formatted: str, mask: str) -> DataFrame:
     whole = F.col(formatted)
     blocks = F.split(F.left(whole, F.length(whole) - len(CLOSE)), r"\[/INST\]")
     turns = F.flatten(F.transform(F.filter(blocks, lambda b: b != ""), _turns_of_block))
-    segments = F.filter(F.split(whole, _AROUND_MARKS), lambda s: s != "")
-    runs = F.col(mask)
-    fits = F.transform(segments, F.length) == F.col(f"{mask}.chars")
-    masked = F.filter(F.arrays_zip(segments.alias("segment"), runs.alias("run")), lambda p: p["run"]["loss"])
-    learned = F.array_join(F.transform(masked, lambda p: unescaped(p["segment"])), "")
-    return df.withColumns(
-        {
-            "turns": turns,
-            "learned": F.when(fits, learned).otherwise(F.raise_error(F.lit("the mask does not fit the text"))),
-        }
-    )
+    return df.withColumns({"turns": turns, "learned": let(_cut_at_marks(whole), lambda s: _learned(s, F.col(mask)))})
+
+
+def _cut_at_marks(formatted: Column) -> Column:
+    """The marks and the texts between them, in order. ``CLOSE`` stands only at the end, so it can part the others."""
+    body = F.left(formatted, F.length(formatted) - len(CLOSE))
+    for mark in MARKS[:-1]:
+        body = F.replace(body, F.lit(mark), F.lit(CLOSE + mark + CLOSE))
+    return F.concat(F.filter(F.split(body, CLOSE), lambda s: s != ""), F.array(F.lit(CLOSE)))
+
+
+def _learned(segments: Column, runs: Column) -> Column:
+    fits = F.transform(segments, F.length) == F.transform(runs, lambda r: r["chars"])
+    masked = F.filter(F.zip_with(segments, runs, _masked_segment), lambda s: s.isNotNull())
+    joined = F.array_join(F.transform(masked, unescaped), "")
+    return F.when(fits, joined).otherwise(F.raise_error(F.lit("the mask does not fit the text")))
+
+
+def _masked_segment(segment: Column, run: Column) -> Column:
+    return F.when(run["loss"], segment)
 
 
 def _blocks(turns: Column) -> Column:
