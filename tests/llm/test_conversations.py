@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,14 +231,24 @@ def test_alignment_equals_a_walk_over_bytes(spark, docs, paths):
     assert sorted((tuple(r) for r in got), key=key) == sorted(expected, key=key)
 
 
-def test_alignment_in_parts_and_small_slices(spark, docs, paths, monkeypatch):
-    texts = [r.text for r in docs.select("text").collect()] + AWKWARD
+def test_long_texts_go_part_by_part(docs, paths, monkeypatch):
+    texts = [t for t in [r.text for r in docs.select("text").collect()] + AWKWARD if t and len(t) < 5000]
     tools = alignment.Tokenizers.load(*paths)
-    whole, pairs = alignment.align([t or "" for t in texts], tools)
-    monkeypatch.setattr(alignment, "PART", 7)
-    again, same = alignment.align([t or "" for t in texts], tools)
-    assert whole == again and all(np.array_equal(p, q) for p, q in zip(pairs, same))
-    assert len(list(alignment.cut(texts[0]))) > 5
+    whole = [alignment.rows_of(pa.array([t]), tools)[0] for t in texts]
+    together = alignment.rows_of(pa.array(texts), tools)
+    monkeypatch.setattr(alignment, "SLICE", 7)
+    in_parts = [alignment.rows_of(pa.array([t]), tools)[0] for t in texts]
+    for x, y, z in zip(whole, together, in_parts, strict=True):
+        assert str(x) == str(y) == str(z)
+    assert len(list(alignment.cut(texts[0]))) > 5 and any(r.n_groups for r in whole)
+
+
+@pytest.mark.parametrize("space", ["\u00a0", "\u0085", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\x1c", "\n"])
+def test_units_keep_wider_white_space_together(space):
+    texts = [f"a {space}b c", f"a{space} b c", f"é {space} é è", "", " ", "x", " a b "]
+    units, counts = alignment.units_of(pa.array(texts))
+    assert units.to_pylist() == [f"a {space}b", "c", f"a{space} b", "c", f"é {space} é", "è", " ", "x", " a", "b "]
+    assert counts.tolist() == [2, 2, 2, 0, 1, 1, 2]
 
 
 def test_alignment_lists_of_many_slices(spark, docs, paths, monkeypatch):

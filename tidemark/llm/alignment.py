@@ -9,19 +9,22 @@ How often an id pair is linked in the whole corpus is counted over slices: each
 list of its distinct pairs, documents refer to places in that list, and the counts come back to the slices by a join, so
 no document is encoded twice and no table of pairs is broadcast or collected by this module.
 
+Neither tokenizer has a token across a single space between two other characters, where every text is cut into units:
+equal units of a slice are encoded once, and a very long text is aligned part by part.
+
 A NULL or empty text, and one whose tokens do not spell it byte for byte, has no tokens. Rows are taken one by one:
 repeated rows and rows without id give rows of their own, but their links count like any others. Only named columns are
-read; an empty table gives no rows. Very long texts are encoded in parts, cut at single spaces, where neither tokenizer
-has a token across; all parts of one text are aligned in one task.
+read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +35,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.llm.common import gather, slices, string_bytes, texts
 from tidemark.session import materialise
 
-PART = 1 << 17  # characters of a long text that are encoded at once
-SLICE = 1 << 19  # bytes of texts that are encoded and aligned at once
+SLICE = 1 << 20  # bytes of texts that are aligned at once
+TOGETHER = 64  # units that are encoded as one text
 LISTED = 8 << 20  # bytes of texts that share one list of distinct pairs
+WIDE_SPACES = (0xC2, 0xE1, 0xE2, 0xE3)  # first bytes of all white space beyond ASCII in UTF-8
 MARK = "▁"  # stands for a space in pieces
 ID_BITS = 20
 
@@ -51,6 +55,7 @@ class Tokenizers:
     starts_a: np.ndarray
     raw_b: np.ndarray
     starts_b: np.ndarray
+    sizes: tuple[np.ndarray, np.ndarray]
     signed: pa.Array
     first_b: int
 
@@ -78,23 +83,81 @@ class Tokenizers:
         signed += [f"{i}{sign}" for i in range(size_b) for sign in (",", ";", "")]
         joined_a, places_a = string_bytes(pa.array(raw_a, pa.binary()))
         joined_b, places_b = string_bytes(pa.array(raw_b, pa.binary()))
-        return cls(a, b, joined_a, places_a, joined_b, places_b, pa.array(signed, pa.large_string()), 2 * size_a)
-
-    def encode(self, strings: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The ids of every non-empty text from both tokenizers, the first one with a space put before the text."""
-        owner, parts = [], []
-        for row, text in enumerate(strings):
-            for part in cut(text):
-                owner.append(row)
-                parts.append(part)
-        a = self.bytewise.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        b = self.pieces.encode(parts, num_threads=1)
-        ids = [[[] for _ in strings] for _ in range(2)]
-        for row, x, y in zip(owner, a, b, strict=True):
-            ids[0][row].append(np.array(x.ids, np.int64))
-            ids[1][row].append(np.array(y, np.int64))
-        none = np.zeros(0, np.int64)
-        return tuple([np.concatenate(own) if own else none for own in side] for side in ids)
+        sizes = np.diff(places_a), np.diff(places_b)
+        return cls(a, b, joined_a, places_a, joined_b, places_b, sizes, pa.array(signed, pa.large_string()), 2 * size_a)
+
+    def encode(self, units: pa.Array) -> tuple[Encoded, Encoded]:
+        """Every unit in both tokenizers, the first one with a space put before it.
+
+        Units that begin and end without white space are encoded many at a time with single spaces between them, and
+        told apart by the bytes of their tokens; where these do not fit, the units are encoded one by one.
+        """
+        raw, places = string_bytes(units)
+        joinable = cuttable(raw, places[1:] - 1, places[:-1])
+        new = np.arange(len(units)) % TOGETHER == 0
+        new |= ~joinable
+        new[1:] |= ~joinable[:-1]
+        starts = np.flatnonzero(new)
+        strings, ends = units.to_pylist(), np.append(starts[1:], len(units))
+        chunks = pa.array([" ".join(strings[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
+        sizes, done, found = np.diff(places) + 1, 0, ([], [])
+        for part in slices(pa.RecordBatch.from_arrays([chunks], names=["chunk"]), "chunk", SLICE // 4):
+            joined = part.column(0).to_pylist()
+            a = self.bytewise.encode_batch([" " + u for u in joined], add_special_tokens=False)
+            b = self.pieces.encode(joined, num_threads=1)
+            for k in range(len(joined)):
+                first, end = starts[done + k], ends[done + k]
+                want = np.cumsum(sizes[first:end])
+                for side, ids in enumerate((a[k].ids, b[k])):
+                    ids = np.array(ids, np.int64)
+                    counts = told_apart(np.cumsum(self.sizes[side][ids]), want)
+                    if counts is None:
+                        alone = [self.one(side, u) for u in strings[first:end]]
+                        ids, counts = np.concatenate(alone), np.array([len(x) for x in alone])
+                    found[side].append((ids, counts))
+            done += len(joined)
+        return tuple(Encoded(*map(np.concatenate, zip(*own, strict=True))) for own in found)
+
+    def one(self, side: int, unit: str) -> np.ndarray:
+        """The ids of one unit from one of the tokenizers."""
+        ids = self.pieces.encode(unit) if side else self.bytewise.encode(" " + unit, add_special_tokens=False).ids
+        return np.array(ids, np.int64)
+
+
+def told_apart(ends: np.ndarray, want: np.ndarray) -> np.ndarray | None:
+    """Tokens per unit, from where the tokens and the units end; None where no token ends with a unit."""
+    if len(want) == 1:
+        return np.array([len(ends)])
+    if not len(ends) or ends[-1] != want[-1]:
+        return None
+    at = np.searchsorted(ends, want)
+    return np.diff(at, prepend=-1) if (ends[at] == want).all() else None
+
+
+@dataclass
+class Encoded:
+    """Token ids of a number of texts, one after the other, and how many each text has."""
+
+    ids: np.ndarray
+    counts: np.ndarray
+
+    def take(self, places: np.ndarray) -> Encoded:
+        """The tokens of the texts at these places."""
+        starts, counts = np.cumsum(self.counts) - self.counts, self.counts[places]
+        return Encoded(self.ids[gather(starts[places], counts)], counts)
+
+    def spell(self, raw: np.ndarray, starts: np.ndarray, want: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each text's tokens are ``want``, which has ``sizes`` bytes per text."""
+        lengths = starts[self.ids + 1] - starts[self.ids]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(self.counts)])]
+        same = np.diff(ends) == sizes
+        first = np.cumsum(sizes) - sizes
+        spelled = raw[gather(starts[self.ids], lengths)]
+        wrong = spelled[gather(ends[:-1][same], sizes[same])] != want[gather(first[same], sizes[same])]
+        before = np.concatenate([[0], np.cumsum(wrong)])
+        places = np.concatenate([[0], np.cumsum(sizes[same])])
+        same[same] = np.diff(before[places]) == 0
+        return same
 
 
 _loaded: dict[tuple[str, str], Tokenizers] = {}
@@ -115,16 +178,45 @@ def byte_level() -> dict[str, int]:
 
 
 def cut(text: str) -> Iterator[str]:
-    """The text in parts without the single spaces between them; an empty text has none."""
+    """A long text in parts of about ``SLICE`` characters, without the single spaces between them."""
     start = 0
-    while len(text) - start > PART:
-        found = SINGLE_SPACE.search(text, start + PART)
+    while len(text) - start > SLICE:
+        found = SINGLE_SPACE.search(text, start + SLICE)
         if not found:
             break
         yield text[start : found.start()]
         start = found.end()
-    if start < len(text):
-        yield text[start:]
+    yield text[start:]
+
+
+def cuttable(raw: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Whether a single space between the characters that end at ``before`` and begin at ``after`` has no white space beside it.
+
+    A character that may be a wider white space by its first byte counts as one.
+    """
+    last, first = raw[before], raw[after]
+    wide = (raw[np.maximum(before - 1, 0)] == WIDE_SPACES[0]) | np.isin(raw[np.maximum(before - 2, 0)], WIDE_SPACES[1:])
+    return (last > 0x20) & (first > 0x20) & ~np.isin(first, WIDE_SPACES) & ~((last >= 0x80) & wide)
+
+
+def units_of(strings: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(units, units per text): texts cut at every single space that has no white space beside it.
+
+    An empty text has no units.
+    """
+    raw, offsets = string_bytes(strings)
+    filled = offsets[:-1] < offsets[1:]
+    inside = raw == 0x20
+    inside[offsets[:-1][filled]] = inside[offsets[1:][filled] - 1] = False
+    spaces = np.flatnonzero(inside)
+    cuts = spaces[cuttable(raw, spaces - 1, spaces + 1)]
+    kept = np.ones(len(raw), bool)
+    kept[cuts] = False
+    ends = np.sort(np.concatenate([cuts, offsets[1:][filled]]))
+    starts = np.sort(np.concatenate([cuts + 1, offsets[:-1][filled]]))
+    places = np.concatenate([[0], np.cumsum(ends - starts)])
+    units = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(places), pa.py_buffer(raw[kept].tobytes()))
+    return units, np.diff(np.searchsorted(cuts, offsets)) + filled
 
 
 def gallop(wanted: np.ndarray, ends: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -183,46 +275,49 @@ def intersect(short: np.ndarray, of_short: np.ndarray, long_: np.ndarray, of_lon
     )
 
 
-def group_digests(
+def group_texts(
     a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray, groups: np.ndarray, tools: Tokenizers
-) -> list[str]:
-    """SHA-256 of ``a1,a2|b1;a3|b2,b3`` of every document; ``groups`` counts the groups of each."""
+) -> list[memoryview]:
+    """``a1,a2|b1;a3|b2,b3`` of every document; ``groups`` counts the groups of each."""
     last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     last_a[cuts_a], last_b[cuts_b] = 1, 1
     group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
     first_b = np.concatenate([[0], cuts_b + 1])[:-1]
-    last_b[cuts_b[np.cumsum(groups) - 1]] = 2
+    final = np.cumsum(groups) - 1
+    last_b[cuts_b[final]] = 2
     signed = np.empty(len(a) + len(b), np.int64)
     signed[np.arange(len(a)) + first_b[group_a]] = 2 * a + last_a
     signed[np.arange(len(b)) + cuts_a[group_b] + 1] = tools.first_b + 3 * b + last_b
     raw, places = string_bytes(tools.signed.take(pa.array(signed)))
-    ends = np.cumsum(groups) - 1
-    ends = places[cuts_a[ends] + cuts_b[ends] + 2]
-    held = memoryview(raw)
-    return [hashlib.sha256(held[s:e]).hexdigest() for s, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-
-
-def align(strings: list[str], tools: Tokenizers) -> tuple[dict[str, list], list[np.ndarray]]:
-    """(columns of the documents, id pair of every link of each document)."""
-    n = len(strings)
-    ids_a, ids_b = tools.encode(strings)
-    size_a, size_b = np.diff(tools.starts_a), np.diff(tools.starts_b)
-    want = [b" " + s.encode() if s else b"" for s in strings]
-    spelled = np.array(
-        [
-            bool(w) and spell(x, tools.raw_a, tools.starts_a) == w and spell(y, tools.raw_b, tools.starts_b) == w
-            for w, x, y in zip(want, ids_a, ids_b, strict=True)
-        ],
-        bool,
-    )
-    columns = {"n_a": [0] * n, "n_b": [0] * n, "n_groups": [0] * n, "n_links": [0] * n, "groups_sha256": [""] * n}
-    pairs = [np.zeros(0, np.int64)] * n
-    n_a, n_b = np.array([len(x) for x in ids_a]), np.array([len(y) for y in ids_b])
+    ends, held = places[cuts_a[final] + cuts_b[final] + 2].tolist(), memoryview(raw)
+    return [held[s:e] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def align(strings: pa.Array, tools: Tokenizers) -> list[Alignment]:
+    """The alignment of every text. Equal units of the texts are encoded once."""
+    units, n_units = units_of(strings)
+    coded = units.dictionary_encode()
+    codes, distinct = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+    out = [Alignment() for _ in range(len(strings))]
+    if not len(distinct):
+        return out
+    sides = tools.encode(distinct)
+    space, nothing = (pa.scalar(s, distinct.type) for s in (" ", ""))
+    spaced, places = string_bytes(pc.binary_join_element_wise(space, distinct, nothing))
+    sizes = np.diff(places)
+    spelled = sides[0].spell(tools.raw_a, tools.starts_a, spaced, sizes)
+    spelled &= sides[1].spell(tools.raw_b, tools.starts_b, spaced, sizes)
+    of_units = np.concatenate([[0], np.cumsum(n_units)])
+    wrong = np.concatenate([[0], np.cumsum(~spelled[codes])])[of_units]
+    usable = (np.diff(wrong) == 0) & (n_units > 0)
+    n_a, n_b = (np.diff(np.concatenate([[0], np.cumsum(side.counts[codes])])[of_units]) for side in sides)
+    size_a, size_b = tools.sizes
     for a_is_short in (True, False):
-        rows = np.flatnonzero(spelled & ((n_a <= n_b) == a_is_short))
+        rows = np.flatnonzero(usable & ((n_a <= n_b) == a_is_short))
         if not len(rows):
             continue
-        a, b = np.concatenate([ids_a[r] for r in rows]), np.concatenate([ids_b[r] for r in rows])
+        own = codes[gather(of_units[rows], n_units[rows])]
+        a, b = (side.take(own).ids for side in sides)
         of_a, of_b = np.concatenate([[0], np.cumsum(n_a[rows])]), np.concatenate([[0], np.cumsum(n_b[rows])])
         ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
         if a_is_short:
@@ -235,18 +330,69 @@ def align(strings: list[str], tools: Tokenizers) -> tuple[dict[str, list], list[
             cuts_a, cuts_b, of_short = found.cuts_long, found.cuts_short, of_b
         links = np.searchsorted(found.links_short, of_short)
         groups = np.diff(np.searchsorted(found.cuts_short, of_short))
-        digests = group_digests(a, b, cuts_a, cuts_b, groups, tools)
+        written = group_texts(a, b, cuts_a, cuts_b, groups, tools)
         for k, r in enumerate(rows.tolist()):
-            columns["n_a"][r], columns["n_b"][r] = int(n_a[r]), int(n_b[r])
-            columns["n_groups"][r], columns["n_links"][r] = int(groups[k]), int(links[k + 1] - links[k])
-            columns["groups_sha256"][r] = digests[k]
-            pairs[r] = linked[links[k] : links[k + 1]]
-    return columns, pairs
+            out[r] = Alignment(
+                int(n_a[r]), int(n_b[r]), int(groups[k]), int(links[k + 1] - links[k]), written[k],
+                linked[links[k] : links[k + 1]],
+            )
+    return out
+
+
+@dataclass
+class Alignment:
+    """Tokens, groups and links of one text, its groups written out and the id pair of every link."""
+
+    n_a: int = 0
+    n_b: int = 0
+    n_groups: int = 0
+    n_links: int = 0
+    groups: bytes = b""
+    linked: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
 
-def spell(ids: np.ndarray, raw: np.ndarray, starts: np.ndarray) -> bytes:
-    """The bytes of the tokens, joined."""
-    return raw[gather(starts[ids], starts[ids + 1] - starts[ids])].tobytes()
+@dataclass
+class Listed:
+    """One document's row: counts, digest of its groups, and its distinct id pairs with their numbers of links."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    n_links: int
+    groups_sha256: str
+    pairs: np.ndarray
+    times: np.ndarray
+
+
+def listed(parts: Iterable[Alignment]) -> Listed:
+    """The row of a document from its parts, between which both tokenizers end; one bad part leaves it without tokens."""
+    total, digest, found = np.zeros(4, np.int64), hashlib.sha256(), []
+    for n, part in enumerate(parts):
+        if not part.n_groups:
+            none = np.zeros(0, np.int64)
+            return Listed(0, 0, 0, 0, "", none, none)
+        total += (part.n_a, part.n_b, part.n_groups, part.n_links)
+        digest.update(b";" * (n > 0) + part.groups)
+        found.append(np.unique(part.linked, return_counts=True))
+    return Listed(*total.tolist(), digest.hexdigest(), *added(found))
+
+
+def added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct pairs, their numbers) from several such."""
+    if len(found) == 1:
+        return found[0]
+    pairs, places = np.unique(np.concatenate([p for p, _ in found]), return_inverse=True)
+    times = np.zeros(len(pairs), np.int64)
+    np.add.at(times, places, np.concatenate([t for _, t in found]))
+    return pairs, times
+
+
+def rows_of(strings: pa.Array, tools: Tokenizers) -> list[Listed]:
+    """The rows of a slice of texts; one text above ``SLICE`` bytes stands alone in it and goes part by part."""
+    if len(strings) == 1 and strings[0].as_buffer().size > SLICE:
+        parts = (align(pa.array([part], pa.string()), tools)[0] for part in cut(strings[0].as_py()))
+        return [listed(parts)]
+    return [listed([found]) for found in align(strings, tools)]
 
 
 def encode_and_list(df: DataFrame, text: str, paths: tuple[str, str], keep: list[Column], kept: str) -> DataFrame:
@@ -261,53 +407,43 @@ def encode_and_list(df: DataFrame, text: str, paths: tuple[str, str], keep: list
     link_type = pa.list_(pa.struct([("place", pa.int32()), ("times", pa.int64())]))
     pair_type = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("times", pa.int64())]))
 
+    own_fields = [f.split()[0] for f in own.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools, task, number = tokenizers_of(paths), TaskContext.get().partitionId(), 0
-        parts, pairs, size = [], [], 0
+        parts, rows, size = [], [], 0
 
         def written() -> pa.RecordBatch:
-            """The rows of one slice and its list."""
-            found = [np.unique(p, return_counts=True) for p in pairs]
-            joined = np.concatenate([p for p, _ in found])
-            times = np.concatenate([t for _, t in found])
-            distinct, places = np.unique(joined, return_inverse=True)
-            total = np.zeros(len(distinct), np.int64)
-            np.add.at(total, places, times)
-            offsets = np.concatenate([[0], np.cumsum([len(p) for p, _ in found])]).astype(np.int32)
-            n, name = sum(p.num_rows for p, _ in parts), (task << 32) | number
+            """The rows of one slice, and its list as the last row."""
+            distinct, total = added([(r.pairs, r.times) for r in rows])
+            joined = np.concatenate([r.pairs for r in rows])
+            offsets = np.concatenate([[0], np.cumsum([len(r.pairs) for r in rows])]).astype(np.int32)
             link = pa.StructArray.from_arrays(
-                [pa.array(places.astype(np.int32)), pa.array(times.astype(np.int64))], names=["place", "times"]
-            )
-            pair = pa.StructArray.from_arrays(
-                [
-                    pa.array((distinct >> ID_BITS).astype(np.int32)),
-                    pa.array((distinct & ((1 << ID_BITS) - 1)).astype(np.int32)),
-                    pa.array(total),
-                ],
-                names=["a", "b", "times"],
+                [pa.array(np.searchsorted(distinct, joined).astype(np.int32)), pa.array(np.concatenate([r.times for r in rows]))],
+                names=["place", "times"],
             )
-            both = lambda values, kind: pa.concat_arrays([values.cast(kind), pa.nulls(1, kind)])
-            arrays = [both(pa.concat_arrays([p.column(c) for p, _ in parts]), parts[0][0].column(c).type) for c in names]
-            for c in ("n_a", "n_b", "n_groups", "n_links"):
-                arrays.append(both(pa.array(sum([d[c] for _, d in parts], []), pa.int64()), pa.int64()))
-            arrays.append(both(pa.array(sum([d["groups_sha256"] for _, d in parts], []), pa.string()), pa.string()))
-            arrays.append(pa.array([name] * (n + 1), pa.int64()))
-            arrays.append(both(pa.ListArray.from_arrays(pa.array(offsets), link).cast(link_type), link_type))
+            ids = [(distinct >> ID_BITS).astype(np.int32), (distinct & ((1 << ID_BITS) - 1)).astype(np.int32)]
+            pair = pa.StructArray.from_arrays([*map(pa.array, ids), pa.array(total)], names=["a", "b", "times"])
+            arrays = {c: pa.concat_arrays([p.column(c) for p in parts]) for c in names}
+            arrays |= {c: pa.array([getattr(r, c) for r in rows]) for c in own_fields[:-1]}
+            arrays |= {"links": pa.ListArray.from_arrays(pa.array(offsets), link).cast(link_type)}
+            arrays = {c: pa.concat_arrays([a, pa.nulls(1, a.type)]) for c, a in arrays.items()}
+            arrays["slice"] = pa.array([(task << 32) | number] * (len(rows) + 1), pa.int64())
             whole = pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), pair).cast(pair_type)
-            arrays.append(pa.concat_arrays([pa.nulls(n, pair_type), whole]))
-            return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in f"{kept}, {own}".split(", ")] + ["links", "pairs"])
+            arrays["pairs"] = pa.concat_arrays([pa.nulls(len(rows), pair_type), whole])
+            order = [*names, *own_fields, "links", "pairs"]
+            return pa.RecordBatch.from_arrays([arrays[c] for c in order], names=order)
 
         for batch in batches:
             for part in slices(batch, "_text", SLICE):
                 strings = texts(part, "_text")
-                columns, linked = align(strings.to_pylist(), tools)
-                parts.append((part, columns))
-                pairs += linked
+                rows += rows_of(strings, tools)
+                parts.append(part.select(names))
                 size += len(string_bytes(strings)[0])
                 if size >= LISTED:
                     yield written()
-                    parts, pairs, size, number = [], [], 0, number + 1
-        if parts:
+                    parts, rows, size, number = [], [], 0, number + 1
+        if rows:
             yield written()
 
     return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, fields)
