@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from benchqueries import query, rounded, table
 from tidemark.functions.times import MICROS, time_band, weekday_name, weekday_number, whole_seconds
+from tidemark.operators.cover import assign_zones_cover, zone_cover
 from tidemark.operators.spatial import ZoneGrid, assign_zones, zone_grid
 from tidemark.operators.tables import lookup
 from tidemark.plans import events as event_plans, listings, pageviews, ratings, rides, vectors
@@ -230,6 +231,21 @@ def fastest_mode_named(spark, sf):
     return rides.named_routes(report, table(spark, sf, "nation"), "n_nationkey", "n_name")
 
 
+@query("WITH" + RIDES + """
+SELECT nullif(s, 9) AS start_location_id, e AS end_location_id, weekday, time_group,
+       CAST(grouping_id(nullif(s, 9), e, weekday, time_group) AS BIGINT) AS grouping_id, count(*) AS n_rides,
+       CAST(sum(CAST(dur AS DECIMAL(28,6))) AS DOUBLE) AS total_seconds,
+       CAST(sum(CAST(dur AS DECIMAL(28,6))) AS DOUBLE) / count(dur) AS avg_seconds
+FROM (SELECT *, CAST(dayofweek(ts) AS INTEGER) AS weekday FROM banded)
+GROUP BY GROUPING SETS ((nullif(s, 9), e, weekday, time_group), (nullif(s, 9), e, weekday), (nullif(s, 9), e),
+                        (nullif(s, 9)), (e), (weekday, time_group), (time_group), ())
+""")
+def route_rollup(spark, sf):
+    """Routes with all their subtotals; rides from zone 9 stand for those from an unknown zone."""
+    known = F.when(F.col("start_location_id") != 9, F.col("start_location_id"))
+    return rides.ride_subtotals(_rides(spark, sf).withColumn("start_location_id", known))
+
+
 @query("""
 SELECT event_id, CAST(hour(ts) AS INTEGER) AS "hour",
        CASE WHEN hour(ts) BETWEEN 8 AND 10 THEN '8 AM - 11 AM' WHEN hour(ts) BETWEEN 11 AND 15 THEN '11 AM - 4 PM'
@@ -285,7 +301,7 @@ centre AS (
 """
 
 
-def _zone_grid(spark, sf) -> ZoneGrid:
+def _zone_edges(spark, sf) -> DataFrame:
     n = F.col("n_nationkey")
     cx, cy = (n % 5).cast("double"), F.floor(n / 5).cast("double")
     corners = [(cx - 0.5, cy), (cx, cy + 0.5), (cx + 0.5, cy), (cx, cy - 0.5)]
@@ -294,8 +310,11 @@ def _zone_grid(spark, sf) -> ZoneGrid:
         for a, b in zip(corners, corners[1:] + corners[:1])
     ]
     nations = table(spark, sf, "nation")
-    edges = nations.select(n.alias("zone_id"), F.explode(F.array(*edges)).alias("e")).select("zone_id", "e.*")
-    return zone_grid(edges, 1.0)
+    return nations.select(n.alias("zone_id"), F.explode(F.array(*edges)).alias("e")).select("zone_id", "e.*")
+
+
+def _zone_grid(spark, sf) -> ZoneGrid:
+    return zone_grid(_zone_edges(spark, sf), 1.0)
 
 
 def _bike_trips(spark, sf) -> DataFrame:
@@ -314,14 +333,27 @@ def _bike_trips(spark, sf) -> DataFrame:
     )
 
 
-@query("WITH" + ZONES + """
-SELECT trip.event_id, sx AS x, sy AS y, zone_id FROM trip LEFT JOIN start_zone USING (event_id)
-""")
-def zone_assign(spark, sf):
-    points = _bike_trips(spark, sf).select(
+def _start_points(spark, sf) -> DataFrame:
+    return _bike_trips(spark, sf).select(
         "event_id", F.col("start_station_longitude").alias("x"), F.col("start_station_latitude").alias("y")
     )
-    return assign_zones(points, "x", "y", _zone_grid(spark, sf), "zone_id")
+
+
+STARTS = "WITH" + ZONES + """
+SELECT trip.event_id, sx AS x, sy AS y, zone_id FROM trip LEFT JOIN start_zone USING (event_id)
+"""
+
+
+@query(STARTS)
+def zone_assign(spark, sf):
+    return assign_zones(_start_points(spark, sf), "x", "y", _zone_grid(spark, sf), "zone_id")
+
+
+@query(STARTS)
+def zone_assign_cover(spark, sf):
+    """The same through a quadtree cover, whose fine cells are a sixteenth of a zone wide."""
+    cover = zone_cover(_zone_edges(spark, sf), 0.0625)
+    return assign_zones_cover(_start_points(spark, sf), "x", "y", cover, "zone_id")
 
 
 @query("WITH" + ZONES + """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from benchqueries import ltz, query, rounded, table
 from tidemark.functions import text, times
-from tidemark.operators import filters, intervals, numbering
+from tidemark.operators import directory, distinct, filters, intervals, numbering
 from tidemark.operators.tables import cutover, deduplicate, union_all
 from tidemark.plans import events as event_plans
 from tidemark.session import fresh_dir
@@ -109,6 +109,63 @@ def page_slice(spark, sf):
     return numbering.page(events, ["ts", "user_id", "event_id"], 200, 100)
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, (SELECT count(*) FROM lineitem) AS total FROM lineitem
+ORDER BY l_shipdate, l_orderkey, l_linenumber LIMIT 500 OFFSET 4321
+""")
+def page_directory_slice(spark, sf):
+    """A page far past the first thousand rows, through a directory of sorted chunks."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    return directory.page_directory(lines, ["l_shipdate", "l_orderkey", "l_linenumber"]).page(4321, 500)
+
+
+@query("""
+WITH per_day AS (SELECT DISTINCT CAST(ts AS DATE) AS last FROM events WHERE ts IS NOT NULL)
+SELECT last AS "range", event_type, count(DISTINCT user_id) AS n_users
+FROM per_day JOIN events ON CAST(ts AS DATE) BETWEEN last - 6 AND last WHERE user_id IS NOT NULL GROUP BY 1, 2
+""")
+def distinct_by_bitmap(spark, sf):
+    """Distinct users of each event type in the seven days up to every day, from bitmaps per day."""
+    events = table(spark, sf, "events")
+    numbers = distinct.user_numbers(events, "user_id")
+    bitmaps = distinct.day_bitmaps(events, ["event_type"], "ts", "user_id", numbers)
+    return distinct.distinct_in_ranges(bitmaps, ["event_type"], distinct.trailing_ranges(events, "ts", 7))
+
+
+@query("""
+WITH per_day AS (SELECT DISTINCT CAST(ts AS DATE) AS last FROM events WHERE ts IS NOT NULL)
+SELECT last AS "range", event_type, count(*) AS n_rows, count(DISTINCT event_id) AS exact_users,
+       true AS users_within, true AS quartiles_within
+FROM per_day JOIN events ON CAST(ts AS DATE) BETWEEN last - 6 AND last GROUP BY 1, 2
+""")
+def distinct_by_sketch(spark, sf):
+    """Distinct events and quartiles of their values in the seven days up to every day, from sketches per day.
+
+    Beside them the exact figures from the rows, and whether the estimates keep to the stated bounds: four standard
+    errors for the count, and the rank error on either side of each quartile.
+    """
+    events, quartiles = table(spark, sf, "events"), [0.25, 0.5, 0.75]
+    ranges = distinct.trailing_ranges(events, "ts", 7)
+    sketches = distinct.day_sketches(events, ["event_type"], "ts", "event_id", "value")
+    merged = distinct.sketches_in_ranges(sketches, ["event_type"], ranges, quartiles)
+    held = distinct.days_of(ranges).join(events.withColumn("day", F.col("ts").cast("date")), "day")
+    held = held.join(merged.select("range", "event_type", "values_at"), ["range", "event_type"])
+    at = [F.col("values_at")[i] for i in range(len(quartiles))]
+    exact = held.groupBy("range", "event_type").agg(
+        F.countDistinct("event_id").alias("exact_users"),
+        F.array(*[F.avg((F.col("value") < v).cast("double")) for v in at]).alias("below"),
+        F.array(*[F.avg((F.col("value") <= v).cast("double")) for v in at]).alias("up_to"),
+    )
+    slack = 2 * distinct.KLL_RANK_ERROR
+    ranks = [(F.col("below")[i] <= q + slack) & (F.col("up_to")[i] >= q - slack) for i, q in enumerate(quartiles)]
+    error = F.abs(F.col("n_users") - F.col("exact_users"))
+    return merged.join(exact, ["range", "event_type"]).select(
+        "range", "event_type", "n_rows", "exact_users",
+        (error <= 4 * distinct.HLL_ERROR * F.col("exact_users") + 1).alias("users_within"),
+        (ranks[0] & ranks[1] & ranks[2]).alias("quartiles_within"),
+    )
+
+
 @query("""
 WITH numbered AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS rn FROM events)
 SELECT event_id, ts, user_id, event_type FROM numbered WHERE (rn + 1) % 8 = 0
