@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from benchqueries import query, rounded, table
 from benchqueries.analytics import LISTING, PAIRS, TOP
-from tidemark.operators.filters import until_month
+from tidemark.operators.filters import in_interval, until_month
 from tidemark.plans.listings import top_changes
 from tidemark.plans.ratings import average_per_item
 from tidemark.session import fresh_dir
@@ -136,6 +136,17 @@ def paginated_source(spark, sf):
     return read_pages(spark, fetch, orders.schema, page_size=1000, pages_per_task=20)
 
 
+@query("""
+SELECT event_id, ts, user_id, "value" FROM events
+WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-08' AND user_id <> 7
+""")
+def paginated_range(spark, sf):
+    """One interval of a paginated source: its bounds reach the service, the other filter stays with Spark."""
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "value")
+    pages = read_pages(spark, ParquetPages(f"{sf}/events.parquet", events.columns), events.schema, page_size=1000)
+    return in_interval(pages, "ts", "2024-01-05", "2024-01-08").where("user_id <> 7")
+
+
 @query("SELECT o_orderkey, o_totalprice, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders")
 def catalog_register(spark, sf):
     path = fresh_dir(spark, "crawled")
