@@ -222,13 +222,15 @@ def file_count(spark, sf):
 
 
 @query("""
-SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN o_totalprice
+SELECT o_orderkey, d AS o_orderdate, CASE WHEN d < TIMESTAMP '1998-01-01' THEN o_totalprice
        ELSE o_totalprice * 100 END AS amount,
-       CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'old' ELSE 'new' END AS system
-FROM orders WHERE o_orderdate IS NOT NULL
+       CASE WHEN d < TIMESTAMP '1998-01-01' THEN 'old' ELSE 'new' END AS system
+FROM (SELECT *, CASE WHEN o_orderkey % 9 <> 4 THEN o_orderdate END AS d FROM orders)
 """)
 def cutover_union(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").alias("amount"))
+    """Both branches of a cut-over; some orders have no date."""
+    dated = F.when(F.col("o_orderkey") % 9 != 4, F.col("o_orderdate")).alias("o_orderdate")
+    orders = table(spark, sf, "orders").select("o_orderkey", dated, F.col("o_totalprice").alias("amount"))
     return cutover(
         orders,
         "o_orderdate",
@@ -238,7 +240,7 @@ def cutover_union(spark, sf):
     )
 
 
-@query("""
+GRID = """
 WITH grid AS (
   SELECT source, CAST(unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS day
   FROM (SELECT DISTINCT event_type AS source FROM events)
@@ -248,7 +250,10 @@ WITH grid AS (
 )
 SELECT grid.source, grid.day, CAST(coalesce(n, 0) AS BIGINT) AS n_rows, coalesce(n > 0 AND m > 0, false) AS ready
 FROM grid LEFT JOIN c ON c.source = grid.source AND c.day = grid.day
-""")
+"""
+
+
+@query(GRID)
 def readiness_grid(spark, sf):
     events = table(spark, sf, "events")
     grid = intervals.expected_grid(events, "event_type", "2023-12-31", "2024-02-01")
@@ -256,6 +261,35 @@ def readiness_grid(spark, sf):
     return intervals.readiness(grid, events, events.where(F.hour("ts") == 23), "event_type", "ts")
 
 
+@query(f"""
+WITH ready AS ({GRID}), missing AS (
+  SELECT source, day, day - CAST(row_number() OVER (PARTITION BY source ORDER BY day) AS INTEGER) AS run
+  FROM ready WHERE NOT ready
+)
+SELECT source, min(day) AS first_day, max(day) AS last_day, count(*) AS n_days FROM missing GROUP BY source, run
+""")
+def missing_runs(spark, sf):
+    return intervals.missing_runs(readiness_grid(spark, sf))
+
+
+@query("""
+SELECT CAST(ts AS DATE) AS date, user_id AS "user", count(*) AS n_events
+FROM events WHERE ts IS NOT NULL AND user_id IS NOT NULL GROUP BY 1, 2
+""")
+def rerun_missing(spark, sf):
+    """Days that a run has left out are found from what is stored, and run again; the others stay."""
+    events, path = table(spark, sf, "events"), fresh_dir(spark, "reruns")
+    for start, end in (("2024-01-01", "2024-01-09"), ("2024-01-13", "2024-01-14"), ("2024-01-22", "2024-03-01")):
+        event_plans.backfill_stats(events, "ts", "user_id", start, end, path)
+    stored = spark.read.schema("user bigint, n_events bigint, date date").parquet(path)
+    stored = stored.select(F.lit("events").alias("source"), F.col("date").cast("timestamp_ntz").alias("ts"))
+    # A day is expected if there are events of that day, and ready if statistics are stored.
+    grid = intervals.expected_grid(stored, "source", "2024-01-01", "2024-02-01")
+    ready = intervals.readiness(grid, stored, stored, "source", "ts")
+    event_plans.rerun_missing(events, "ts", "user_id", intervals.missing_runs(ready), path)
+    return spark.read.schema("user bigint, n_events bigint, date date").parquet(path).select("date", "user", "n_events")
+
+
 @query("""
 SELECT CAST(g AS DATE) AS day, EXISTS (SELECT 1 FROM events WHERE CAST(ts AS DATE) = CAST(g AS DATE)) AS has_data
 FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS g)

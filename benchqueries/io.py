@@ -20,7 +20,9 @@ from tidemark.session import fresh_dir
 from tidemark.sinks import files as sinks
 from tidemark.sources import files as sources
 from tidemark.sources.catalog import register_csv
+from tidemark.sources.crawl import crawl_merged as read_merged
 from tidemark.sources.paginated import ParquetPages, read_pages
+from tidemark.sources.requests import pages_per_request as pages_of
 
 
 @query("SELECT * FROM events")
@@ -107,9 +109,14 @@ def stamp_date_from_path(spark, sf):
     return files.withColumn("download_date", sources.date_from_path(r"listing=(\d{4}-\d{2}-\d{2})/[^/]*$"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+@query("""
+SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag || chr(10) || ' "' || l_linestatus || '", x' AS note FROM lineitem
+""")
 def zip_csv_scan(spark, sf):
-    rows, path = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), fresh_dir(spark, "zips")
+    """Zipped CSV with line breaks, quotes and commas inside fields."""
+    note = F.concat("l_returnflag", F.lit('\n "'), "l_linestatus", F.lit('", x')).alias("note")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", note)
+    path = fresh_dir(spark, "zips")
 
     def archive(batches):
         files, folder = pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
@@ -157,6 +164,42 @@ def catalog_register(spark, sf):
     return register_csv(spark, name, path, ["y"]).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
+@query("""
+SELECT o_orderkey,
+       CASE WHEN year(o_orderdate) < 1997 THEN floor(o_totalprice) ELSE o_totalprice END AS amount,
+       CASE WHEN year(o_orderdate) >= 1997 THEN o_orderstatus END AS status,
+       CASE WHEN year(o_orderdate) < 1999 THEN date_trunc('day', o_orderdate)
+            ELSE o_orderdate + INTERVAL 90 MINUTE END AS moment
+FROM orders
+""")
+def crawl_merged(spark, sf):
+    """Files of three ages: whole amounts and no status first, then fractions, then times for days and another order."""
+    orders, path, year = table(spark, sf, "orders"), fresh_dir(spark, "ages"), F.year("o_orderdate")
+    key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("moment")
+    ages = {
+        "first": (year < 1997, [key, F.floor("o_totalprice").alias("amount"), day]),
+        "second": (year.between(1997, 1998), [key, F.col("o_totalprice").alias("amount"), day, F.col("o_orderstatus").alias("status")]),
+        "third": (year >= 1999, [
+            F.col("o_orderstatus").alias("status"), (F.col("o_orderdate") + F.expr("interval 90 minutes")).alias("moment"),
+            F.col("o_totalprice").alias("amount"), key,
+        ]),
+    }
+    for age, (chosen, columns) in ages.items():
+        sinks.write_csv(orders.where(chosen).select(*columns), f"{path}/{age}")
+    return read_merged(spark, path)
+
+
+@query("""
+SELECT o_custkey AS request, page, (page - 1) * 3 AS "first", least(3, n - (page - 1) * 3) AS size
+FROM (SELECT o_custkey, n, unnest(range(1, (n + 2) // 3 + 1)) AS page
+      FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1))
+""")
+def pages_per_request(spark, sf):
+    """The requests that fetch all orders of every customer, three at a time."""
+    totals = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    return pages_of(totals, "o_custkey", "n", 3)
+
+
 @query("SELECT *, CAST(ts AS DATE) AS day FROM events")
 def partition_replace_load(spark, sf):
     events, landing, out = table(spark, sf, "events"), fresh_dir(spark, "landing"), fresh_dir(spark, "replaced")

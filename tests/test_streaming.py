@@ -84,3 +84,25 @@ def test_a_row_behind_the_watermark_is_not_counted(spark, tmp_path):
         found = streams.upsert(counts, ["interval_start"], ["n_events"], str(tmp_path / "out"), str(tmp_path / "log"))
     by_start = {r["interval_start"].strftime("%H:%M"): r["n_events"] for r in found.collect()}
     assert by_start == {"00:00": 1, "12:00": 1, "11:45": 1}
+
+
+def test_newest_versions_are_compacted_and_run_on(spark, landing, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "COMPACT_EVERY", 3)
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+
+    def run():
+        counts = streams.quarter_hour_counts(stream(spark, landing), "ts", "10 days")
+        return set(map(tuple, streams.upsert(counts, ["interval_start"], ["n_events"], out, log).collect()))
+
+    def batch():
+        start = F.window("ts", "15 minutes").start
+        return set(map(tuple, spark.read.schema(SCHEMA).parquet(landing).groupBy(start).count().collect()))
+
+    assert run() == batch()
+    first = streams._numbers(spark, f"{out}/newest")
+    assert len(first) == 1 and run() == batch()
+    for hour in (3, 3, 9):
+        part = spark.range(5).withColumn("ts", F.lit(START + dt.timedelta(hours=hour)).cast("timestamp"))
+        part.coalesce(1).write.mode("append").parquet(landing)
+        assert run() == batch()
+    assert len(streams._numbers(spark, f"{out}/newest")) >= 2

@@ -39,6 +39,19 @@ def readiness(grid: DataFrame, data: DataFrame, markers: DataFrame, source: str,
     )
 
 
+def missing_runs(grid: DataFrame) -> DataFrame:
+    """(source, first_day, last_day, n_days): the longest runs of days in a row that are not ready, per source.
+
+    ``grid`` is that of ``readiness``. A day's distance from its number among the missing days is the same for all days
+    of a run. The window sees one row per missing day of a source.
+    """
+    nth = F.row_number().over(Window.partitionBy("source").orderBy("day"))
+    runs = grid.where("NOT ready").withColumn("_run", F.date_sub("day", nth))
+    return runs.groupBy("source", "_run").agg(
+        F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("*").alias("n_days")
+    ).drop("_run")
+
+
 def has_data(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     """Per day in [start, end): whether the table has at least one row."""
     last = F.date_sub(F.lit(end).cast("date"), 1)

@@ -100,7 +100,8 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     total = df.count()
     share = (n + 8 * n**0.5 + 16) / max(total, 1)
     if share < 1:
-        below = keyed.where(F.col("_draw") <= f"{int(share * 2**32):08x}")
+        # Written once, for they are counted and then ordered; they are hardly more than the sample.
+        below = materialise(keyed.where(F.col("_draw") <= f"{int(share * 2**32):08x}"), "sample")
         if below.count() >= n:
             keyed = below
     return leading(keyed, ["_draw", key], n).drop("_draw")

@@ -40,6 +40,10 @@ def lookup(df: DataFrame, key: str, names: DataFrame, name_key: str, name_value:
 
 
 def cutover(df: DataFrame, column: str, moment, old, new) -> DataFrame:
-    """Rows before ``moment`` through ``old``, the others through ``new``, then one table again."""
-    bound = F.lit(moment).cast(df.schema[column].dataType)
-    return union_all(df.where(F.col(column) < bound).transform(old), df.where(F.col(column) >= bound).transform(new))
+    """Rows before ``moment`` through ``old``, the others through ``new``, then one table again.
+
+    Every row takes exactly one branch: one without a value is not known to lie before ``moment`` and takes ``new``.
+    """
+    before = F.col(column) < F.lit(moment).cast(df.schema[column].dataType)
+    other = F.col(column).isNull() | ~before
+    return union_all(df.where(before).transform(old), df.where(other).transform(new))

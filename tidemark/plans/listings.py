@@ -111,18 +111,20 @@ def top_changes(listings: DataFrame, id_: str, price: str, date: str, n: int = 5
         F.when(wants_low, F.col("price")).otherwise(-F.col("price"))
     )
     kept = prices.withColumn("_rank", F.row_number().over(extreme_first)).where(F.col("_rank") <= n)
-    entry = F.struct("price", "copies", "_rank")
+    entry = F.struct("_rank", "price", "copies")
     ends = kept.groupBy("id", "download_date_min", "download_date_max").agg(  # at most n + 1 entries per list
         F.collect_list(F.when(F.col("first"), entry)).alias("old"),
-        F.collect_list(F.when(~F.col("first"), entry)).alias("new"),
+        F.sort_array(F.collect_list(F.when(~F.col("first"), entry))).alias("new"),
     )
     change = (F.col("new.price") - F.col("old.price")) / F.datediff("download_date_max", "download_date_min")
     # Of one listing i x j pairs are at least as large as the pair of the i-th and the j-th extreme price, itself included.
     before = F.col("old._rank") * F.col("new._rank") - 1
     copies = F.least(F.col("old.copies") * F.col("new.copies"), F.lit(n) - before)
+    # So the i-th price meets the first n / i of the other list, and its NULL, which is sorted among them.
+    partners = F.slice("new", F.lit(1), F.floor(F.lit(n) / F.col("old._rank")).cast("int") + 1)
     pairs = (
         ends.withColumn("old", F.explode("old"))
-        .withColumn("new", F.explode("new"))
+        .withColumn("new", F.explode(partners))
         .where(before < n)
         # A pair of prices that occurs several times fills as many places, up to those that are left.
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))

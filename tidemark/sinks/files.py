@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.session import list_children, remove_path
+from tidemark.session import fresh_dir, list_children, remove_path
 from tidemark.sources.files import CSV_DIALECT, NULL_MARK, read_json_array
 
 # Spark's own default stops at milliseconds; its readers accept any number of digits.
@@ -40,7 +40,8 @@ def json_array(df: DataFrame) -> str:
 def write_json_report(df: DataFrame, path: str) -> None:
     """An ordered result of any size as one file that holds one JSON array, a record per line.
 
-    One document is written by one task, batch by batch; nothing passes the driver.
+    The records are made and written in as many tasks as the result has, in its order. One task then copies their lines
+    into the document, batch by batch; nothing passes the driver.
     """
 
     def lines(batches):
@@ -53,8 +54,15 @@ def write_json_report(df: DataFrame, path: str) -> None:
         yield pd.DataFrame({"value": ["[]" if begin == "[" else "]"]})
 
     record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", **TIMESTAMP_TEXT})
-    text = df.select(record.alias("value")).coalesce(1).mapInPandas(lines, "value string")
-    text.write.mode("overwrite").text(path)
+    spark, parts = df.sparkSession, fresh_dir(df.sparkSession, "report-lines")
+    df.select(record.alias("value")).write.text(parts)
+    # Parts are numbered in the order of the result, and one after the other they keep it.
+    names = sorted(c for c in list_children(spark, parts) if c.startswith("part-"))
+    ordered = [spark.read.schema("value string").text(f"{parts}/{name}") for name in names]
+    whole = ordered[0]
+    for part in ordered[1:]:
+        whole = whole.unionByName(part)
+    whole.coalesce(1).mapInPandas(lines, "value string").write.mode("overwrite").text(path)
 
 
 def write_array_lines(df: DataFrame, path: str, wrap: str | None = None) -> None:
@@ -73,20 +81,25 @@ def write_array_lines(df: DataFrame, path: str, wrap: str | None = None) -> None
     df.select(record.alias("value")).mapInPandas(pack, "value string").write.mode("overwrite").text(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: str, start: str | None = None, end: str | None = None) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, by: str, start: str | None = None, end: str | None = None, values: list[str] | None = None
+) -> None:
     """Write ``df``, replacing exactly the partitions of ``path`` that it contains; re-running changes nothing.
 
     With bounds the whole range start <= ``by`` < end is replaced: its partitions that ``df`` lacks are removed, so an
-    interval that has become empty is empty afterwards. Values and bounds compare as text, as days in ISO form do.
+    interval that has become empty is empty afterwards. With ``values`` that holds for the partitions of these values.
+    Values and bounds compare as text, as days in ISO form do.
     Rebalancing gathers a partition's rows into few files and splits a partition that is too large for one task.
     """
     stale = set()
-    if start is not None or end is not None:
+    if start is not None or end is not None or values is not None:
         stored = [c for c in list_children(df.sparkSession, path) if c.startswith(f"{by}=")]
-        values = {c: c.partition("=")[2] for c in stored}
-        stale = {c for c, v in values.items() if (start is None or v >= start) and (end is None or v < end)}
+        own = {c: c.partition("=")[2] for c in stored}
+        chosen = None if values is None else set(values)
+        stale = {c for c, v in own.items() if (start is None or v >= start) and (end is None or v < end)}
+        stale = {c for c in stale if chosen is None or own[c] in chosen}
         if stale:
-            held = df.select(F.col(by).cast("string")).distinct().where(F.col(by).isin([values[c] for c in stale]))
+            held = df.select(F.col(by).cast("string")).distinct().where(F.col(by).isin([own[c] for c in stale]))
             stale -= {f"{by}={r[0]}" for r in held.collect()}
     (
         df.hint("rebalance", by)

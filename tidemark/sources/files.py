@@ -111,7 +111,7 @@ def zip_csv_rows(archives: DataFrame, schema: T.StructType, member: str = "*.csv
     """Rows of the CSV members of zipped archives, parallel over archives and block by block within one.
 
     A task seeks in the archive where it lies and holds one block of one member. Python only unpacks and splits; fields
-    arrive as text and Spark casts them. An empty field is NULL.
+    arrive as text and Spark casts them. An empty field is NULL. A quoted field may hold line breaks.
     """
     names = schema.fieldNames()
     text = pa.schema([(name, pa.string()) for name in names])
@@ -124,12 +124,13 @@ def zip_csv_rows(archives: DataFrame, schema: T.StructType, member: str = "*.csv
             strings_can_be_null=True,
             quoted_strings_can_be_null=False,
         )
+        quoted_breaks = pa_csv.ParseOptions(newlines_in_values=True)
         for batch in batches:
             for uri in batch.column(path).to_pylist():
                 with open_file(uri) as file, zipfile.ZipFile(file) as archive:
                     for name in fnmatch.filter(archive.namelist(), member):
                         with archive.open(name) as handle:
-                            yield from pa_csv.open_csv(handle, convert_options=parse)
+                            yield from pa_csv.open_csv(handle, parse_options=quoted_breaks, convert_options=parse)
 
     strings = T.StructType([T.StructField(name, T.StringType()) for name in names])
     rows = archives.select(path).mapInArrow(unpack, strings)

@@ -7,7 +7,12 @@ belong in the shared folder. Event-time columns must be ``timestamp``, not zone-
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from tidemark.session import list_children
+
+# Versions of a streamed aggregate are merged into one table after so many batches.
+COMPACT_EVERY = 16
 
 
 def landing_stream(
@@ -55,10 +60,11 @@ def upsert(aggregate: DataFrame, keys: list[str], values: list[str], out: str, c
     """Run an aggregate in update mode and return the newest version of every group.
 
     Only groups that changed are written. A batch owns the folder of its number, so a repeated batch overwrites itself.
+    After every ``COMPACT_EVERY`` batches the newest versions are written as one table, and older ones are not read again.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{out}/versions/batch={number}")
 
     query = (
         aggregate.writeStream.outputMode("update")
@@ -68,8 +74,20 @@ def upsert(aggregate: DataFrame, keys: list[str], values: list[str], out: str, c
         .start()
     )
     query.awaitTermination()
-    versions = _stored(aggregate.sparkSession, out, aggregate.schema.add("batch", "long"))
-    return versions.groupBy(*keys).agg(*[F.max_by(v, "batch").alias(v) for v in values])
+    spark, schema = aggregate.sparkSession, T.StructType([*aggregate.schema.fields, T.StructField("batch", T.LongType())])
+    done = max(_numbers(spark, f"{out}/newest"), default=-1)
+    batches = [n for n in _numbers(spark, f"{out}/versions") if n > done]
+    versions = _stored(spark, f"{out}/versions", schema).where(F.col("batch") > done)
+    if done >= 0:
+        versions = versions.unionByName(spark.read.schema(schema).parquet(f"{out}/newest/upto={done}"))
+    newest = versions.groupBy(*keys).agg(
+        *[F.max_by(v, "batch").alias(v) for v in values], F.max("batch").alias("batch")
+    )
+    if len(batches) >= COMPACT_EVERY:
+        path = f"{out}/newest/upto={max(batches)}"
+        newest.write.mode("overwrite").parquet(path)
+        newest = spark.read.schema(newest.schema).parquet(path)
+    return newest.drop("batch")
 
 
 def partition_sink(stream: DataFrame, ts: str, out: str, checkpoint: str) -> DataFrame:
@@ -99,6 +117,12 @@ def partition_sink(stream: DataFrame, ts: str, out: str, checkpoint: str) -> Dat
     return _stored(stream.sparkSession, out, schema).drop("batch")
 
 
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """The numbers that the finished folders of a sink are named by."""
+    folders = [c for c in list_children(spark, path) if "=" in c]
+    return [int(c.partition("=")[2]) for c in folders if "_SUCCESS" in list_children(spark, f"{path}/{c}")]
+
+
 def _stored(spark: SparkSession, out: str, schema) -> DataFrame:
     """What a sink holds; nothing, as long as no file has ever arrived."""
     try:
