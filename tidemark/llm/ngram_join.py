@@ -2,8 +2,9 @@
 
 The n-grams ("tokens") of a document are ordered by frequency class, rarest first. Two sets with enough overlap share
 their first common token within both prefixes, and their first two common tokens within prefixes that are one token
-longer. A rare token is therefore indexed alone; of the frequent tokens of an extended prefix all pairs are indexed, so a
-passage that very many documents share never makes one group of all of them.
+longer. A rare token is therefore indexed alone; of the frequent tokens of an extended prefix all pairs are indexed, so that
+fewer sets meet than would for one frequent token. The pairs of a long prefix are very many: sets of more than ``LARGE``
+n-grams, and all that could be similar to one, are indexed by every single token of their prefix instead.
 
 Links are found in rounds. A few rounds compare every set with one partner, the likeliest among the sets drawn for its
 keys; they join the copies of a family to each other in time linear in the family. Then, for all
@@ -33,10 +34,13 @@ NUMERATOR, DENOMINATOR = 4, 5
 # A token is in the frequent class if it is seen in this share of the documents. The counts of at most KNOWN_TOKENS, the
 # most frequent ones, are told to the tasks and order the tokens; both only move work and change no result.
 FREQUENT_SHARE, KNOWN_TOKENS = 0.01, 1 << 20
+# Sets of up to this many shingles are indexed by pairs of their frequent tokens.
+LARGE = 1000
 # Rounds with one partner per set before the pairs that are left.
 ROUNDS = 2
 # Words of 64 parities per set, by which pairs that differ too much are told before their texts are compared.
 WORDS = 8
+PARITIES = [f"p{i}" for i in range(WORDS)]
 # Tables of up to this many rows of a few numbers, counted after they are written, are broadcast; larger ones shuffle.
 BROADCAST_ROWS = 300_000
 
@@ -88,8 +92,8 @@ def first_of_each(digests: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def describe(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One pass over all texts. Rows of kind 0: (id, node, n) of every document; of kind 1: a token that several sets of
-    a slice hold, and how many. Tokens of a large part of the corpus repeat in every slice, so their sums are near
-    their true counts."""
+    a slice hold, and how many; of kind 2: the parities of a set, once per slice. Tokens of a large part of the corpus
+    repeat in every slice, so their sums are near their true counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,15 +106,29 @@ def describe(docs: DataFrame, key: str, text: str) -> DataFrame:
                 several = counts >= 2
                 none = pa.nulls(int(several.sum()), pa.int64())
                 yield _typed(1, none, tokens[several], counts[several])
+                bits = parities(offsets, hashes)[one]
+                yield _typed(2, pa.nulls(len(one), pa.int64()), digests[one], sizes[one], bits)
 
     rows = docs.select(F.col(key).cast("long").alias(key), text)
-    return rows.mapInArrow(run, "kind int, id long, node long, n long")
+    return rows.mapInArrow(run, "kind int, id long, node long, n long, " + ", ".join(f"{p} long" for p in PARITIES))
 
 
-def _typed(kind: int, ids: pa.Array, nodes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _typed(kind: int, ids: pa.Array, nodes: np.ndarray, n: np.ndarray, bits: np.ndarray | None = None) -> pa.RecordBatch:
     kinds = pa.array(np.full(len(nodes), kind, np.int32))
     columns = [kinds, ids, pa.array(nodes.view(np.int64)), pa.array(n.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, names=["kind", "id", "node", "n"])
+    columns += [pa.nulls(len(nodes), pa.int64()) if bits is None else pa.array(bits[:, i]) for i in range(WORDS)]
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "id", "node", "n", *PARITIES])
+
+
+def parities(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """For each of WORDS x 64 classes of tokens whether the set holds an odd number of them, a row of numbers per set.
+
+    Where two sets differ in d tokens, at most d of these bits differ.
+    """
+    sizes, classes = np.diff(offsets), WORDS * 64
+    place = np.repeat(np.arange(len(sizes)), sizes) * classes + (hashes >> np.uint64(40)).astype(np.int64) % classes
+    odd = (np.bincount(place, minlength=len(sizes) * classes) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(-1, classes), axis=1).view(np.int64)
 
 
 def known_tokens(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +153,8 @@ def index_keys(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(set, key, position) of all sets: rare prefix tokens, and pairs of frequent ones.
 
-    The position says how many tokens of the set are not common if the key holds the first common tokens of a pair.
+    Where one of two similar sets is larger than LARGE, neither is smaller than need(LARGE): sets from there on have
+    their frequent prefix tokens as keys too, and those above LARGE have no pairs. The position says how many tokens of the set are not common if the key holds the first common tokens of a pair.
 
     ``tokens`` with their ``counts`` order the tokens of a set; those with a count of ``least`` or more are frequent.
     """
@@ -150,10 +169,10 @@ def index_keys(
     order = np.lexsort((hashes, rank, of)) if rank.any() else np.arange(len(hashes))
     value, often = hashes[order], rank[order] >= max(least, 1)
     position = np.arange(len(hashes)) - np.repeat(offsets[:-1], sizes)
-    prefix = np.repeat(sizes - need(sizes) + 1, sizes)
-    alone = (position < prefix) & ~often
+    prefix, size = np.repeat(sizes - need(sizes) + 1, sizes), np.repeat(sizes, sizes)
+    alone = (position < prefix) & (~often | (size >= need(np.array([LARGE]))))
     sets, keys, places = [of[alone]], [value[alone]], [position[alone]]
-    extended = (position < prefix + 1) & often
+    extended = (position < prefix + 1) & often & (size <= LARGE)
     counts_in = np.bincount(of[extended], minlength=len(sizes))
     where = np.flatnonzero(extended)
     begins = np.cumsum(counts_in) - counts_in
@@ -234,30 +253,6 @@ def node_texts(nodes: DataFrame, stands_for: DataFrame, docs: DataFrame, key: st
     return materialise(some, "join-texts")
 
 
-def parities(held: DataFrame) -> DataFrame:
-    """(node, p0 ...): for each of WORDS x 64 classes of tokens whether the set holds an odd number of them.
-
-    Where two sets differ in d tokens, at most d of these bits differ.
-    """
-    columns = [f"p{i}" for i in range(WORDS)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                offsets, hashes = shingle_sets(texts(part, "text"))
-                sizes, classes = np.diff(offsets), WORDS * 64
-                place = np.repeat(np.arange(len(sizes)), sizes) * classes
-                place += (hashes >> np.uint64(40)).astype(np.int64) % classes
-                odd = (np.bincount(place, minlength=len(sizes) * classes) & 1).astype(np.uint8)
-                packed = np.packbits(odd.reshape(-1, classes), axis=1).view(np.int64)
-                named = set_digests(offsets, hashes) == part.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
-                rows = pa.array(np.flatnonzero(named))
-                arrays = [part.column("node").take(rows), *[pa.array(packed[named, i]) for i in range(WORDS)]]
-                yield pa.RecordBatch.from_arrays(arrays, names=["node", *columns])
-
-    return held.mapInArrow(run, "node long, " + ", ".join(f"{c} long" for c in columns)).distinct()
-
-
 def verified(pairs: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """The pairs (a, b) of sets that are similar, by comparing the whole sets of the documents that stand for them."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
@@ -283,7 +278,9 @@ def verified(pairs: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str,
                 rows = pa.array(keep, pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(s).take(rows) for s in ("a", "b")], names=["a", "b"])
 
-    both = left.join(hinted(pairs.select("a", "b")), "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    # Texts are dealt out by the id of their set and never broadcast, whatever the size.
+    both = left.join(hinted(pairs.select("a", "b")), "a").hint("merge").join(right.hint("merge"), "b")
+    both = both.select("a", "b", "text_a", "text_b")
     return materialise(both.mapInArrow(run, "a long, b long").distinct(), "join-links")
 
 
@@ -324,9 +321,18 @@ def open_rows(rows: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(placed.join(span.where("low <> high").select("key"), "key"), "join-open")
 
 
-def differing(bits: list[str], a: str, b: str):
+def differing(a: str, b: str):
     """How many parities of two sets differ: no more than the tokens that only one of them holds."""
-    return sum((F.bit_count(F.col(a + p).bitwiseXOR(F.col(b + p))) for p in bits), F.lit(0))
+    return sum((F.bit_count(F.col(a + p).bitwiseXOR(F.col(b + p))) for p in PARITIES), F.lit(0))
+
+
+def with_difference(partners: DataFrame, parity: DataFrame, small: bool) -> DataFrame:
+    """The pairs (node, pivot) with ``apart``, how many of their parities differ; small parities are broadcast."""
+    placed = partners
+    for side in ("node", "pivot"):
+        bits = parity.select(F.col("node").alias(side), *[F.col(p).alias(f"{side}_{p}") for p in PARITIES])
+        placed = placed.join(F.broadcast(bits) if small else bits, side)
+    return placed.withColumn("apart", differing("node_", "pivot_"))
 
 
 def close_enough(apart, n_a, n_b):
@@ -347,32 +353,34 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     known = known_tokens(both.where("kind = 1"))
     held = materialise(shared_keys(index(docs, key, text, known, members.count() * FREQUENT_SHARE)), "join-keys")
 
-    rest = grouped_keys(held)
-    known_texts = node_texts(rest.select("node").distinct(), stands_for, docs, key, text)
-    parity = materialise(parities(known_texts), "join-parities")
-    bits, own = parity.columns[1:], ("n", "node", "at", "component", *parity.columns[1:])
-    rest = materialise(rest.withColumn("component", F.col("node")).join(hinted(parity), "node"), "join-open")
+    per_set = both.where("kind = 2").groupBy("node").agg(*[F.min(p).alias(p) for p in PARITIES])
+    parity = materialise(per_set, "join-parities")
+    small = parity.count() <= BROADCAST_ROWS
+    rest = materialise(grouped_keys(held).withColumn("component", F.col("node")), "join-open")
     tried = links = docs.sparkSession.createDataFrame([], "a long, b long")
     for round_ in range(ROUNDS):
-        drawn = rest.groupBy("key").agg(F.min_by(F.struct(*own), F.xxhash64("node", F.lit(round_))).alias("p"))
+        own = F.struct("n", "node", "component")
+        drawn = rest.groupBy("key").agg(F.min_by(own, F.xxhash64("node", F.lit(round_))).alias("p"))
         against = rest.join(drawn, "key").where("component <> p.component")
-        against = against.withColumn("apart", differing(bits, "", "p."))
-        against = against.where(close_enough(F.col("apart"), F.col("n"), F.col("p.n")))
-        a, b = F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")
-        pivot = F.when(F.col("a") == F.col("node"), F.col("b")).otherwise(F.col("a"))
-        likely = not_in(against.select(a, b, "node", "apart"), tried)
-        best = likely.groupBy("node").agg(F.min_by(pivot, F.struct("apart", "a", "b")).alias("pivot"))
+        partners = against.select("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot")).distinct()
+        likely = with_difference(partners, parity, small).where(close_enough(F.col("apart"), F.col("n"), F.col("n_pivot")))
+        a, b = F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+        likely = not_in(likely.select(a, b, "node", "pivot", "apart"), tried)
+        best = likely.groupBy("node").agg(F.min_by("pivot", F.struct("apart", "a", "b")).alias("pivot"))
         again = materialise(pair_of(best), "join-pairs")
         tried = tried.unionByName(again)
         links = links.unionByName(verified(again, stands_for, docs, key, text))
         rest = open_rows(rest, links)
 
+    # Parities stand beside the keys only here, where few sets are left, so that pairs are told apart while they are made.
+    rest = materialise(rest.join(F.broadcast(parity) if small else parity, "node"), "join-open")
+    own = ("n", "node", "at", "component", *PARITIES)
     left, right = (rest.select("key", *[F.col(c).alias(f"{s}_{c}") for c in own]) for s in "ab")
     pairs = (
         left.join(right, "key")
         .where("a_node < b_node AND a_component <> b_component")
         .where(possible(*[F.col(c) for c in ("a_n", "b_n", "a_at", "b_at")]))
-        .where(close_enough(differing(bits, "a_", "b_"), F.col("a_n"), F.col("b_n")))
+        .where(close_enough(differing("a_", "b_"), F.col("a_n"), F.col("b_n")))
         .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
         .distinct()
     )
