@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,6 +68,16 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(start)
 
 
+def release_memory() -> None:
+    """Give what a large piece of work has freed back to the machine; the worker that did it goes on with other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def texts(batch: pa.RecordBatch, column: str) -> pa.Array:
     """The text column without NULLs; a missing text is empty."""
     return pc.fill_null(batch.column(column), "")

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import coded_words, gather, hash_strings, mix, slices, string_bytes, texts
+from tidemark.llm.common import coded_words, gather, hash_strings, mix, release_memory, slices, string_bytes, texts
 from tidemark.llm.language import word_ngrams
 
 WINDOW, STRIDE = 64, 48
@@ -34,6 +34,8 @@ MIN_STEPS, EMBEDDING_RATE = 25, 0.1
 PRIOR, FROZEN = 8.0, ("words", "chars")
 THRESHOLD = 0.3
 CHUNK_WINDOWS, CHUNK_WORDS = 2048, 1 << 15
+# A scoring task works on this many bytes of texts at a time, and runs this many windows with the words they hold.
+SCORE_BYTES, SCORE_WINDOWS = 1 << 20, 8192
 EDGES = r"^[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$"
 
 
@@ -83,6 +85,14 @@ class Vocabulary:
         return np.vstack([x, np.zeros((1, x.shape[1]), np.float32)])
 
 
+def word_inputs(words: pa.Array, net: Network) -> np.ndarray:
+    """The input vector of every word, some words at a time: the n-grams of all words are never held at once."""
+    parts = [
+        Vocabulary(words.slice(at, CHUNK_WORDS)).inputs(net)[:-1] for at in range(0, len(words), CHUNK_WORDS)
+    ]
+    return np.concatenate(parts) if parts else np.zeros((0, WORD_DIM + CHAR_DIM + 1), np.float32)
+
+
 def windows(offsets: np.ndarray, codes: np.ndarray, padding: int) -> tuple[np.ndarray, np.ndarray]:
     """(word codes of every window, row of the text of each). Windows start every STRIDE words; all words are covered."""
     sizes = np.diff(offsets)
@@ -312,9 +322,10 @@ def fit(labelled: DataFrame, docs: DataFrame, key: str, text: str, label: str) -
     sample = rows.where(taken[0] | taken[1])
     found = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     held = found.join(F.broadcast(sample), "_key").repartition(1)
-    (row,) = held.mapInPandas(learn, "share double, net binary").collect()
-    if not row["net"]:
-        return row["share"]
+    rows = held.mapInPandas(learn, "share double, net binary").collect()
+    if not rows or not rows[0]["net"]:
+        return rows[0]["share"] if rows else 0.0
+    row = rows[0]
     net = Network()
     net.__dict__.update(pickle.loads(row["net"]))
     return net
@@ -328,6 +339,8 @@ def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"share": [float(frame["_toxic"].max())], "net": [None]})
     else:
         net = train(frame["_text"].tolist(), frame["_toxic"].to_numpy(np.int64))
+        del frame, parts
+        release_memory()
         yield pd.DataFrame({"share": [np.nan], "net": [pickle.dumps(net.__dict__)]})
 
 
@@ -336,22 +349,29 @@ def score_texts(column: pa.Array, net: Network | float) -> np.ndarray:
     if isinstance(net, float):
         return np.full(len(column), net)
     offsets, codes, distinct = read_words(column)
-    ids, owner = windows(offsets, codes, len(distinct))
-    out = np.zeros(len(column))
-    if len(ids):
-        found = net.logits(Vocabulary(distinct).inputs(net), ids)
-        np.maximum.at(out, owner, 1 / (1 + np.exp(-found.astype(np.float64))))
+    ids, owner = windows(offsets, codes.astype(np.int32), np.int32(len(distinct)))
+    out, x = np.zeros(len(column)), word_inputs(distinct, net)
+    place = np.empty(len(distinct) + 1, np.int32)
+    for at in range(0, len(ids), SCORE_WINDOWS):
+        # The gates are computed for the words of these windows only; the last row is padding.
+        own = ids[at : at + SCORE_WINDOWS]
+        held = np.zeros(len(distinct), bool)
+        held[own[own < len(distinct)]] = True
+        used = np.flatnonzero(held)
+        place[used], place[-1] = np.arange(len(used)), len(used)
+        found = net.logits(np.concatenate([x[used], np.zeros((1, x.shape[1]), np.float32)]), place[own])
+        np.maximum.at(out, owner[at : at + SCORE_WINDOWS], 1 / (1 + np.exp(-found.astype(np.float64))))
     return out
 
 
 def with_score(df: DataFrame, text: str, net: Network | float, name: str = "score") -> DataFrame:
     """``df`` with the score of every whole text; a NULL text scores like an empty one."""
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            batch = pa.RecordBatch.from_arrays([pa.array(part, pa.string())], names=["text"])
-            found = [score_texts(texts(s, "text"), net) for s in slices(batch, "text", 4 << 20)]
-            yield pd.Series(np.concatenate(found) if found else np.zeros(0))
+            batch = pa.RecordBatch.from_arrays([part], names=["text"])
+            found = [score_texts(texts(s, "text"), net) for s in slices(batch, "text", SCORE_BYTES)]
+            yield pa.array(np.concatenate(found) if found else np.zeros(0))
 
     return df.withColumn(name, score(F.col(text)))
