@@ -54,6 +54,34 @@ def test_benchmark_search_equals_brute_force(spark, docs):
     assert {d for d, item, _ in found if item == 0} == {110} and len({i for _, i, _ in found}) >= 12
 
 
+def test_texts_under_one_item_id_are_taken_one_by_one(spark):
+    first, second = "a b c d e f g h i j", "k l m n o p q r s t"
+    items = spark.createDataFrame([(1, first), (1, second), (1, second)], "item_id long, text string")
+    rows = [(1, "a b c d e f x k l m n o p"), (2, f"{first} {second}"), (3, f"z {second}"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = benchmark.contained_items(docs, "doc_id", "text", items, "item_id", "text").collect()
+    assert sorted((r.doc_id, r.item_id, r.n_shared, r.containment) for r in got) == [(2, 1, 6, 1.0), (3, 1, 6, 1.0)]
+
+
+def test_components_that_do_not_end_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.llm.components.MAX_ROUNDS", 1)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long")
+    with pytest.raises(RuntimeError, match="not complete"):
+        components(chain)
+
+
+def test_scores_do_not_depend_on_the_pieces_a_task_works_on(monkeypatch):
+    net, texts = toxicity.Network(), pa.array([t for t in TEXTS])
+    whole = toxicity.score_texts(texts, net)
+    offsets, codes, distinct = toxicity.read_words(texts)
+    ids, owner = toxicity.windows(offsets, codes, len(distinct))
+    plain = np.zeros(len(texts))
+    np.maximum.at(plain, owner, 1 / (1 + np.exp(-net.logits(toxicity.Vocabulary(distinct).inputs(net), ids).astype(float))))
+    monkeypatch.setattr(toxicity, "SCORE_WINDOWS", 3)
+    monkeypatch.setattr(toxicity, "CHUNK_WORDS", 50)
+    assert np.allclose(whole, plain, atol=1e-5) and np.allclose(toxicity.score_texts(texts, net), plain, atol=1e-5)
+
+
 def test_benchmark_search_shuffles_like_it_broadcasts(spark, docs, monkeypatch):
     table = spark.createDataFrame([(0, brute.ITEM), (1, "one two")], "item_id long, text string")
     search = lambda: bag(benchmark.contained_items(docs, "doc_id", "text", table, "item_id", "text").collect())
@@ -111,9 +139,11 @@ def test_ngram_join_with_token_pairs_gives_the_same(docs, monkeypatch):
         assert (row.n_shingles, row.component_id) == expected[row.doc_id], row
 
 
+@pytest.mark.parametrize("large", [10, 16, 22, 1000])
 @pytest.mark.parametrize("seed", range(6))
-def test_index_keys_meet_for_every_similar_pair(seed):
-    """Whatever tokens are frequent, two similar sets share a key."""
+def test_index_keys_meet_for_every_similar_pair(seed, large, monkeypatch):
+    """Whatever tokens are frequent and from what size on sets have no pairs, two similar sets share a key."""
+    monkeypatch.setattr(ngram_join, "LARGE", large)
     rng = np.random.default_rng(seed)
     pool = np.sort(rng.choice(1 << 40, 60, replace=False)).astype(np.uint64)
     sets = []
@@ -135,6 +165,41 @@ def test_index_keys_meet_for_every_similar_pair(seed):
                 assert held[a] & held[b]
 
 
+def test_keys_of_a_long_text_of_frequent_shingles_grow_with_its_length():
+    hashes = np.sort(np.random.default_rng(1).integers(0, 1 << 60, 100_000).astype(np.uint64))
+    for n in (900, 20_000, 100_000):
+        own = hashes[:n]
+        sets, keys, at = ngram_join.index_keys(np.array([0, n]), own, own, np.full(n, 9), 1)
+        assert len(keys) == len(sets) == len(at) <= max(n // 5 + 1, 20_000)
+
+
+def test_long_near_copies_of_a_corpus_of_copies(spark):
+    rng = random.Random(4)
+    words = [rng.choice(brute.WORDS) + str(rng.randrange(5000)) for _ in range(100_000)]
+    texts = [" ".join(words)]
+    for k in range(2):
+        edited = list(words)
+        for at in rng.sample(range(100_000), 1500):
+            edited[at] = f"edit{k}"
+        texts.append(" ".join(edited))
+    texts.append(" ".join(words[:60_000]))
+    texts += [" ".join(rng.choice(brute.WORDS) for _ in range(50)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_groups(df, "doc_id", "text").collect()}
+    assert got == {i: 0 if i < 3 else i for i in range(24)}
+
+
+def test_parities_bound_the_difference_of_two_sets():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    sets = [np.sort(rng.choice(pool, rng.integers(1, 300), replace=False)) for _ in range(30)]
+    bits = ngram_join.parities(np.concatenate([[0], np.cumsum([len(s) for s in sets])]), np.concatenate(sets))
+    for a in range(30):
+        for b in range(a):
+            apart = sum(int(x ^ y).bit_count() for x, y in zip(bits[a].view(np.uint64), bits[b].view(np.uint64)))
+            assert apart <= len(np.setxor1d(sets[a], sets[b]))
+
+
 def test_components_of_a_chain_a_star_and_a_ring(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(200, 201), (201, 202), (202, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

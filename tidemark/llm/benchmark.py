@@ -100,8 +100,9 @@ def contained_items(
     """(doc_id, item_id, n_shared, n_item, containment) of all pairs where the document holds enough of the item.
 
     Items without words are in no document; an item shorter than a shingle is found only in texts equal to it in words.
-    NULL texts are empty. Repeated rows give one row; different texts under one key give the largest containment. Rows
-    without a key are searched like others and reported under NULL. Empty tables give no rows. Other columns are ignored.
+    NULL texts are empty. Repeated rows give one row; different texts under one key, of documents or of items, are taken
+    one by one and give the largest containment. Rows without a key are searched like others and reported under NULL.
+    Empty tables give no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     tests = items.select(F.col(item_key).alias("item_id"), F.col(item_text).alias("_item")).distinct()
@@ -131,9 +132,11 @@ def contained_items(
         .dropDuplicates(["doc_id", "text_hash"])
         .select("doc_id", "text_hash", F.explode(shingle_texts(F.col("_text"))).alias("shingle"))
     )
-    sought = known.select("item_id", "n_item", F.explode(shingle_texts(F.col("_item"))).alias("shingle"))
+    sought = known.select(
+        "item_id", F.xxhash64("_item").alias("item_hash"), "n_item", F.explode(shingle_texts(F.col("_item"))).alias("shingle")
+    )
     pairs = held.join(F.broadcast(sought) if small else sought, "shingle").groupBy(
-        "doc_id", "text_hash", "item_id", "n_item"
+        "doc_id", "text_hash", "item_id", "item_hash", "n_item"
     ).agg(F.count("*").alias("n_shared"))
     found = candidates.select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("item_id").alias("_item")

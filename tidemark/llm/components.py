@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.session import materialise
 
+# Far above the logarithm of any graph; more rounds are an error, never an unfinished result.
 MAX_ROUNDS = 100
 
 
@@ -44,5 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         mark = tuple(state)
         current = materialise(_small_star(_large_star(current)), "edges")
+    else:
+        raise RuntimeError(f"components are not complete after {MAX_ROUNDS} rounds")
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
