@@ -11,49 +11,96 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm import benchmark, ngram_join, pieces, repeats, toxicity
 from tidemark.llm.common import without_keys
 from tidemark.llm.queries import PIECES, held_out, table, tokenizer_path
-from tidemark.session import fresh_dir
+from tidemark.session import fresh_dir, materialise
+
+
+def neutral(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns under numbered names, which no operator uses for its own."""
+    return docs.toDF(*[f"column_{i}" for i in range(len(docs.columns))])
+
+
+def place(docs: DataFrame, name: str) -> str:
+    """The neutral name of a column."""
+    return f"column_{docs.columns.index(name)}"
+
+
+def given(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their own names again."""
+    return df.select(*[F.col(f"column_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def by_row(docs: DataFrame) -> DataFrame:
+    """``docs`` under neutral names with ``row``, by which a stage decides: the id, if every row has one of its own.
+
+    Otherwise rows are numbered, and written so that all readers see the same numbers.
+    """
+    df, key = neutral(docs), place(docs, "doc_id")
+    n, present, distinct = df.agg(F.count("*"), F.count(key), F.count_distinct(key)).first()
+    if n == present == distinct:
+        return df.withColumn("row", F.col(key).cast("long"))
+    return materialise(df.withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go; labels of the held-out fold are not learned from."""
-    labels = table(spark, sf_dir, "labels")
+    """Rows that score as toxic go; labels of the held-out fold are not learned from.
+
+    A NULL text scores like an empty one. Repeated rows score alike. An empty table stays empty, and extra columns of any
+    name are kept.
+    """
+    labels, df = table(spark, sf_dir, "labels"), neutral(docs)
     net = toxicity.fit(labels.where(~held_out(4, 2)), docs, "doc_id", "text", "toxic")
-    scored = toxicity.with_score(docs, "text", net, "_score")
-    return scored.where(F.col("_score") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.with_score(df, place(docs, "text"), net, "score")
+    return given(scored.where(F.col("score") < toxicity.THRESHOLD), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of similar documents the one with the smallest id stays, once. Rows without an id all stay."""
-    groups = ngram_join.similar_groups(docs, "doc_id", "text")
-    groups = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.min("component_id").alias("first"), F.count("*").alias("rows")
-    )
-    kept = without_keys(docs, "doc_id", groups.where("first <> doc_id").select("doc_id"))
-    given_again = groups.where("rows > 1").select("doc_id")
-    if given_again.isEmpty():
-        return kept
-    once = kept.join(given_again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return without_keys(kept, "doc_id", given_again).unionByName(once)
+    """Of every group of similar documents one row stays: that with the smallest id, of several the first.
+
+    Every row is a document of its own, also one without id, which stays only where no member of its group has one, and
+    one that shares its id with other texts. Rows without words all stay. An empty table stays empty, and extra columns
+    of any name are kept.
+    """
+    df, key = by_row(docs), place(docs, "doc_id")
+    groups = materialise(ngram_join.similar_groups(df, "row", place(docs, "text")), "pipeline-groups")
+    groups = groups.withColumnRenamed("doc_id", "row").join(df.select("row", F.col(key).alias("id")), "row")
+    order = F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")
+    kept = groups.groupBy("component_id").agg(order).select(F.col("first.row").alias("row"))
+    return given(without_keys(df, "row", groups.select("row").join(kept, "row", "left_anti")), docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that have occurred before are cut out; a document of nothing else stays with an empty text."""
-    cut = repeats.with_kept_bytes(docs, "doc_id", "text", "_removed", "_spans_cut", "_kept")
-    text = F.when(F.col("_removed") > 0, repeats.valid_text("_kept")).otherwise(F.col("text"))
-    shorter = cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return shorter.select(*docs.columns)
+    """Passages that have occurred before are cut out; a document of nothing else stays with an empty text.
+
+    A NULL text stays NULL. Identical rows are one document and keep their text alike. An empty table stays empty, and
+    extra columns of any name are kept.
+    """
+    df, text, size = neutral(docs), place(docs, "text"), place(docs, "n_chars")
+    cut = repeats.with_kept_bytes(
+        df.withColumn("is_null", F.col(text).isNull()), place(docs, "doc_id"), text, "removed", "spans", "kept"
+    )
+    shorter = F.when(F.col("removed") > 0, repeats.valid_text("kept")).when(~F.col("is_null"), F.col(text))
+    cut = cut.withColumn(text, shorter)
+    n_chars = F.when(F.col("removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col(size))
+    return given(cut.withColumn(size, n_chars), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Rows that hold a benchmark item go, each by its own text, with or without an id.
+
+    A NULL text holds nothing. An empty table stays empty, and extra columns of any name are kept.
+    """
+    df = by_row(docs)
     found = benchmark.contained_items(
-        docs, "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text"
+        df, "row", place(docs, "text"), table(spark, sf_dir, "benchmark"), "item_id", "text"
     )
-    return without_keys(docs, "doc_id", found.where("doc_id IS NOT NULL").select("doc_id").distinct())
+    return given(without_keys(df, "row", found.select(F.col("doc_id").alias("row")).distinct()), docs)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of every text that is left."""
+    """The piece ids of every text that is left, with its id, language and source.
+
+    A NULL text is empty and has no ids. Repeated rows and rows without id are encoded like others.
+    """
     kept = "doc_id long, lang string, source string"
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("lang"), F.col("source")]
     return pieces.with_ids(docs, "text", tokenizer_path(PIECES), columns, kept).withColumn(
