@@ -41,6 +41,10 @@ ROUNDS = 2
 # Words of 64 parities per set, by which pairs that differ too much are told before their texts are compared.
 WORDS = 8
 PARITIES = [f"p{i}" for i in range(WORDS)]
+# Sets of more shingles than these have classes have more parities besides: so many classes per shingle, and up to twice.
+CLASSES = 4
+# A task works on this many bytes of texts at a time.
+SLICE = 1 << 20
 # Tables of up to this many rows of a few numbers, counted after they are written, are broadcast; larger ones shuffle.
 BROADCAST_ROWS = 300_000
 
@@ -97,7 +101,7 @@ def describe(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 offsets, hashes = shingle_sets(texts(part, text))
                 sizes, digests = np.diff(offsets), set_digests(offsets, hashes)
                 yield _typed(0, part.column(key), digests, sizes)
@@ -106,18 +110,22 @@ def describe(docs: DataFrame, key: str, text: str) -> DataFrame:
                 several = counts >= 2
                 none = pa.nulls(int(several.sum()), pa.int64())
                 yield _typed(1, none, tokens[several], counts[several])
-                bits = parities(offsets, hashes)[one]
-                yield _typed(2, pa.nulls(len(one), pa.int64()), digests[one], sizes[one], bits)
+                bits, more = parities(offsets, hashes)[one], [more_parities(hashes[offsets[i] : offsets[i + 1]]) for i in one]
+                yield _typed(2, pa.nulls(len(one), pa.int64()), digests[one], sizes[one], bits, more)
 
     rows = docs.select(F.col(key).cast("long").alias(key), text)
-    return rows.mapInArrow(run, "kind int, id long, node long, n long, " + ", ".join(f"{p} long" for p in PARITIES))
+    fields = ["kind int", "id long", "node long", "n long", *[f"{p} long" for p in PARITIES], "more binary"]
+    return rows.mapInArrow(run, ", ".join(fields))
 
 
-def _typed(kind: int, ids: pa.Array, nodes: np.ndarray, n: np.ndarray, bits: np.ndarray | None = None) -> pa.RecordBatch:
+def _typed(
+    kind: int, ids: pa.Array, nodes: np.ndarray, n: np.ndarray, bits: np.ndarray | None = None, more: list | None = None
+) -> pa.RecordBatch:
     kinds = pa.array(np.full(len(nodes), kind, np.int32))
     columns = [kinds, ids, pa.array(nodes.view(np.int64)), pa.array(n.astype(np.int64))]
     columns += [pa.nulls(len(nodes), pa.int64()) if bits is None else pa.array(bits[:, i]) for i in range(WORDS)]
-    return pa.RecordBatch.from_arrays(columns, names=["kind", "id", "node", "n", *PARITIES])
+    columns.append(pa.array(more or [None] * len(nodes), pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "id", "node", "n", *PARITIES, "more"])
 
 
 def parities(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -131,6 +139,24 @@ def parities(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(-1, classes), axis=1).view(np.int64)
 
 
+def more_parities(hashes: np.ndarray) -> bytes | None:
+    """The same of one large set for a power of two of classes that is in proportion to its size; None for small sets."""
+    if len(hashes) <= WORDS * 64:
+        return None
+    classes = 1 << (CLASSES * len(hashes) - 1).bit_length()
+    odd = np.bincount(((hashes >> np.uint64(20)) & np.uint64(classes - 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing_more(a: bytes | None, b: bytes | None) -> int:
+    """How many of these parities differ. The longer row is folded: two classes together hold an odd number if one does."""
+    if a is None or b is None:
+        return 0
+    x, y = sorted((np.frombuffer(v, np.uint8) for v in (a, b)), key=len)
+    folded = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ folded).sum())
+
+
 def known_tokens(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(tokens in ascending order, their counts) of the most frequent tokens, KNOWN_TOKENS at most."""
     total = materialise(counts.groupBy("node").agg(F.sum("n").alias("n")), "token-counts")
@@ -191,7 +217,7 @@ def index(docs: DataFrame, key: str, text: str, known: tuple[np.ndarray, np.ndar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 offsets, hashes = shingle_sets(texts(part, text))
                 sizes, digests = np.diff(offsets), set_digests(offsets, hashes)
                 one = first_of_each(digests, sizes)
@@ -262,7 +288,7 @@ def verified(pairs: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a", 2 << 20):
+            for part in slices(batch, "text_a", SLICE):
                 sides, named = [], []
                 for side in ("a", "b"):
                     offsets, hashes = shingle_sets(texts(part, f"text_{side}"))
@@ -335,6 +361,25 @@ def with_difference(partners: DataFrame, parity: DataFrame, small: bool) -> Data
     return placed.withColumn("apart", differing("node_", "pivot_"))
 
 
+def still_close(pairs: DataFrame, first: str, second: str, sets: DataFrame) -> DataFrame:
+    """The pairs (two columns of nodes and any others) that may be similar by the parities of large sets, if both are."""
+
+    @F.arrow_udf("long")
+    def apart(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([differing_more(x.as_py(), y.as_py()) for x, y in zip(a, b, strict=True)], pa.int64())
+
+    placed = pairs
+    for side in (first, second):
+        own = sets.select(F.col("node").alias(side), F.col("n").alias(f"{side}_size"), F.col("more").alias(f"{side}_more"))
+        placed = placed.join(own, side, "left")
+    # A set that is not large is not in ``sets``.
+    large = F.col(f"{first}_more").isNotNull() & F.col(f"{second}_more").isNotNull()
+    far = large & ~close_enough(
+        apart(f"{first}_more", f"{second}_more"), F.col(f"{first}_size"), F.col(f"{second}_size")
+    )
+    return placed.where(~far).select(*pairs.columns)
+
+
 def close_enough(apart, n_a, n_b):
     return apart * (NUMERATOR + DENOMINATOR) <= (n_a + n_b) * (DENOMINATOR - NUMERATOR)
 
@@ -356,6 +401,8 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     per_set = both.where("kind = 2").groupBy("node").agg(*[F.min(p).alias(p) for p in PARITIES])
     parity = materialise(per_set, "join-parities")
     small = parity.count() <= BROADCAST_ROWS
+    large = both.where("kind = 2 AND more IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("more").alias("more"))
+    large = materialise(large, "join-large")
     rest = materialise(grouped_keys(held).withColumn("component", F.col("node")), "join-open")
     tried = links = docs.sparkSession.createDataFrame([], "a long, b long")
     for round_ in range(ROUNDS):
@@ -365,7 +412,7 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         partners = against.select("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot")).distinct()
         likely = with_difference(partners, parity, small).where(close_enough(F.col("apart"), F.col("n"), F.col("n_pivot")))
         a, b = F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-        likely = not_in(likely.select(a, b, "node", "pivot", "apart"), tried)
+        likely = not_in(still_close(likely, "node", "pivot", large).select(a, b, "node", "pivot", "apart"), tried)
         best = likely.groupBy("node").agg(F.min_by("pivot", F.struct("apart", "a", "b")).alias("pivot"))
         again = materialise(pair_of(best), "join-pairs")
         tried = tried.unionByName(again)
@@ -384,7 +431,8 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
         .distinct()
     )
-    more = verified(materialise(not_in(pairs, tried), "join-pairs"), stands_for, docs, key, text)
+    left_over = still_close(not_in(pairs, tried), "a", "b", large)
+    more = verified(materialise(left_over, "join-pairs"), stands_for, docs, key, text)
     final = components(links.unionByName(more))
 
     labelled = members.join(final, "node", "left").withColumn("group", F.coalesce("component", "node"))
