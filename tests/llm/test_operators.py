@@ -200,6 +200,22 @@ def test_parities_bound_the_difference_of_two_sets():
             assert apart <= len(np.setxor1d(sets[a], sets[b]))
 
 
+def test_more_parities_fold_and_bound_the_difference():
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 1 << 63, 9000).astype(np.uint64)
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in (100, 512, 513, 700, 1100, 1300, 4000, 8000)]
+    sets += [np.sort(np.concatenate([sets[5][:1250], rng.integers(0, 1 << 63, 40).astype(np.uint64)]))]
+    bits = [ngram_join.more_parities(s) for s in sets]
+    assert [b is None for b in bits[:3]] == [True, True, False]
+    for a in range(len(sets)):
+        for b in range(len(sets)):
+            apart = ngram_join.differing_more(bits[a], bits[b])
+            assert apart <= len(np.setxor1d(sets[a], sets[b])) and (a != b or apart == 0)
+    # Unrelated sets of about one size are told apart, near copies are not.
+    assert 9 * ngram_join.differing_more(bits[4], bits[5]) > 1100 + 1300
+    assert 9 * ngram_join.differing_more(bits[5], bits[8]) <= 1300 + 1290
+
+
 def test_components_of_a_chain_a_star_and_a_ring(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 20)] + [(200, 201), (201, 202), (202, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
