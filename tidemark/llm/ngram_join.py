@@ -362,13 +362,15 @@ def with_difference(partners: DataFrame, parity: DataFrame, small: bool) -> Data
 
 
 def still_close(pairs: DataFrame, first: str, second: str, sets: DataFrame) -> DataFrame:
-    """The pairs (two columns of nodes and any others) that may be similar by the parities of large sets, if both are."""
+    """The written pairs (two columns of nodes and any others) that may be similar by the parities of large sets, if both
+    are. Only the parities of sets in pairs are shuffled."""
 
     @F.arrow_udf("long")
     def apart(a: pa.Array, b: pa.Array) -> pa.Array:
         return pa.array([differing_more(x.as_py(), y.as_py()) for x, y in zip(a, b, strict=True)], pa.int64())
 
-    placed = pairs
+    named = pairs.select(F.col(first).alias("node")).unionByName(pairs.select(F.col(second).alias("node")))
+    sets, placed = sets.where(picked_by(named)(F.col("node"))), pairs
     for side in (first, second):
         own = sets.select(F.col("node").alias(side), F.col("n").alias(f"{side}_size"), F.col("more").alias(f"{side}_more"))
         placed = placed.join(own, side, "left")
@@ -412,7 +414,8 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         partners = against.select("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot")).distinct()
         likely = with_difference(partners, parity, small).where(close_enough(F.col("apart"), F.col("n"), F.col("n_pivot")))
         a, b = F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-        likely = not_in(still_close(likely, "node", "pivot", large).select(a, b, "node", "pivot", "apart"), tried)
+        likely = materialise(not_in(likely.select(a, b, "node", "pivot", "apart"), tried), "join-likely")
+        likely = still_close(likely, "node", "pivot", large)
         best = likely.groupBy("node").agg(F.min_by("pivot", F.struct("apart", "a", "b")).alias("pivot"))
         again = materialise(pair_of(best), "join-pairs")
         tried = tried.unionByName(again)
@@ -431,7 +434,7 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
         .distinct()
     )
-    left_over = still_close(not_in(pairs, tried), "a", "b", large)
+    left_over = still_close(materialise(not_in(pairs, tried), "join-left"), "a", "b", large)
     more = verified(materialise(left_over, "join-pairs"), stands_for, docs, key, text)
     final = components(links.unionByName(more))
 
