@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import FNV_PRIME, coded_words, gather, hash_strings, mix, picked_by, slices, texts
+from tidemark.llm.common import FNV_PRIME, coded_words, gather, hash_strings, mix, picked_by, release_memory, slices, texts
 from tidemark.llm.components import components
 from tidemark.session import materialise
 
@@ -112,6 +112,7 @@ def describe(docs: DataFrame, key: str, text: str) -> DataFrame:
                 yield _typed(1, none, tokens[several], counts[several])
                 bits, more = parities(offsets, hashes)[one], [more_parities(hashes[offsets[i] : offsets[i + 1]]) for i in one]
                 yield _typed(2, pa.nulls(len(one), pa.int64()), digests[one], sizes[one], bits, more)
+        release_memory()
 
     rows = docs.select(F.col(key).cast("long").alias(key), text)
     fields = ["kind int", "id long", "node long", "n long", *[f"{p} long" for p in PARITIES], "more binary"]
@@ -226,6 +227,7 @@ def index(docs: DataFrame, key: str, text: str, known: tuple[np.ndarray, np.ndar
                 columns = [keys.view(np.int64), sizes[one][sets].astype(np.int32), digests[one][sets].view(np.int64)]
                 columns = [pa.array(c) for c in (*columns, places.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "node", "at"])
+        release_memory()
 
     rows = docs.where(F.col(key).isNotNull()).select(text)
     return rows.mapInArrow(run, "key long, n int, node long, at int")
@@ -303,6 +305,7 @@ def verified(pairs: DataFrame, stands_for: DataFrame, docs: DataFrame, key: str,
                         keep.append(i)
                 rows = pa.array(keep, pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(s).take(rows) for s in ("a", "b")], names=["a", "b"])
+        release_memory()
 
     # Texts are dealt out by the id of their set and never broadcast, whatever the size.
     both = left.join(hinted(pairs.select("a", "b")), "a").hint("merge").join(right.hint("merge"), "b")

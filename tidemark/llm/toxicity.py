@@ -373,5 +373,6 @@ def with_score(df: DataFrame, text: str, net: Network | float, name: str = "scor
             batch = pa.RecordBatch.from_arrays([part], names=["text"])
             found = [score_texts(texts(s, "text"), net) for s in slices(batch, "text", SCORE_BYTES)]
             yield pa.array(np.concatenate(found) if found else np.zeros(0))
+        release_memory()
 
     return df.withColumn(name, score(F.col(text)))
