@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.numbering import number_rows
-from tidemark.session import fresh_dir
+from tidemark.session import fresh_dir, materialise
 
 BITS = 6
 QUANTILE_ERROR = 0.002
@@ -54,9 +54,22 @@ def number_cell(df: DataFrame, column: str, bits: int = BITS) -> Column:
     return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda cut: cut <= F.col(column)))
 
 
-def value_cell(column: str, bits: int = BITS) -> Column:
-    """One cell per value, by hash, so that an equality filter meets one cell; NULL is a value like any other."""
-    return F.pmod(F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("\0null"))), F.lit(1 << bits)).cast("int")
+def value_cell(df: DataFrame, column: str, bits: int = BITS) -> Column:
+    """Cells in the order of the values as text, spread over the whole range, so that a run of cells is a range of values.
+
+    Up to 2**bits - 1 values have a cell each; more are cut into that many ranges with about equal numbers of distinct
+    values, of which only the first ones come to the driver. NULL is cell 0.
+    """
+    most, value = (1 << bits) - 1, F.col(column).cast("string")
+    numbered = materialise(number_rows(df.select(value.alias("v")).where("v IS NOT NULL").distinct(), ["v"], "n"), "values")
+    total = numbered.count()
+    if not total:
+        return F.lit(0)
+    group = lambda n: F.floor(n * most / total)
+    opens = group(F.col("n") - 1) > group(F.col("n") - 2) if total > most else F.lit(True)
+    cuts = sorted((r["v"] for r in numbered.where((F.col("n") == 1) | opens).select("v").collect()), key=str.encode)
+    below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut <= value))
+    return F.when(value.isNull(), 0).otherwise(1 + F.floor((below - 1) * most / len(cuts)).cast("int"))
 
 
 def along_curve(df: DataFrame, cells: list[Column], bits: int = BITS, name: str = "curve") -> DataFrame:
@@ -100,7 +113,7 @@ def hilbert_shards(df: DataFrame, key: str, text: str, values: list[str], shards
     spark = df.sparkSession
     own = [c for c in ("curve", "size", "shard", "slot", "_hash") if c in df.columns]
     sized = df.drop(*own).withColumn("size", F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1)
-    cells = [value_cell(c) for c in values] + [number_cell(sized, "size")]
+    cells = [value_cell(sized, c) for c in values] + [number_cell(sized, "size")]
     placed = along_curve(sized, cells).withColumn("_hash", F.xxhash64(text))
     path = fresh_dir(spark, "shards")
     write_shards(cut_runs(placed, ["curve", key, "_hash"], shards).drop("_hash"), path)
