@@ -4,7 +4,8 @@ A template is found where some block of consecutive words holds at least its thr
 All words of the templates are ordered by their frequency in the whole corpus, rarest first. A block that meets the
 threshold must hold one of the |T| - need + 1 rarest words of the template (prefix filter); a hit on the k-th word of
 that order leaves |T| - k words to find, which bounds k (positional filter); and a block with fewer than ``need`` distinct
-words is never compared (length filter). So only the surroundings of rare words are joined and verified.
+words is never compared (length filter). So only the surroundings of rare words are joined and verified. The words that
+name a license and its version must all be in the block, and words that name another one must not.
 
 Phrases are templates that must stand word for word; the same join finds them by their rarest word.
 """
@@ -26,13 +27,18 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Template:
-    """A label with the words that stand for it; ``exact`` asks for the words in order, without gaps."""
+    """A label with the words that stand for it; ``exact`` asks for the words in order, without gaps.
+
+    A block must hold all words of ``named`` and none of ``barred``, besides the threshold.
+    """
 
     label: str
     text: str
     threshold: float = 0.8
     slack: float = 1.25
     exact: bool = False
+    named: tuple[str, ...] = ()
+    barred: tuple[str, ...] = ()
 
     @property
     def words(self) -> list[str]:
@@ -62,14 +68,28 @@ PHRASES = (
 
 # Opening sentences of public licenses.
 LICENSES = (
-    Template("apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    Template("mit", "Released under the MIT License"),
+    Template("apache-2.0", "Licensed under the Apache License, Version 2.0", named=("apache", "2", "0")),
+    Template("mit", "Released under the MIT License", named=("mit", "license")),
     Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    Template("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    Template("cc-by-4.0", "Licensed under a Creative Commons Attribution 4.0 International License"),
+    Template(
+        "gpl-3.0", "This work is licensed under the GNU General Public License, version 3",
+        named=("general", "public", "3"), barred=("lesser", "affero"),
+    ),
+    Template(
+        "gpl-2.0", "This work is licensed under the GNU General Public License, version 2",
+        named=("general", "public", "2"), barred=("lesser", "affero", "3"),
+    ),
+    Template(
+        "cc-by-4.0", "Licensed under a Creative Commons Attribution 4.0 International License",
+        named=("creative", "commons", "attribution", "4", "0"),
+        barred=("noncommercial", "noderivatives", "sharealike"),
+    ),
     Template("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0", threshold=1.0),
     Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    Template("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    Template(
+        "mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        named=("mozilla", "2", "0"),
+    ),
 )
 
 
@@ -86,7 +106,7 @@ def frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> dict[str,
 
 
 def prefix_index(spark: SparkSession, templates: tuple[Template, ...], counts: dict[str, int]) -> DataFrame:
-    """(word, label, tokens, need, width, exact, offset): the words by which a template is looked up.
+    """(word, label, tokens, need, width, exact, offset, named, barred): the words by which a template is looked up.
 
     Its size is that of the template list, so it is broadcast.
     """
@@ -103,6 +123,8 @@ def prefix_index(spark: SparkSession, templates: tuple[Template, ...], counts: d
                     F.lit(t.width).alias("width"),
                     F.lit(t.exact).alias("exact"),
                     F.lit(t.words.index(word)).alias("offset"),
+                    F.array(*map(F.lit, t.named)).cast("array<string>").alias("named"),
+                    F.array(*map(F.lit, t.barred)).cast("array<string>").alias("barred"),
                 )
             )
     return spark.range(1).select(F.inline(F.array(*rows)))
@@ -138,11 +160,12 @@ def matches(found: DataFrame, index: DataFrame) -> DataFrame:
     begin = F.col("inside") - F.col("offset")
     in_order = (begin >= 0) & (F.slice("near", F.greatest(begin, F.lit(0)) + 1, F.col("width")) == F.col("tokens"))
     starts = F.sequence(F.greatest(F.col("inside") - F.col("width") + 1, F.lit(0)), F.col("inside"))
-    held = F.array_max(
-        F.transform(
-            starts, lambda s: F.size(F.array_intersect(F.slice("near", s + 1, F.col("width")), F.col("tokens")))
-        )
-    )
+
+    def common(block: Column) -> Column:
+        fits = (F.size(F.array_except("named", block)) == 0) & ~F.arrays_overlap("barred", block)
+        return F.when(fits & (F.size(F.array_distinct(block)) >= F.col("need")), F.size(F.array_intersect(block, "tokens")))
+
+    held = F.array_max(F.transform(starts, lambda s: let(F.slice("near", s + 1, F.col("width")), common)))
     overlap = F.when(F.col("exact"), F.when(in_order, F.size("tokens")).otherwise(0)).otherwise(held)
     verified = near.withColumn("overlap", overlap).where(
         F.when(F.col("exact"), F.col("overlap") > 0).otherwise(F.col("overlap") >= F.col("need"))
