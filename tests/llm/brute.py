@@ -111,7 +111,8 @@ def license_labels(text: str | None, templates) -> set[str]:
     found = set()
     for t in templates:
         for i in range(len(words)):
-            if len(set(words[i : i + t.width]) & set(t.distinct)) >= t.need:
+            block = set(words[i : i + t.width])
+            if len(block & set(t.distinct)) >= t.need and block >= set(t.named) and not block & set(t.barred):
                 found.add(t.label)
     return found
 
@@ -135,8 +136,23 @@ def contained(rows: list[tuple], items: list[tuple], least: float = 0.8) -> set[
     return {(*k, v) for k, v in out.items()}
 
 
-def paragraphs(text: str | None) -> set[str]:
-    return {p for p in re.split(r"\n+|(?<=[.!?])\s+(?=[A-H])", text or "") if p}
+def paragraphs(text: str | None) -> set[bytes]:
+    """Lines cut at sentence ends; of what is longer than 256 bytes, pieces that end after selected bytes."""
+    found = set()
+    for part in re.split(r"\n+|(?<=[.!?])\s+|(?<=[\u3002\uFF01\uFF1F])\s*", text or "", flags=re.ASCII):
+        raw = part.encode()
+        begin = 0
+        if len(raw) <= 256:
+            found |= {raw} if raw else set()
+            continue
+        while begin < len(raw):
+            end = begin + 35
+            while end <= min(begin + 512, len(raw)) and [b & 3 for b in raw[end - 3 : end]] != [1, 2, 3]:
+                end += 1
+            end = end if end <= min(begin + 512, len(raw)) else min(begin + 512, len(raw))
+            found.add(raw[begin:end])
+            begin = end
+    return found
 
 
 def jaccard(a: set, b: set) -> float:

@@ -42,6 +42,21 @@ def test_license_scan_finds_every_place_and_block(docs):
     assert all(0 <= r.score <= 1 and (r.score == 1) >= (r.n_base > 0) for r in got.collect())
 
 
+def test_licenses_are_told_apart_by_name_and_version(spark):
+    gpl = "This work is licensed under the GNU General Public License, version"
+    texts = {
+        "Released under the BSD License": "", "released notes under the license": "", "Released under the MIT License": "mit",
+        "Licensed under the Educational Community License, Version 2.0": "",
+        "Licensed under the Apache License, Version 2.0": "apache-2.0",
+        f"{gpl} 2": "gpl,gpl-2.0", f"{gpl} 3": "gpl,gpl-3.0", f"{gpl} 3".replace("General", "Lesser General"): "gpl",
+        "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "",
+        "Licensed under a Creative Commons Attribution 4.0 International License": "cc-by-4.0",
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(df, "doc_id", "text").collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_benchmark_search_equals_brute_force(spark, docs):
     rng = random.Random(1)
     items = [(0, brute.ITEM), (1, brute.ITEM.replace("clean", "changed")), (2, None), (3, "one two"), (4, "")]
@@ -305,6 +320,36 @@ def check_fingerprints(got, rows=ROWS):
         prints.setdefault(edited, row.edited_fingerprint)
 
 
+def test_differing_digests_are_recovered_with_their_sign(spark):
+    rng = random.Random(8)
+    pool = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(3000)]
+    rows = [(0, [], [[], pool[:1], pool[:700]]), (1, pool[:5], [pool[:5], pool[2:9], []])]
+    rows += [(i, pool[:n], [pool[k : n + k], pool[n : 2 * n], pool[: n - 1]])
+             for i, (n, k) in enumerate([(20, 3), (300, 2), (1400, 40), (2, 1)], 2)]
+    df = spark.createDataFrame(rows, "uid long, left_digests array<long>, rights array<array<long>>")
+    got = {(r.uid, r.kind): sorted(map(tuple, r.differing)) for r in fingerprints.differing_digests(df).collect()}
+    expected = {
+        (uid, kind): sorted([(d, 1) for d in set(left) - set(right)] + [(d, -1) for d in set(right) - set(left)])
+        for uid, left, rights in rows for kind, right in enumerate(rights)
+    }
+    assert got == expected
+    # Few differences are named by the fingerprints alone, whatever the size of the sets.
+    alone = df.select("uid", fingerprints.difference(fingerprints.sketch(F.col("left_digests")),
+                                                     fingerprints.sketch(F.col("rights")[0])).alias("d")).collect()
+    assert {r.uid for r in alone if r.d is not None} >= {0, 1, 2, 3, 5} and {r.uid: r.d for r in alone}[4] is None
+
+
+@pytest.mark.parametrize("text", ["one lower-case sentence here, number {i}. ", "\u8fd9\u662f\u7b2c{i}\u53e5\u8bdd\u3002",
+                                  "\u0441\u043b\u043e\u0432\u043e{i} ", "token{i} "])
+def test_every_script_has_many_paragraphs(spark, text):
+    whole = "".join(text.format(i=i * i) for i in range(400)).strip()
+    edited = whole[: len(whole) * 3 // 4] + "x" * (len(whole) // 4)
+    df = spark.createDataFrame([(whole,), (edited,)], "text string")
+    cut = [set(r.p) for r in df.select(fingerprints.paragraphs(F.col("text")).alias("p")).collect()]
+    assert [{p.hex().upper() for p in brute.paragraphs(t)} for t in (whole, edited)] == cut
+    assert len(cut[0]) > 10 and brute.jaccard(*cut) > 0.4
+
+
 def test_hilbert_curve_steps_to_neighbours():
     for dims, bits in ((2, 4), (3, 3), (4, 2)):
         cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dims)).reshape(dims, -1)
@@ -330,6 +375,36 @@ def test_shards_are_gapless_and_narrow(docs):
         last = places[-1]
 
 
+def shards_read(rows, column):
+    """The mean number of shards whose smallest and largest value let an equality filter in, over all values."""
+    by_shard = collections.defaultdict(list)
+    for row in rows:
+        by_shard[row["shard"]].append(row[column])
+    values = sorted({row[column] for row in rows})
+    return sum(min(s) <= v <= max(s) for v in values for s in by_shard.values()) / len(values)
+
+
+def test_filters_on_every_dimension_skip_shards(spark):
+    rng = random.Random(4)
+    rows = [(i, "x" * rng.randrange(4000), rng.choice(["de", "en", "es", "fr"]), f"src{rng.randrange(10)}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    curve = sharding.hilbert_shards(df, "doc_id", "text", ["lang", "source"], 16).select("shard", "lang", "source", "size").collect()
+    ordered = sorted(rows, key=lambda r: (r[2], r[3], len(r[1])))
+    plain = [{"shard": k * 16 // len(rows), "lang": r[2], "source": r[3], "size": len(r[1]) + 1} for k, r in enumerate(ordered)]
+    read = {c: shards_read(curve, c) for c in ("lang", "source", "size")}
+    assert all(n <= 11 for n in read.values()), read
+    assert sum(read.values()) < sum(shards_read(plain, c) for c in read)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 63, 64, 300])
+def test_value_cells_are_in_order(spark, n):
+    df = spark.createDataFrame([(f"v{i:03}",) for i in range(n)] + [(None,)], "v string")
+    got = {r.v: r.c for r in df.select("v", sharding.value_cell(df, "v").alias("c")).collect()}
+    cells = [got[f"v{i:03}"] for i in range(n)]
+    assert got[None] == 0 and cells == sorted(cells) and all(1 <= c < 64 for c in cells)
+    assert len(set(cells)) == min(n, 63)
+
+
 def test_pieces_decode_to_the_text(docs):
     got = pieces.round_trip(docs, "doc_id", "text", queries.tokenizer_path(queries.PIECES)).collect()
     assert all(r.same for r in got)
@@ -382,6 +457,32 @@ def test_language_codes_on_rows_not_learned_from(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_decoding_weighs_every_bit_by_its_trust():
+    rng = np.random.default_rng(3)
+    code = language.codewords(4)
+    y = rng.integers(0, 4, 400)
+    margins = code[y] * 3 + rng.normal(0, 1, (400, code.shape[1]))
+    margins[:, 2] = rng.normal(0, 9, 400)  # a classifier that has learned nothing
+    trust = language.bit_trust(margins[:200], y[:200], code)
+    assert np.allclose(trust.mean(axis=1), 1) and (trust.argmin(axis=1) == 2).all()
+    model = language.Model(list("abcd"), code, np.zeros((1, 1)), np.zeros(1), trust)
+    best, sure, lead = model.decode(margins[200:])
+    for i, row in enumerate(margins[200:]):
+        losses = [sum(trust[c][b] * np.log1p(np.exp(-row[b] * code[c][b])) for b in range(len(row))) for c in range(4)]
+        shares = [np.exp(-x) / sum(np.exp(-z) for z in losses) for x in losses]
+        assert best[i] == int(np.argmin(losses)) and sure[i] == pytest.approx(max(shares))
+        assert lead[i] == pytest.approx(max(shares) - sorted(shares)[-2])
+
+
+def test_a_mixed_text_is_ambiguous(spark):
+    a, b = "kor lin mat korlin", "sche ung ver scheung"
+    rows = [(i, " ".join(random.Random(i).choices((a if i % 2 else b).split(), k=20)), "ab"[i % 2]) for i in range(100)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    asked = spark.createDataFrame([(0, b * 3), (1, a * 3), (2, f"{a} {b} " * 3), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in language.predict(asked, "text", model, [F.col("doc_id")], "doc_id long").collect()}
+    assert [got[i].ambiguous for i in range(4)] == [False, False, True, True] and got[3].lang_pred == "und"
+
+
 @pytest.mark.parametrize("classes", [1, 2, 3, 4, 7, 8, 20])
 def test_codewords_differ(classes):
     code = language.codewords(classes)
