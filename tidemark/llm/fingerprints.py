@@ -43,12 +43,13 @@ def paragraphs(text: Column) -> Column:
 
 
 def digests(text: Column) -> Column:
-    """Distinct 64-bit digests of the paragraphs of a text."""
-    return F.array_distinct(F.transform(paragraphs(text), lambda p: F.xxhash64(p)))
+    """Distinct 48-bit digests of the paragraphs of a text; only those of two documents are ever compared."""
+    return F.array_distinct(F.transform(paragraphs(text), lambda p: F.xxhash64(p).bitwiseAND(F.lit((1 << 48) - 1))))
 
 
 def checksum(digest: Column) -> Column:
-    return F.xxhash64(digest, F.lit("check"))
+    """32 bits of another hash. A wrong digest that passes leaves cells that are not empty, so the pair is tried again."""
+    return F.xxhash64(digest, F.lit("check")).bitwiseAND(F.lit((1 << 32) - 1))
 
 
 def place(digest: Column, subtable, cells, attempt) -> Column:
@@ -94,8 +95,8 @@ def sketch(found: Column) -> Column:
 
 def written(cells: Column) -> Column:
     """A fingerprint as text: the cells in order, as count, key and checksum in hexadecimal; an empty cell is empty."""
-    number = lambda c: F.lpad(F.hex(c), 16, "0")
-    one = lambda c: F.concat(c["n"].cast("string"), F.lit("."), number(c["keys"]), number(c["checks"]))
+    number = lambda c, digits: F.lpad(F.hex(c), digits, "0")
+    one = lambda c: F.concat(c["n"].cast("string"), F.lit("."), number(c["keys"], 12), number(c["checks"], 8))
     empty = lambda c: (c["n"] == 0) & (c["keys"] == 0) & (c["checks"] == 0)
     return F.array_join(F.transform(cells, lambda c: F.when(empty(c), F.lit("")).otherwise(one(c))), ":")
 
