@@ -27,6 +27,8 @@ LONG_BYTES = 256
 BYTE_PIECE = "(?:..){32,509}?(?:.[159D].[26AE].[37BF])|(?:..){1,512}"
 SUBTABLES = 3
 CYCLES = 4
+# A retry has three cells per digest and more, so two cycles empty nearly all of its sketches.
+RETRY_CYCLES = 2
 # Cells per subtable of a fingerprint.
 CELLS = 8
 # Digests that one task of a retry should hold.
@@ -223,7 +225,7 @@ def recovered_by_retry(sets: DataFrame, aggregates: list[Column]) -> DataFrame:
         if failed is not None:
             pairs = pairs.join(failed, PAIR, "left_semi")
         cells = touched_cells(pairs, attempt)
-        for _ in range(CYCLES):
+        for _ in range(RETRY_CYCLES):
             for subtable in range(SUBTABLES):
                 cells = peel(cells, subtable, attempt)
         named = cells.withColumns({"digest": F.when(F.col("subtable") == -1, F.col("keys")), "sign": F.col("n")})
