@@ -299,6 +299,7 @@ def test_fingerprints_equal_sets_of_paragraphs(docs):
 
 def test_fingerprints_retry_with_larger_sketches(docs, monkeypatch):
     monkeypatch.setattr(fingerprints, "CYCLES", 1)
+    monkeypatch.setattr(fingerprints, "RETRY_CYCLES", 1)
     check_fingerprints(fingerprints.fingerprints(docs.where("doc_id < 60 OR doc_id IS NULL OR doc_id > 99"), "doc_id", "text").collect(),
                        [r for r in ROWS if r[0] is None or r[0] < 60 or r[0] > 99])
 
