@@ -417,11 +417,12 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         partners = against.select("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot")).distinct()
         likely = with_difference(partners, parity, small).where(close_enough(F.col("apart"), F.col("n"), F.col("n_pivot")))
         a, b = F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-        likely = materialise(not_in(likely.select(a, b, "node", "pivot", "apart"), tried), "join-likely")
-        likely = still_close(likely, "node", "pivot", large)
+        likely = not_in(likely.select(a, b, "node", "pivot", "apart"), tried)
         best = likely.groupBy("node").agg(F.min_by("pivot", F.struct("apart", "a", "b")).alias("pivot"))
-        again = materialise(pair_of(best), "join-pairs")
-        tried = tried.unionByName(again)
+        best = materialise(pair_of(best), "join-best")
+        # One pair per set meets the parities of large sets; those that are too far apart count as tried too.
+        tried = tried.unionByName(best)
+        again = materialise(still_close(best, "a", "b", large), "join-pairs")
         links = links.unionByName(verified(again, stands_for, docs, key, text))
         rest = open_rows(rest, links)
 
