@@ -21,7 +21,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import gather, mix, picked_by, powers, slices, string_bytes, texts
+from tidemark.llm.common import (
+    gather, mix, picked_by, powers, release_memory, slices, string_bytes, texts, without_keys,
+)
 from tidemark.llm.induced import suffix_batches
 from tidemark.operators.numbering import number_rows
 from tidemark.session import materialise
@@ -115,6 +117,7 @@ def anchored(docs: DataFrame) -> DataFrame:
                 place = (start << 16) | (again.astype(np.int64) << 15) | (distance << 8) | count
                 columns = [pa.array(v) for v in (anchor.view(np.int64), context.view(np.int64), doc, place)]
                 yield pa.RecordBatch.from_arrays(columns, names=["anchor", "context", "doc", "place"])
+        release_memory()
 
     return docs.select("doc", "text").mapInArrow(run, "anchor long, context long, doc long, place long")
 
@@ -214,6 +217,7 @@ def dealt_strings(rows: DataFrame) -> DataFrame:
                 anchor = np.concatenate([one[first], spread])
                 columns = [pa.array(v) for v in (anchor.view(np.int64), two[both].view(np.int64), doc[both], place)]
                 yield pa.RecordBatch.from_arrays(columns, names=["anchor", "context", "doc", "place"])
+        release_memory()
 
     return rows.mapInArrow(run, "anchor long, context long, doc long, place long")
 
@@ -232,6 +236,7 @@ def sorted_repeats(rows: DataFrame, shards: int) -> DataFrame:
             return
         doc, begin, count = (np.concatenate(c).astype(np.int64) for c in (docs, begins, counts))
         yield from _repeats(parts, doc, begin, count)
+        release_memory()
 
     placed = rows.repartition(shards, "anchor").select("doc", "start", "n", "raw")
     return placed.mapInArrow(run, "doc long, start long, n int")
@@ -324,9 +329,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     sizes = questions.groupBy("anchor").agg(F.sum(F.col("n") + LENGTH).alias("size"))
     hot = materialise(sizes.where(F.col("size") > HOT_BYTES).select("anchor"), "repeat-hot")
     if not hot.isEmpty():
-        # At most one minimiser per HOT_BYTES of contexts.
-        often = questions.join(F.broadcast(hot), "anchor", "left_semi")
-        questions = questions.join(F.broadcast(hot), "anchor", "left_anti")
+        # There are more of these minimisers the larger the corpus is, so nothing asks for a broadcast of them.
+        often = questions.where(picked_by(hot)(F.col("anchor"))).join(hot, "anchor", "left_semi")
+        questions = without_keys(questions, "anchor", hot)
         dealt = repeats_and_questions(dealt_strings(contexts(docs, often))).where("repeat")
         whole = whole.unionByName(materialise(dealt.select("doc", "start", "n"), "repeat-dealt"))
     more = materialise(sorted_repeats(contexts(docs, questions), shards), "repeat-strings")
