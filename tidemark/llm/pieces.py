@@ -245,7 +245,9 @@ def round_trip(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
     """Encode every text, decode its ids, and describe both: one row per row of ``df``.
 
     n_pieces, n_byte_pieces (pieces that stand for one byte), ids_crc32 (ids as little-endian 32-bit numbers),
-    decoded_sha256 and ``same`` (whether decoding gave back the text; a NULL text counts as empty).
+    decoded_sha256 and ``same`` (whether decoding gave back the text; a NULL text counts as empty). Repeated rows and
+    rows without a key are described each; an empty table gives no rows; other columns of ``df`` are not looked at,
+    whatever their names.
     """
     fields = "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, decoded_sha256 string, same boolean"
 

@@ -254,7 +254,7 @@ def token_files(df: DataFrame, key: str, text: str, tokenizer_path: str, end_id:
     """Encode, write and read back: one row per document with its place and the checksum of its ids.
 
     NULL texts are empty and hold the end id only; repeated rows are stored as often as they come; NULL keys come
-    first; an empty table gives no rows.
+    first; an empty table gives no rows; other columns of ``df`` are not looked at, whatever their names.
     """
     spark = df.sparkSession
     plain, ranked = fresh_dir(spark, "ids"), fresh_dir(spark, "tokens")

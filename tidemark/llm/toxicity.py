@@ -365,7 +365,10 @@ def score_texts(column: pa.Array, net: Network | float) -> np.ndarray:
 
 
 def with_score(df: DataFrame, text: str, net: Network | float, name: str = "score") -> DataFrame:
-    """``df`` with the score of every whole text; a NULL text scores like an empty one."""
+    """``df`` with the score of every whole text; a NULL text scores like an empty one.
+
+    Repeated rows score alike. An empty table stays empty. Extra columns are kept; one called ``name`` is replaced.
+    """
 
     @F.arrow_udf("double")
     def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
