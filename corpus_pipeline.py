@@ -87,13 +87,15 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold a benchmark item go, each by its own text, with or without an id.
 
-    A NULL text holds nothing. An empty table stays empty, and extra columns of any name are kept.
+    A NULL text holds nothing. An empty table stays empty, and extra columns of any name are kept. DataFrame operations
+    only; the rows to drop are written first, so that Catalyst knows their size and broadcasts them while they are few.
     """
     df = by_row(docs)
     found = benchmark.contained_items(
         df, "row", place(docs, "text"), table(spark, sf_dir, "benchmark"), "item_id", "text"
     )
-    return given(without_keys(df, "row", found.select(F.col("doc_id").alias("row")).distinct()), docs)
+    rows = materialise(found.select(F.col("doc_id").alias("row")).distinct(), "pipeline-contaminated")
+    return given(df.join(rows, "row", "left_anti"), docs)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

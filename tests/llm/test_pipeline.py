@@ -114,6 +114,15 @@ def test_stages_take_every_row_by_itself(spark, corpus, odd, monkeypatch):
     assert last(spark, odd, corpus).count() == len(given)
 
 
+def test_decontamination_runs_no_python(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    left = corpus_pipeline.drop_contaminated(spark, docs, corpus)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
+    # Only the few rows to drop are sent round, not the texts.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_stages_of_an_empty_table(spark, corpus, odd, monkeypatch):
     monkeypatch.setattr(toxicity, "EPOCHS", 1)
     for _, stage in corpus_pipeline.STAGES:
