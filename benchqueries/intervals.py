@@ -9,7 +9,7 @@ from tidemark.functions import text, times
 from tidemark.operators import directory, distinct, filters, intervals, numbering
 from tidemark.operators.tables import cutover, deduplicate, union_all
 from tidemark.plans import events as event_plans
-from tidemark.session import fresh_dir
+from tidemark.session import fresh_dir, materialise
 
 
 @query("SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-08'")
@@ -145,17 +145,19 @@ def distinct_by_sketch(spark, sf):
     errors for the count, and the rank error on either side of each quartile.
     """
     events, quartiles = table(spark, sf, "events"), [0.25, 0.5, 0.75]
-    ranges = distinct.trailing_ranges(events, "ts", 7)
+    ranges = materialise(distinct.trailing_ranges(events, "ts", 7), "trailing-ranges")
     sketches = distinct.day_sketches(events, ["event_type"], "ts", "event_id", "value")
-    merged = distinct.sketches_in_ranges(sketches, ["event_type"], ranges, quartiles)
-    held = distinct.days_of(ranges).join(events.withColumn("day", F.col("ts").cast("date")), "day")
-    held = held.join(merged.select("range", "event_type", "values_at"), ["range", "event_type"])
+    merged = materialise(distinct.sketches_in_ranges(sketches, ["event_type"], ranges, quartiles), "merged-sketches")
+    users = distinct.exact_in_ranges(events, ["event_type"], "ts", "event_id", ranges)
+    sought = distinct.days_of(ranges).join(merged.select("range", "event_type", "values_at"), "range")
+    held = events.select("event_type", "value", F.col("ts").cast("date").alias("day")).join(sought, ["day", "event_type"])
     at = [F.col("values_at")[i] for i in range(len(quartiles))]
-    exact = held.groupBy("range", "event_type").agg(
-        F.countDistinct("event_id").alias("exact_users"),
+    ranked = held.groupBy("range", "event_type").agg(
         F.array(*[F.avg((F.col("value") < v).cast("double")) for v in at]).alias("below"),
         F.array(*[F.avg((F.col("value") <= v).cast("double")) for v in at]).alias("up_to"),
     )
+    exact = ranked.join(users.withColumnRenamed("n_users", "exact_users"), ["range", "event_type"], "left")
+    exact = exact.withColumn("exact_users", F.coalesce("exact_users", F.lit(0).cast("long")))
     slack = 2 * distinct.KLL_RANK_ERROR
     ranks = [(F.col("below")[i] <= q + slack) & (F.col("up_to")[i] >= q - slack) for i, q in enumerate(quartiles)]
     error = F.abs(F.col("n_users") - F.col("exact_users"))

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from benchqueries import intervals
 from tidemark.operators import distinct
 from tidemark.plans import rides
 
@@ -110,6 +111,38 @@ def test_sketches_keep_to_their_bounds(events, ranges, rows):
             assert sum(x <= v for x in values) / len(values) >= q - slack
 
 
+def test_exact_counts_need_no_numbers(events, ranges, rows, monkeypatch):
+    expected = exact_users(rows)
+    for size in (distinct.TASK_ROWS, 100):
+        monkeypatch.setattr(distinct, "TASK_ROWS", size)
+        assert counted(distinct.exact_in_ranges(events, ["kind"], "ts", "user", ranges)) == expected
+    assert counted(distinct.exact_in_ranges(events.where("false"), ["kind"], "ts", "user", ranges)) == {}
+
+
+def test_sketches_are_checked_without_a_row_per_range(spark, events, tmp_path):
+    own = events.select(F.col("user").alias("event_id"), "ts", F.col("kind").alias("event_type"), "value")
+    # A key whose users are all NULL has a row of its own.
+    own = own.unionByName(own.limit(3).withColumns({"event_id": F.lit(None), "event_type": F.lit("nobody")}))
+    own.write.parquet(f"{tmp_path}/events.parquet")
+    found = intervals.distinct_by_sketch(spark, str(tmp_path))
+    # Rows repeated for the ranges that hold them are never grouped by id, which would hold seven of each in memory.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate [" in line]
+    assert grouped and not any("range#" in line.split("]")[0] and "event_id#" in line for line in grouped)
+    got = {(r["range"], r.event_type): r for r in found.collect()}
+    rows = [r for r in own.collect() if r.ts is not None and r.event_type is not None]
+    days = {r.ts.date() for r in rows}
+    expected = {}
+    for last in days:
+        for r in rows:
+            if 0 <= (last - r.ts.date()).days < 7:
+                expected.setdefault((last, r.event_type), []).append(r.event_id)
+    assert set(got) == set(expected)
+    for key, ids in expected.items():
+        assert (got[key].n_rows, got[key].exact_users) == (len(ids), len({i for i in ids if i is not None}))
+        assert got[key].users_within
+
+
 def test_trailing_ranges_end_with_every_day(events):
     found = sorted(map(tuple, distinct.trailing_ranges(events, "ts", 3).collect()))
     assert found == [(d, d - dt.timedelta(days=2), d) for d in DAYS]
