@@ -243,6 +243,25 @@ def test_long_texts_go_part_by_part(docs, paths, monkeypatch):
     assert len(list(alignment.cut(texts[0]))) > 5 and any(r.n_groups for r in whole)
 
 
+def test_units_of_several_slices_are_encoded_once(docs, paths, monkeypatch):
+    tools, asked, encode = alignment.Tokenizers.load(*paths), [], alignment.Tokenizers.encode
+    monkeypatch.setattr(
+        alignment.Tokenizers, "encode", lambda self, units: asked.append(units.to_pylist()) or encode(self, units)
+    )
+    first, second = pa.array(["one two three", "two"]), pa.array(["three four one"])
+    found = [alignment.rows_of(s, tools)[0] for s in (first, second, second)]
+    assert asked == [["one", "two", "three"], ["four"]] and str(found[1]) == str(found[2])
+    # However few are kept, rows stay the same: all are forgotten, or those that came once, or none.
+    texts = [t for t in [r.text for r in docs.select("text").collect()] + AWKWARD + ["one \ufffd\u0000 two"] if t]
+    rows = {}
+    for known in (0, 40, 1 << 20):
+        monkeypatch.setattr(alignment, "KNOWN", known)
+        tools = alignment.Tokenizers.load(*paths)
+        rows[known] = [str(alignment.rows_of(pa.array(texts[i : i + 3]), tools)) for i in range(0, len(texts), 3)]
+    apart = [str(alignment.rows_of(pa.array(texts[i : i + 3]), alignment.Tokenizers.load(*paths))) for i in (0, 30)]
+    assert rows[0] == rows[40] == rows[1 << 20] and [rows[0][0], rows[0][10]] == apart
+
+
 @pytest.mark.parametrize("space", ["\u00a0", "\u0085", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\x1c", "\n"])
 def test_units_keep_wider_white_space_together(space):
     texts = [f"a {space}b c", f"a{space} b c", f"é {space} é è", "", " ", "x", " a b "]

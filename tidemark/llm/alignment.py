@@ -10,7 +10,8 @@ list of its distinct pairs, documents refer to places in that list, and the coun
 no document is encoded twice and no table of pairs is broadcast or collected by this module.
 
 Neither tokenizer has a token across a single space between two other characters, where every text is cut into units:
-equal units of a slice are encoded once, and a very long text is aligned part by part.
+equal units are encoded once as long as a task keeps them, about ``KNOWN`` bytes, and a very long text is aligned part
+by part.
 
 A NULL or empty text, and one whose tokens do not spell it byte for byte, has no tokens. Rows are taken one by one:
 repeated rows and rows without id give rows of their own, but their links count like any others. Only named columns are
@@ -32,12 +33,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import gather, slices, string_bytes, texts
+from tidemark.llm.common import gather, release_memory, slices, string_bytes, texts
 from tidemark.session import materialise
 
 SLICE = 1 << 20  # bytes of texts that are aligned at once
 TOGETHER = 64  # units that are encoded as one text
 LISTED = 8 << 20  # bytes of texts that share one list of distinct pairs
+KNOWN = 2 << 20  # bytes of units whose tokens a task keeps
 WIDE_SPACES = (0xC2, 0xE1, 0xE2, 0xE3)  # first bytes of all white space beyond ASCII in UTF-8
 MARK = "▁"  # stands for a space in pieces
 ID_BITS = 20
@@ -58,6 +60,7 @@ class Tokenizers:
     sizes: tuple[np.ndarray, np.ndarray]
     signed: pa.Array
     first_b: int
+    known: Known | None = None
 
     @classmethod
     def load(cls, bytewise: str, pieces: str) -> Tokenizers:
@@ -101,37 +104,90 @@ class Tokenizers:
         strings, ends = units.to_pylist(), np.append(starts[1:], len(units))
         chunks = pa.array([" ".join(strings[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
         sizes, done, found = np.diff(places) + 1, 0, ([], [])
-        for part in slices(pa.RecordBatch.from_arrays([chunks], names=["chunk"]), "chunk", SLICE // 4):
+        for part in slices(pa.RecordBatch.from_arrays([chunks], names=["chunk"]), "chunk", SLICE // 16):
             joined = part.column(0).to_pylist()
             a = self.bytewise.encode_batch([" " + u for u in joined], add_special_tokens=False)
             b = self.pieces.encode(joined, num_threads=1)
-            for k in range(len(joined)):
-                first, end = starts[done + k], ends[done + k]
-                want = np.cumsum(sizes[first:end])
-                for side, ids in enumerate((a[k].ids, b[k])):
-                    ids = np.array(ids, np.int64)
-                    counts = told_apart(np.cumsum(self.sizes[side][ids]), want)
-                    if counts is None:
-                        alone = [self.one(side, u) for u in strings[first:end]]
-                        ids, counts = np.concatenate(alone), np.array([len(x) for x in alone])
-                    found[side].append((ids, counts))
+            own = slice(done, done + len(joined))
+            first, n_units = starts[own], ends[own] - starts[own]
+            want = sizes[first[0] : ends[own][-1]]
+            for side, lists in enumerate(([e.ids for e in a], b)):
+                n_ids = np.fromiter(map(len, lists), np.int64, len(lists))
+                ids = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(n_ids.sum()))
+                counts, fits = told_apart(self.sizes[side][ids], n_ids, want, n_units)
+                of_ids, of_units = (np.concatenate([[0], np.cumsum(n)]) for n in (n_ids, n_units))
+                at = 0
+                for k in [*np.flatnonzero(~fits).tolist(), len(lists)]:
+                    found[side].append((ids[of_ids[at] : of_ids[k]], counts[of_units[at] : of_units[k]]))
+                    if k < len(lists):
+                        alone = [self.one(side, strings[u]) for u in range(first[k], first[k] + n_units[k])]
+                        found[side].append((np.concatenate(alone), np.array([len(x) for x in alone], np.int32)))
+                    at = k + 1
             done += len(joined)
         return tuple(Encoded(*map(np.concatenate, zip(*own, strict=True))) for own in found)
 
+    def places(self, units: pa.Array) -> np.ndarray:
+        """Where the tokens of distinct units stand in ``known``, which is filled with those that it does not hold.
+
+        When it is full, units that have come only once since then are forgotten, or all.
+        """
+        if self.known is not None and self.known.size > KNOWN:
+            often = np.flatnonzero(self.known.seen > 1)
+            kept = self.known.only(often)
+            self.known = kept if 2 * kept.size <= KNOWN else None
+        if self.known is None:
+            self.known = self.learn(units)
+            return np.arange(len(units))
+        found = pc.index_in(units, value_set=self.known.units)
+        new = found.is_null()
+        places = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        fresh = new.to_numpy(zero_copy_only=False)
+        self.known.seen[places[~fresh]] += 1
+        if fresh.any():
+            places[fresh] = len(self.known.units) + np.arange(fresh.sum())
+            self.known = self.known.with_more(self.learn(units.filter(new)))
+        return places
+
+    def learn(self, units: pa.Array) -> Known:
+        """The tokens of units in both tokenizers, and whether these spell them."""
+        sides = self.encode(units)
+        space, nothing = (pa.scalar(s, units.type) for s in (" ", ""))
+        spaced, places = string_bytes(pc.binary_join_element_wise(space, units, nothing))
+        sizes = np.diff(places)
+        spelled = sides[0].spell(self.raw_a, self.starts_a, spaced, sizes)
+        spelled &= sides[1].spell(self.raw_b, self.starts_b, spaced, sizes)
+        return Known(units, sides, spelled, np.ones(len(units), np.int32))
+
     def one(self, side: int, unit: str) -> np.ndarray:
         """The ids of one unit from one of the tokenizers."""
         ids = self.pieces.encode(unit) if side else self.bytewise.encode(" " + unit, add_special_tokens=False).ids
-        return np.array(ids, np.int64)
+        return np.array(ids, np.int32)
 
 
-def told_apart(ends: np.ndarray, want: np.ndarray) -> np.ndarray | None:
-    """Tokens per unit, from where the tokens and the units end; None where no token ends with a unit."""
-    if len(want) == 1:
-        return np.array([len(ends)])
-    if not len(ends) or ends[-1] != want[-1]:
-        return None
-    at = np.searchsorted(ends, want)
-    return np.diff(at, prepend=-1) if (ends[at] == want).all() else None
+def told_apart(
+    lengths: np.ndarray, n_ids: np.ndarray, want: np.ndarray, n_units: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of every unit, whether they fit of every chunk): a token must end with each unit of a chunk.
+
+    ``lengths`` are the bytes of the tokens, ``want`` those of the units; ``n_ids`` and ``n_units`` count them by chunk.
+    The tokens of a single unit fit always. Tokens of units in a chunk that does not fit are not told.
+    """
+    counts = np.zeros(len(want), np.int32)
+    ends, wanted = np.cumsum(lengths), np.cumsum(want)
+    of_ids, of_units = np.cumsum(n_ids), np.cumsum(n_units)
+    total = np.diff(np.concatenate([[0], ends])[of_ids], prepend=0)
+    due = np.diff(wanted[of_units - 1], prepend=0)
+    fits = (total == due) & (n_ids > 0)
+    tokens, units = np.flatnonzero(np.repeat(fits, n_ids)), np.flatnonzero(np.repeat(fits, n_units))
+    if len(units):
+        ends, wanted = np.cumsum(lengths[tokens]), np.cumsum(want[units])
+        at = np.searchsorted(ends, wanted)
+        counts[units] = np.diff(at, prepend=-1)
+        chunk = np.repeat(np.arange(len(n_units)), n_units)
+        fits[chunk[units[ends[at] != wanted]]] = False
+    alone = n_units == 1
+    counts[of_units[alone] - 1] = n_ids[alone]
+    return counts, fits | alone
 
 
 @dataclass
@@ -143,7 +199,8 @@ class Encoded:
 
     def take(self, places: np.ndarray) -> Encoded:
         """The tokens of the texts at these places."""
-        starts, counts = np.cumsum(self.counts) - self.counts, self.counts[places]
+        ends, counts = np.cumsum(self.counts, dtype=np.int64), self.counts[places]
+        starts = ends - self.counts
         return Encoded(self.ids[gather(starts[places], counts)], counts)
 
     def spell(self, raw: np.ndarray, starts: np.ndarray, want: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -160,6 +217,34 @@ class Encoded:
         return same
 
 
+@dataclass
+class Known:
+    """Units with their tokens from both tokenizers, whether these spell them, and in how many slices they have come."""
+
+    units: pa.Array
+    sides: tuple[Encoded, Encoded]
+    spelled: np.ndarray
+    seen: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return len(string_bytes(self.units)[0])
+
+    def only(self, places: np.ndarray) -> Known:
+        """The units at these places, as if they had come once."""
+        a, b = (side.take(places) for side in self.sides)
+        return Known(self.units.take(pa.array(places)), (a, b), self.spelled[places], np.ones(len(places), np.int32))
+
+    def with_more(self, more: Known) -> Known:
+        """These units and then ``more``."""
+        sides = [
+            Encoded(np.concatenate([one.ids, two.ids]), np.concatenate([one.counts, two.counts]))
+            for one, two in zip(self.sides, more.sides, strict=True)
+        ]
+        joined = [np.concatenate(pair) for pair in ((self.spelled, more.spelled), (self.seen, more.seen))]
+        return Known(pa.concat_arrays([self.units, more.units]), tuple(sides), *joined)
+
+
 _loaded: dict[tuple[str, str], Tokenizers] = {}
 
 
@@ -294,19 +379,15 @@ def group_texts(
 
 
 def align(strings: pa.Array, tools: Tokenizers) -> list[Alignment]:
-    """The alignment of every text. Equal units of the texts are encoded once."""
+    """The alignment of every text."""
     units, n_units = units_of(strings)
     coded = units.dictionary_encode()
     codes, distinct = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
     out = [Alignment() for _ in range(len(strings))]
     if not len(distinct):
         return out
-    sides = tools.encode(distinct)
-    space, nothing = (pa.scalar(s, distinct.type) for s in (" ", ""))
-    spaced, places = string_bytes(pc.binary_join_element_wise(space, distinct, nothing))
-    sizes = np.diff(places)
-    spelled = sides[0].spell(tools.raw_a, tools.starts_a, spaced, sizes)
-    spelled &= sides[1].spell(tools.raw_b, tools.starts_b, spaced, sizes)
+    codes = tools.places(distinct)[codes]
+    sides, spelled = tools.known.sides, tools.known.spelled
     of_units = np.concatenate([[0], np.cumsum(n_units)])
     wrong = np.concatenate([[0], np.cumsum(~spelled[codes])])[of_units]
     usable = (np.diff(wrong) == 0) & (n_units > 0)
@@ -317,7 +398,7 @@ def align(strings: pa.Array, tools: Tokenizers) -> list[Alignment]:
         if not len(rows):
             continue
         own = codes[gather(of_units[rows], n_units[rows])]
-        a, b = (side.take(own).ids for side in sides)
+        a, b = (side.take(own).ids.astype(np.int64) for side in sides)
         of_a, of_b = np.concatenate([[0], np.cumsum(n_a[rows])]), np.concatenate([[0], np.cumsum(n_b[rows])])
         ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
         if a_is_short:
@@ -374,7 +455,8 @@ def listed(parts: Iterable[Alignment]) -> Listed:
         total += (part.n_a, part.n_b, part.n_groups, part.n_links)
         digest.update(b";" * (n > 0) + part.groups)
         found.append(np.unique(part.linked, return_counts=True))
-    return Listed(*total.tolist(), digest.hexdigest(), *added(found))
+    pairs, times = added(found)
+    return Listed(*total.tolist(), digest.hexdigest(), pairs, times.astype(np.int32))
 
 
 def added(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -415,13 +497,12 @@ def encode_and_list(df: DataFrame, text: str, paths: tuple[str, str], keep: list
 
         def written() -> pa.RecordBatch:
             """The rows of one slice, and its list as the last row."""
-            distinct, total = added([(r.pairs, r.times) for r in rows])
-            joined = np.concatenate([r.pairs for r in rows])
+            joined, times = (np.concatenate([getattr(r, c) for r in rows]) for c in ("pairs", "times"))
             offsets = np.concatenate([[0], np.cumsum([len(r.pairs) for r in rows])]).astype(np.int32)
-            link = pa.StructArray.from_arrays(
-                [pa.array(np.searchsorted(distinct, joined).astype(np.int32)), pa.array(np.concatenate([r.times for r in rows]))],
-                names=["place", "times"],
-            )
+            distinct, places = np.unique(joined, return_inverse=True)
+            places = places.astype(np.int32)
+            total = np.bincount(places, times, len(distinct)).astype(np.int64)
+            link = pa.StructArray.from_arrays([pa.array(places), pa.array(times, pa.int64())], names=["place", "times"])
             ids = [(distinct >> ID_BITS).astype(np.int32), (distinct & ((1 << ID_BITS) - 1)).astype(np.int32)]
             pair = pa.StructArray.from_arrays([*map(pa.array, ids), pa.array(total)], names=["a", "b", "times"])
             arrays = {c: pa.concat_arrays([p.column(c) for p in parts]) for c in names}
@@ -438,6 +519,7 @@ def encode_and_list(df: DataFrame, text: str, paths: tuple[str, str], keep: list
             for part in slices(batch, "_text", SLICE):
                 strings = texts(part, "_text")
                 rows += rows_of(strings, tools)
+                pa.default_memory_pool().release_unused()
                 parts.append(part.select(names))
                 size += len(string_bytes(strings)[0])
                 if size >= LISTED:
@@ -445,6 +527,8 @@ def encode_and_list(df: DataFrame, text: str, paths: tuple[str, str], keep: list
                     parts, rows, size, number = [], [], 0, number + 1
         if rows:
             yield written()
+        tools.known = None
+        release_memory()
 
     return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, fields)
 
