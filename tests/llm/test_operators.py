@@ -128,6 +128,27 @@ def test_words_encode_like_whole_texts(text):
     assert ids.tolist() == sum(whole, []) and counts.tolist() == [len(w) for w in whole]
 
 
+@pytest.mark.parametrize("known", [0, 40, 120, 1 << 20])
+def test_words_are_encoded_once_while_their_ids_are_kept(monkeypatch, known):
+    monkeypatch.setattr(token_files, "KNOWN", known)
+    encoder, asked = token_files.WordEncoder(queries.tokenizer_path(queries.TOKENIZER), 2), []
+    words = encoder.words
+    monkeypatch.setattr(encoder, "words", lambda new: asked.append(new.to_pylist()) or words(new))
+    for text in ["The end, o'Neil's É.", "", "The start, o'Neil's 12a", "  The end, of it. ", "The END of 漢字。", "The end, of it."]:
+        ids, counts = encoder(pa.array([text, "The", text]))
+        whole = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in (text, "The", text)]
+        assert ids.tolist() == sum(whole, []) and counts.tolist() == [len(w) for w in whole]
+        assert encoder.known.words.nbytes <= known
+    new = sum(asked, [])
+    assert (len(new) == len(set(new))) == (known == 1 << 20)
+
+
+def test_word_encoder_is_loaded_once_per_worker():
+    path = queries.tokenizer_path(queries.TOKENIZER)
+    assert token_files.word_encoder(path, 2) is token_files.word_encoder(path, 2)
+    assert token_files.word_encoder(path, 3).end_id == 3
+
+
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 1000])
 def test_blocks_round_trip_at_all_lengths(n):
     ranks = np.random.default_rng(n).integers(0, 1 << 32, n) >> np.random.default_rng(n).integers(0, 32, n)
