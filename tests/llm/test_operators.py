@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -15,6 +16,7 @@ from tidemark.llm import (
     benchmark, fingerprints, induced, language, licenses, ngram_join, pieces, queries, repeats, sharding, token_files,
     toxicity,
 )
+from tidemark.llm.common import picked_by
 from tidemark.llm.components import components
 
 ROWS = brute.documents()
@@ -225,6 +227,38 @@ def test_long_near_copies_of_a_corpus_of_copies(spark):
     assert got == {i: 0 if i < 3 else i for i in range(24)}
 
 
+def peak_of(work):
+    """(what the work returns, bytes of the driver's Python that it took at most)."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_ngram_tokens_reach_the_driver_without_an_object_each(spark):
+    n = 100_000
+    counts = spark.range(n).select(F.xxhash64("id").alias("node"), (F.col("id") % 50 + 1).alias("n"))
+    (tokens, held), peak = peak_of(lambda: ngram_join.known_tokens(counts.unionByName(counts)))
+    expected = sorted((r.node % 2**64, 2 * r.n) for r in counts.collect())
+    assert list(zip(tokens.tolist(), held.tolist(), strict=True)) == expected
+    assert peak < 100 * n
+
+
+def test_bit_map_of_keys_is_made_by_the_tasks(spark):
+    n = 200_000
+    picked, peak = peak_of(lambda: picked_by(spark.range(n).select(F.col("id") * 3)))
+    passed = spark.range(6 * n).where(picked(F.col("id")))
+    every, own = passed.agg(F.count("*"), F.count_if((F.col("id") % 3 == 0) & (F.col("id") < 3 * n))).first()
+    # As many others pass as there are bits set.
+    assert own == n and every - own < 5 * n * 0.2
+    assert peak < 10 << 20
+    none = picked_by(spark.range(0))
+    assert spark.range(100).where(none(F.col("id"))).count() == 0
+    missing = spark.createDataFrame([(None,), (5,)], "a long")
+    assert {r.a for r in missing.where(picked_by(missing)(F.col("a"))).collect()} == {None, 5}
+
+
 def test_parities_bound_the_difference_of_two_sets():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 1 << 63, 400).astype(np.uint64)

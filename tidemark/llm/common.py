@@ -34,16 +34,20 @@ def let(value: Column, body) -> Column:
 def picked_by(keys: DataFrame):
     """A function of a key column: false only for keys that are not in the one column of ``keys``.
 
-    The bit map has a fixed size, so it goes to the tasks whatever the number of keys; an exact join follows it.
+    The bit map has a fixed size, so it goes to the tasks whatever the number of keys; an exact join follows it. Tasks
+    set the bits, and the driver gets 64 of them in a row.
     """
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
-    found = keys.select(place(F.col(keys.columns[0])).alias("bit")).distinct().toPandas()["bit"]
-    bits = np.zeros(BITS, bool)
-    bits[found.to_numpy(np.int64)] = True
+    bit = place(F.col(keys.columns[0]))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
+    found = keys.groupBy(F.floor(bit / 64).cast("int").alias("word")).agg(F.bit_or(mask).alias("bits")).toArrow()
+    words = np.zeros(BITS // 64, np.uint64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
 
     @F.pandas_udf("boolean")
     def test(bit: pd.Series) -> pd.Series:
-        return pd.Series(bits[bit.to_numpy(np.int64)])
+        places = bit.to_numpy(np.uint64)
+        return pd.Series((words[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1)).astype(bool))
 
     return lambda key: test(place(key))
 

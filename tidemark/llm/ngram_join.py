@@ -169,10 +169,11 @@ def known_tokens(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         held, cut = held + row["count"], row["level"]
     if cut is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    rows = total.where(level >= cut).toPandas()
-    tokens = rows["node"].to_numpy(np.int64).view(np.uint64)
+    # As Arrow columns: a Python object per row would take the driver ten times their size.
+    rows = total.where(level >= cut).select("node", "n").toArrow()
+    tokens = rows["node"].to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], rows["n"].to_numpy(np.int64)[order]
+    return tokens[order], rows["n"].to_numpy()[order]
 
 
 def index_keys(
@@ -403,12 +404,13 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     known = known_tokens(both.where("kind = 1"))
     held = materialise(shared_keys(index(docs, key, text, known, members.count() * FREQUENT_SHARE)), "join-keys")
 
-    per_set = both.where("kind = 2").groupBy("node").agg(*[F.min(p).alias(p) for p in PARITIES])
-    parity = materialise(per_set, "join-parities")
+    rest = materialise(grouped_keys(held).withColumn("component", F.col("node")), "join-open")
+    # Only sets that share a key with another one are ever compared.
+    sharing = both.where("kind = 2").where(picked_by(rest.select("node"))(F.col("node")))
+    parity = materialise(sharing.groupBy("node").agg(*[F.min(p).alias(p) for p in PARITIES]), "join-parities")
     small = parity.count() <= BROADCAST_ROWS
-    large = both.where("kind = 2 AND more IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("more").alias("more"))
+    large = sharing.where("more IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("more").alias("more"))
     large = materialise(large, "join-large")
-    rest = materialise(grouped_keys(held).withColumn("component", F.col("node")), "join-open")
     tried = links = docs.sparkSession.createDataFrame([], "a long, b long")
     for round_ in range(ROUNDS):
         own = F.struct("n", "node", "component")
