@@ -245,6 +245,16 @@ def test_ngram_tokens_reach_the_driver_without_an_object_each(spark):
     assert peak < 100 * n
 
 
+def test_parities_of_many_sets_are_not_broadcast(spark):
+    bits = [(i, *[i * (w + 1) for w in range(ngram_join.WORDS)]) for i in range(4)]
+    parity = spark.createDataFrame(bits, "node long, " + ", ".join(f"{p} long" for p in ngram_join.PARITIES))
+    pairs = spark.createDataFrame([(0, 3), (1, 2), (2, 2)], "node long, pivot long")
+    got = ngram_join.with_difference(pairs, parity)
+    expected = {(a, b, sum(((a * w) ^ (b * w)).bit_count() for w in range(1, 9))) for a, b in ((0, 3), (1, 2), (2, 2))}
+    assert {(r.node, r.pivot, r.apart) for r in got.collect()} == expected
+    assert "strategy=broadcast" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_bit_map_of_keys_is_made_by_the_tasks(spark):
     n = 200_000
     picked, peak = peak_of(lambda: picked_by(spark.range(n).select(F.col("id") * 3)))

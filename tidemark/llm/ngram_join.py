@@ -356,12 +356,15 @@ def differing(a: str, b: str):
     return sum((F.bit_count(F.col(a + p).bitwiseXOR(F.col(b + p))) for p in PARITIES), F.lit(0))
 
 
-def with_difference(partners: DataFrame, parity: DataFrame, small: bool) -> DataFrame:
-    """The pairs (node, pivot) with ``apart``, how many of their parities differ; small parities are broadcast."""
+def with_difference(partners: DataFrame, parity: DataFrame) -> DataFrame:
+    """The pairs (node, pivot) with ``apart``, how many of their parities differ.
+
+    Parities are not broadcast by hint, as they are wide and grow with the corpus: the driver would build and send them.
+    """
     placed = partners
     for side in ("node", "pivot"):
         bits = parity.select(F.col("node").alias(side), *[F.col(p).alias(f"{side}_{p}") for p in PARITIES])
-        placed = placed.join(F.broadcast(bits) if small else bits, side)
+        placed = placed.join(bits, side)
     return placed.withColumn("apart", differing("node_", "pivot_"))
 
 
@@ -408,7 +411,6 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
     # Only sets that share a key with another one are ever compared.
     sharing = both.where("kind = 2").where(picked_by(rest.select("node"))(F.col("node")))
     parity = materialise(sharing.groupBy("node").agg(*[F.min(p).alias(p) for p in PARITIES]), "join-parities")
-    small = parity.count() <= BROADCAST_ROWS
     large = sharing.where("more IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("more").alias("more"))
     large = materialise(large, "join-large")
     tried = links = docs.sparkSession.createDataFrame([], "a long, b long")
@@ -417,7 +419,7 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         drawn = rest.groupBy("key").agg(F.min_by(own, F.xxhash64("node", F.lit(round_))).alias("p"))
         against = rest.join(drawn, "key").where("component <> p.component")
         partners = against.select("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("n_pivot")).distinct()
-        likely = with_difference(partners, parity, small).where(close_enough(F.col("apart"), F.col("n"), F.col("n_pivot")))
+        likely = with_difference(partners, parity).where(close_enough(F.col("apart"), F.col("n"), F.col("n_pivot")))
         a, b = F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
         likely = not_in(likely.select(a, b, "node", "pivot", "apart"), tried)
         best = likely.groupBy("node").agg(F.min_by("pivot", F.struct("apart", "a", "b")).alias("pivot"))
@@ -429,7 +431,7 @@ def similar_groups(docs: DataFrame, key: str, text: str) -> DataFrame:
         rest = open_rows(rest, links)
 
     # Parities stand beside the keys only here, where few sets are left, so that pairs are told apart while they are made.
-    rest = materialise(rest.join(F.broadcast(parity) if small else parity, "node"), "join-open")
+    rest = materialise(rest.join(parity, "node"), "join-open")
     own = ("n", "node", "at", "component", *PARITIES)
     left, right = (rest.select("key", *[F.col(c).alias(f"{s}_{c}") for c in own]) for s in "ab")
     pairs = (
